@@ -84,3 +84,63 @@ def q_gold_hour(spark, sf):
 @query("g4_gold_lineitem_day")
 def q_gold_li(spark, sf):
     return present(_gold(lineitem_bronze(spark, sf), "day"), round6=GOLD_R6)
+
+
+# --- project checks and suites on the pipeline (Q61, Q63, Q65, Q66, Q67) ----
+
+def pipeline_tables(spark, sf, bucket="hour"):
+    from marketlake.operators.candles import candle_bars
+    b = events_bronze(spark, sf)
+    t, d = stg_trades(b), stg_depth(b)
+    return {"bronze": b, "stg_trades": t, "stg_depth": d, "int_ohlcv_1m": candles(t, bucket),
+            "int_depth_1m": depth_bars(d, bucket), "int_dlq_1m": dlq_bars(b, bucket),
+            "fct_market_metrics": gold_from_bars(candle_bars(t, bucket), depth_bars(d, bucket), dlq_bars(b, bucket))}
+
+
+@query("q61_required_json_fields")
+def q_required_json(spark, sf):
+    from marketlake.quality import required_json_fields
+    v = required_json_fields(events_bronze(spark, sf), "payload",
+                             ["trade_id", "event_ts_ms", "price", "quantity", "ingest_ts"],
+                             row_filter="stream_kind = 'trades'")
+    return present(v.select("kafka_topic", "kafka_partition", "kafka_offset", "exchange", "symbol"))
+
+
+@query("q63_unique_grain_candles")
+def q_grain(spark, sf):
+    from marketlake.quality import unique_grain
+    return present(unique_grain(candles(stg_trades(events_bronze(spark, sf)), "hour")))
+
+
+@query("q65_source_freshness")
+def q_freshness(spark, sf):
+    from marketlake.quality import source_freshness
+    return present(source_freshness(events_bronze(spark, sf), "kafka_ts", now="2024-01-31 00:00:00"))
+
+
+@query("q66_suite_fused")
+def q_suite(spark, sf):
+    from marketlake.quality import CheckSpec, run_suite
+    from marketlake.sources.adapters import read_table
+    li, o = read_table(spark, sf, "lineitem"), read_table(spark, sf, "orders")
+    specs = [
+        CheckSpec("li_discount_le_008", "lineitem", "expression_is_true", {"expression": "l_discount <= 0.08"}),
+        CheckSpec("li_qty_2_49", "lineitem", "values_to_be_between",
+                  {"column": "l_quantity", "min_value": 2, "max_value": 49}, severity="warn"),
+        CheckSpec("li_flag_not_r", "lineitem", "values_to_not_be_in_set",
+                  {"column": "l_returnflag", "value_set": ["R"]}, error_if="> 20000", warn_if="> 0"),
+        CheckSpec("o_priority_in_set", "orders", "values_to_be_in_set",
+                  {"column": "o_orderpriority", "value_set": ["1-URGENT", "2-HIGH"]}),
+        CheckSpec("o_custkey_unique", "orders", "values_to_be_unique", {"column": "o_custkey"}),
+        CheckSpec("li_order_line_unique", "lineitem", "compound_columns_to_be_unique",
+                  {"column_list": ["l_orderkey", "l_linenumber"]}, fail_calc="sum(n_records)"),
+        CheckSpec("disabled_check", "orders", "values_to_be_null", {"column": "o_orderkey"}, enabled=False),
+    ]
+    return run_suite(specs, {"lineitem": li, "orders": o})
+
+
+@query("q67_project_suite")
+def q_project_suite(spark, sf):
+    from marketlake.plans.suite import project_suite
+    from marketlake.quality import run_suite
+    return run_suite(project_suite(), pipeline_tables(spark, sf))

@@ -230,5 +230,34 @@ SELECT stream_kind, exchange, symbol, event_ts_ms, ingest_ts, kafka_topic, kafka
     "g4_gold_lineitem_day": with_lineitem(_bars("day"), _gold()) + f"\nSELECT {GOLD_SELECT} FROM gold",
 }
 
+MARKET_SQL["q61_required_json_fields"] = with_events() + """
+SELECT kafka_topic, kafka_partition, kafka_offset, exchange, symbol FROM bronze_x
+WHERE stream_kind = 'trades' AND event_ts_ms IS NULL"""
+MARKET_SQL["q63_unique_grain_candles"] = with_events(_bars("hour")) + """
+SELECT exchange, symbol, metric_ts, count(*) AS n_records FROM candles_f GROUP BY 1, 2, 3 HAVING count(*) > 1"""
+MARKET_SQL["q65_source_freshness"] = with_events() + """
+SELECT max(kafka_ts) AS max_loaded_at,
+       CAST(epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(date_trunc('second', max(kafka_ts))) AS BIGINT) AS lag_seconds,
+       CASE WHEN epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(date_trunc('second', max(kafka_ts))) > 300
+            THEN 'error' ELSE 'pass' END AS status
+FROM bronze"""
+MARKET_SQL["q66_suite_fused"] = """
+SELECT check_name, model, failures, severity,
+       CASE WHEN severity = 'error' AND (CASE WHEN check_name = 'li_flag_not_r' THEN failures > 20000
+                                              ELSE failures <> 0 END) THEN 'error'
+            WHEN failures <> 0 THEN 'warn' ELSE 'pass' END AS status
+FROM (VALUES
+  ('li_discount_le_008', 'lineitem', (SELECT count(*) FROM lineitem WHERE l_discount > 0.08), 'error'),
+  ('li_qty_2_49', 'lineitem', (SELECT count(*) FROM lineitem WHERE NOT (l_quantity >= 2 AND l_quantity <= 49)), 'warn'),
+  ('li_flag_not_r', 'lineitem', (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R'), 'error'),
+  ('o_priority_in_set', 'orders',
+   (SELECT count(*) FROM orders WHERE NOT coalesce(o_orderpriority IN ('1-URGENT', '2-HIGH'), false)), 'error'),
+  ('o_custkey_unique', 'orders', (SELECT count(*) FROM (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL
+                                   GROUP BY 1 HAVING count(*) > 1)), 'error'),
+  ('li_order_line_unique', 'lineitem', (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem
+                                   GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)), 'error')
+) v(check_name, model, failures, severity)
+"""
+
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(MARKET_SQL)

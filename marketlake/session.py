@@ -34,7 +34,8 @@ def build_session(master: str | None = None, app: str = "marketlake",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = {**TUNING_CONF, **CORRECTNESS_CONF, "spark.ui.enabled": "false"}
+    conf = {**TUNING_CONF, **CORRECTNESS_CONF, "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false"}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
