@@ -1,5 +1,5 @@
 """Every registered query and its oracle SQL (importing the catalogs fills them)."""
 
-from marketlake.plans import calendar_catalog, quality_catalog, streaming_catalog  # noqa: F401
+from marketlake.plans import calendar_catalog, quality_catalog, serving_catalog, streaming_catalog  # noqa: F401
 from marketlake.plans.catalog import QUERIES  # noqa: F401
 from marketlake.plans.oracle import ORACLE_SQL  # noqa: F401
