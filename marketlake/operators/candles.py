@@ -120,7 +120,7 @@ def depth_bars(depth: DataFrame, bucket: str = "minute", exact_median: bool = Fa
     g = (depth.groupBy(*SERIES_KEYS, _bucket("event_ts", bucket).alias("metric_ts"))
          .agg(F.avg("spread_bps").alias("avg_spread_bps"),
               F.avg("mid_price").alias("avg_mid_price"),
-              med.alias("median_mid_price")))
+              med.cast(depth.schema["mid_price"].dataType).alias("median_mid_price")))
     return g.withColumn("metric_date", F.to_date("metric_ts")).select(*DEPTH_1M_COLUMNS)
 
 

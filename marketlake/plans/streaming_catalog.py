@@ -1 +1,112 @@
-"""Streaming queries (filled below)."""
+"""Streaming and sink queries (Z1-Z7, K1, K8, K10) on the events feed.
+
+Each query drains a real stream with ``availableNow`` (file source standing
+in for the broker) into a fresh folder under the session's checkpoint root
+and returns what the sink wrote.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marketlake.operators.staging import stg_depth, stg_trades
+from marketlake.plans.gold import market_metrics, write_gold
+from marketlake.plans.oracle import ORACLE_SQL, _bars, _gold, with_events
+from marketlake.plans.pipeline import events_bronze
+from marketlake.plans.present import present
+from marketlake.plans.quality_catalog import reg
+from marketlake.session import ensure_conf, scratch_path
+from marketlake.sources.adapters import events_as_kafka
+from marketlake.sources.bronze import read_bronze, write_bronze_batch
+from marketlake.streaming import jobs as Z
+
+WATERMARK = "1 hour"
+
+
+def _ingested_bronze(spark, sf):
+    """Events -> Kafka-shaped log files -> streaming bronze ingest."""
+    ensure_conf(spark)
+    base = scratch_path(spark, "z1")
+    events_as_kafka(spark, sf).write.parquet(f"{base}/log")
+    q = Z.start_bronze_ingest(Z.read_records_stream(spark, f"{base}/log"), f"{base}/bronze", f"{base}/_ckpt",
+                              available_now=True)
+    q.awaitTermination()
+    return base, read_bronze(spark, f"{base}/bronze")
+
+
+@reg("z1_stream_bronze_ingest", ORACLE_SQL["b7_bronze_events"])
+def _z1(s, sf):
+    _, b = _ingested_bronze(s, sf)
+    return b.drop("payload").select("stream_kind", "exchange", "symbol", "event_ts_ms", "ingest_ts", "kafka_topic",
+                                    "kafka_partition", "kafka_offset", "kafka_ts", "dt")
+
+
+_CLOSED = """
+SELECT exchange, symbol, metric_ts, metric_date, open_price, high_price, low_price, close_price, base_volume,
+       trade_count, vwap
+FROM bars WHERE metric_ts + INTERVAL 1 DAY <= (SELECT max(event_ts) FROM t_parsed) - INTERVAL 1 HOUR"""
+
+
+@reg("z4_stream_candles_day", with_events(_bars("day")) + _CLOSED)
+def _z4(s, sf):
+    base, _ = _ingested_bronze(s, sf)
+    out = Z.stream_candles_available_now(s, f"{base}/bronze", f"{base}/z4", bucket="day", watermark=WATERMARK)
+    return s.read.parquet(out)
+
+
+@reg("z5_stream_dlq_hour", with_events(_bars("hour")) + """
+SELECT * FROM dlq_b WHERE metric_ts + INTERVAL 1 HOUR <= (SELECT max(kafka_ts) FROM bronze
+                                                       WHERE kafka_topic LIKE 'dlq.%') - INTERVAL 1 HOUR""")
+def _z5(s, sf):
+    base, _ = _ingested_bronze(s, sf)
+    b = Z.read_bronze_stream(s, f"{base}/bronze")
+    Z.run_available_now(Z.stream_dlq_bars(b, "hour", WATERMARK), f"{base}/z5", f"{base}/_ckpt5")
+    return s.read.parquet(f"{base}/z5")
+
+
+@reg("z3_stream_trades_dedup", with_events() + """
+SELECT exchange, symbol, trade_id, event_ts, price, quantity, is_buyer_maker FROM stg_trades""")
+def _z3(s, sf):
+    base, _ = _ingested_bronze(s, sf)
+    t = Z.stream_trades(Z.read_bronze_stream(s, f"{base}/bronze"), WATERMARK) \
+        .select("exchange", "symbol", "trade_id", "event_ts", "price", "quantity", "is_buyer_maker")
+    Z.run_available_now(t, f"{base}/z3", f"{base}/_ckpt3")
+    return s.read.parquet(f"{base}/z3")
+
+
+@reg("k1_bronze_partition_pruned_counts", with_events() + """
+SELECT dt, symbol, exchange, count(*) AS row_count FROM bronze WHERE dt BETWEEN '2024-01-05' AND '2024-01-07'
+GROUP BY 1, 2, 3""")
+def _k1(s, sf):
+    base = scratch_path(s, "k1")
+    write_bronze_batch(events_bronze(s, sf), f"{base}/bronze")
+    b = read_bronze(s, f"{base}/bronze", dt_from="2024-01-05", dt_to="2024-01-07")
+    return b.groupBy("dt", "symbol", "exchange").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+GOLD_DAY_SELECT = ("exchange, symbol, metric_ts, metric_date, open, high, low, close, volume, vwap, "
+                   "round(CAST(spread_bps AS DOUBLE), 6) AS spread_bps, round(volatility, 6) AS volatility, "
+                   "round(volatility_60m, 6) AS volatility_60m, dead_letter_count, zero_volume_flag, "
+                   "price_spike_flag, anomaly_flag, trade_count, round(CAST(avg_mid_price AS DOUBLE), 6) AS "
+                   "avg_mid_price, median_mid_price")
+
+
+@reg("z6_incremental_gold_day", with_events(_bars("day"), _gold()) + f"\nSELECT {GOLD_DAY_SELECT} FROM gold")
+def _z6(s, sf):
+    """Initial gold from trades before 2024-01-20, then one late micro-batch
+    (the rest) applied by the incremental refresh; must equal a full rebuild."""
+    base = scratch_path(s, "z6")
+    write_bronze_batch(events_bronze(s, sf), f"{base}/bronze")
+    b = read_bronze(s, f"{base}/bronze")
+    t, d = stg_trades(b), stg_depth(b)
+    cut = F.col("event_ts") < F.lit("2024-01-20").cast("timestamp")
+    t.filter(cut).write.parquet(f"{base}/trades")
+    d.write.parquet(f"{base}/depth")
+    t0 = s.read.parquet(f"{base}/trades")
+    write_gold(market_metrics(t0, s.read.parquet(f"{base}/depth"), b, "day", exact_median=True), f"{base}/gold")
+    late = t.filter(~cut)
+    late.write.mode("append").parquet(f"{base}/trades")
+    Z.refresh_gold_for_batch(s, f"{base}/trades", f"{base}/depth", f"{base}/bronze", f"{base}/gold",
+                             late.select(F.to_date("event_ts").alias("metric_date")), bucket="day", lookback_days=90)
+    g = s.read.parquet(f"{base}/gold")
+    return present(g, round6=("spread_bps", "volatility", "volatility_60m", "avg_mid_price"))
