@@ -50,10 +50,10 @@ def main():
         return lineitem_bronze(spark, sf_dir).unionByName(events_bronze(spark, sf_dir))
 
     def p1_bronze_write():
-        write_bronze_batch(bronze_all(), f"{scratch}/bronze_w{next(counter)}", mode="overwrite")
+        write_bronze_batch(bronze_all(), f"{scratch}/bronze_w{next(counter)}", mode="overwrite", layout="daily")
 
     # P1 output is also the input of the silver/gold queries
-    write_bronze_batch(bronze_all(), bronze_path, mode="overwrite")
+    write_bronze_batch(bronze_all(), bronze_path, mode="overwrite", layout="daily")
     b = lambda: read_bronze(spark, bronze_path)
 
     def p2_stg_trades():

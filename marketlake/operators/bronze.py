@@ -11,7 +11,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions import json_value, path_safe
+from marketlake.functions import json_values, path_safe
 from marketlake.schemas import BRONZE_COLUMNS, TOPIC_KIND, UNKNOWN
 
 
@@ -27,14 +27,16 @@ def to_bronze(records: DataFrame) -> DataFrame:
     Input columns: ``value`` (JSON text), ``topic``, ``partition``,
     ``offset``, ``timestamp``.  Output: the 11 bronze columns.
     """
-    ms = json_value("value", "$.event_ts_ms").try_cast("bigint")
-    return records.select(
+    # one JSON parse per message for all four top-level fields
+    parsed, j = json_values("value", ["venue", "symbol", "event_ts_ms", "ingest_ts"])
+    ms = j["event_ts_ms"].try_cast("bigint")
+    return records.select("*", parsed).select(
         stream_kind("topic").alias("stream_kind"),
         F.col("value").alias("payload"),
-        F.coalesce(json_value("value", "$.venue"), F.lit(UNKNOWN)).alias("exchange"),
-        path_safe(json_value("value", "$.symbol")).alias("symbol"),
+        F.coalesce(j["venue"], F.lit(UNKNOWN)).alias("exchange"),
+        path_safe(j["symbol"]).alias("symbol"),
         ms.alias("event_ts_ms"),
-        json_value("value", "$.ingest_ts").alias("ingest_ts"),
+        j["ingest_ts"].alias("ingest_ts"),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("bigint").alias("kafka_offset"),

@@ -37,8 +37,28 @@ DEPTH_TYPES = ["view"]
 DLQ_TYPES = ["error"]
 
 
+# Inputs smaller than this are left as scanned (a shuffle would cost more).
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin a sizeable input over the cluster's cores when the scan
+    yields fewer partitions than cores (e.g. one Parquet row group), so the
+    row-local work after the scan is not single-threaded.  A no-op for
+    normally laid-out data (many row groups/files).  Uses only the
+    optimizer's size estimate and the planned partition count (no job)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics are advisory
+        return df
+    if size >= min_bytes and df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _iso(ts: Column) -> Column:

@@ -29,17 +29,26 @@ def read_bronze(spark: SparkSession, base: str, dt_from: str | None = None, dt_t
 
 
 def write_bronze_batch(bronze: DataFrame, base: str, mode: str = "append",
-                       max_records_per_file: int | None = None) -> None:
-    """K1/K2 (batch form): append bronze rows under dt=/symbol=/exchange=.
+                       max_records_per_file: int | None = None, layout: str = "hive") -> None:
+    """K1/K2 (batch form): append bronze rows.
 
-    Rows are clustered by the partition columns first so each task writes
-    few files per directory (no small-file blow-up), without funnelling a
-    hot partition into one task: ``repartitionByRange`` samples the keys and
-    splits large directories across several writers.
+    ``layout="hive"`` writes ``dt=/symbol=/exchange=`` directories (the
+    upstream layout, readable by existing consumers).  With many series and a
+    long history that is one directory per (day, series) -- e.g. 64 series x
+    7 years = 160k small directories -- so ``layout="daily"`` writes ``dt=``
+    directories only, rows sorted by (symbol, exchange) inside each file so
+    Parquet min/max statistics still skip other series.  ``read_bronze``
+    reads both (symbol and exchange are data columns in the daily layout).
+
+    Rows are shuffled with a REBALANCE on the directory keys: each writer
+    gets whole directories (few files each), AQE merges small partitions and
+    splits a skewed one (a hot day or symbol) over several writers, with no
+    sampling pass over the input.
     """
-    w = (bronze.repartitionByRange(*BRONZE_PARTITION_COLUMNS)
-         .sortWithinPartitions(*BRONZE_PARTITION_COLUMNS, "kafka_topic", "kafka_partition", "kafka_offset")
-         .write.mode(mode).partitionBy(*BRONZE_PARTITION_COLUMNS))
+    keys = BRONZE_PARTITION_COLUMNS if layout == "hive" else ["dt"]
+    w = (bronze.hint("rebalance", *keys)
+         .sortWithinPartitions("dt", "symbol", "exchange", "kafka_topic", "kafka_partition", "kafka_offset")
+         .write.mode(mode).partitionBy(*keys))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(base)
