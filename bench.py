@@ -31,6 +31,13 @@ from marketlake.sources.adapters import read_table  # noqa: E402
 from marketlake.sources.bronze import read_bronze, write_bronze_batch  # noqa: E402
 
 
+# The driver's lineitem feed spreads ~600k trades over 7 years of days, so a
+# directory per day holds a few hundred rows and per-file overhead dominates;
+# the bench uses the flat layout (statistics-based pruning).  Set
+# BENCH_BRONZE_LAYOUT=daily|hive to measure the directory layouts.
+LAYOUT = os.environ.get("BENCH_BRONZE_LAYOUT", "flat")
+
+
 def noop(df):
     df.write.format("noop").mode("overwrite").save()
 
@@ -50,10 +57,10 @@ def main():
         return lineitem_bronze(spark, sf_dir).unionByName(events_bronze(spark, sf_dir))
 
     def p1_bronze_write():
-        write_bronze_batch(bronze_all(), f"{scratch}/bronze_w{next(counter)}", mode="overwrite", layout="daily")
+        write_bronze_batch(bronze_all(), f"{scratch}/bronze_w{next(counter)}", mode="overwrite", layout=LAYOUT)
 
     # P1 output is also the input of the silver/gold queries
-    write_bronze_batch(bronze_all(), bronze_path, mode="overwrite", layout="daily")
+    write_bronze_batch(bronze_all(), bronze_path, mode="overwrite", layout=LAYOUT)
     b = lambda: read_bronze(spark, bronze_path)
 
     def p2_stg_trades():
@@ -65,7 +72,7 @@ def main():
     def p4_gold_mart():
         bb = b()
         g = gold_from_bars(candle_bars(stg_trades(bb), "day"), depth_bars(stg_depth(bb), "day"), dlq_bars(bb, "day"))
-        write_gold(g, f"{scratch}/gold{next(counter)}")
+        write_gold(g, f"{scratch}/gold{next(counter)}", layout=LAYOUT if LAYOUT == "flat" else "daily")
 
     li, o = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")
     specs = [
@@ -92,7 +99,7 @@ def main():
     gold_path = f"{scratch}/gold_serving"
     bb = b()
     write_gold(gold_from_bars(candle_bars(stg_trades(bb), "day"), depth_bars(stg_depth(bb), "day"),
-                              dlq_bars(bb, "day")), gold_path)
+                              dlq_bars(bb, "day")), gold_path, layout=LAYOUT if LAYOUT == "flat" else "daily")
 
     def p8_serving():
         g = spark.read.parquet(gold_path)

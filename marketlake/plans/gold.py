@@ -59,13 +59,21 @@ def market_metrics(trades: DataFrame, depth: DataFrame, bronze: DataFrame,
                           dlq_bars(bronze, bucket))
 
 
-def write_gold(gold: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_gold(gold: DataFrame, path: str, mode: str = "overwrite", layout: str = "daily") -> None:
     """Day partitions, rows clustered by (symbol, exchange) inside files.
 
-    ``repartition(metric_date, symbol)`` spreads a long day over several
-    writers while keeping each writer's files sorted for row-group skipping;
-    with dynamic partition overwrite only touched days are replaced.
+    A REBALANCE on ``metric_date`` gives each day to one writer (one file
+    per day) and lets AQE split an oversized day across several writers;
+    files are sorted by (symbol, exchange, metric_ts) for row-group
+    skipping.  With dynamic partition overwrite only touched days are
+    replaced.  ``layout="flat"`` skips the day directories (files hold
+    contiguous date ranges) for long, sparse histories.
     """
-    (gold.repartition("metric_date", "symbol")
+    if layout == "flat":
+        (gold.repartitionByRange("metric_date", "symbol")
+         .sortWithinPartitions("metric_date", "symbol", "exchange", "metric_ts")
+         .write.mode(mode).parquet(path))
+        return
+    (gold.hint("rebalance", "metric_date")
      .sortWithinPartitions("metric_date", "symbol", "exchange", "metric_ts")
      .write.mode(mode).partitionBy("metric_date").parquet(path))

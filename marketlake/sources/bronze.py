@@ -39,16 +39,25 @@ def write_bronze_batch(bronze: DataFrame, base: str, mode: str = "append",
     directories only, rows sorted by (symbol, exchange) inside each file so
     Parquet min/max statistics still skip other series.  ``read_bronze``
     reads both (symbol and exchange are data columns in the daily layout).
+    ``layout="flat"`` writes no directories at all (for long, sparse
+    histories where even one directory per day means tiny files).
 
     Rows are shuffled with a REBALANCE on the directory keys: each writer
     gets whole directories (few files each), AQE merges small partitions and
     splits a skewed one (a hot day or symbol) over several writers, with no
     sampling pass over the input.
     """
-    keys = BRONZE_PARTITION_COLUMNS if layout == "hive" else ["dt"]
-    w = (bronze.hint("rebalance", *keys)
-         .sortWithinPartitions("dt", "symbol", "exchange", "kafka_topic", "kafka_partition", "kafka_offset")
-         .write.mode(mode).partitionBy(*keys))
+    if layout == "flat":
+        # One directory; files hold contiguous (dt, symbol, exchange) ranges
+        # so dt/symbol filters prune by Parquet statistics instead of paths.
+        w = (bronze.repartitionByRange("dt", "symbol", "exchange")
+             .sortWithinPartitions("dt", "symbol", "exchange", "kafka_topic", "kafka_partition", "kafka_offset")
+             .write.mode(mode))
+    else:
+        keys = BRONZE_PARTITION_COLUMNS if layout == "hive" else ["dt"]
+        w = (bronze.hint("rebalance", *keys)
+             .sortWithinPartitions("dt", "symbol", "exchange", "kafka_topic", "kafka_partition", "kafka_offset")
+             .write.mode(mode).partitionBy(*keys))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(base)

@@ -153,7 +153,7 @@ def refresh_gold_for_batch(spark: SparkSession, trades_path: str, depth_path: st
     b = window(spark.read.schema(BRONZE).parquet(bronze_path), "kafka_ts")
     g = gold_from_bars(candle_bars(t, bucket), depth_bars(d, bucket), dlq_bars(b, bucket))
     g = g.join(F.broadcast(rewrite), g.metric_date == rewrite.d, "left_semi")
-    (g.repartition("metric_date", "symbol").sortWithinPartitions("metric_date", "symbol", "exchange", "metric_ts")
+    (g.hint("rebalance", "metric_date").sortWithinPartitions("metric_date", "symbol", "exchange", "metric_ts")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("metric_date")
      .parquet(gold_path))
 
