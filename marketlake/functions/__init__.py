@@ -2,5 +2,5 @@
 
 from marketlake.functions.core import (  # noqa: F401
     col_of, event_time, json_query, json_value, json_values, kafka_key, path_safe, safe_divide, safe_ln,
-    to_price, tolerant_bool, venue_symbol_key,
+    to_price, tolerant_bool, venue_symbol_key, with_json_fields,
 )

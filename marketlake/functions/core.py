@@ -88,3 +88,19 @@ def json_values(doc, fields: list[str], alias: str = "_j") -> tuple[Column, dict
         v = F.col(f"{alias}.`{f}`")
         out[f] = F.when(~(v.startswith("{") | v.startswith("[")), v)
     return parsed, out
+
+
+def with_json_fields(df, doc, fields: list[str], prefix: str = "_j_"):
+    """Add ``prefix + field`` columns with the scalar text of top-level JSON
+    fields, parsing each document exactly once.
+
+    ``json_tuple`` is a generator, so its outputs are plain attributes:
+    Catalyst cannot inline the parse back into every reference (which it
+    does for ``from_json(...).field`` chains, re-parsing per use).
+    Objects/arrays map to NULL, as in :func:`json_value`.
+    """
+    names = [prefix + f for f in fields]
+    out = df.select("*", F.json_tuple(col_of(doc), *fields).alias(*names))
+    return out.select(*[c for c in df.columns],
+                      *[F.when(~(F.col(n).startswith("{") | F.col(n).startswith("[")), F.col(n)).alias(n)
+                        for n in names])

@@ -11,7 +11,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions import json_values, path_safe
+from marketlake.functions import path_safe, with_json_fields
 from marketlake.schemas import BRONZE_COLUMNS, TOPIC_KIND, UNKNOWN
 
 
@@ -28,9 +28,10 @@ def to_bronze(records: DataFrame) -> DataFrame:
     ``offset``, ``timestamp``.  Output: the 11 bronze columns.
     """
     # one JSON parse per message for all four top-level fields
-    parsed, j = json_values("value", ["venue", "symbol", "event_ts_ms", "ingest_ts"])
+    fields = ["venue", "symbol", "event_ts_ms", "ingest_ts"]
+    j = {f: F.col("_j_" + f) for f in fields}
     ms = j["event_ts_ms"].try_cast("bigint")
-    return records.select("*", parsed).select(
+    return with_json_fields(records, "value", fields).select(
         stream_kind("topic").alias("stream_kind"),
         F.col("value").alias("payload"),
         F.coalesce(j["venue"], F.lit(UNKNOWN)).alias("exchange"),

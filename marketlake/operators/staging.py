@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions import json_value, json_values, kafka_key, safe_divide, to_price, tolerant_bool
+from marketlake.functions import json_value, kafka_key, safe_divide, to_price, tolerant_bool, with_json_fields
 from marketlake.operators.dedup import first_per_key, latest_per_key
 from marketlake.schemas import STG_DEPTH_COLUMNS, STG_TRADES_COLUMNS
 
@@ -14,9 +14,8 @@ TRADE_PAYLOAD_FIELDS = ["event_ts_ms", "trade_id", "price", "quantity", "is_buye
 
 def parse_trades(bronze: DataFrame) -> DataFrame:
     """Trades rows of bronze with typed fields (one JSON parse per row)."""
-    parsed, j = json_values("payload", TRADE_PAYLOAD_FIELDS)
-    return (bronze.filter(F.col("stream_kind") == "trades")
-            .select("*", parsed)
+    j = {f: F.col("_j_" + f) for f in TRADE_PAYLOAD_FIELDS}
+    return (with_json_fields(bronze.filter(F.col("stream_kind") == "trades"), "payload", TRADE_PAYLOAD_FIELDS)
             .select(
                 *bronze.columns,
                 kafka_key().alias("trade_key"),
@@ -57,20 +56,26 @@ def stg_trades(bronze: DataFrame, dedup: str = "window") -> DataFrame:
 
 
 def parse_depth(bronze: DataFrame) -> DataFrame:
-    """Depth rows with the first bid/ask level typed."""
-    parsed, j = json_values("payload", ["event_ts_ms", "update_id"])
-    return (bronze.filter(F.col("stream_kind") == "depth")
-            .select("*", parsed)
-            .select(
-                *bronze.columns,
-                kafka_key().alias("depth_key"),
-                F.coalesce(F.timestamp_millis(j["event_ts_ms"].try_cast("bigint")), F.col("kafka_ts"))
-                .alias("event_ts"),
-                j["update_id"].alias("update_id"),
-                to_price(json_value("payload", "$.bids[0].price")).alias("best_bid_price"),
-                to_price(json_value("payload", "$.bids[0].qty")).alias("best_bid_qty"),
-                to_price(json_value("payload", "$.asks[0].price")).alias("best_ask_price"),
-                to_price(json_value("payload", "$.asks[0].qty")).alias("best_ask_qty")))
+    """Depth rows with the first bid/ask level typed.
+
+    The payload is parsed once (``json_tuple``); the first level is then read
+    from the much smaller bids/asks text.
+    """
+    fields = ["event_ts_ms", "update_id", "bids", "asks"]
+    raw = bronze.filter(F.col("stream_kind") == "depth").select(
+        "*", F.json_tuple("payload", *fields).alias(*["_j_" + f for f in fields]))
+    scalar = lambda c: F.when(~(F.col(c).startswith("{") | F.col(c).startswith("[")), F.col(c))
+    level = lambda side, f: to_price(json_value(F.col("_j_" + side), f"$[0].{f}"))
+    return raw.select(
+        *bronze.columns,
+        kafka_key().alias("depth_key"),
+        F.coalesce(F.timestamp_millis(scalar("_j_event_ts_ms").try_cast("bigint")), F.col("kafka_ts"))
+        .alias("event_ts"),
+        scalar("_j_update_id").alias("update_id"),
+        level("bids", "price").alias("best_bid_price"),
+        level("bids", "qty").alias("best_bid_qty"),
+        level("asks", "price").alias("best_ask_price"),
+        level("asks", "qty").alias("best_ask_qty"))
 
 
 def valid_book() -> F.Column:
