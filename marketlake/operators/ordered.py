@@ -21,19 +21,26 @@ def lag_in_order(df: DataFrame, value: str, order_by: str, group_by: list[str] |
                  buckets: int = DEFAULT_BUCKETS, out: str = "prev_value") -> DataFrame:
     """Add ``out`` = ``value`` of the previous row in ``order_by`` order
     (within ``group_by`` if given).  Equal ``order_by`` values have no
-    defined order, exactly as in the SQL window form."""
+    defined order, exactly as in the SQL window form.
+
+    Plan: one bounded aggregate for the bucket bounds, one window pass over
+    the rows (partitioned by group and bucket), a per-bucket summary built
+    with partial aggregation, and a join of the bucket carry back to the
+    rows.  Without ``group_by`` the carry table has at most ``buckets`` rows
+    and is broadcast.
+    """
     group_by = list(group_by or [])
     qs = [i / buckets for i in range(1, buckets)]
     bounds = df.agg(F.percentile_approx(order_by, qs, 10000).alias("_bounds"))
     # One-row side (buckets-1 values): a broadcast nested loop of size 1.
     b = df.crossJoin(F.broadcast(bounds)).withColumn(
         "_bkt", F.size(F.filter("_bounds", lambda x: x <= F.col(order_by)))).drop("_bounds")
-    w = Window.partitionBy(*group_by, "_bkt").orderBy(order_by)
-    b = b.withColumn(out, F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
     last = b.groupBy(*group_by, "_bkt").agg(F.max_by(value, order_by).alias("_last"))
     carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*group_by).orderBy("_bkt"))) \
         .select(*group_by, "_bkt", "_carry")
-    firsts = b.filter("_rn = 1").join(carry, group_by + ["_bkt"], "left") \
-        .withColumn(out, F.col("_carry")).drop("_carry")
-    rest = b.filter("_rn > 1")
-    return rest.unionByName(firsts).drop("_rn", "_bkt")
+    w = Window.partitionBy(*group_by, "_bkt").orderBy(order_by)
+    bw = b.withColumn("_prev", F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
+    side = F.broadcast(carry) if not group_by else carry
+    j = bw.join(side, group_by + ["_bkt"], "left")
+    return j.withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev"))) \
+        .drop("_prev", "_rn", "_bkt", "_carry")

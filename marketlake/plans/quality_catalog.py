@@ -603,3 +603,19 @@ def _q60i(s, sf):
      "SELECT o_custkey, o_orderpriority, count(*) AS n_records FROM orders GROUP BY 1, 2 HAVING count(*) > 1")
 def _q62(s, sf):
     return Q.unique_column_combination(_t(s, sf, "orders"), ["o_custkey", "o_orderpriority"])
+
+
+# --- W14: running sums with the default (RANGE) frame, ascending and descending
+
+@reg("w14_running_sums",
+     "SELECT o_orderkey, o_custkey, o_orderdate, "
+     "sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS rolling_sum_increasing, "
+     "sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS rolling_sum_decreasing "
+     "FROM orders", round6=("rolling_sum_increasing", "rolling_sum_decreasing"))
+def _w14(s, sf):
+    from pyspark.sql import Window
+    o = _t(s, sf, "orders")
+    w = Window.partitionBy("o_custkey")
+    return o.select("o_orderkey", "o_custkey", "o_orderdate",
+                    F.sum("o_totalprice").over(w.orderBy("o_orderdate")).alias("rolling_sum_increasing"),
+                    F.sum("o_totalprice").over(w.orderBy(F.col("o_orderdate").desc())).alias("rolling_sum_decreasing"))
