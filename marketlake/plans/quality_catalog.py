@@ -619,3 +619,35 @@ def _w14(s, sf):
     return o.select("o_orderkey", "o_custkey", "o_orderdate",
                     F.sum("o_totalprice").over(w.orderBy("o_orderdate")).alias("rolling_sum_increasing"),
                     F.sum("o_totalprice").over(w.orderBy(F.col("o_orderdate").desc())).alias("rolling_sum_decreasing"))
+
+
+# --- X3-X15 scalar functions used by checks and models -------------------------
+
+@reg("x3_x15_scalar_functions", """
+SELECT l_orderkey, l_linenumber, l_partkey,
+  md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)) AS row_md5,
+  CAST(l_partkey % 7 AS BIGINT) AS part_mod_7,
+  CAST(floor(l_extendedprice / 1000) AS BIGINT) AS price_thousands,
+  least(l_discount, l_tax) AS min_rate,
+  power(l_quantity, 2) AS qty_squared,
+  CAST(length(l_returnflag || l_linestatus) AS INTEGER) AS flags_length,
+  CASE WHEN l_discount <> 0 THEN l_tax / l_discount END AS tax_per_discount,
+  CASE WHEN l_discount - 0.05 > 0 THEN ln(l_discount - 0.05) END AS safe_log,
+  TRY_CAST(CASE WHEN l_linenumber = 7 THEN 'x' ELSE CAST(l_quantity AS VARCHAR) END AS DOUBLE) AS safe_cast_qty
+FROM lineitem""", round6=("safe_log",))
+def _x(s, sf):
+    from marketlake.functions import safe_divide, safe_ln
+    li = _t(s, sf, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.md5(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
+        .alias("row_md5"),
+        (F.col("l_partkey") % 7).alias("part_mod_7"),
+        F.floor(F.col("l_extendedprice") / 1000).cast("bigint").alias("price_thousands"),
+        F.least("l_discount", "l_tax").alias("min_rate"),
+        F.pow("l_quantity", 2).alias("qty_squared"),
+        F.length(F.concat("l_returnflag", "l_linestatus")).alias("flags_length"),
+        safe_divide(F.col("l_tax"), F.nullif(F.col("l_discount"), F.lit(0.0))).alias("tax_per_discount"),
+        safe_ln(F.col("l_discount") - 0.05).alias("safe_log"),
+        F.when(F.col("l_linenumber") == 7, F.lit("x")).otherwise(F.col("l_quantity").cast("string"))
+        .try_cast("double").alias("safe_cast_qty"))
