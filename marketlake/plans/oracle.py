@@ -34,7 +34,7 @@ bronze_x AS (
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingest_ts,
     topic AS kafka_topic,
     CAST(user_id % 6 AS INTEGER) AS kafka_partition,
-    event_id + CASE WHEN copy = 2 THEN 1000000 ELSE 0 END AS kafka_offset,
+    event_id * 2 + CASE WHEN copy = 2 THEN 1 ELSE 0 END AS kafka_offset,
     ts AS kafka_ts,
     strftime(coalesce(CASE WHEN topic <> 'dlq.trades' AND event_id % 53 <> 0 THEN make_timestamp(ms * 1000) END, ts),
              '%Y-%m-%d') AS dt,
@@ -60,8 +60,8 @@ bronze_x AS (
     epoch_us(l_shipdate) // 1000 AS event_ts_ms,
     strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingest_ts,
     'raw.trades.v1' AS kafka_topic,
-    CAST(l_linenumber % 6 AS INTEGER) AS kafka_partition,
-    (l_orderkey * 8 + l_linenumber) * 4294967296 + l_partkey * 4096 + l_suppkey % 4096 AS kafka_offset,
+    CAST(l_linenumber * 134217728 + l_partkey % 134217728 AS INTEGER) AS kafka_partition,
+    l_orderkey * 8388608 + l_suppkey % 8388608 AS kafka_offset,
     l_shipdate AS kafka_ts,
     strftime(l_shipdate, '%Y-%m-%d') AS dt,
     CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)

@@ -24,13 +24,14 @@ from marketlake.schemas import TOPIC_DEPTH, TOPIC_DLQ, TOPIC_TRADES
 # Fixed parameters of the events mapping (the oracle SQL uses the same).
 N_EXCHANGES = 3
 N_SYMBOLS = 4
-REPLAY_OFFSET = 1_000_000
 DUP_EVERY = 10          # event_id % 10 == 0 -> delivered twice + replayed
 BAD_PRICE_EVERY = 97    # event_id % 97 == 0 -> price "abc"
 NO_EVENT_TS_EVERY = 53  # event_id % 53 == 0 -> no event_ts_ms in payload
 ONE_SIDED_EVERY = 17    # k % 17 == 0 -> empty asks
 CROSSED_EVERY = 19      # k % 19 == 0 -> ask == bid
 FLAG_WORDS = ["true", "1", "f", "maybe"]   # indexed by event_id % 4
+LI_PART_SPAN = 1 << 27
+LI_SUPP_SPAN = 1 << 23
 
 TRADE_TYPES = ["click", "purchase", "signup"]
 DEPTH_TYPES = ["view"]
@@ -120,10 +121,10 @@ def events_as_kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
                (F.col("user_id") % 6).cast("int").alias("partition"),
                F.col("event_id").alias("offset"), ts.alias("timestamp"),
                F.explode(copies).alias("_copy")))
+    # offset 2*event_id; the replay (copy 2) lands right after it at 2*event_id + 1
     return rec.select(
         "key", "value", "topic", "partition",
-        (F.col("offset") + F.when(F.col("_copy") == 2, F.lit(REPLAY_OFFSET)).otherwise(F.lit(0)))
-        .alias("offset"),
+        (F.col("offset") * 2 + F.when(F.col("_copy") == 2, F.lit(1)).otherwise(F.lit(0))).alias("offset"),
         "timestamp")
 
 
@@ -133,8 +134,11 @@ def lineitem_as_kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
     exchange ``x<suppkey % 4>``, symbol ``P<partkey % 16>``, price =
     l_extendedprice, quantity = l_quantity, event time = l_shipdate.
     ``(orderkey, linenumber)`` alone repeats in the driver's lineitem, so the
-    trade id is ``orderkey-linenumber-partkey-suppkey`` and the offset packs
-    the same four keys (partition = linenumber % 6).
+    trade id is ``orderkey-linenumber-partkey-suppkey`` and the Kafka identity
+    spreads the same four keys over both columns: partition =
+    linenumber * 2^27 + partkey mod 2^27, offset = orderkey * 2^23 + suppkey
+    mod 2^23.  No overflow below orderkey 2^40; injective while partkey <
+    2^27 and suppkey < 2^23.
     """
     li = read_table(spark, sf_dir, "lineitem")
     ts = F.col("l_shipdate").cast("timestamp")
@@ -151,7 +155,7 @@ def lineitem_as_kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
         _iso(ts).alias("ingest_ts")))
     return li.select(
         F.concat_ws(":", venue, symbol).alias("key"), payload.alias("value"),
-        F.lit(TOPIC_TRADES).alias("topic"), (F.col("l_linenumber") % 6).cast("int").alias("partition"),
-        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 4294967296 + F.col("l_partkey") * 4096
-         + F.col("l_suppkey") % 4096).alias("offset"),
+        F.lit(TOPIC_TRADES).alias("topic"),
+        (F.col("l_linenumber") * LI_PART_SPAN + F.col("l_partkey") % LI_PART_SPAN).cast("int").alias("partition"),
+        (F.col("l_orderkey") * LI_SUPP_SPAN + F.col("l_suppkey") % LI_SUPP_SPAN).alias("offset"),
         ts.alias("timestamp"))
