@@ -15,13 +15,21 @@ from marketlake.operators.staging import stg_depth, stg_trades
 from marketlake.plans.gold import gold_from_bars
 from marketlake.plans.pipeline import events_bronze, lineitem_bronze
 from marketlake.plans.present import present
+from marketlake.session import ensure_conf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(name: str):
+    """Register ``fn(spark, sf_dir)``; the session's correctness settings
+    (UTC time zone, string partition values) are applied before each run."""
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark, sf_dir):
+            ensure_conf(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = getattr(fn, "__name__", name)
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
