@@ -54,20 +54,24 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_ROOT: list[str] = []
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster this names a
     shared filesystem).  Only when it is unset -- local tests -- a private
-    folder is created and registered.
+    folder is created once per process and registered as the context's
+    checkpoint directory (the core setting itself is never modified).
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getCheckpointDir()
+    root = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+            or sc.getCheckpointDir())
     if not root:
-        root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _LOCAL_ROOT:
+            _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="marketlake-ckpt-"))
+        root = _LOCAL_ROOT[0]
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
