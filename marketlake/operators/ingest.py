@@ -9,7 +9,6 @@ without splitting the job.
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -54,24 +53,41 @@ def _truthy(text: Column) -> Column:
     return ~(text.isNull() | t.isin("false", "0", "0.0", "", "null"))
 
 
-def normalise_binance(msgs: DataFrame, symbol: str = "BTCUSDT") -> DataFrame:
-    """Binance trade stream message -> trade event + reason."""
+SRC_BINANCE, SRC_KRAKEN, SRC_COINGECKO, SRC_CRYPTOCOMPARE = (
+    "binance.trades", "kraken.depth", "coingecko.rest", "cryptocompare.rest")
+
+
+def _g(guard: Column | None) -> Column:
+    return F.lit(True) if guard is None else guard
+
+
+def _binance_prep(d: DataFrame, guard: Column | None = None) -> DataFrame:
+    guard = _g(guard)
+    return d.withColumn("_b", F.when(guard, F.from_json(F.col("raw"), "t string, E string, p string, q string, "
+                                                                     "m string")))
+
+
+def _binance_fields(symbol: str) -> dict:
     raw = F.col("raw")
-    j = F.from_json(raw, "t string, E string, p string, q string, m string").alias("_j")
-    d = msgs.select("*", j)
     fail = [(~_is_object(raw), F.lit(f"{REASON_SCHEMA}:not a JSON object"))]
     fail += [(~_has(raw, k), F.lit(f"{REASON_SCHEMA}:missing field {k}")) for k in ("t", "E", "p", "q", "m")]
-    fail += [(~F.coalesce(F.col("_j.E").rlike(INT_RE), F.lit(False)), f"{REASON_SCHEMA}:event time is not an integer"),
-             (_decimal(F.col("_j.p")).isNull(), f"{REASON_SCHEMA}:invalid decimal price"),
-             (_decimal(F.col("_j.q")).isNull(), f"{REASON_SCHEMA}:invalid decimal quantity")]
-    return d.select(
-        "*",
-        F.lit("binance").alias("venue"), F.lit(symbol).alias("symbol"),
-        F.coalesce(F.col("_j.t"), F.lit("None")).alias("trade_id"),
-        F.col("_j.E").try_cast("bigint").alias("event_ts_ms"),
-        _decimal(F.col("_j.p")).alias("price"), _decimal(F.col("_j.q")).alias("quantity"),
-        _truthy(F.col("_j.m")).alias("is_buyer_maker"),
-        first_reason(*fail).alias("reason")).drop("_j")
+    fail += [(~F.coalesce(F.col("_b.E").rlike(INT_RE), F.lit(False)), f"{REASON_SCHEMA}:event time is not an integer"),
+             (_decimal(F.col("_b.p")).isNull(), f"{REASON_SCHEMA}:invalid decimal price"),
+             (_decimal(F.col("_b.q")).isNull(), f"{REASON_SCHEMA}:invalid decimal quantity")]
+    return {"venue": F.lit("binance"), "symbol": F.lit(symbol),
+            "trade_id": F.coalesce(F.col("_b.t"), F.lit("None")),
+            "event_ts_ms": F.col("_b.E").try_cast("bigint"),
+            "price": _decimal(F.col("_b.p")), "quantity": _decimal(F.col("_b.q")),
+            "is_buyer_maker": _truthy(F.col("_b.m")), "reason": first_reason(*fail)}
+
+
+def _apply(d: DataFrame, fields: dict, drop: list[str]) -> DataFrame:
+    return d.select("*", *[c.alias(n) for n, c in fields.items()]).drop(*drop)
+
+
+def normalise_binance(msgs: DataFrame, symbol: str = "BTCUSDT") -> DataFrame:
+    """Binance trade stream message -> trade event + reason."""
+    return _apply(_binance_prep(msgs), _binance_fields(symbol), ["_b"])
 
 
 def _levels(text: Column) -> Column:
@@ -88,35 +104,39 @@ def _last_value(objs: Column, key: str) -> Column:
     return F.try_element_at(vals, F.lit(-1))
 
 
-def normalise_kraken(msgs: DataFrame, pair: str = "XBT/USDT") -> DataFrame:
-    """Kraken book message -> order-book event + reason.
-
-    Objects (control messages) and arrays shorter than 2 are skipped (no
-    event, no dead letter).  Object elements are merged (later wins); bids =
-    ``b`` if non-empty else ``bs``; asks = ``a`` else ``as``.  Update id and
-    event time are the receive time in ms.
-    """
+def _kraken_prep(d: DataFrame, guard: Column | None = None) -> DataFrame:
+    guard = _g(guard)
     raw = F.col("raw")
-    elems = F.from_json(raw, "array<string>")
-    d = msgs.withColumn("_elems", elems).filter(
-        F.col("_elems").isNull() | (F.size("_elems") >= 2))
-    d = d.filter(~(F.col("_elems").isNull() & _is_object(raw)))
-    objs = F.filter(F.col("_elems"), lambda e: e.startswith("{"))
-    d = d.withColumn("_objs", objs)
+    d = d.withColumn("_elems", F.when(guard, F.from_json(raw, "array<string>")))
+    skip = (F.col("_elems").isNotNull() & (F.size("_elems") < 2)) | (F.col("_elems").isNull() & _is_object(raw))
+    d = d.filter(~(guard & skip))
+    d = d.withColumn("_objs", F.when(guard, F.filter(F.col("_elems"), lambda e: e.startswith("{"))))
     b, bs = _levels(_last_value(F.col("_objs"), "b")), _levels(_last_value(F.col("_objs"), "bs"))
     a, as_ = _levels(_last_value(F.col("_objs"), "a")), _levels(_last_value(F.col("_objs"), "as"))
     empty = F.array().cast("array<struct<price:decimal(20,9),qty:decimal(20,9)>>")
     bids = F.when(F.size(F.coalesce(b, empty)) > 0, b).otherwise(F.coalesce(bs, empty))
     asks = F.when(F.size(F.coalesce(a, empty)) > 0, a).otherwise(F.coalesce(as_, empty))
-    d = d.withColumn("bids", bids).withColumn("asks", asks)
+    return d.withColumn("_bids", F.when(guard, bids)).withColumn("_asks", F.when(guard, asks))
+
+
+def _kraken_fields(pair: str) -> dict:
     bad_level = lambda c: F.exists(F.col(c), lambda lv: lv["price"].isNull() | lv["qty"].isNull())
     ms = F.unix_millis(F.col("recv_ts"))
-    return d.select(
-        "*", F.lit("kraken").alias("venue"), F.lit(pair).alias("symbol"), ms.cast("string").alias("update_id"),
-        ms.alias("event_ts_ms"),
-        first_reason((F.col("_elems").isNull(), f"{REASON_SCHEMA}:not a JSON array"),
-                     (bad_level("bids") | bad_level("asks"), f"{REASON_SCHEMA}:invalid book level")).alias("reason"),
-    ).drop("_elems", "_objs")
+    return {"venue": F.lit("kraken"), "symbol": F.lit(pair), "update_id": ms.cast("string"), "event_ts_ms": ms,
+            "bids": F.col("_bids"), "asks": F.col("_asks"),
+            "reason": first_reason((F.col("_elems").isNull(), f"{REASON_SCHEMA}:not a JSON array"),
+                                   (bad_level("_bids") | bad_level("_asks"), f"{REASON_SCHEMA}:invalid book level"))}
+
+
+def normalise_kraken(msgs: DataFrame, pair: str = "XBT/USDT") -> DataFrame:
+    """Kraken book message -> order-book event + reason.
+
+    Objects (control messages) and arrays shorter than 2 are skipped (no
+    event, no dead letter).  Object elements are merged (later wins); bids =
+    ``b`` if non-empty else ``bs``; asks = ``a`` else ``as``.  Update id and
+    event time are the receive time in ms.
+    """
+    return _apply(_kraken_prep(msgs), _kraken_fields(pair), ["_elems", "_objs", "_bids", "_asks"])
 
 
 def coin_symbol(coin_id) -> Column:
@@ -133,38 +153,45 @@ def _quote_id(prefix: str) -> Column:
                     F.substring(F.sha2(F.concat_ws("|", F.col("raw"), ms), 256), 1, 8))
 
 
-def normalise_coingecko(msgs: DataFrame, coin_id: str | Column = "coin_id") -> DataFrame:
-    """``{"<coin>": {"usd": n}}`` -> quote; no usd -> poll_failed reject."""
+def _coingecko_prep(d: DataFrame, coin_id, guard: Column | None = None) -> DataFrame:
+    guard = _g(guard)
     if isinstance(coin_id, str):
-        coin = F.col(coin_id) if coin_id in msgs.columns else F.lit(coin_id)
+        coin = F.col(coin_id) if coin_id in d.columns else F.lit(coin_id)
     else:
         coin = coin_id
     # raw.get(coin) or raw.get(coin.lower())
     inner = F.coalesce(F.expr("get_json_object(raw, concat('$[\\'', _coin, '\\']'))"),
                        F.expr("get_json_object(raw, concat('$[\\'', lower(_coin), '\\']'))"))
-    d = msgs.withColumn("_coin", coin).withColumn("_inner", inner)
+    return d.withColumn("_coin", F.when(guard, coin)).withColumn("_inner", F.when(guard, inner))
+
+
+def _coingecko_fields() -> dict:
     usd = F.when(F.col("_inner").startswith("{"), F.get_json_object("_inner", "$.usd"))
     keys = F.array_join(F.coalesce(_keys(F.col("raw")), F.array().cast("array<string>")), ", ")
-    ms = F.unix_millis(F.col("recv_ts"))
-    return d.select(
-        "*", F.lit("coingecko").alias("venue"), coin_symbol(F.col("_coin")).alias("symbol"),
-        _quote_id("cg").alias("quote_id"), ms.alias("event_ts_ms"), _decimal(usd).alias("price_usd"),
-        first_reason((usd.isNull(), F.concat(F.lit(f"{REASON_POLL}:unexpected coingecko payload keys=["), keys,
-                                             F.lit("]"))),
-                     (_decimal(usd).isNull(), f"{REASON_POLL}:invalid decimal price")).alias("reason"),
-    ).drop("_coin", "_inner")
+    return {"venue": F.lit("coingecko"), "symbol": coin_symbol(F.col("_coin")), "quote_id": _quote_id("cg"),
+            "event_ts_ms": F.unix_millis(F.col("recv_ts")), "price_usd": _decimal(usd),
+            "reason": first_reason((usd.isNull(), F.concat(F.lit(f"{REASON_POLL}:unexpected coingecko payload keys=["),
+                                                           keys, F.lit("]"))),
+                                   (_decimal(usd).isNull(), f"{REASON_POLL}:invalid decimal price"))}
+
+
+def normalise_coingecko(msgs: DataFrame, coin_id: str | Column = "coin_id") -> DataFrame:
+    """``{"<coin>": {"usd": n}}`` -> quote; no usd -> poll_failed reject."""
+    return _apply(_coingecko_prep(msgs, coin_id), _coingecko_fields(), ["_coin", "_inner"])
+
+
+def _cryptocompare_fields(fsym: str) -> dict:
+    usd = F.get_json_object("raw", "$.USD")
+    return {"venue": F.lit("cryptocompare"), "symbol": F.lit(fsym.upper()), "quote_id": _quote_id("cc"),
+            "event_ts_ms": F.unix_millis(F.col("recv_ts")), "price_usd": _decimal(usd),
+            "reason": first_reason((usd.isNull(), F.concat(F.lit(f"{REASON_POLL}:unexpected cryptocompare payload: "),
+                                                           F.col("raw"))),
+                                   (_decimal(usd).isNull(), f"{REASON_POLL}:invalid decimal price"))}
 
 
 def normalise_cryptocompare(msgs: DataFrame, fsym: str = "BTC") -> DataFrame:
     """``{"USD": n}`` -> quote for ``fsym``; no USD -> poll_failed reject."""
-    usd = F.get_json_object("raw", "$.USD")
-    ms = F.unix_millis(F.col("recv_ts"))
-    return msgs.select(
-        "*", F.lit("cryptocompare").alias("venue"), F.lit(fsym.upper()).alias("symbol"),
-        _quote_id("cc").alias("quote_id"), ms.alias("event_ts_ms"), _decimal(usd).alias("price_usd"),
-        first_reason((usd.isNull(), F.concat(F.lit(f"{REASON_POLL}:unexpected cryptocompare payload: "),
-                                             F.col("raw"))),
-                     (_decimal(usd).isNull(), f"{REASON_POLL}:invalid decimal price")).alias("reason"))
+    return _apply(msgs, _cryptocompare_fields(fsym), [])
 
 
 def _iso(ts: Column) -> Column:
@@ -221,18 +248,45 @@ def split(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def normalise_all(msgs: DataFrame, binance_symbol: str = "BTCUSDT", kraken_pair: str = "XBT/USDT",
                   coin_id="coin_id", fsym: str = "BTC") -> DataFrame:
-    """Every source of a message table -> routed Kafka rows (one scan per
-    source filter; Catalyst shares the scan and pushes the source filter)."""
-    parts = [
-        route(normalise_binance(msgs.filter(F.col("source") == "binance.trades"), binance_symbol), "trade",
-              TOPIC_TRADES),
-        route(normalise_kraken(msgs.filter(F.col("source") == "kraken.depth"), kraken_pair), "depth", TOPIC_DEPTH),
-        route(normalise_coingecko(msgs.filter(F.col("source") == "coingecko.rest"), coin_id), "quote",
-              TOPIC_COINGECKO),
-        route(normalise_cryptocompare(msgs.filter(F.col("source") == "cryptocompare.rest"), fsym), "quote",
-              TOPIC_CRYPTOCOMPARE),
-    ]
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    """Every source of a message table -> routed Kafka rows in ONE pass.
+
+    Each field is a CASE on ``source`` and each parse is guarded by its
+    source, so a row only runs its own normaliser; the capture is scanned
+    once.  Rows of unknown sources are ignored.
+    """
+    src = F.col("source")
+    guards = {SRC_BINANCE: src == SRC_BINANCE, SRC_KRAKEN: src == SRC_KRAKEN,
+              SRC_COINGECKO: src == SRC_COINGECKO, SRC_CRYPTOCOMPARE: src == SRC_CRYPTOCOMPARE}
+    d = msgs.filter(src.isin(*guards))
+    d = _binance_prep(d, guards[SRC_BINANCE])
+    d = _kraken_prep(d, guards[SRC_KRAKEN])
+    d = _coingecko_prep(d, coin_id, guards[SRC_COINGECKO])
+    per_source = [(guards[SRC_BINANCE], _binance_fields(binance_symbol)),
+                  (guards[SRC_KRAKEN], _kraken_fields(kraken_pair)),
+                  (guards[SRC_COINGECKO], _coingecko_fields()),
+                  (guards[SRC_CRYPTOCOMPARE], _cryptocompare_fields(fsym))]
+    names: list[str] = []
+    for _, f in per_source:
+        names += [n for n in f if n not in names]
+    cols = []
+    for n in names:
+        c = None
+        for g, f in per_source:
+            if n in f:
+                c = F.when(g, f[n]) if c is None else c.when(g, f[n])
+        cols.append(c.alias(n))
+    d = d.select(*msgs.columns, *cols)
+    ok = F.col("reason").isNull()
+    g = guards
+    topic = (F.when(g[SRC_BINANCE], F.lit(TOPIC_TRADES)).when(g[SRC_KRAKEN], F.lit(TOPIC_DEPTH))
+             .when(g[SRC_COINGECKO], F.lit(TOPIC_COINGECKO)).otherwise(F.lit(TOPIC_CRYPTOCOMPARE)))
+    event = (F.when(g[SRC_BINANCE], event_json("trade")).when(g[SRC_KRAKEN], event_json("depth"))
+             .otherwise(event_json("quote")))
+    return d.select(
+        F.when(ok, topic).otherwise(F.lit(TOPIC_DLQ)).alias("topic"),
+        F.when(ok, F.concat_ws(":", "venue", "symbol")).otherwise(F.col("source")).alias("key"),
+        F.when(ok, event).otherwise(dlq_envelope("source")).alias("value"),
+        "source", "reason", "recv_ts", "recv_seq")
 
 
 # --- contract checks on published events (C1-C3) -----------------------------
