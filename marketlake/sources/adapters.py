@@ -110,7 +110,9 @@ def events_as_kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Payloads are built as their own columns first; the topic switch then
     # picks one by name.
     rec = (ev.filter(topic.isNotNull())
-           .select("*", trade.alias("_trade"), book.alias("_book"), dead.alias("_dead"))
+           .select("*", F.when(et.isin(*TRADE_TYPES), trade).alias("_trade"),
+                   F.when(et.isin(*DEPTH_TYPES), book).alias("_book"),
+                   F.when(et.isin(*DLQ_TYPES), dead).alias("_dead"))
            .select(
                F.when(et.isin(*DLQ_TYPES), F.lit("binance.trades"))
                .otherwise(F.concat_ws(":", venue, symbol)).alias("key"),
