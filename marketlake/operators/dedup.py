@@ -18,18 +18,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column], how: str = "window") -> DataFrame:
-    """Rows ranked 1 per ``keys`` under ``order`` (Columns with asc/desc)."""
-    if how == "window":
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    if how == "aggregate":
-        raise ValueError("use first_per_key_agg for the aggregate form")
-    raise ValueError(f"unknown dedup form {how!r}")
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Window form: rows ranked 1 per ``keys`` under ``order`` (Columns
+    with asc/desc)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
-    """Aggregate form: the row with the greatest ``struct(by)`` per key.
+    """Aggregate form (``dedup="aggregate"`` in staging): the row with the greatest ``struct(by)`` per key.
 
     Equivalent to ``row_number() over (partition by keys order by by desc)``
     when ``by`` columns sort NULLs last under DESC (struct ordering puts NULL
