@@ -71,3 +71,22 @@ def count_parquet(spark: SparkSession, path: str) -> int:
 def count_table(spark: SparkSession, name: str) -> int:
     """Row count of a catalog table."""
     return spark.table(name).count()
+
+
+def compact_bronze(spark: SparkSession, base: str, dt_from: str, dt_to: str, staging: str,
+                   layout: str = "hive") -> int:
+    """K2 (compaction): rewrite the files of closed days ``[dt_from, dt_to]``.
+
+    A streaming sink writes one file per directory per task and micro-batch.
+    The days are first copied to ``staging`` (a table in the shared
+    checkpoint folder, which also cuts lineage), then written back over only
+    those day partitions with dynamic partition overwrite, one writer per
+    directory.  Returns the number of rows rewritten.
+    """
+    keys = BRONZE_PARTITION_COLUMNS if layout == "hive" else ["dt"]
+    write_bronze_batch(read_bronze(spark, base, dt_from, dt_to), staging, mode="overwrite", layout=layout)
+    staged = read_bronze(spark, staging)
+    (staged.hint("rebalance", *keys)
+     .sortWithinPartitions("dt", "symbol", "exchange", "kafka_topic", "kafka_partition", "kafka_offset")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(base))
+    return staged.count()

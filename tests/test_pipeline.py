@@ -33,3 +33,24 @@ def test_user_registered_check_in_suite(spark):
     register_check("non_negative", non_negative)
     res = run_suite([CheckSpec("nn", "t", "non_negative", {"column": "v"})], {"t": df}).first()
     assert res.failures == 3 and res.status == "error"
+
+
+def test_compact_bronze_rewrites_only_closed_days(spark):
+    import glob
+
+    from marketlake.sources.adapters import events_as_kafka
+    from marketlake.sources.bronze import compact_bronze, write_bronze_batch
+    from marketlake.operators.bronze import to_bronze
+
+    base = scratch_path(spark, "t-compact")
+    b = to_bronze(events_as_kafka(spark, SF001))
+    # two appends of different halves -> two files per touched directory
+    write_bronze_batch(b.filter("kafka_offset % 2 = 0"), f"{base}/bronze")
+    write_bronze_batch(b.filter("kafka_offset % 2 = 1"), f"{base}/bronze")
+    day = f"{base}/bronze/dt=2024-01-05"
+    before = len(glob.glob(f"{day}/*/*/*.parquet"))
+    total = read_bronze(spark, f"{base}/bronze").count()
+    n = compact_bronze(spark, f"{base}/bronze", "2024-01-05", "2024-01-05", f"{base}/staging")
+    after = len(glob.glob(f"{day}/*/*/*.parquet"))
+    assert n > 0 and after < before
+    assert read_bronze(spark, f"{base}/bronze").count() == total
