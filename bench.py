@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from marketlake.calendar import date_dimension, fiscal_periods  # noqa: E402
 from marketlake.operators.candles import candle_bars, candles, depth_bars, dlq_bars  # noqa: E402
 from marketlake.operators.staging import stg_depth, stg_trades  # noqa: E402
-from marketlake.plans.gold import gold_from_bars, write_gold  # noqa: E402
+from marketlake.plans.gold import gold_from_bars, read_gold, write_gold  # noqa: E402
 from marketlake.plans.pipeline import events_bronze, lineitem_bronze  # noqa: E402
 from marketlake.plans.serving import rows_per_series, volatility_heatmap  # noqa: E402
 from marketlake.quality import CheckSpec, run_suite  # noqa: E402
@@ -102,7 +102,7 @@ def main():
                               dlq_bars(bb, "day")), gold_path, layout=LAYOUT if LAYOUT == "flat" else "daily")
 
     def p8_serving():
-        g = spark.read.parquet(gold_path)
+        g = read_gold(spark, gold_path)
         noop(rows_per_series(g, "2002-01-01 00:00:00", days=400))
         noop(volatility_heatmap(g, "2002-01-01 00:00:00", days=400))
 

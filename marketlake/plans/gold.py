@@ -59,6 +59,14 @@ def market_metrics(trades: DataFrame, depth: DataFrame, bronze: DataFrame,
                           dlq_bars(bronze, bucket))
 
 
+def read_gold(spark, path: str) -> DataFrame:
+    """Gold table as written by :func:`write_gold`; partition values are kept
+    as strings session-wide, so ``metric_date`` is cast back to DATE (a
+    filter on it still prunes day directories)."""
+    return spark.read.parquet(path).withColumn("metric_date", F.col("metric_date").cast("date")) \
+        .select(*GOLD_COLUMNS)
+
+
 def write_gold(gold: DataFrame, path: str, mode: str = "overwrite", layout: str = "daily") -> None:
     """Day partitions, rows clustered by (symbol, exchange) inside files.
 

@@ -199,6 +199,18 @@ def with_lineitem(*blocks: str) -> str:
     return "WITH " + ",".join((LINEITEM_BRONZE, STAGING) + blocks)
 
 
+def as_double(sql: str, cols) -> str:
+    """Present exact decimals as DOUBLE, as the Spark side does."""
+    rep = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS _d"
+
+
+TRADE_DEC = ("price", "quantity")
+DEPTH_DEC = ("best_bid_price", "best_bid_qty", "best_ask_price", "best_ask_qty", "spread_abs", "mid_price")
+CANDLE_DEC = ("open_price", "high_price", "low_price", "close_price", "base_volume")
+GOLD_DEC = ("open", "high", "low", "close", "volume", "median_mid_price")
+
+
 def r6(c: str, alias: str | None = None) -> str:
     return f"round(CAST({c} AS DOUBLE), 6) AS {alias or c}"
 
@@ -259,5 +271,11 @@ FROM (VALUES
 ) v(check_name, model, failures, severity)
 """
 
+for _k, _cols in (("t9_stg_trades", TRADE_DEC), ("t14_stg_depth", DEPTH_DEC), ("a1_candles_day", CANDLE_DEC),
+                  ("a1_candles_hour", CANDLE_DEC), ("a1_candles_lineitem_day", CANDLE_DEC),
+                  ("a4_depth_hour", ("median_mid_price",)), ("g4_gold_hour", GOLD_DEC),
+                  ("g4_gold_lineitem_day", GOLD_DEC)):
+    MARKET_SQL[_k] = as_double(MARKET_SQL[_k], _cols)
+
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(MARKET_SQL)

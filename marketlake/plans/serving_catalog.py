@@ -6,7 +6,7 @@ from marketlake.operators.candles import candle_bars, depth_bars, dlq_bars
 from marketlake.operators.staging import stg_depth, stg_trades
 from marketlake.plans import serving as V
 from marketlake.plans.gold import gold_from_bars
-from marketlake.plans.oracle import ORACLE_SQL, _bars, _gold, with_events
+from marketlake.plans.oracle import ORACLE_SQL, _bars, _gold, as_double, with_events
 from marketlake.plans.pipeline import events_bronze
 from marketlake.plans.quality_catalog import reg
 
@@ -89,16 +89,16 @@ def _v8(s, sf):
     return V.rows_recent(events_gold(s, sf), NOW)
 
 
-@reg("v9_latest_rows", _gsql(
+@reg("v9_latest_rows", as_double(_gsql(
     "SELECT metric_ts, exchange, symbol, close, volume, spread_bps, volatility, dead_letter_count FROM gold "
-    "ORDER BY metric_ts DESC, exchange, symbol LIMIT 100"), round6=("spread_bps", "volatility"))
+    "ORDER BY metric_ts DESC, exchange, symbol LIMIT 100"), ("close", "volume")), round6=("spread_bps", "volatility"))
 def _v9(s, sf):
     return V.latest_rows(events_gold(s, sf), 100)
 
 
-@reg("v9_health_rows", _gsql(
+@reg("v9_health_rows", as_double(_gsql(
     "SELECT metric_ts, exchange, symbol, dead_letter_count, anomaly_flag, volume, spread_bps, volatility FROM gold "
-    "ORDER BY metric_ts DESC, exchange, symbol LIMIT 200"), round6=("spread_bps", "volatility"))
+    "ORDER BY metric_ts DESC, exchange, symbol LIMIT 200"), ("volume",)), round6=("spread_bps", "volatility"))
 def _v9h(s, sf):
     return V.health_rows(events_gold(s, sf), 200)
 

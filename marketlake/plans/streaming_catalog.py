@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlake.operators.staging import stg_depth, stg_trades
-from marketlake.plans.gold import market_metrics, write_gold
-from marketlake.plans.oracle import ORACLE_SQL, _bars, _gold, with_events
+from marketlake.plans.gold import market_metrics, read_gold, write_gold
+from marketlake.plans.oracle import CANDLE_DEC, GOLD_DEC, ORACLE_SQL, TRADE_DEC, _bars, _gold, as_double, with_events
 from marketlake.plans.pipeline import events_bronze
 from marketlake.plans.present import present
 from marketlake.plans.quality_catalog import reg
@@ -47,7 +47,7 @@ SELECT exchange, symbol, metric_ts, metric_date, open_price, high_price, low_pri
 FROM bars WHERE metric_ts + INTERVAL 1 DAY <= (SELECT max(event_ts) FROM t_parsed) - INTERVAL 1 HOUR"""
 
 
-@reg("z4_stream_candles_day", with_events(_bars("day")) + _CLOSED)
+@reg("z4_stream_candles_day", as_double(with_events(_bars("day")) + _CLOSED, CANDLE_DEC))
 def _z4(s, sf):
     base, _ = _ingested_bronze(s, sf)
     out = Z.stream_candles_available_now(s, f"{base}/bronze", f"{base}/z4", bucket="day", watermark=WATERMARK)
@@ -64,8 +64,8 @@ def _z5(s, sf):
     return s.read.parquet(f"{base}/z5")
 
 
-@reg("z3_stream_trades_dedup", with_events() + """
-SELECT exchange, symbol, trade_id, event_ts, price, quantity, is_buyer_maker FROM stg_trades""")
+@reg("z3_stream_trades_dedup", as_double(with_events() + """
+SELECT exchange, symbol, trade_id, event_ts, price, quantity, is_buyer_maker FROM stg_trades""", TRADE_DEC))
 def _z3(s, sf):
     base, _ = _ingested_bronze(s, sf)
     t = Z.stream_trades(Z.read_bronze_stream(s, f"{base}/bronze"), WATERMARK) \
@@ -91,7 +91,8 @@ GOLD_DAY_SELECT = ("exchange, symbol, metric_ts, metric_date, open, high, low, c
                    "avg_mid_price, median_mid_price")
 
 
-@reg("z6_incremental_gold_day", with_events(_bars("day"), _gold()) + f"\nSELECT {GOLD_DAY_SELECT} FROM gold")
+@reg("z6_incremental_gold_day", as_double(with_events(_bars("day"), _gold()) + f"\nSELECT {GOLD_DAY_SELECT} FROM gold",
+                                          GOLD_DEC))
 def _z6(s, sf):
     """Initial gold from trades before 2024-01-20, then one late micro-batch
     (the rest) applied by the incremental refresh; must equal a full rebuild."""
@@ -108,5 +109,5 @@ def _z6(s, sf):
     late.write.mode("append").parquet(f"{base}/trades")
     Z.refresh_gold_for_batch(s, f"{base}/trades", f"{base}/depth", f"{base}/bronze", f"{base}/gold",
                              late.select(F.to_date("event_ts").alias("metric_date")), bucket="day", lookback_days=90)
-    g = s.read.parquet(f"{base}/gold")
+    g = read_gold(s, f"{base}/gold")
     return present(g, round6=("spread_bps", "volatility", "volatility_60m", "avg_mid_price"))

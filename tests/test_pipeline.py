@@ -11,7 +11,8 @@ from marketlake.sources.bronze import read_bronze
 def test_build_all_layers(spark):
     layout = Layout(scratch_path(spark, "t-build"))
     out = build_all(spark, events_bronze(spark, SF001), layout, bucket="hour")
-    gold = spark.read.parquet(out["fct_market_metrics"])
+    from marketlake.plans.gold import read_gold
+    gold = read_gold(spark, out["fct_market_metrics"])
     candles = spark.read.parquet(out["int_ohlcv_1m"])
     assert gold.count() == candles.count() > 0
     assert "metric_date" in gold.columns
