@@ -75,10 +75,10 @@ def write_gold(gold: DataFrame, path: str, mode: str = "overwrite", layout: str
     files are sorted by (symbol, exchange, metric_ts) for row-group
     skipping.  With dynamic partition overwrite only touched days are
     replaced.  ``layout="flat"`` skips the day directories (files hold
-    contiguous date ranges) for long, sparse histories.
+    whole days, sorted) for long, sparse histories.
     """
     if layout == "flat":
-        (gold.repartitionByRange("metric_date", "symbol")
+        (gold.hint("rebalance", "metric_date")
          .sortWithinPartitions("metric_date", "symbol", "exchange", "metric_ts")
          .write.mode(mode).parquet(path))
         return

@@ -48,9 +48,11 @@ def write_bronze_batch(bronze: DataFrame, base: str, mode: str = "append",
     sampling pass over the input.
     """
     if layout == "flat":
-        # One directory; files hold contiguous (dt, symbol, exchange) ranges
-        # so dt/symbol filters prune by Parquet statistics instead of paths.
-        w = (bronze.repartitionByRange("dt", "symbol", "exchange")
+        # One directory; each file holds whole days sorted by (dt, symbol,
+        # exchange), so dt/symbol filters prune by Parquet statistics instead
+        # of paths.  REBALANCE (not a range repartition) avoids a sampling
+        # pass that would recompute the whole input.
+        w = (bronze.hint("rebalance", "dt")
              .sortWithinPartitions("dt", "symbol", "exchange", "kafka_topic", "kafka_partition", "kafka_offset")
              .write.mode(mode))
     else:
