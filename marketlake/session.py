@@ -24,6 +24,11 @@ TUNING_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # streaming state (dedup keys, open windows) lives in RocksDB on local
+    # disk instead of the JVM heap, so large state does not exhaust memory
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
