@@ -43,15 +43,28 @@ def stg_trades(bronze: DataFrame, dedup: str = "window") -> DataFrame:
     reference; it cannot move past the dedup.
     """
     t = parse_trades(bronze).filter(valid_trade())
+    t8_order = [F.col("kafka_offset").desc(), F.col("kafka_partition").desc(), F.col("kafka_topic").desc()]
+    t7_order = [F.col("ingest_ts").desc(), F.col("event_ts").desc()]
     if dedup == "aggregate":
         t = latest_per_key(t, ["trade_key"], ["ingest_ts", "event_ts"])
         t = latest_per_key(t, ["exchange", "symbol", "trade_id"],
                            ["kafka_offset", "kafka_partition", "kafka_topic"])
+    elif dedup == "fused":
+        # One shuffle instead of two.  Copies of one Kafka record carry one
+        # payload, so each non-NULL trade_key group lies inside one
+        # (exchange, symbol, trade_id) group and T7 can run after a shuffle on
+        # the trade identity.  The NULL-key group (all rows without partition
+        # or offset) collapses to one row across trades: a distributed top-1.
+        # Exact unless a Kafka identity is reused for a different trade
+        # (e.g. a recreated topic); the default form makes no such assumption.
+        null_top = t.filter(F.col("trade_key").isNull()).orderBy(*t7_order).limit(1)
+        keyed = t.filter(F.col("trade_key").isNotNull()).unionByName(null_top)
+        keyed = keyed.repartition("exchange", "symbol", "trade_id")
+        t = first_per_key(keyed, ["exchange", "symbol", "trade_id", "trade_key"], t7_order)
+        t = first_per_key(t, ["exchange", "symbol", "trade_id"], t8_order)
     else:
-        t = first_per_key(t, ["trade_key"], [F.col("ingest_ts").desc(), F.col("event_ts").desc()])
-        t = first_per_key(t, ["exchange", "symbol", "trade_id"],
-                          [F.col("kafka_offset").desc(), F.col("kafka_partition").desc(),
-                           F.col("kafka_topic").desc()])
+        t = first_per_key(t, ["trade_key"], t7_order)
+        t = first_per_key(t, ["exchange", "symbol", "trade_id"], t8_order)
     return t.select(*STG_TRADES_COLUMNS)
 
 

@@ -61,7 +61,7 @@ def test_stg_trades_filters_and_dedups(spark):
         ("trades", trade("7", "1", "1"), "x", "S", None, "b", "raw.trades.v1", None, None, T0, "d"),
         ("depth", "{}", "x", "S", None, "z", "raw.depth.v1", 0, 15, T0, "d"),
     ]
-    for how in ("window", "aggregate"):
+    for how in ("window", "aggregate", "fused"):
         t = stg_trades(bronze(spark, rows), dedup=how).orderBy("trade_id").collect()
         ids = [r.trade_id for r in t]
         assert ids[:2] == ["1", "5"] and len(ids) == 3 and ids[2] in ("6", "7")
