@@ -271,6 +271,15 @@ FROM (VALUES
 ) v(check_name, model, failures, severity)
 """
 
+def _project_suite_sql() -> str:
+    from marketlake.plans.suite import project_suite_sql
+    candles_o = """,
+candles_o AS (SELECT *, zero_volume_flag OR price_spike_flag AS anomaly_flag FROM candles_f)"""
+    return with_events(_bars("hour"), _gold()) + candles_o + "\n" + project_suite_sql()
+
+
+MARKET_SQL["q67_project_suite"] = _project_suite_sql()
+
 for _k, _cols in (("t9_stg_trades", TRADE_DEC), ("t14_stg_depth", DEPTH_DEC), ("a1_candles_day", CANDLE_DEC),
                   ("a1_candles_hour", CANDLE_DEC), ("a1_candles_lineitem_day", CANDLE_DEC),
                   ("a4_depth_hour", ("median_mid_price",)), ("g4_gold_hour", GOLD_DEC),

@@ -39,3 +39,35 @@ def project_suite() -> list[CheckSpec]:
                         {"json_column": "payload", "required_fields": fields,
                          "row_filter": f"stream_kind = '{kind}'"}) for kind, fields in REQUIRED_JSON]
     return specs
+
+
+# DuckDB tables of the oracle pipeline (plans/oracle.py CTEs) per model.
+ORACLE_TABLES = {"stg_trades": "stg_trades", "stg_depth": "stg_depth", "int_ohlcv_1m": "candles_o",
+                 "int_depth_1m": "depth_b", "int_dlq_1m": "dlq_b", "fct_market_metrics": "gold"}
+
+
+def project_suite_sql() -> str:
+    """Oracle SQL for ``project_suite()`` on the events feed (hourly grain):
+    one count per declared check, in the suite runner's output shape."""
+    parts = []
+    for model, cols in NOT_NULL.items():
+        t = ORACLE_TABLES[model]
+        parts += [f"SELECT 'not_null_{model}_{c}' AS check_name, '{model}' AS model, count(*) AS failures "
+                  f"FROM {t} WHERE {c} IS NULL" for c in cols]
+    for model, cols in UNIQUE.items():
+        t = ORACLE_TABLES[model]
+        parts += [f"SELECT 'unique_{model}_{c}', '{model}', count(*) FROM (SELECT {c} FROM {t} "
+                  f"WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)" for c in cols]
+    parts.append("SELECT 'unique_combination_stg_trades_trade_id_event_ts', 'stg_trades', count(*) FROM "
+                 "(SELECT trade_id, event_ts FROM stg_trades GROUP BY 1, 2 HAVING count(*) > 1)")
+    parts.append("SELECT 'between_int_ohlcv_1m_base_volume', 'int_ohlcv_1m', count(*) FROM candles_o "
+                 "WHERE NOT (base_volume >= 0)")
+    parts += [f"SELECT 'unique_grain_{m}', '{m}', count(*) FROM (SELECT exchange, symbol, metric_ts FROM "
+              f"{ORACLE_TABLES[m]} GROUP BY 1, 2, 3 HAVING count(*) > 1)" for m in GRAIN]
+    # the oracle's bronze has no payload text: a required field is missing only
+    # where the feed plants it (event_ts_ms)
+    parts += [f"SELECT 'required_json_fields_bronze_{kind}', 'bronze', count(*) FROM bronze "
+              f"WHERE stream_kind = '{kind}' AND event_ts_ms IS NULL" for kind, _ in REQUIRED_JSON]
+    body = "\nUNION ALL ".join(parts)
+    return (f"SELECT check_name, model, CAST(failures AS BIGINT) AS failures, 'error' AS severity, "
+            f"CASE WHEN failures <> 0 THEN 'error' ELSE 'pass' END AS status FROM (\n{body}\n)")
