@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import mixing, packing, sharding
+from marketlake.llm import mixing, neardup, packing, quality, sharding, substrings
 from marketlake.llm.common import table
 
 
@@ -20,6 +20,18 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_strings(table(spark, sf_dir, "documents"))
+
+
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -29,6 +41,6 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op8_bounded_best_fit, op10_minimax_shards)
+    f.__name__: f for f in (op1_mix_sources, op2_quality_divergence, op3_suffix_dedup, op5_dart_minhash, op8_bounded_best_fit, op10_minimax_shards)
 }
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.SQL}
