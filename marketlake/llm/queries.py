@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import mixing, neardup, packing, quality, sharding, substrings
+from marketlake.llm import ann, chat, licenses, mixing, neardup, packing, quality, sharding, substrings, token_matrix
 from marketlake.llm.common import table
 
 
@@ -28,19 +28,39 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_strings(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_snapshots(table(spark, sf_dir, "conversations"))
+
+
 def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_matrix.packed_rows(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_quality_divergence, op3_suffix_dedup, op5_dart_minhash, op8_bounded_best_fit, op10_minimax_shards)
-}
-ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.SQL}
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_quality_divergence, op3_suffix_dedup, op4_chat_snapshots, op5_dart_minhash,
+        op6_token_matrix, op7_license_scan, op8_bounded_best_fit, op9_hnsw, op10_minimax_shards,
+    )
+}
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.SQL, "op4_chat_snapshots": chat.SQL}
