@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import parts, stored
-from marketlake.llm.tokens import Ids
+from marketlake.llm.tokens import coder
 
 CAPACITY, OPEN_BINS, PIECES_PER_TASK, END_ID = 4096, 1024, 1_000_000, 1
 
@@ -73,12 +73,11 @@ def token_pieces(
     size, end = 4 * capacity, END_ID.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = None
         for batch in batches:
-            coder = coder or Ids(vocabulary)
+            known = coder(vocabulary)
             rows: list[list] = [[] for _ in range(6)]
             source = []
-            for k, ids in enumerate(coder(batch.column(1).cast(pa.large_binary()).to_pylist())):
+            for k, ids in enumerate(known(batch.column(1).cast(pa.large_binary()).to_pylist())):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), size)):
                     part = ids[at : at + size]

@@ -10,17 +10,27 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-MEMORY = 800_000
+MEMORY = 500_000
 GROUP_BYTES = 1 << 18
 #: Fixed: the pre-token rule of the vocabulary for lower-case text below U+0100, as letters, numbers and the rest.
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼-¾ ]+| ")
 _PLAIN = re.compile(rb"(?:[\x20-\x7e]|\xc2[\xa1-\xbf]|\xc3[\x80-\xbf])+")
 
 
+def coder(path: str) -> Ids:
+    """The worker's coder of a vocabulary; it outlives the task, so later tasks know the words of earlier ones."""
+    held = vars(sys.modules.setdefault("llm_worker_memory", types.ModuleType("llm_worker_memory")))
+    if path not in held:
+        held[path] = Ids(path)
+    return held[path]
+
+
 class Ids:
     """``Ids(path)(texts)``: little-endian uint32 ids of each text (UTF-8 bytes; None counts as empty)."""
 
