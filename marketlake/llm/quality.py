@@ -200,10 +200,11 @@ def distance(counts: Column, sums: Column) -> Column:
 
 def judged(described: DataFrame) -> DataFrame:
     """``described`` with ``__class_distance``, ``__word_distance`` (null where not judged) and ``__kept``."""
-    refs = stored(references(described).filter(F.col("reference_words") >= MIN_REFERENCE_WORDS))
-    joined = described.join(refs, F.col("__q.lang") == F.col("of_lang"), "left")
-    known = F.col("of_lang").isNotNull()
-    common = F.transform("word_sums", lambda n: n >= COMMON_SHARE * F.col("reference_words"))
+    refs = references(described).filter(F.col("reference_words") >= MIN_REFERENCE_WORDS)
+    refs = stored(refs.select(F.struct(refs.columns).alias("__ref")))
+    joined = described.join(refs, F.col("__q.lang") == F.col("__ref.of_lang"), "left")
+    known = F.col("__ref").isNotNull()
+    common = F.transform("__ref.word_sums", lambda n: n >= COMMON_SHARE * F.col("__ref.reference_words"))
 
     def histogram(counts: str, all_words: str) -> Column:
         of_common = F.zip_with(F.col(counts), common, lambda n, c: F.when(c, n).otherwise(0))
@@ -211,8 +212,8 @@ def judged(described: DataFrame) -> DataFrame:
         return F.concat(of_common, F.array(rest))
 
     chars = F.aggregate("__q.classes", F.lit(0).cast("long"), lambda x, y: x + y)
-    by_class = F.when(known & (chars >= MIN_CHARS), distance(F.col("__q.classes"), F.col("class_sums")))
-    words = distance(histogram("__q.words", "__q.n_words"), histogram("word_sums", "reference_words"))
+    by_class = F.when(known & (chars >= MIN_CHARS), distance(F.col("__q.classes"), F.col("__ref.class_sums")))
+    words = distance(histogram("__q.words", "__q.n_words"), histogram("__ref.word_sums", "__ref.reference_words"))
     by_word = F.when(known & (F.col("__q.n_words") >= MIN_WORDS), words)
     return (
         joined.withColumn("__class_distance", by_class)
@@ -223,7 +224,7 @@ def judged(described: DataFrame) -> DataFrame:
             & F.coalesce(F.col("__class_distance") <= CLASS_BOUND + CLASS_SLACK / F.sqrt(chars), F.lit(True))
             & F.coalesce(F.col("__word_distance") <= WORD_BOUND + WORD_SLACK / F.sqrt("__q.n_words"), F.lit(True)),
         )
-        .drop("of_lang", "class_sums", "word_sums", "reference_words")
+        .drop("__ref")
     )
 
 
