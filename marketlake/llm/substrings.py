@@ -39,8 +39,9 @@ from marketlake.llm.shingles import mixed
 LENGTH, GRAM = 50, 24
 SPAN = LENGTH - GRAM + 1  # samples that a string has; so many suffixes at most share one
 WIDTH = 80  # a context's bytes, SPAN + LENGTH - 1, in whole words
-BLOCK_BYTES, BUCKET_BYTES, CHUNK_BYTES = 8 << 20, 32 << 20, 1 << 18
+BLOCK_BYTES, BUCKET_BYTES, CHUNK_BYTES = 8 << 20, 16 << 20, 1 << 18
 COVER, CYCLE, FIRST, TAIL = (0, 1, 3), 7, 32, 18
+LEVEL = 5  # of compression of what is stored and shuffled
 NO_ID = np.iinfo(np.int64).max
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -53,7 +54,7 @@ def _blocks(text_at: int):
 
     def pack(batches: list[pa.RecordBatch]) -> bytes:
         sink = pa.BufferOutputStream()
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
         with pa.ipc.new_stream(sink, batches[0].schema, options=options) as writer:
             for batch in batches:
                 writer.write_batch(batch)
@@ -200,8 +201,8 @@ def _shared(bits: int):
 
 def _padded(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """A row of WIDTH bytes for each context, zero behind its end."""
-    rows = data[first[:, None] + np.arange(WIDTH)]
-    rows[np.arange(WIDTH) >= size[:, None]] = 0
+    rows = np.lib.stride_tricks.sliding_window_view(data, WIDTH)[first]
+    rows[np.arange(WIDTH, dtype=np.uint8) >= size.astype(np.uint8)[:, None]] = 0
     return rows
 
 
@@ -231,7 +232,7 @@ def _group_min(ids: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.nda
 
 
 def _contexts(id_col: str, text_col: str, buckets: int, bits: int):
-    """A block's answer to the bits: its contexts by bucket, and at bucket -1 what it has settled itself."""
+    """A block's answer to the bits: its contexts by bucket, and in a bucket below 0 what it has settled itself."""
 
     def run(key, left, right):
         block = Block(left.column("rows")[0].as_py(), id_col, text_col)
@@ -251,7 +252,7 @@ def _contexts(id_col: str, text_col: str, buckets: int, bits: int):
         order, starts = _equal_groups(h, rows, offset, count)
         here = _group_min(ids, order, starts) < ids
         full = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
-        out = [(-1, key[0].as_py(), _payload(first[here], full[here]))] if here.any() else []
+        out = [(-1 - key[0].as_py(), key[0].as_py(), _payload(first[here], full[here]))] if here.any() else []
         send = np.flatnonzero(~here)
         send = send[np.argsort(h[send], kind="stable")]
         to = _bucket(h[send], buckets)
@@ -281,7 +282,7 @@ def _payload(*columns: np.ndarray) -> bytes:
     types = _ANSWER if len(columns) == 2 else _TYPES
     n = len(columns[0])
     data = b"".join(np.ascontiguousarray(c.astype(t)).tobytes() for c, t in zip(columns, types, strict=True))
-    return n.to_bytes(8, "little") + len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+    return n.to_bytes(8, "little") + len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=LEVEL).compress(data, asbytes=True)
 
 
 def _columns(payload: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
@@ -300,6 +301,8 @@ def _columns(payload: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
 
 def _sort_bucket(key, rows):
     """For each block's contexts the bits of their suffixes that a document with a smaller id has too."""
+    if key[0].as_py() < 0:  # an answer already
+        return rows.select(["block", "payload"])
     got = [_columns(p, _TYPES) for p in rows.column("payload").to_pylist()]
     part = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
     first, h, ids, offset, count, flat = (np.concatenate(c) for c in zip(*got, strict=True))
@@ -443,11 +446,9 @@ def _removal(docs: DataFrame, id_col: str, text_col: str, columns: list[str]) ->
     hashes = blocks.select("block", "rows").mapInArrow(_sampled(*args), "bucket long, block long, hashes binary")
     shared = stored(hashes.groupBy("bucket").applyInArrow(_shared(bits), "block long, bucket long, bits binary"))
     by_block = blocks.select("block", "rows").groupBy("block")
-    contexts = stored(
-        by_block.cogroup(shared.groupBy("block")).applyInArrow(_contexts(*args), "bucket long, block long, payload binary"), codec="uncompressed"
-    )
-    settled = contexts.filter("bucket >= 0").groupBy("bucket").applyInArrow(_sort_bucket, "block long, payload binary")
-    answers = stored(settled.union(contexts.filter("bucket < 0").select("block", "payload")))
+    # blocks are shuffled once for both uses; contexts go from one shuffle to the next and are not stored
+    contexts = by_block.cogroup(shared.groupBy("block")).applyInArrow(_contexts(*args), "bucket long, block long, payload binary")
+    answers = contexts.groupBy("bucket").applyInArrow(_sort_bucket, "block long, payload binary")
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
     schema = ", ".join([*fields, "__bytes long", "__removed long", "__spans long", "__sha256 string"])
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(_cut(id_col, text_col, columns), schema)
