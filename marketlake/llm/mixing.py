@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import stored, word_count
 
-HASH_HEX, LEVEL_BITS, LEVELS = 12, 16, 3
+HASH_HEX, LEVEL_BITS, LEVELS = 12, 12, 4
 
 
 def mix_hash(doc_id: Column, source: Column, text: Column) -> Column:
