@@ -181,50 +181,63 @@ def references(described: DataFrame) -> DataFrame:
     return sums.join(word_sums, F.col("lang") == F.col("of")).drop("of").withColumnRenamed("lang", "of_lang")
 
 
-def distance(counts: Column, sums: Column) -> Column:
-    """Jensen-Shannon distance (base 2) of two histograms with the same bins; 0 if either is empty."""
+def total(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
 
-    def total(a: Column) -> Column:
-        return F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
 
-    def part(p: Column, m: Column) -> Column:
-        return F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
+def shares(a: Column, n: Column) -> Column:
+    return F.transform(a, lambda x: F.try_divide(x.cast("double"), n.cast("double")))
 
-    n, m = total(counts), total(sums)
-    terms = F.zip_with(
-        F.transform(counts, lambda x: x / n), F.transform(sums, lambda x: x / m),
-        lambda p, q: (part(p, (p + q) / 2) + part(q, (p + q) / 2)) / 2,
-    )
-    return F.when((n > 0) & (m > 0), F.sqrt(F.greatest(F.lit(0.0), total(terms)))).otherwise(0.0)
 
+def distance(p: Column, q: Column) -> Column:
+    """Jensen-Shannon distance (base 2) of two histograms with the same bins, as shares; 0 if either is empty."""
 
-def judged(described: DataFrame) -> DataFrame:
-    """``described`` with ``__class_distance``, ``__word_distance`` (null where not judged) and ``__kept``."""
+    def part(x: Column, m: Column) -> Column:
+        return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
+
+    terms = F.zip_with(p, q, lambda x, y: part(x, (x + y) / 2) + part(y, (x + y) / 2))
+    return F.sqrt(F.greatest(F.lit(0.0), F.coalesce(total(terms), F.lit(0.0)) / 2))
+
+
+def prepared(described: DataFrame) -> DataFrame:
+    """One row ``__ref`` per language with enough words: places of the common words, and both histograms as shares."""
     refs = references(described).filter(F.col("reference_words") >= MIN_REFERENCE_WORDS)
-    refs = stored(refs.select(F.struct(refs.columns).alias("__ref")))
-    joined = described.join(refs, F.col("__q.lang") == F.col("__ref.of_lang"), "left")
-    known = F.col("__ref").isNotNull()
-    common = F.transform("__ref.word_sums", lambda n: n >= COMMON_SHARE * F.col("__ref.reference_words"))
+    n = F.col("reference_words")
+    places = F.filter(F.sequence(F.lit(0), F.size("word_sums") - 1), lambda i: F.get("word_sums", i) >= COMMON_SHARE * n)
+    refs = refs.withColumn("places", F.when(F.size("word_sums") > 0, places).otherwise(F.array().cast("array<int>")))
+    refs = refs.withColumn("common", F.transform("places", lambda i: F.get("word_sums", i)))
+    rest = n - F.aggregate("common", F.lit(0).cast("long"), lambda x, y: x + y)
+    refs = refs.select(
+        "of_lang", "places", shares(F.concat("common", F.array(rest)), n).alias("word_shares"),
+        shares(F.col("class_sums"), total(F.col("class_sums"))).alias("class_shares"),
+    )
+    return refs.select(F.struct(refs.columns).alias("__ref"))
 
-    def histogram(counts: str, all_words: str) -> Column:
-        of_common = F.zip_with(F.col(counts), common, lambda n, c: F.when(c, n).otherwise(0))
-        rest = F.col(all_words) - F.aggregate(of_common, F.lit(0).cast("long"), lambda x, y: x + y)
-        return F.concat(of_common, F.array(rest))
 
+def judged(described: DataFrame) -> DataFrame:
+    """``described`` with ``__class_distance``, ``__word_distance`` (null where not judged) and ``__kept``."""
+    joined = described.join(stored(prepared(described)), F.col("__q.lang") == F.col("__ref.of_lang"), "left")
+    known, n = F.col("__ref").isNotNull(), F.col("__q.n_words")
     chars = F.aggregate("__q.classes", F.lit(0).cast("long"), lambda x, y: x + y)
-    by_class = F.when(known & (chars >= MIN_CHARS), distance(F.col("__q.classes"), F.col("__ref.class_sums")))
-    words = distance(histogram("__q.words", "__q.n_words"), histogram("__ref.word_sums", "__ref.reference_words"))
-    by_word = F.when(known & (F.col("__q.n_words") >= MIN_WORDS), words)
+    common = F.transform("__ref.places", lambda i: F.get("__q.words", i))
+    rest = n - F.aggregate(common, F.lit(0).cast("long"), lambda x, y: x + y)
+    words = distance(shares(F.concat(common, F.array(rest)), n), F.col("__ref.word_shares"))
+    by_class = distance(shares(F.col("__q.classes"), chars), F.col("__ref.class_shares"))
+    found = F.struct(
+        F.when(known & (chars >= MIN_CHARS), by_class).alias("by_class"), F.when(known & (n >= MIN_WORDS), words).alias("by_word"), chars.alias("chars")
+    )
+    # exploding a list of one keeps the optimizer from computing the distances again for each use
+    measured = joined.withColumn("__d", F.explode(F.array(found)))
     return (
-        joined.withColumn("__class_distance", by_class)
-        .withColumn("__word_distance", by_word)
+        measured.withColumn("__class_distance", F.col("__d.by_class"))
+        .withColumn("__word_distance", F.col("__d.by_word"))
         .withColumn(
             "__kept",
             ~base_failed()
-            & F.coalesce(F.col("__class_distance") <= CLASS_BOUND + CLASS_SLACK / F.sqrt(chars), F.lit(True))
-            & F.coalesce(F.col("__word_distance") <= WORD_BOUND + WORD_SLACK / F.sqrt("__q.n_words"), F.lit(True)),
+            & F.coalesce(F.col("__d.by_class") <= CLASS_BOUND + CLASS_SLACK / F.sqrt("__d.chars"), F.lit(True))
+            & F.coalesce(F.col("__d.by_word") <= WORD_BOUND + WORD_SLACK / F.sqrt("__q.n_words"), F.lit(True)),
         )
-        .drop("__ref")
+        .drop("__ref", "__d")
     )
 
 

@@ -82,8 +82,8 @@ def test_distance_bounds(spark):
     from pyspark.sql import functions as F
 
     row = spark.range(1).select(
-        Q.distance(F.array(F.lit(1), F.lit(0)), F.array(F.lit(0), F.lit(5))).alias("apart"),
-        Q.distance(F.array(F.lit(1), F.lit(3)), F.array(F.lit(2), F.lit(6))).alias("same"),
-        Q.distance(F.array(F.lit(0), F.lit(0)), F.array(F.lit(2), F.lit(6))).alias("none"),
+        Q.distance(F.array(F.lit(1.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(1.0))).alias("apart"),
+        Q.distance(F.array(F.lit(0.25), F.lit(0.75)), F.array(F.lit(0.25), F.lit(0.75))).alias("same"),
+        Q.distance(Q.shares(F.array(F.lit(0), F.lit(0)), F.lit(0)), F.array(F.lit(0.25), F.lit(0.75))).alias("none"),
     ).first()
     assert row.apart == pytest.approx(1) and row.same == pytest.approx(0, abs=1e-6) and row.none == 0
