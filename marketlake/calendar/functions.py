@@ -126,114 +126,116 @@ def round_timestamp(ts) -> Column:
     return F.date_trunc("day", _c(ts).cast("timestamp") + F.expr("interval 12 hours"))
 
 
-def periods_since(date_col, period: str = "day", now=None) -> Column:
-    """Period boundaries crossed between ``date_col`` and ``now``
-    (both sides truncated to the period, then counted)."""
-    n = now_col(now)
+def periods_since(date_col, period: str = "day", now=None, tz: str | None = None) -> Column:
+    """Period boundaries crossed between ``date_col`` and now (in ``tz``),
+    a whole number."""
+    n, d = now_col(now, tz), _c(date_col).cast("timestamp")
     p = period.lower()
-    a, b = F.date_trunc(p, _c(date_col).cast("timestamp")), F.date_trunc(p, n)
     if p in ("year", "quarter", "month"):
-        months = F.months_between(b, a).cast("int")
-        return months / 12 if p == "year" else (months / 3 if p == "quarter" else months)
-    return F.timestamp_diff(p.upper(), a, b)
+        per_year = {"year": 1, "quarter": 4, "month": 12}[p]
+        part = {"year": lambda x: F.lit(0), "quarter": F.quarter, "month": F.month}[p]
+        return (F.year(n) - F.year(d)) * per_year + part(n) - part(d)
+    return F.timestamp_diff(p.upper(), F.date_trunc(p, d), F.date_trunc(p, n))
 
 
-def now_col(now=None) -> Column:
-    return F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+def now_col(now=None, tz: str | None = None) -> Column:
+    """The time (UTC session) or ``now``, as the wall clock of ``tz`` if given."""
+    n = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+    return F.from_utc_timestamp(n, tz) if tz else n
 
 
-def now(now=None) -> Column:
+def now(now=None, tz: str | None = None) -> Column:
     """D17."""
-    return now_col(now)
+    return now_col(now, tz)
 
 
-def today(now=None) -> Column:
+def today(now=None, tz: str | None = None) -> Column:
     """D17."""
-    return now_col(now).cast("date")
+    return now_col(now, tz).cast("date")
 
 
-def yesterday(date=None, now=None) -> Column:
-    """D17."""
-    return F.date_sub(_d(date) if date is not None else today(now), 1)
+def _anchor(date, now, tz: str | None = None) -> Column:
+    return _d(date) if date is not None else today(now, tz)
 
 
-def tomorrow(date=None, now=None) -> Column:
+def yesterday(date=None, now=None, tz: str | None = None) -> Column:
     """D17."""
-    return F.date_add(_d(date) if date is not None else today(now), 1)
+    return F.date_sub(_anchor(date, now, tz), 1)
 
 
-def _anchor(date, now) -> Column:
-    return _d(date) if date is not None else today(now)
+def tomorrow(date=None, now=None, tz: str | None = None) -> Column:
+    """D17."""
+    return F.date_add(_anchor(date, now, tz), 1)
 
 
-def n_days_ago(n: int, date=None, now=None) -> Column:
+def n_days_ago(n: int, date=None, now=None, tz: str | None = None) -> Column:
     """D18."""
-    return F.date_sub(_anchor(date, now), int(n))
+    return F.date_sub(_anchor(date, now, tz), int(n))
 
 
-def n_days_away(n: int, date=None, now=None) -> Column:
+def n_days_away(n: int, date=None, now=None, tz: str | None = None) -> Column:
     """D18."""
-    return F.date_add(_anchor(date, now), int(n))
+    return F.date_add(_anchor(date, now, tz), int(n))
 
 
-def n_weeks_ago(n: int, date=None, now=None, week_start_day: str = "sunday") -> Column:
+def n_weeks_ago(n: int, date=None, now=None, week_start_day: str = "sunday", tz: str | None = None) -> Column:
     """Start of the week ``n`` weeks back."""
-    return week_start(F.date_sub(_anchor(date, now), 7 * int(n)), week_start_day)
+    return week_start(F.date_sub(_anchor(date, now, tz), 7 * int(n)), week_start_day)
 
 
-def n_weeks_away(n: int, date=None, now=None, week_start_day: str = "sunday") -> Column:
+def n_weeks_away(n: int, date=None, now=None, week_start_day: str = "sunday", tz: str | None = None) -> Column:
     """D18."""
-    return week_start(F.date_add(_anchor(date, now), 7 * int(n)), week_start_day)
+    return week_start(F.date_add(_anchor(date, now, tz), 7 * int(n)), week_start_day)
 
 
-def n_months_ago(n: int, date=None, now=None) -> Column:
+def n_months_ago(n: int, date=None, now=None, tz: str | None = None) -> Column:
     """First day of the month ``n`` months back."""
-    return F.trunc(F.add_months(_anchor(date, now), -int(n)), "month")
+    return F.trunc(F.add_months(_anchor(date, now, tz), -int(n)), "month")
 
 
-def n_months_away(n: int, date=None, now=None) -> Column:
+def n_months_away(n: int, date=None, now=None, tz: str | None = None) -> Column:
     """D18."""
-    return F.trunc(F.add_months(_anchor(date, now), int(n)), "month")
+    return F.trunc(F.add_months(_anchor(date, now, tz), int(n)), "month")
 
 
-def last_week(date=None, now=None) -> Column:
+def last_week(date=None, now=None, tz: str | None = None) -> Column:
     """D19."""
-    return n_weeks_ago(1, date, now)
+    return n_weeks_ago(1, date, now, tz=tz)
 
 
-def next_week(date=None, now=None) -> Column:
+def next_week(date=None, now=None, tz: str | None = None) -> Column:
     """D19."""
-    return n_weeks_away(1, date, now)
+    return n_weeks_away(1, date, now, tz=tz)
 
 
-def last_month(date=None, now=None) -> Column:
+def last_month(date=None, now=None, tz: str | None = None) -> Column:
     """D19."""
-    return n_months_ago(1, date, now)
+    return n_months_ago(1, date, now, tz)
 
 
-def next_month(date=None, now=None) -> Column:
+def next_month(date=None, now=None, tz: str | None = None) -> Column:
     """D19."""
-    return n_months_away(1, date, now)
+    return n_months_away(1, date, now, tz)
 
 
-def last_month_name(short: bool = True, date=None, now=None) -> Column:
+def last_month_name(short: bool = True, date=None, now=None, tz: str | None = None) -> Column:
     """D19."""
-    return month_name(last_month(date, now), short)
+    return month_name(last_month(date, now, tz), short)
 
 
-def next_month_name(short: bool = True, date=None, now=None) -> Column:
+def next_month_name(short: bool = True, date=None, now=None, tz: str | None = None) -> Column:
     """D19."""
-    return month_name(next_month(date, now), short)
+    return month_name(next_month(date, now, tz), short)
 
 
-def last_month_number(date=None, now=None) -> Column:
+def last_month_number(date=None, now=None, tz: str | None = None) -> Column:
     """D19."""
-    return F.month(last_month(date, now))
+    return F.month(last_month(date, now, tz))
 
 
-def next_month_number(date=None, now=None) -> Column:
+def next_month_number(date=None, now=None, tz: str | None = None) -> Column:
     """D19."""
-    return F.month(next_month(date, now))
+    return F.month(next_month(date, now, tz))
 
 
 def month_end(date) -> Column:

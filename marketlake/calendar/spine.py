@@ -10,10 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STEP = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year",
-        "hour": "1 hour", "minute": "1 minute"}
-
-
 def generate_series(bounds: DataFrame | SparkSession, upper_bound=None) -> DataFrame:
     """``generated_number`` = 1..N.  ``bounds`` is a one-row DataFrame
     with column ``upper_bound`` (or a session plus an int)."""
@@ -27,40 +23,54 @@ def generate_series(bounds: DataFrame | SparkSession, upper_bound=None) -> DataF
                          .alias("generated_number"))
 
 
+def _boundaries(start: Column, end: Column, datepart: str) -> Column:
+    """How many starts of a ``datepart`` lie in (start, end]."""
+    if datepart in ("hour", "minute"):
+        seconds = F.unix_timestamp(F.date_trunc(datepart, end)) - F.unix_timestamp(F.date_trunc(datepart, start))
+        return F.floor(seconds / (3600 if datepart == "hour" else 60)).cast("int")
+    days = F.datediff(end.cast("date"), start.cast("date"))
+    months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
+    quarters = (F.year(end) - F.year(start)) * 4 + F.quarter(end) - F.quarter(start)
+    weeks = F.datediff(F.trunc(F.date_add(end.cast("date"), 1), "week"),
+                       F.trunc(F.date_add(start.cast("date"), 1), "week")) / 7  # weeks start on Sunday
+    return {"day": days, "month": months, "quarter": quarters, "year": F.year(end) - F.year(start),
+            "week": weeks.cast("int")}[datepart]
+
+
 def date_spine(bounds: DataFrame, datepart: str = "day", start: str = "start_date",
                end: str = "end_date") -> DataFrame:
-    """``date_<datepart>`` from start (inclusive) to end (exclusive).
-
-    Values are ``start + k * step`` for every whole step that fits before
-    ``end`` (``start + (k+1) * step <= end``); for days this is every day in
-    [start, end).
+    """``date_<datepart>``: ``start + k * step`` for k = 0, 1, ..., one for
+    each ``datepart`` boundary between start and end, and none after end.
 
+    With start and end on boundaries that is every period of [start, end);
+    from 15 January to 10 March, by month, it is 15 January and 15 February.
     ``bounds`` holds one row per spine (more rows = several spines, e.g. one
-    per series).  Steps are calendar intervals, so month/year steps follow
-    month lengths.
+    per series).  Steps are calendar intervals counted from start, so
+    month ends do not drift.
     """
-    step = F.expr(f"interval {STEP[datepart]}")
     s, e = F.col(start).cast("timestamp"), F.col(end).cast("timestamp")
-    last = e - step
+    n = _boundaries(s, e, datepart)
     # an empty range (end <= start) yields no rows, never an error
-    seq = F.when(last >= s, F.sequence(s, last, step)).otherwise(F.array().cast("array<timestamp>"))
+    steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     keep = [c for c in bounds.columns if c not in (start, end)]
-    return bounds.select(*keep, F.explode(seq).alias(f"date_{datepart}"))
+    name = f"date_{datepart}"
+    spine = bounds.select(*keep, s.alias("__s"), e.alias("__e"), F.explode(steps).alias("__k"))
+    at = F.timestamp_add(datepart.upper(), F.col("__k"), F.col("__s"))
+    return spine.withColumn(name, at).filter(F.col(name) <= F.col("__e")).select(*keep, name)
 
 
 def base_dates(bounds: DataFrame | None = None, start_date=None, end_date=None, n_dateparts: int | None = None,
-               datepart: str = "day", now=None, spark: SparkSession | None = None) -> DataFrame:
-    """D3: an explicit [start, end) range, or the last ``n_dateparts``
-    before ``now`` (truncated to the datepart, ``now`` excluded)."""
+               datepart: str = "day", now=None, spark: SparkSession | None = None, tz: str | None = None) -> DataFrame:
+    """D3: an explicit [start, end) range, or from ``n_dateparts`` before
+    today up to and including today (``tz`` decides what today is)."""
     if bounds is None:
         spark = spark or SparkSession.getActiveSession()
         if n_dateparts is not None:
-            n: Column = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-            end = F.date_trunc(datepart, n)
-            start = end - F.expr(f"interval {STEP[datepart]}") * n_dateparts \
-                if datepart in ("day", "hour", "minute", "week") else F.add_months(end, -n_dateparts * (
-                    12 if datepart == "year" else 3 if datepart == "quarter" else 1)).cast("timestamp")
-            bounds = spark.range(1).select(start.alias("start_date"), end.alias("end_date"))
+            from marketlake.calendar.functions import today
+            day = today(now, tz).cast("timestamp")
+            bounds = spark.range(1).select(
+                F.timestamp_add(datepart.upper(), F.lit(-int(n_dateparts)), day).alias("start_date"),
+                F.timestamp_add("DAY", F.lit(1), day).alias("end_date"))
         else:
             bounds = spark.range(1).select(F.lit(start_date).alias("start_date"), F.lit(end_date).alias("end_date"))
     return date_spine(bounds, datepart)

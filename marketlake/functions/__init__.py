@@ -1,6 +1,6 @@
 """Column-level helpers (all built from pyspark.sql.functions, JVM-side)."""
 
 from marketlake.functions.core import (  # noqa: F401
-    col_of, event_time, json_query, json_value, json_values, kafka_key, path_safe, safe_divide, safe_ln,
+    col_of, json_query, json_value, kafka_key, mid, notional, path_safe, safe_divide, safe_ln, scalar_field, spread,
     to_price, tolerant_bool, venue_symbol_key, with_json_fields,
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,11 +22,26 @@ def json_query(doc, path: str) -> Column:
 def json_value(doc, path: str) -> Column:
     """Scalar JSON value at ``path`` as text; objects and arrays give NULL.
 
-    ``get_json_object`` returns JSON text for containers, so a result that
-    starts with ``{`` or ``[`` is mapped to NULL.
+    ``get_json_object`` returns JSON text for containers.  Text scalars may
+    start with a brace or bracket too, so only for such results the document
+    is read again for the type of the value.
     """
     v = F.get_json_object(col_of(doc), path)
-    return F.when(~(v.startswith("{") | v.startswith("[")), v)
+    return F.when(~_looks_like_container(v) | ~_is_container(doc, path), v)
+
+
+def _looks_like_container(v: Column) -> Column:
+    return v.startswith("{") | v.startswith("[")
+
+
+def _is_container(doc, path: str) -> Column:
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(col_of(doc)), path, "variant"))
+    return F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
+
+
+def scalar_field(doc, value: Column, field: str) -> Column:
+    """``value`` (the text of a top-level field of ``doc``), NULL if the field holds a container."""
+    return F.when(~_looks_like_container(value) | ~_is_container(doc, f"$.{field}"), value)
 
 
 def to_price(c) -> Column:
@@ -32,6 +49,28 @@ def to_price(c) -> Column:
     return col_of(c).try_cast(PRICE_TYPE)
 
 
+def notional(price="price", quantity="quantity") -> Column:
+    """``price * quantity`` with 9 decimals.  Exact up to the rounding for
+    prices below 1e10 and quantities below 1e9 (Spark would cut the product
+    of two wide decimals to 6 decimals); larger factors keep 6 decimals."""
+    p, q = col_of(price), col_of(quantity)
+    exact = p.try_cast("decimal(19,9)") * q.try_cast("decimal(18,9)")
+    return F.coalesce(exact.try_cast(PRICE_TYPE), F.try_multiply(p, q).try_cast(PRICE_TYPE))
+
+
+def mid(bid, ask) -> Column:
+    """Middle of two prices; exact (10 decimals) below 1e17, else what a wide decimal holds."""
+    b, a = col_of(bid), col_of(ask)
+    exact = (b.try_cast("decimal(26,9)") + a.try_cast("decimal(26,9)")) * F.lit(Decimal("0.5"))
+    wide = F.try_divide(F.try_add(b, a), F.lit(Decimal(2)))
+    return F.coalesce(exact.cast("decimal(38,10)"), wide.try_cast("decimal(38,10)"))
+
+
+def spread(bid, ask) -> Column:
+    """``ask - bid`` with all 9 decimals (NULL from 1e28 on)."""
+    return col_of(ask).try_cast("decimal(37,9)") - col_of(bid).try_cast("decimal(37,9)")
+
+
 def tolerant_bool(c) -> Column:
     """true/1/t -> true, false/0/f -> false (case-insensitive), else NULL."""
     s = F.lower(col_of(c))
@@ -47,12 +86,6 @@ def kafka_key(topic="kafka_topic", partition="kafka_partition", offset="kafka_of
                     col_of(partition).cast("string"), F.lit("|"), col_of(offset).cast("string"))
 
 
-def event_time(payload="payload", fallback="kafka_ts") -> Column:
-    """Event time from ``$.event_ts_ms`` (epoch ms), else the broker time."""
-    ms = json_value(payload, "$.event_ts_ms").try_cast("bigint")
-    return F.coalesce(F.timestamp_millis(ms), col_of(fallback))
-
-
 def path_safe(c) -> Column:
     """Symbol safe for a path segment: '/' -> '-', ':' -> '_', NULL -> unknown."""
     return F.coalesce(F.translate(col_of(c), "/:", "-_"), F.lit(UNKNOWN))
@@ -74,22 +107,6 @@ def venue_symbol_key(venue, symbol) -> Column:
     return F.concat_ws(":", col_of(venue), col_of(symbol))
 
 
-def json_values(doc, fields: list[str], alias: str = "_j") -> tuple[Column, dict[str, Column]]:
-    """Parse ``doc`` once and return scalar top-level fields as text.
-
-    Returns ``(struct_column, {field: column})``: select the struct column
-    once (as ``alias``) and refer to the fields through the dict.  Objects and
-    arrays map to NULL as in :func:`json_value`; invalid JSON gives NULLs.
-    """
-    schema = ", ".join(f"`{f}` string" for f in fields)
-    parsed = F.from_json(col_of(doc), schema).alias(alias)
-    out = {}
-    for f in fields:
-        v = F.col(f"{alias}.`{f}`")
-        out[f] = F.when(~(v.startswith("{") | v.startswith("[")), v)
-    return parsed, out
-
-
 def with_json_fields(df, doc, fields: list[str], prefix: str = "_j_"):
     """Add ``prefix + field`` columns with the scalar text of top-level JSON
     fields, parsing each document exactly once.
@@ -102,5 +119,4 @@ def with_json_fields(df, doc, fields: list[str], prefix: str = "_j_"):
     names = [prefix + f for f in fields]
     out = df.select("*", F.json_tuple(col_of(doc), *fields).alias(*names))
     return out.select(*[c for c in df.columns],
-                      *[F.when(~(F.col(n).startswith("{") | F.col(n).startswith("[")), F.col(n)).alias(n)
-                        for n in names])
+                      *[scalar_field(doc, F.col(n), f).alias(n) for n, f in zip(names, fields, strict=True)])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.functions import safe_divide
+from marketlake.functions import notional, safe_divide
 from marketlake.schemas import (
     CANDLE_COLUMNS, DEPTH_1M_COLUMNS, DLQ_1M_COLUMNS, DLQ_TOPIC_LIKE, PRICE_SPIKE_THRESHOLD,
     ROLLING_CLOSE_ROWS, SERIES_KEYS,
@@ -42,7 +42,7 @@ def candle_bars(trades: DataFrame, bucket: str = "minute") -> DataFrame:
     Sums stay exact decimals; VWAP divides in DOUBLE and is NULL when the
     volume is zero.
     """
-    pq = F.col("price") * F.col("quantity")
+    pq = notional()
     bars = (trades
             .groupBy(*SERIES_KEYS, _bucket("event_ts", bucket).alias("metric_ts"))
             .agg(F.min_by("price", tick_order()).alias("open_price"),

@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.schemas import (
-    BOOK_FIELDS, COIN_SYMBOL_MAX_LEN, COIN_SYMBOLS, QUOTE_FIELDS, REASON_POLL, REASON_SCHEMA, TOPIC_COINGECKO,
-    TOPIC_CRYPTOCOMPARE, TOPIC_DEPTH, TOPIC_DLQ, TOPIC_TRADES, TRADE_FIELDS,
+    BOOK_FIELDS, COIN_SYMBOL_MAX_LEN, COIN_SYMBOLS, PRICE_TYPE, QUOTE_FIELDS, REASON_POLL, REASON_SCHEMA, TOPIC_COINGECKO,
+    TOPIC_CRYPTOCOMPARE, TOPIC_DEPTH, TOPIC_DLQ, TOPIC_TRADES, TRADE_FIELDS, UNKNOWN,
 )
 
 DECIMAL_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 INT_RE = r"^[+-]?\d+$"
+#: Texts that the contracts' boolean fields accept.
+BOOLEAN_WORDS = ("0", "1", "f", "false", "n", "no", "off", "on", "t", "true", "y", "yes")
 
 
 def first_reason(*rules: tuple[Column, str | Column]) -> Column:
@@ -44,13 +46,27 @@ def _is_object(raw: Column) -> Column:
 
 
 def _decimal(text: Column) -> Column:
-    return F.when(text.rlike(DECIMAL_RE), text.try_cast("decimal(20,9)"))
+    return F.when(text.rlike(DECIMAL_RE), text.try_cast(PRICE_TYPE))
 
 
-def _truthy(text: Column) -> Column:
-    """Python truthiness of a JSON scalar given as text (``bool(value)``)."""
-    t = F.lower(text)
-    return ~(text.isNull() | t.isin("false", "0", "0.0", "", "null"))
+def _kind(doc: Column, field: str) -> Column:
+    """Type of a top-level JSON field (STRING, BOOLEAN, BIGINT, DECIMAL(..), VOID, ...); NULL if it is not there."""
+    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(doc), f"$.{field}", "variant"))
+
+
+def _is_number(kind: Column) -> Column:
+    return kind.rlike("^(BIGINT|DECIMAL|DOUBLE)")
+
+
+def _truthy(doc: Column, field: str, text: Column) -> Column:
+    """Python truthiness of a JSON value: a text is true unless it is empty,
+    a number unless it is 0, a container unless it is empty."""
+    kind = _kind(doc, field)
+    return (F.when(kind == "STRING", F.length(text) > 0)
+            .when(kind == "BOOLEAN", text == "true")
+            .when(_is_number(kind), F.coalesce(text.try_cast("double") != 0, F.lit(True)))
+            .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~text.rlike(r"^[\[{]\s*[\]}]$"))
+            .otherwise(F.lit(False)))
 
 
 SRC_BINANCE, SRC_KRAKEN, SRC_COINGECKO, SRC_CRYPTOCOMPARE = (
@@ -78,7 +94,7 @@ def _binance_fields(symbol: str) -> dict:
             "trade_id": F.coalesce(F.col("_b.t"), F.lit("None")),
             "event_ts_ms": F.col("_b.E").try_cast("bigint"),
             "price": _decimal(F.col("_b.p")), "quantity": _decimal(F.col("_b.q")),
-            "is_buyer_maker": _truthy(F.col("_b.m")), "reason": first_reason(*fail)}
+            "is_buyer_maker": _truthy(raw, "m", F.col("_b.m")), "reason": first_reason(*fail)}
 
 
 def _apply(d: DataFrame, fields: dict, drop: list[str]) -> DataFrame:
@@ -113,7 +129,7 @@ def _kraken_prep(d: DataFrame, guard: Column | None = None) -> DataFrame:
     d = d.withColumn("_objs", F.when(guard, F.filter(F.col("_elems"), lambda e: e.startswith("{"))))
     b, bs = _levels(_last_value(F.col("_objs"), "b")), _levels(_last_value(F.col("_objs"), "bs"))
     a, as_ = _levels(_last_value(F.col("_objs"), "a")), _levels(_last_value(F.col("_objs"), "as"))
-    empty = F.array().cast("array<struct<price:decimal(20,9),qty:decimal(20,9)>>")
+    empty = F.array().cast("array<struct<price:decimal(38,9),qty:decimal(38,9)>>")
     bids = F.when(F.size(F.coalesce(b, empty)) > 0, b).otherwise(F.coalesce(bs, empty))
     asks = F.when(F.size(F.coalesce(a, empty)) > 0, a).otherwise(F.coalesce(as_, empty))
     return d.withColumn("_bids", F.when(guard, bids)).withColumn("_asks", F.when(guard, asks))
@@ -198,12 +214,6 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def _raw_event(kind: str) -> Column:
-    if kind == "depth":
-        return F.struct(F.col("raw").alias("message"))
-    return F.col("raw")
-
-
 def event_json(kind: str) -> Column:
     """Contract JSON of a normalised event (decimals as strings, like the producer)."""
     ingest = _iso(F.col("recv_ts")).alias("ingest_ts")
@@ -252,13 +262,13 @@ def normalise_all(msgs: DataFrame, binance_symbol: str = "BTCUSDT", kraken_pair:
 
     Each field is a CASE on ``source`` and each parse is guarded by its
     source, so a row only runs its own normaliser; the capture is scanned
-    once.  Rows of unknown sources are ignored.
+    once.  Rows of unknown (or no) source go to the dead-letter topic.
     """
     src = F.col("source")
     guards = {SRC_BINANCE: src == SRC_BINANCE, SRC_KRAKEN: src == SRC_KRAKEN,
               SRC_COINGECKO: src == SRC_COINGECKO, SRC_CRYPTOCOMPARE: src == SRC_CRYPTOCOMPARE}
-    d = msgs.filter(src.isin(*guards))
-    d = _binance_prep(d, guards[SRC_BINANCE])
+    guards = {k: F.coalesce(g, F.lit(False)) for k, g in guards.items()}
+    d = _binance_prep(msgs, guards[SRC_BINANCE])
     d = _kraken_prep(d, guards[SRC_KRAKEN])
     d = _coingecko_prep(d, coin_id, guards[SRC_COINGECKO])
     per_source = [(guards[SRC_BINANCE], _binance_fields(binance_symbol)),
@@ -274,6 +284,8 @@ def normalise_all(msgs: DataFrame, binance_symbol: str = "BTCUSDT", kraken_pair:
         for g, f in per_source:
             if n in f:
                 c = F.when(g, f[n]) if c is None else c.when(g, f[n])
+        if n == "reason":
+            c = c.otherwise(F.lit(f"{REASON_SCHEMA}:unknown source"))
         cols.append(c.alias(n))
     d = d.select(*msgs.columns, *cols)
     ok = F.col("reason").isNull()
@@ -284,8 +296,8 @@ def normalise_all(msgs: DataFrame, binance_symbol: str = "BTCUSDT", kraken_pair:
              .otherwise(event_json("quote")))
     return d.select(
         F.when(ok, topic).otherwise(F.lit(TOPIC_DLQ)).alias("topic"),
-        F.when(ok, F.concat_ws(":", "venue", "symbol")).otherwise(F.col("source")).alias("key"),
-        F.when(ok, event).otherwise(dlq_envelope("source")).alias("value"),
+        F.when(ok, F.concat_ws(":", "venue", "symbol")).otherwise(F.coalesce("source", F.lit(UNKNOWN))).alias("key"),
+        F.when(ok, event).otherwise(dlq_envelope(F.coalesce("source", F.lit(UNKNOWN)))).alias("value"),
         "source", "reason", "recv_ts", "recv_seq")
 
 
@@ -296,8 +308,9 @@ def _contract(doc: Column, fields: list[str], rules: list[tuple[Column, str]]) -
                            F.array(*[F.lit(f) for f in fields]))
     base = [(~_is_object(doc), f"{REASON_SCHEMA}:not a JSON object"),
             (F.size(extra) > 0, F.concat(F.lit(f"{REASON_SCHEMA}:extra fields "), F.array_join(extra, ",")))]
-    base += [(~_has(doc, f), f"{REASON_SCHEMA}:missing field {f}") for f in fields if f != "raw_event"]
-    return first_reason(*(base + rules))
+    base += [(~_has(doc, f), f"{REASON_SCHEMA}:missing field {f}") for f in fields]
+    last = [_time(doc, "ingest_ts"), _object(doc, "raw_event")]
+    return first_reason(*(base + rules + last))
 
 
 def _nonempty(doc, f):
@@ -316,9 +329,24 @@ def _dec(doc, f):
 
 
 def _bool(doc, f):
-    # a JSON boolean literal, not the strings "true"/"false"
-    return (~F.coalesce(doc.rlike(f'"{f}"\\s*:\\s*(true|false)\\b'), F.lit(False)),
-            f"{REASON_SCHEMA}:{f} must be a boolean")
+    """What a non-strict boolean field accepts: a JSON boolean, the numbers 0
+    and 1, and the usual words in any case."""
+    v, kind = F.get_json_object(doc, f"$.{f}"), _kind(doc, f)
+    ok = (F.when(kind == "BOOLEAN", F.lit(True))
+          .when(kind == "STRING", F.lower(v).isin(*BOOLEAN_WORDS))
+          .when(_is_number(kind), v.try_cast("double").isin(0.0, 1.0)))
+    return (~F.coalesce(ok, F.lit(False)), f"{REASON_SCHEMA}:{f} must be a boolean")
+
+
+def _time(doc, f):
+    """A date-time text in ISO form, or a number of seconds since 1970."""
+    v, kind = F.get_json_object(doc, f"$.{f}"), _kind(doc, f)
+    ok = F.when(kind == "STRING", v.try_cast("timestamp").isNotNull()).when(_is_number(kind), F.lit(True))
+    return (~F.coalesce(ok, F.lit(False)), f"{REASON_SCHEMA}:{f} must be a date-time")
+
+
+def _object(doc, f):
+    return (~F.coalesce(_kind(doc, f).startswith("OBJECT"), F.lit(False)), f"{REASON_SCHEMA}:{f} must be an object")
 
 
 def check_trade(doc) -> Column:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions import json_value, kafka_key, safe_divide, to_price, tolerant_bool, with_json_fields
+from marketlake.functions import (
+    json_value, kafka_key, mid, safe_divide, scalar_field, spread, to_price, tolerant_bool, with_json_fields,
+)
 from marketlake.operators.dedup import first_per_key, latest_per_key
 from marketlake.schemas import STG_DEPTH_COLUMNS, STG_TRADES_COLUMNS
 
@@ -77,14 +79,14 @@ def parse_depth(bronze: DataFrame) -> DataFrame:
     fields = ["event_ts_ms", "update_id", "bids", "asks"]
     raw = bronze.filter(F.col("stream_kind") == "depth").select(
         "*", F.json_tuple("payload", *fields).alias(*["_j_" + f for f in fields]))
-    scalar = lambda c: F.when(~(F.col(c).startswith("{") | F.col(c).startswith("[")), F.col(c))
+    scalar = lambda f: scalar_field("payload", F.col("_j_" + f), f)
     level = lambda side, f: to_price(json_value(F.col("_j_" + side), f"$[0].{f}"))
     return raw.select(
         *bronze.columns,
         kafka_key().alias("depth_key"),
-        F.coalesce(F.timestamp_millis(scalar("_j_event_ts_ms").try_cast("bigint")), F.col("kafka_ts"))
+        F.coalesce(F.timestamp_millis(scalar("event_ts_ms").try_cast("bigint")), F.col("kafka_ts"))
         .alias("event_ts"),
-        scalar("_j_update_id").alias("update_id"),
+        scalar("update_id").alias("update_id"),
         level("bids", "price").alias("best_bid_price"),
         level("bids", "qty").alias("best_bid_qty"),
         level("asks", "price").alias("best_ask_price"),
@@ -109,8 +111,8 @@ def stg_depth(bronze: DataFrame, dedup: str = "window") -> DataFrame:
     b = F.col("best_bid_price")
     a = F.col("best_ask_price")
     d = (parse_depth(bronze)
-         .withColumn("mid_price", ((b + a) / 2).cast("decimal(21,10)"))
-         .withColumn("spread_abs", a - b)
+         .withColumn("mid_price", mid(b, a))
+         .withColumn("spread_abs", spread(b, a))
          .filter(valid_book())
          .withColumn("spread_bps", 10000 * safe_divide(F.col("spread_abs").cast("double"),
                                                        F.col("mid_price").cast("double"))))

@@ -29,10 +29,11 @@ def _d1(s, sf):
     return C.generate_series(n)
 
 
-def _spine_sql(step, part, back="0 DAY"):
-    # whole periods only: the last value is at most end - step
-    return (f"WITH {_B} SELECT t.d AS date_{part} FROM b, range(CAST(b.s AS TIMESTAMP), CAST(b.e AS TIMESTAMP) "
-            f"- INTERVAL {back}, INTERVAL {step}) t(d)")
+def _spine_sql(step, part, shift="0 DAY"):
+    # one value for each boundary between start and end; weeks start on Sunday, so they are counted a day later
+    return (f"WITH {_B}, n AS (SELECT s, e, date_diff('{part}', s + INTERVAL {shift}, e + INTERVAL {shift}) AS n FROM b) "
+            f"SELECT * FROM (SELECT CAST(s AS TIMESTAMP) + t.k * INTERVAL {step} AS date_{part}, e FROM n, range(0, n.n) t(k)) "
+            f"WHERE date_{part} <= e").replace("SELECT * FROM (", f"SELECT date_{part} FROM (")
 
 
 @reg("d2_date_spine_day", _spine_sql("1 DAY", "day"))
@@ -40,7 +41,7 @@ def _d2(s, sf):
     return C.date_spine(_orders_bounds(s, sf), "day")
 
 
-@reg("d2_date_spine_week", _spine_sql("7 DAY", "week", "6 DAY"))
+@reg("d2_date_spine_week", _spine_sql("7 DAY", "week", "1 DAY"))
 def _d2w(s, sf):
     return C.date_spine(_orders_bounds(s, sf), "week")
 
@@ -59,6 +60,18 @@ def _d3(s, sf):
     return C.base_dates(bounds, datepart="hour")
 
 
+@reg("d3_base_dates_last_n", """
+WITH d AS (SELECT t.d AS date_day FROM range(TIMESTAMP '2001-05-31', TIMESTAMP '2001-08-01', INTERVAL 1 DAY) t(d))
+SELECT date_day, count(o_orderkey) AS order_count FROM d LEFT JOIN orders ON CAST(o_orderdate AS DATE) = CAST(date_day AS DATE)
+GROUP BY 1""")
+def _d3n(s, sf):
+    """Orders on each of the last 61 days and today; in Los Angeles it is still 31 July."""
+    days = C.base_dates(n_dateparts=61, now="2001-08-01 05:00:00", tz=TZ, spark=s)
+    o = read_table(s, sf, "orders").select(F.col("o_orderdate").cast("date").alias("d"), "o_orderkey")
+    return days.join(o, F.col("date_day").cast("date") == F.col("d"), "left").groupBy("date_day").agg(
+        F.count("o_orderkey").alias("order_count"))
+
+
 DIM_SQL = f"""
 {_B},
 d0 AS (SELECT CAST(t.d AS DATE) AS date_day FROM b, range(CAST(b.s AS TIMESTAMP), CAST(b.e AS TIMESTAMP), INTERVAL 1 DAY) t(d)),

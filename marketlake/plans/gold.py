@@ -67,14 +67,16 @@ def read_gold(spark, path: str) -> DataFrame:
         .select(*GOLD_COLUMNS)
 
 
-def write_gold(gold: DataFrame, path: str, mode: str = "overwrite", layout: str = "daily") -> None:
+def write_gold(gold: DataFrame, path: str, mode: str = "overwrite", layout: str = "daily",
+               replace: str = "static") -> None:
     """Day partitions, rows clustered by (symbol, exchange) inside files.
 
     A REBALANCE on ``metric_date`` gives each day to one writer (one file
     per day) and lets AQE split an oversized day across several writers;
     files are sorted by (symbol, exchange, metric_ts) for row-group
-    skipping.  With dynamic partition overwrite only touched days are
-    replaced.  ``layout="flat"`` skips the day directories (files hold
+    skipping.  An overwrite replaces the whole table, or with
+    ``replace="dynamic"`` only the days that are written, whatever the
+    session's setting.  ``layout="flat"`` skips the day directories (files hold
     whole days, sorted) for long, sparse histories.
     """
     if layout == "flat":
@@ -84,4 +86,4 @@ def write_gold(gold: DataFrame, path: str, mode: str = "overwrite", layout: str
         return
     (gold.hint("rebalance", "metric_date")
      .sortWithinPartitions("metric_date", "symbol", "exchange", "metric_ts")
-     .write.mode(mode).partitionBy("metric_date").parquet(path))
+     .write.mode(mode).option("partitionOverwriteMode", replace).partitionBy("metric_date").parquet(path))

@@ -42,11 +42,10 @@ def _routed(s, sf):
 
 
 @reg("c1_trade_contract_violations", with_events() + """
-SELECT kafka_offset, CASE WHEN event_id_mod53 THEN 'schema_validation_failed:missing field event_ts_ms'
-                          WHEN event_id_mod97 THEN 'schema_validation_failed:price must be a decimal'
+SELECT kafka_offset, CASE WHEN event_ts_ms IS NULL THEN 'schema_validation_failed:missing field event_ts_ms'
+                          WHEN p_price IS NULL THEN 'schema_validation_failed:price must be a decimal'
                           ELSE 'schema_validation_failed:is_buyer_maker must be a boolean' END AS reason
-FROM (SELECT kafka_offset, event_ts_ms IS NULL AS event_id_mod53, p_price IS NULL AS event_id_mod97
-      FROM bronze_x WHERE stream_kind = 'trades')""")
+FROM bronze_x WHERE stream_kind = 'trades' AND (event_ts_ms IS NULL OR p_price IS NULL OR p_flag IS NULL)""")
 def _c1(s, sf):
     b = events_bronze(s, sf).filter("stream_kind = 'trades'")
     return b.select("kafka_offset", check_trade("payload").alias("reason")).filter("reason IS NOT NULL")

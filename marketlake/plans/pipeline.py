@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlake.operators.bronze import to_bronze
 from marketlake.operators.candles import candles, depth_bars, dlq_bars
 from marketlake.operators.staging import stg_depth, stg_trades
-from marketlake.plans.gold import market_metrics, write_gold
+from marketlake.plans.gold import gold_from_bars, write_gold
 from marketlake.session import ensure_conf
 from marketlake.sources.adapters import events_as_kafka, lineitem_as_kafka
+from marketlake.sources.bronze import read_bronze, write_bronze_batch
+from marketlake.sources.silver import read_silver, write_silver
 
 
 def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,24 +48,25 @@ def build_all(spark: SparkSession, bronze: DataFrame, layout: Layout, bucket: st
 
     Staged trades feed both candles and gold, so they are written once and
     read back (a durable cut of lineage that survives executor loss) rather
-    than recomputed or cached in executor memory.
+    than recomputed or cached in executor memory.  Every table is replaced as
+    a whole, so a second run gives the same tables.
     """
-    from marketlake.sources.bronze import write_bronze_batch
     bpath = layout.path("bronze", "market")
-    write_bronze_batch(bronze, bpath)
-    from marketlake.sources.bronze import read_bronze
+    write_bronze_batch(bronze, bpath, mode="overwrite")
     b = read_bronze(spark, bpath)
     tpath, dpath = layout.path("silver", "stg_trades"), layout.path("silver", "stg_depth")
-    stg_trades(b).write.mode("overwrite").parquet(tpath)
-    stg_depth(b).write.mode("overwrite").parquet(dpath)
-    t, d = spark.read.parquet(tpath), spark.read.parquet(dpath)
+    write_silver(stg_trades(b), tpath, mode="overwrite")
+    write_silver(stg_depth(b), dpath, mode="overwrite")
+    t, d = read_silver(spark, tpath), read_silver(spark, dpath)
     out = {"bronze": bpath, "stg_trades": tpath, "stg_depth": dpath}
     for name, df in (("int_ohlcv_1m", candles(t, bucket)), ("int_depth_1m", depth_bars(d, bucket)),
                      ("int_dlq_1m", dlq_bars(b, bucket))):
         p = layout.path("silver", name)
-        df.write.mode("overwrite").parquet(p)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(p)
         out[name] = p
     g = layout.path("gold", "fct_market_metrics")
-    write_gold(market_metrics(t, d, b, bucket), g)
+    # the bars as just written, so they are computed once
+    bars = [spark.read.parquet(out[n]) for n in ("int_ohlcv_1m", "int_depth_1m", "int_dlq_1m")]
+    write_gold(gold_from_bars(*bars), g)
     out["fct_market_metrics"] = g
     return out

@@ -112,11 +112,12 @@ def _q6(s, sf):
 
 @reg("q7_grouped_recent_data",
      "SELECT o_orderpriority, max(o_orderdate) AS latest_timestamp_column, 1 AS row_count FROM orders "
-     "WHERE o_orderdate <= TIMESTAMP '2001-07-31' GROUP BY 1 "
-     "HAVING max(o_orderdate) < TIMESTAMP '2001-07-31' - INTERVAL 1 DAY")
+     "WHERE o_orderdate <= TIMESTAMP '2001-09-30' AND o_orderpriority IS NOT NULL GROUP BY 1 "
+     "HAVING max(o_orderdate) < TIMESTAMP '2001-09-30' - INTERVAL 1 DAY")
 def _q7(s, sf):
-    return Q.grouped_row_values_to_have_recent_data(_t(s, sf, "orders"), ["o_orderpriority"], "o_orderdate",
-                                                    "day", 1, now="2001-07-31")
+    return Q.grouped_row_values_to_have_recent_data(
+        _t(s, sf, "orders").withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("none"))),
+        ["o_orderpriority"], "o_orderdate", "day", 1, now="2001-09-30")
 
 
 _AGG_EQ = """
@@ -231,25 +232,39 @@ def _q20(s, sf):
 
 
 _INC = """
-SELECT * FROM (SELECT *, lag({v}) OVER ({p} ORDER BY {o}) AS previous_value FROM orders)
+WITH o AS (SELECT *, lpad(o_orderkey::VARCHAR, 9, '0') || '-' || lpad(o_custkey::VARCHAR, 9, '0') || '-'
+                     || lpad(CAST(round(o_totalprice * 100) AS BIGINT)::VARCHAR, 12, '0') AS seq FROM orders)
+SELECT * FROM (SELECT *, lag({v}) OVER ({p} ORDER BY {o}) AS previous_value FROM o)
 WHERE previous_value IS NOT NULL AND NOT ({v} {op} previous_value)"""
 
 
-@reg("q21_values_increasing", _INC.format(v="o_totalprice", p="", o="o_orderkey", op=">"))
+def _in_sequence(s, sf):
+    """Orders with a text to sort by that no two different orders share (order keys repeat in this data)."""
+    parts = [F.lpad(F.col("o_orderkey").cast("string"), 9, "0"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"),
+             F.lpad(F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string"), 12, "0")]
+    return _t(s, sf, "orders").withColumn("seq", F.concat_ws("-", *parts))
+
+
+@reg("q21_values_increasing", _INC.format(v="o_totalprice", p="", o="seq", op=">"))
 def _q21(s, sf):
-    return Q.values_to_be_increasing(_t(s, sf, "orders"), "o_totalprice", sort_column="o_orderkey")
+    return Q.values_to_be_increasing(_in_sequence(s, sf), "o_totalprice", sort_column="seq")
+
+
+@reg("q21_text_increasing", _INC.format(v="o_orderpriority", p="", o="seq", op=">="))
+def _q21t(s, sf):
+    return Q.values_to_be_increasing(_in_sequence(s, sf), "o_orderpriority", sort_column="seq", strictly=False)
 
 
 @reg("q21_values_increasing_grouped",
-     _INC.format(v="o_totalprice", p="PARTITION BY o_custkey", o="o_orderkey", op=">="))
+     _INC.format(v="o_totalprice", p="PARTITION BY o_custkey", o="seq", op=">="))
 def _q21g(s, sf):
-    return Q.values_to_be_increasing(_t(s, sf, "orders"), "o_totalprice", sort_column="o_orderkey",
+    return Q.values_to_be_increasing(_in_sequence(s, sf), "o_totalprice", sort_column="seq",
                                      strictly=False, group_by=["o_custkey"])
 
 
-@reg("q22_values_decreasing", _INC.format(v="o_orderdate", p="", o="o_orderkey", op="<"))
+@reg("q22_values_decreasing", _INC.format(v="o_totalprice", p="", o="seq", op="<"))
 def _q22(s, sf):
-    return Q.values_to_be_decreasing(_t(s, sf, "orders"), "o_orderdate", sort_column="o_orderkey")
+    return Q.values_to_be_decreasing(_in_sequence(s, sf), "o_totalprice", sort_column="seq")
 
 
 @reg("q23_values_in_set", "SELECT * FROM orders WHERE NOT coalesce(o_orderpriority IN ('1-URGENT', '2-HIGH'), false)")
@@ -271,9 +286,9 @@ def _q25(s, sf):
 
 @reg("q26_values_of_type",
      "SELECT column_name, lower(data_type) AS column_type FROM duckdb_columns() WHERE table_name = 'orders' "
-     "AND column_name = 'o_custkey' AND lower(data_type) <> 'bigint'")
+     "AND column_name = 'o_custkey' AND lower(data_type) <> 'int'")
 def _q26(s, sf):
-    return Q.values_to_be_of_type(_t(s, sf, "orders"), "o_custkey", "bigint")
+    return Q.values_to_be_of_type(_t(s, sf, "orders"), "o_custkey", "int")
 
 
 @reg("q27_values_null", "SELECT * FROM orders WHERE o_totalprice > 495000 AND o_orderstatus IS NOT NULL")
@@ -281,9 +296,10 @@ def _q27(s, sf):
     return Q.values_to_be_null(_t(s, sf, "orders"), "o_orderstatus", row_condition="o_totalprice > 495000")
 
 
-@reg("q28_values_not_null", "SELECT * FROM lineitem WHERE l_returnflag IS NULL")
+@reg("q28_values_not_null", "SELECT * REPLACE (NULL::VARCHAR AS l_returnflag) FROM lineitem WHERE l_returnflag = 'R'")
 def _q28(s, sf):
-    return Q.values_to_not_be_null(_t(s, sf, "lineitem"), "l_returnflag")
+    li = _t(s, sf, "lineitem").withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("R")))
+    return Q.values_to_not_be_null(li, "l_returnflag")
 
 
 @reg("q29_values_unique",
@@ -304,9 +320,12 @@ def _q30(s, sf):
 
 @reg("q30_consistent_casing_compact",
      "SELECT count(1) AS set_count, count(DISTINCT lower(v)) AS set_count_case_insensitive "
-     "FROM (SELECT DISTINCT p_type AS v FROM part) HAVING count(1) <> count(DISTINCT lower(v))")
+     "FROM (SELECT DISTINCT p_type AS v FROM part UNION SELECT lower(p_type) FROM part WHERE p_partkey % 2 = 0) "
+     "HAVING count(1) <> count(DISTINCT lower(v))")
 def _q30c(s, sf):
-    return Q.values_to_have_consistent_casing(_t(s, sf, "part"), "p_type")
+    p = _t(s, sf, "part")
+    planted = p.select("p_type").unionByName(p.filter("p_partkey % 2 = 0").select(F.lower("p_type").alias("p_type")))
+    return Q.values_to_have_consistent_casing(planted, "p_type")
 
 
 # --- strings ---------------------------------------------------------------
@@ -388,7 +407,7 @@ def _q43(s, sf):
 
 @reg("q44_distinct_count_equal_other_table",
      "WITH a AS (SELECT count(DISTINCT o_custkey) AS expression FROM orders), "
-     "b AS (SELECT count(DISTINCT c_custkey) AS compare_expression FROM customer) "
+     "b AS (SELECT count(DISTINCT c_nationkey) AS compare_expression FROM customer) "
      "SELECT a.expression, b.compare_expression, abs(coalesce(a.expression, 0) - coalesce(b.compare_expression, 0)) "
      "AS expression_difference, abs(coalesce(a.expression, 0) - coalesce(b.compare_expression, 0)) / "
      "nullif(a.expression * 1.0, 0) AS expression_difference_percent FROM a CROSS JOIN b "
@@ -396,7 +415,7 @@ def _q43(s, sf):
      round6=("expression_difference_percent",))
 def _q44(s, sf):
     return Q.distinct_count_to_equal_other_table(_t(s, sf, "orders"), "o_custkey", _t(s, sf, "customer"),
-                                                 "c_custkey")
+                                                 "c_nationkey")
 
 
 @reg("q45_distinct_values_in_set",
@@ -461,9 +480,9 @@ def _q48f(s, sf):
 
 
 @reg("q48g_unique_value_count_between",
-     _between_sql("lineitem", "l_returnflag", "count(DISTINCT l_partkey)", 1998, None))
+     _between_sql("lineitem", "l_returnflag", "count(DISTINCT l_partkey)", 1000000, None))
 def _q48g(s, sf):
-    return Q.unique_value_count_to_be_between(_t(s, sf, "lineitem"), "l_partkey", min_value=1998,
+    return Q.unique_value_count_to_be_between(_t(s, sf, "lineitem"), "l_partkey", min_value=1000000,
                                               group_by=["l_returnflag"])
 
 
@@ -483,9 +502,9 @@ def _q50(s, sf):
 @reg("q51_most_common_value_in_set",
      "SELECT value_field FROM (SELECT c_nationkey AS value_field, row_number() OVER (ORDER BY count(*) DESC, "
      "c_nationkey ASC) AS value_count_rank FROM customer GROUP BY c_nationkey) WHERE value_count_rank = 1 "
-     "AND value_field NOT IN (1, 2, 3)")
+     "AND value_field NOT IN (101, 102)")
 def _q51(s, sf):
-    return Q.most_common_value_to_be_in_set(_t(s, sf, "customer"), "c_nationkey", [1, 2, 3], top_n=1,
+    return Q.most_common_value_to_be_in_set(_t(s, sf, "customer"), "c_nationkey", [101, 102], top_n=1,
                                             quote_values=False, data_type="int")
 
 
@@ -499,13 +518,14 @@ def _q52(s, sf):
 
 
 @reg("q53_unique_within_record",
-     "SELECT * FROM lineitem WHERE NOT (l_partkey IS NULL AND l_suppkey IS NULL AND l_linenumber IS NULL) AND "
-     "len(list_distinct([CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)])) < "
-     "len(list_filter([CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)], "
-     "lambda x: x IS NOT NULL))")
+     "WITH li AS (SELECT * REPLACE (nullif(l_suppkey, 3) AS l_suppkey, nullif(l_linenumber, 7) AS l_linenumber) "
+     "FROM lineitem), k AS (SELECT row_number() OVER () AS rn, * FROM li), "
+     "n AS (SELECT rn, count(DISTINCT v) AS n FROM (SELECT rn, unnest([l_partkey, l_suppkey, l_linenumber]) AS v "
+     "FROM k) GROUP BY 1) SELECT k.* EXCLUDE (rn) FROM k JOIN n USING (rn) WHERE n.n < 3")
 def _q53(s, sf):
-    return Q.select_column_values_to_be_unique_within_record(_t(s, sf, "lineitem"),
-                                                             ["l_partkey", "l_suppkey", "l_linenumber"])
+    li = _t(s, sf, "lineitem").withColumns({"l_suppkey": F.nullif("l_suppkey", F.lit(3)),
+                                            "l_linenumber": F.nullif("l_linenumber", F.lit(7))})
+    return Q.select_column_values_to_be_unique_within_record(li, ["l_partkey", "l_suppkey", "l_linenumber"])
 
 
 @reg("q54_multicolumn_sum_equal", "SELECT * FROM lineitem WHERE l_quantity < 5 AND NOT (l_quantity + l_linenumber = 6)")
@@ -599,6 +619,30 @@ def _q60i(s, sf):
                                                           row_condition="o_orderpriority = '1-URGENT'")
 
 
+@reg("q60_data_for_every_hour", """
+WITH b AS (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) AS hi FROM events WHERE event_type = 'error'),
+spine AS (SELECT d AS date_hour FROM b, range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 HOUR) t(d)),
+m AS (SELECT date_trunc('hour', ts) AS date_hour, count(*) AS row_cnt FROM events WHERE event_type = 'error' GROUP BY 1)
+SELECT spine.date_hour, m.date_hour IS NULL AS is_missing, coalesce(m.row_cnt, 0) AS row_cnt
+FROM spine LEFT JOIN m ON spine.date_hour = m.date_hour WHERE coalesce(m.row_cnt, 0) = 0""")
+def _q60h(s, sf):
+    return Q.row_values_to_have_data_for_every_n_datepart(_t(s, sf, "events"), "ts", "hour",
+                                                          row_condition="event_type = 'error'")
+
+
+@reg("q60_data_for_every_quarter", """
+WITH o AS (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND quarter(o_orderdate) <> 2),
+b AS (SELECT date_trunc('quarter', min(o_orderdate)) AS lo, date_trunc('quarter', max(o_orderdate)) AS hi FROM o),
+spine AS (SELECT d AS date_quarter FROM b, range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 3 MONTH) t(d)),
+m AS (SELECT CAST(date_trunc('quarter', o_orderdate) AS TIMESTAMP) AS date_quarter, count(*) AS row_cnt FROM o GROUP BY 1)
+SELECT spine.date_quarter, m.date_quarter IS NULL AS is_missing, coalesce(m.row_cnt, 0) AS row_cnt
+FROM spine LEFT JOIN m ON spine.date_quarter = m.date_quarter WHERE coalesce(m.row_cnt, 0) = 0""")
+def _q60q(s, sf):
+    return Q.row_values_to_have_data_for_every_n_datepart(
+        _t(s, sf, "orders"), "o_orderdate", "quarter",
+        row_condition="o_orderpriority = '1-URGENT' AND quarter(o_orderdate) <> 2")
+
+
 @reg("q62_unique_column_combination",
      "SELECT o_custkey, o_orderpriority, count(*) AS n_records FROM orders GROUP BY 1, 2 HAVING count(*) > 1")
 def _q62(s, sf):

@@ -15,9 +15,12 @@ from marketlake.plans.oracle import CANDLE_DEC, GOLD_DEC, ORACLE_SQL, TRADE_DEC,
 from marketlake.plans.pipeline import events_bronze
 from marketlake.plans.present import present
 from marketlake.plans.quality_catalog import reg
-from marketlake.session import ensure_conf, scratch_path
+from marketlake.session import ensure_conf, scratch_path, stored_table
 from marketlake.sources.adapters import events_as_kafka
-from marketlake.sources.bronze import read_bronze, write_bronze_batch
+from marketlake.sources.bronze import (
+    publish_days, read_bronze, read_bronze_published, stale_days, write_bronze_batch,
+)
+from marketlake.sources.silver import read_silver, write_silver
 from marketlake.streaming import jobs as Z
 
 WATERMARK = "1 hour"
@@ -91,23 +94,83 @@ GOLD_DAY_SELECT = ("exchange, symbol, metric_ts, metric_date, open, high, low, c
                    "avg_mid_price, median_mid_price")
 
 
+def _late(col="event_ts"):
+    """A late batch in the middle of the range: part of the trades of three days."""
+    ts = F.col(col)
+    inside = (ts >= F.lit("2024-01-10").cast("timestamp")) & (ts < F.lit("2024-01-13").cast("timestamp"))
+    return inside & (F.pmod(F.xxhash64("trade_id"), F.lit(3)) == 0)
+
+
+def _gold_before_late(s, sf, name, bucket):
+    """Bronze, silver and gold without the late trades; paths and the late trades."""
+    base = scratch_path(s, name)
+    paths = {k: f"{base}/{k}" for k in ("trades", "depth", "bronze", "gold")}
+    write_bronze_batch(events_bronze(s, sf), paths["bronze"])
+    b = read_bronze(s, paths["bronze"])
+    t = stored_table(stg_trades(b), "staged")
+    write_silver(t.filter(~_late()), paths["trades"])
+    write_silver(stg_depth(b), paths["depth"])
+    write_gold(market_metrics(read_silver(s, paths["trades"]), read_silver(s, paths["depth"]), b, bucket,
+                              exact_median=True), paths["gold"])
+    return paths, t.filter(_late())
+
+
+def _present_gold(s, path):
+    return present(read_gold(s, path), round6=("spread_bps", "volatility", "volatility_60m", "avg_mid_price"))
+
+
+def _refreshed(s, sf, name, bucket, times=1):
+    """The late batch applied with default arguments must equal a full rebuild, also when it is applied again."""
+    p, late = _gold_before_late(s, sf, name, bucket)
+    for _ in range(times):
+        write_silver(late, p["trades"])
+        Z.refresh_gold_for_batch(s, p["trades"], p["depth"], p["bronze"], p["gold"], late, bucket, exact_median=True)
+    return _present_gold(s, p["gold"])
+
+
 @reg("z6_incremental_gold_day", as_double(with_events(_bars("day"), _gold()) + f"\nSELECT {GOLD_DAY_SELECT} FROM gold",
                                           GOLD_DEC))
 def _z6(s, sf):
-    """Initial gold from trades before 2024-01-20, then one late micro-batch
-    (the rest) applied by the incremental refresh; must equal a full rebuild."""
-    base = scratch_path(s, "z6")
-    write_bronze_batch(events_bronze(s, sf), f"{base}/bronze")
-    b = read_bronze(s, f"{base}/bronze")
-    t, d = stg_trades(b), stg_depth(b)
-    cut = F.col("event_ts") < F.lit("2024-01-20").cast("timestamp")
-    t.filter(cut).write.parquet(f"{base}/trades")
-    d.write.parquet(f"{base}/depth")
-    t0 = s.read.parquet(f"{base}/trades")
-    write_gold(market_metrics(t0, s.read.parquet(f"{base}/depth"), b, "day", exact_median=True), f"{base}/gold")
-    late = t.filter(~cut)
-    late.write.mode("append").parquet(f"{base}/trades")
-    Z.refresh_gold_for_batch(s, f"{base}/trades", f"{base}/depth", f"{base}/bronze", f"{base}/gold",
-                             late.select(F.to_date("event_ts").alias("metric_date")), bucket="day", lookback_days=90)
-    g = read_gold(s, f"{base}/gold")
-    return present(g, round6=("spread_bps", "volatility", "volatility_60m", "avg_mid_price"))
+    return _refreshed(s, sf, "z6", "day")
+
+
+@reg("z6_incremental_gold_minute", as_double(with_events(_bars("minute"), _gold())
+                                             + f"\nSELECT {GOLD_DAY_SELECT} FROM gold", GOLD_DEC))
+def _z6m(s, sf):
+    return _refreshed(s, sf, "z6m", "minute")
+
+
+@reg("z6_replayed_batch_hour", as_double(with_events(_bars("hour"), _gold())
+                                         + f"\nSELECT {GOLD_DAY_SELECT} FROM gold", GOLD_DEC))
+def _z6r(s, sf):
+    return _refreshed(s, sf, "z6r", "hour", times=2)
+
+
+@reg("z7_repaired_late_rows_hour", as_double(with_events(_bars("hour"), _gold())
+                                             + f"\nSELECT {GOLD_DAY_SELECT} FROM gold", GOLD_DEC))
+def _z7(s, sf):
+    """The late trades never reached silver; the repair job finds them in bronze."""
+    p, _ = _gold_before_late(s, sf, "z7", "hour")
+    Z.repair_days(s, p["trades"], p["depth"], p["bronze"], p["gold"], "2024-01-10", "2024-01-12", "hour", True)
+    return _present_gold(s, p["gold"])
+
+
+@reg("k2_published_bronze", ORACLE_SQL["b7_bronze_events"])
+def _k2(s, sf):
+    """Stream half of the records, publish two days, stream the rest (late
+    rows for these days too), publish a third day and the stale ones: every
+    row once.  The second run of the stream resumes from its checkpoint."""
+    base = scratch_path(s, "k2")
+    log, landing, table = f"{base}/log", f"{base}/landing", f"{base}/table"
+    records = stored_table(events_as_kafka(s, sf), "records")
+    half = F.pmod(F.col("offset"), F.lit(4)) < 2
+    for k, part in enumerate((records.filter(half), records.filter(~half))):
+        part.write.mode("append").parquet(log)
+        Z.start_bronze_ingest(Z.read_records_stream(s, log), landing, f"{base}/_ckpt", available_now=True).awaitTermination()
+        publish_days(s, landing, table, *(("2024-01-05", "2024-01-06") if k == 0 else ("2024-01-08", "2024-01-08")))
+    stale = stale_days(s, landing, table).agg(F.min("dt"), F.max("dt")).first()
+    if stale[0]:
+        publish_days(s, landing, table, *stale)
+    b = read_bronze_published(s, landing, table)
+    return b.select("stream_kind", "exchange", "symbol", "event_ts_ms", "ingest_ts", "kafka_topic",
+                    "kafka_partition", "kafka_offset", "kafka_ts", "dt")

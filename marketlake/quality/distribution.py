@@ -72,6 +72,10 @@ def _now_sql(now):
     return f"timestamp'{now}'" if now is not None else "current_timestamp()"
 
 
+SPINE_STEP = {"minute": "1 minute", "hour": "1 hour", "day": "1 day", "week": "7 days", "month": "1 month",
+              "quarter": "3 months", "year": "1 year"}
+
+
 def row_values_to_have_data_for_every_n_datepart(df, date_col, date_part="day", interval=None,
                                                  row_condition=None, exclusion_condition=None,
                                                  test_start_date=None, test_end_date=None):
@@ -89,10 +93,9 @@ def row_values_to_have_data_for_every_n_datepart(df, date_col, date_part="day",
     lo = F.lit(test_start_date).cast("date") if test_start_date else F.col("_lo")
     hi = F.lit(test_end_date).cast("date") if test_end_date else F.col("_hi")
     bounds = bounds.select(lo.alias("_lo"), hi.alias("_hi"))
-    step = F.expr(f"make_interval(0, {1 if date_part == 'month' else 0}, {1 if date_part == 'week' else 0}, "
-                  f"{1 if date_part == 'day' else 0})") if date_part in ("day", "week", "month") else None
-    if step is None:
-        raise ValueError("date_part must be day, week or month")
+    if date_part not in SPINE_STEP:
+        raise ValueError(f"date_part must be one of {sorted(SPINE_STEP)}")
+    step = F.expr(f"interval {SPINE_STEP[date_part]}")
     dp = f"date_{date_part}"
     spine = bounds.filter(F.col("_hi") > F.col("_lo")).select(
         "_lo", F.explode(F.sequence(F.date_trunc(date_part, F.col("_lo")),
@@ -116,16 +119,19 @@ def row_values_to_have_data_for_every_n_datepart(df, date_col, date_part="day",
 
 def _periods_between(start, end, date_part):
     s, e = start.cast("date"), end.cast("date")
+    if date_part in ("hour", "minute"):
+        seconds = F.unix_timestamp(F.date_trunc(date_part, end)) - F.unix_timestamp(F.date_trunc(date_part, start))
+        return F.floor(seconds / (3600 if date_part == "hour" else 60))
     if date_part == "day":
         return F.datediff(e, s)
     if date_part == "week":
         return F.floor(F.datediff(F.date_trunc("week", e).cast("date"), F.date_trunc("week", s).cast("date")) / 7)
+    if date_part == "quarter":
+        return (F.year(e) - F.year(s)) * 4 + F.quarter(e) - F.quarter(s)
+    if date_part == "year":
+        return F.year(e) - F.year(s)
     return (F.year(e) - F.year(s)) * 12 + F.month(e) - F.month(s)
 
 
 def _add_periods(ts, n, date_part):
-    if date_part == "day":
-        return F.timestamp_add("DAY", n, ts)
-    if date_part == "week":
-        return F.timestamp_add("WEEK", n, ts)
-    return F.timestamp_add("MONTH", n, ts)
+    return F.timestamp_add(date_part.upper(), n, ts)

@@ -25,15 +25,16 @@ def compound_columns_to_be_unique(df, column_list, ignore_row_if_mode="all_value
 
 def select_column_values_to_be_unique_within_record(df, column_list, ignore_row_if_mode="all_values_are_missing",
                                                     row_condition=None, ignore_row_if=None):
-    """Q53: rows where two of the listed columns hold the same non-NULL value.
+    """Q53: rows with fewer distinct non-NULL values than listed columns, so
+    a repeated value and a NULL both violate.
 
     Row-local: ``size(array_distinct(array_compact(array(cols))))`` against
-    the number of non-NULL values; no shuffle, no global sort.
+    the number of columns; no shuffle, no global sort.
     """
     mode = ignore_row_if or ignore_row_if_mode
     base = where(df, row_condition).filter(keep_row(column_list, mode))
     vals = F.array_compact(F.array(*[F.col(c).cast("string") for c in column_list]))
-    return row_violations(base, F.size(F.array_distinct(vals)) < F.size(vals))
+    return row_violations(base, F.size(F.array_distinct(vals)) < len(column_list))
 
 
 def multicolumn_sum_to_equal(df, column_list, sum_total, row_condition=None):

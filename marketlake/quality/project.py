@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -9,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions import json_query, json_value
+from marketlake.functions import json_query
 from marketlake.quality.engines import row_violations, where
 from marketlake.schemas import FRESHNESS_ERROR_SECONDS
 
@@ -20,9 +21,8 @@ __all__ = ["required_json_fields", "unique_column_combination", "unique_grain",
 def required_json_fields(df, json_column, required_fields, row_filter="1=1"):
     """Q61: rows whose JSON lacks any required field (neither a scalar nor
     an object/array at ``$.<field>``)."""
-    miss = reduce(lambda a, b: a | b, [
-        json_value(json_column, f"$.{f}").isNull() & json_query(json_column, f"$.{f}").isNull()
-        for f in required_fields])
+    # json_query gives scalars and containers alike, so one read per field decides
+    miss = reduce(lambda a, b: a | b, [json_query(json_column, f"$.{f}").isNull() for f in required_fields])
     return row_violations(df, miss, row_filter)
 
 
@@ -89,6 +89,27 @@ def _resolve(check):
     return getattr(q, check)
 
 
+_COMPARE = {"!=": lambda a, b: a != b, "<>": lambda a, b: a != b, "=": lambda a, b: a == b, "==": lambda a, b: a == b,
+            ">=": lambda a, b: a >= b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, "<": lambda a, b: a < b}
+
+
+def _compare(failures, rule: str):
+    """``rule`` is an operator and a whole number, e.g. ``> 10``."""
+    m = re.fullmatch(r"\s*(!=|<>|==|=|>=|<=|>|<)\s*(-?\d+)\s*", rule)
+    if not m:
+        raise ValueError(f"threshold {rule!r} is not an operator and a whole number")
+    return _COMPARE[m[1]](failures, F.lit(int(m[2])))
+
+
+def _result(s: CheckSpec, failures) -> list:
+    """The result columns of one check; its thresholds apply to its own row only."""
+    hit_err, hit_warn = (_compare(failures, rule) for rule in (s.error_if, s.warn_if))
+    status = F.when(hit_err if s.severity == "error" else F.lit(False), F.lit("error")) \
+        .when(hit_warn, F.lit("warn")).otherwise(F.lit("pass"))
+    return [F.lit(s.name).alias("check_name"), F.lit(s.model).alias("model"),
+            failures.cast("bigint").alias("failures"), F.lit(s.severity).alias("severity"), status.alias("status")]
+
+
 def run_suite(specs: list[CheckSpec], tables: dict[str, DataFrame]) -> DataFrame:
     """Q66: evaluate checks; one result row per enabled check with
     ``failures`` and ``status`` (pass / warn / error).
@@ -102,9 +123,8 @@ def run_suite(specs: list[CheckSpec], tables: dict[str, DataFrame]) -> DataFrame
     spark = next(iter(tables.values())).sparkSession
     fused: dict[int, tuple[DataFrame, list[tuple[CheckSpec, object]]]] = {}
     parts: list[DataFrame] = []
-    for s in specs:
-        if not s.enabled:
-            continue
+    enabled = [s for s in specs if s.enabled]
+    for at, s in enumerate(enabled):
         kw = dict(s.kwargs)
         if s.compare_model:
             kw["compare_df"] = tables[s.compare_model]
@@ -112,32 +132,15 @@ def run_suite(specs: list[CheckSpec], tables: dict[str, DataFrame]) -> DataFrame
         tag = getattr(viol, "_ml_violation", None)
         if tag is not None and s.fail_calc == "count(*)":
             base, pred = tag
-            fused.setdefault(id(base), (base, []))[1].append((s, pred))
+            fused.setdefault(id(base), (base, []))[1].append((at, pred))
         else:
-            parts.append(viol.agg(F.expr(s.fail_calc).cast("bigint").alias("failures"))
-                         .select(F.lit(s.name).alias("check_name"), F.lit(s.model).alias("model"),
-                                 F.coalesce("failures", F.lit(0)).alias("failures")))
+            one = viol.agg(F.coalesce(F.expr(s.fail_calc).cast("bigint"), F.lit(0)).alias("failures"))
+            parts.append(one.select(*_result(s, F.col("failures"))))
     for base, items in fused.values():
-        aggs = [F.count_if(p).alias(f"c{i}") for i, (_, p) in enumerate(items)]
-        stack = ", ".join(f"'{s.name}', '{s.model}', c{i}" for i, (s, _) in enumerate(items))
-        parts.append(base.agg(*aggs).selectExpr(
-            f"stack({len(items)}, {stack}) AS (check_name, model, failures)"))
+        counts = base.agg(*[F.count_if(p).alias(f"c{at}") for at, p in items])
+        results = F.array(*[F.struct(*_result(enabled[at], F.col(f"c{at}"))) for at, _ in items])
+        parts.append(counts.select(F.explode(results).alias("r")).select("r.*"))
     if not parts:
         return spark.createDataFrame([], "check_name string, model string, failures bigint, severity string, "
                                          "status string")
-    res = reduce(lambda a, b: a.unionByName(b), parts)
-    meta = spark.createDataFrame([(s.name, s.severity, s.warn_if, s.error_if) for s in specs if s.enabled],
-                                 "check_name string, severity string, warn_if string, error_if string")
-    res = res.join(F.broadcast(meta), "check_name")
-    status = F.lit("pass")
-    # Thresholds are compile-time strings, so evaluate per distinct rule.
-    for s in specs:
-        if not s.enabled:
-            continue
-        hit_err = F.expr(f"failures {s.error_if}")
-        hit_warn = F.expr(f"failures {s.warn_if}")
-        st = (F.when((F.lit(s.severity) == "error") & hit_err, F.lit("error"))
-              .when(hit_warn, F.lit("warn")).otherwise(F.lit("pass")))
-        status = F.when(F.col("check_name") == s.name, st).otherwise(status)
-    return res.select("check_name", "model", F.col("failures").cast("bigint").alias("failures"), "severity",
-                      status.alias("status"))
+    return reduce(lambda a, b: a.unionByName(b), parts)

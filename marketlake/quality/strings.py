@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import functions as F
 
 from marketlake.quality.engines import row_violations
@@ -29,13 +27,14 @@ def regex_matches(column, regex: str, flags: str = "", is_raw: bool = False):
 
     Flags become an inline group, e.g. ``(?i)``.  ``U`` (ungreedy) has no
     Java inline equivalent and is rejected.  ``is_raw`` only matters for
-    templated SQL (escaping); a Python string is passed through as is.
+    templated SQL (escaping); a Python string is passed through as is.  The
+    pattern is checked by the engine that runs it: a malformed one fails the
+    query.
     """
     validate_flags(flags)
     if "U" in flags:
         raise ValueError("ungreedy flag U is not supported by Java regular expressions")
     pattern = f"(?{flags}){regex}" if flags else regex
-    re.compile(regex)  # fail fast on a malformed pattern
     return F.col(column).rlike(pattern)
 
 

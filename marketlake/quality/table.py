@@ -49,10 +49,11 @@ def row_values_to_have_recent_data(df, column, datepart, interval, row_condition
 def grouped_row_values_to_have_recent_data(df, group_by, timestamp_column, datepart, interval,
                                            row_condition=None, now=None):
     """Q7: groups whose newest non-future timestamp is too old.  Groups only
-    exist where rows exist, so an empty table passes (as in the SQL form)."""
+    exist where rows exist, so an empty table passes, and rows with a NULL
+    key belong to no group (both as in the SQL form's equality join)."""
     now_c = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
     ts = F.col(timestamp_column).cast("timestamp")
-    g = (where(df, row_condition).filter(ts <= now_c).groupBy(*group_by)
+    g = (where(df, row_condition).filter(ts <= now_c).dropna(subset=list(group_by)).groupBy(*group_by)
          .agg(F.max(ts).alias("latest_timestamp_column"), F.lit(1).alias("row_count")))
     limit = F.timestamp_add(datepart.upper(), F.lit(-interval), now_c)
     return g.filter(F.col("latest_timestamp_column") < limit)

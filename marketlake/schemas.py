@@ -42,7 +42,7 @@ FRESHNESS_ERROR_SECONDS = 300
 DLQ_ALERT_THRESHOLD = 25
 # ---------------------------------------------------------------------------
 
-PRICE_TYPE = T.DecimalType(20, 9)
+PRICE_TYPE = T.DecimalType(38, 9)  # fixed: the warehouse's numeric type
 
 BRONZE_PARTITION_COLUMNS = ["dt", "symbol", "exchange"]
 

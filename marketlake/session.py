@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results depend on (not tuning): all timestamps are UTC and
 # Hive-style partition values (dt, symbol, exchange) stay strings.
@@ -66,14 +66,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster this names a
-    shared filesystem).  Only when it is unset -- local tests -- a private
-    folder is created once per process and registered as the context's
-    checkpoint directory (the core setting itself is never modified).
+    shared filesystem).  Only when it is unset and everything runs in this
+    process (``local[...]``, tests) a private folder is created once; a
+    cluster without the setting is refused, as executors cannot see such a
+    folder.
     """
     sc = spark.sparkContext
     root = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
             or sc.getCheckpointDir())
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
         if not _LOCAL_ROOT:
             _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="marketlake-ckpt-"))
         root = _LOCAL_ROOT[0]
@@ -85,14 +88,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root for one job's output."""
     root = checkpoint_root(spark)
-    return f"{root}/marketlake-scratch/{name}-{os.getpid()}-{next(_counter)}"
+    return f"{root}/marketlake-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read again: computed
+    once, fixed for all later uses, and safe from the loss of an executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

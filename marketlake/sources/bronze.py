@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def read_bronze(spark: SparkSession, base: str, dt_from: str | None = None, dt_t
 
 
 def write_bronze_batch(bronze: DataFrame, base: str, mode: str = "append",
-                       max_records_per_file: int | None = None, layout: str = "hive") -> None:
+                       max_records_per_file: int | None = None, layout: str = "hive", replace: str = "static") -> None:
     """K1/K2 (batch form): append bronze rows.
 
     ``layout="hive"`` writes ``dt=/symbol=/exchange=`` directories (the
@@ -46,6 +47,10 @@ def write_bronze_batch(bronze: DataFrame, base: str, mode: str = "append",
     gets whole directories (few files each), AQE merges small partitions and
     splits a skewed one (a hot day or symbol) over several writers, with no
     sampling pass over the input.
+
+    With ``mode="overwrite"``, ``replace`` says what goes: everything
+    (``static``) or only the directories that are written (``dynamic``),
+    whatever the session's setting.
     """
     if layout == "flat":
         # One directory; each file holds whole days sorted by (dt, symbol,
@@ -62,7 +67,7 @@ def write_bronze_batch(bronze: DataFrame, base: str, mode: str = "append",
              .write.mode(mode).partitionBy(*keys))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(base)
+    w.option("partitionOverwriteMode", replace).parquet(base)
 
 
 def count_parquet(spark: SparkSession, path: str) -> int:
@@ -75,20 +80,48 @@ def count_table(spark: SparkSession, name: str) -> int:
     return spark.table(name).count()
 
 
-def compact_bronze(spark: SparkSession, base: str, dt_from: str, dt_to: str, staging: str,
-                   layout: str = "hive") -> int:
-    """K2 (compaction): rewrite the files of closed days ``[dt_from, dt_to]``.
+PUBLISHED = "dt string, row_count bigint, published_at timestamp"
+
+
+def publish_days(spark: SparkSession, landing: str, table: str, dt_from: str, dt_to: str, layout: str = "hive") -> None:
+    """K2/K3: rewrite the days ``[dt_from, dt_to]`` of the streaming sink's
+    ``landing`` folder as few large files in ``table/data``.
 
-    A streaming sink writes one file per directory per task and micro-batch.
-    The days are first copied to ``staging`` (a table in the shared
-    checkpoint folder, which also cuts lineage), then written back over only
-    those day partitions with dynamic partition overwrite, one writer per
-    directory.  Returns the number of rows rewritten.
+    The sink keeps a log of the files it wrote, which its readers follow, so
+    the landing folder is never touched; it stays the full record.  Only the
+    day directories that are written are replaced, from all that landing
+    holds for them, so publishing a day again is safe and picks up late rows.
+    When the data is in place, ``table/published`` gets one row per day with
+    its row count -- the commit marker that readers go by.
     """
-    keys = BRONZE_PARTITION_COLUMNS if layout == "hive" else ["dt"]
-    write_bronze_batch(read_bronze(spark, base, dt_from, dt_to), staging, mode="overwrite", layout=layout)
-    staged = read_bronze(spark, staging)
-    (staged.hint("rebalance", *keys)
-     .sortWithinPartitions("dt", "symbol", "exchange", "kafka_topic", "kafka_partition", "kafka_offset")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(base))
-    return staged.count()
+    days = read_bronze(spark, landing, dt_from, dt_to)
+    write_bronze_batch(days, f"{table}/data", mode="overwrite", layout=layout, replace="dynamic")
+    # the counts come from what was written, not from a landing folder that may have grown
+    counts = read_bronze(spark, f"{table}/data", dt_from, dt_to).groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
+    counts.withColumn("published_at", F.current_timestamp()).write.mode("append").parquet(f"{table}/published")
+
+
+def published_days(spark: SparkSession, table: str) -> DataFrame:
+    """K3: ``dt, row_count`` as last published."""
+    try:
+        log = spark.read.schema(PUBLISHED).parquet(f"{table}/published")
+    except AnalysisException:  # nothing published yet
+        return spark.createDataFrame([], "dt string, row_count bigint")
+    last = log.groupBy("dt").agg(F.max_by("row_count", "published_at").alias("row_count"))
+    return last
+
+
+def stale_days(spark: SparkSession, landing: str, table: str) -> DataFrame:
+    """``dt`` of published days that have got more rows in ``landing`` since."""
+    now = read_bronze(spark, landing).groupBy("dt").agg(F.count(F.lit(1)).alias("landed"))
+    return now.join(published_days(spark, table), "dt").filter("landed <> row_count").select("dt")
+
+
+def read_bronze_published(spark: SparkSession, landing: str, table: str, dt_from: str | None = None,
+                          dt_to: str | None = None) -> DataFrame:
+    """Every bronze row once: published days from the table, all others from landing."""
+    days = published_days(spark, table).select("dt")
+    open_days = read_bronze(spark, landing, dt_from, dt_to).join(days, "dt", "left_anti")
+    if days.isEmpty():
+        return open_days
+    return read_bronze(spark, f"{table}/data", dt_from, dt_to).unionByName(open_days)

@@ -16,14 +16,16 @@ from marketlake.schemas import TOPIC_KIND
 
 def source_options(bootstrap: str, topics=None, starting_offsets: str = "earliest",
                    group_id_prefix: str = "marketlake-bronze", min_partitions: int | None = None,
-                   max_offsets_per_trigger: int | None = None) -> dict:
+                   max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict:
     """One multi-topic subscription (the union of the four raw
     topics plus the dead-letter topic), earliest start, progress kept in the
-    query checkpoint (the group id only names the consumer)."""
+    query checkpoint (the group id only names the consumer).  Records that
+    the topic's retention removed before they were read fail the query,
+    unless ``fail_on_data_loss`` is switched off."""
     topics = list(topics or TOPIC_KIND.keys())
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": ",".join(topics),
             "startingOffsets": starting_offsets, "groupIdPrefix": group_id_prefix,
-            "failOnDataLoss": "false", "includeHeaders": "false"}
+            "failOnDataLoss": str(fail_on_data_loss).lower(), "includeHeaders": "false"}
     if min_partitions:
         opts["minPartitions"] = str(min_partitions)
     if max_offsets_per_trigger:
@@ -59,3 +61,21 @@ def to_kafka_rows(events: DataFrame, topic: str, key_cols=("venue", "symbol")) -
     return events.select(venue_symbol_key(*key_cols).alias("key"),
                          F.to_json(F.struct(*[F.col(c) for c in events.columns])).alias("value"),
                          F.lit(topic).alias("topic"))
+
+
+def write_routed(routed: DataFrame, options: dict, fmt: str = "kafka") -> None:
+    """K6/K7: publish routed rows (valid events and dead letters alike) to the
+    topic that each row names."""
+    routed.select("key", "value", "topic").write.format(fmt).mode("append").options(**options).save()
+
+
+def start_routed_writer(routed: DataFrame, options: dict, checkpoint: str, fmt: str = "kafka", path: str | None = None,
+                        available_now: bool = False, trigger_seconds: int = 10):
+    """K6/K7 as a stream.  A file format (with ``path``) stands in for the
+    broker: one folder per topic."""
+    w = (routed.select("key", "value", "topic").writeStream.format(fmt).outputMode("append")
+         .options(**options).option("checkpointLocation", checkpoint))
+    if fmt != "kafka":
+        w = w.partitionBy("topic")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_seconds} seconds")
+    return w.start(path) if path else w.start()

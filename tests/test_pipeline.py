@@ -36,22 +36,52 @@ def test_user_registered_check_in_suite(spark):
     assert res.failures == 3 and res.status == "error"
 
 
-def test_compact_bronze_rewrites_only_closed_days(spark):
+def test_rebuild_gives_the_same_tables(spark):
+    """Twice in a row, under both settings of partition overwrite."""
+    layout = Layout(scratch_path(spark, "t-rebuild"))
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    sums = set()
+    try:
+        for mode in ("dynamic", "static"):
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+            out = build_all(spark, events_bronze(spark, SF001), layout, bucket="hour")
+            gold = spark.read.parquet(out["fct_market_metrics"])
+            sums.add(tuple(gold.agg(F.count("*"), F.sum("trade_count"), F.sum("dead_letter_count")).first())
+                     + (read_bronze(spark, out["bronze"]).count(),))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert len(sums) == 1
+
+
+def test_same_check_name_on_two_models(spark):
+    a, b = spark.range(5).withColumn("v", F.lit(None).cast("int")), spark.range(5).withColumn("v", F.lit(1))
+    specs = [CheckSpec("n'n", "a", "values_to_not_be_null", {"column": "v"}),
+             CheckSpec("n'n", "b", "values_to_not_be_null", {"column": "v"}, severity="warn")]
+    got = {(r.check_name, r.model, r.failures, r.severity, r.status) for r in run_suite(specs, {"a": a, "b": b}).collect()}
+    assert got == {("n'n", "a", 5, "error", "error"), ("n'n", "b", 0, "warn", "pass")}
+
+
+def test_published_days_take_late_rows(spark):
     import glob
 
-    from marketlake.sources.adapters import events_as_kafka
-    from marketlake.sources.bronze import compact_bronze, write_bronze_batch
     from marketlake.operators.bronze import to_bronze
+    from marketlake.sources.adapters import events_as_kafka
+    from marketlake.sources.bronze import (
+        publish_days, published_days, read_bronze_published, stale_days, write_bronze_batch,
+    )
 
-    base = scratch_path(spark, "t-compact")
+    base = scratch_path(spark, "t-publish")
+    landing, table, day = f"{base}/landing", f"{base}/table", "2024-01-05"
     b = to_bronze(events_as_kafka(spark, SF001))
-    # two appends of different halves -> two files per touched directory
-    write_bronze_batch(b.filter("kafka_offset % 2 = 0"), f"{base}/bronze")
-    write_bronze_batch(b.filter("kafka_offset % 2 = 1"), f"{base}/bronze")
-    day = f"{base}/bronze/dt=2024-01-05"
-    before = len(glob.glob(f"{day}/*/*/*.parquet"))
-    total = read_bronze(spark, f"{base}/bronze").count()
-    n = compact_bronze(spark, f"{base}/bronze", "2024-01-05", "2024-01-05", f"{base}/staging")
-    after = len(glob.glob(f"{day}/*/*/*.parquet"))
-    assert n > 0 and after < before
-    assert read_bronze(spark, f"{base}/bronze").count() == total
+    assert published_days(spark, table).count() == 0
+    write_bronze_batch(b.filter("kafka_offset % 4 = 0"), landing)
+    write_bronze_batch(b.filter("kafka_offset % 4 = 1"), landing)
+    publish_days(spark, landing, table, day, day)
+    assert stale_days(spark, landing, table).count() == 0
+    write_bronze_batch(b.filter("kafka_offset % 4 > 1"), landing)
+    assert [r.dt for r in stale_days(spark, landing, table).collect()] == [day]
+    publish_days(spark, landing, table, day, day)
+    files = lambda root: len(glob.glob(f"{root}/dt={day}/*/*/*.parquet"))
+    assert files(f"{table}/data") < files(landing)
+    got = read_bronze_published(spark, landing, table).select(*b.columns)
+    assert got.exceptAll(b).count() == 0 and b.exceptAll(got).count() == 0
