@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import parts, stored
 
-SHARD_NODES, LINKS, CANDIDATES, WIDTH, QUERY_BLOCK, NEAREST = 4096, 16, 64, 160, 512, 10
+SHARD_NODES, LINKS, CANDIDATES, WIDTH, QUERY_BLOCK, NEAREST = 4096, 16, 64, 80, 512, 10
 
 
 class Graph:
