@@ -1,14 +1,12 @@
 """Date dimension (D4) and 4-5-4 fiscal calendars.
 
 Calendar tables are bounded by the length of the date range, not by data
-volume.  The few order-dependent steps run over per-year rows (tens of
-rows), and the week lookup is an equi-join on a computed week-start date
-instead of a BETWEEN range join.
+volume; every attribute of a day is arithmetic on that day.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.calendar import functions as C
@@ -61,64 +59,57 @@ def date_dimension(bounds: DataFrame, start: str = "start_date", end: str = "end
     )
 
 
+def _year_end(year: Column, month: int, last_day_of_week: int) -> Column:
+    """The day of the week ``last_day_of_week`` (1 = Sunday) that is nearest
+    to the end of ``month`` in ``year``: at most three days off, so unique."""
+    month_end = F.last_day(F.make_date(year, F.lit(month), F.lit(1)))
+    ahead = F.pmod(F.lit(last_day_of_week + 3) - F.dayofweek(month_end), F.lit(7)) - 3
+    return F.date_add(month_end, ahead)
+
+
 def fiscal_year_dates(dates: DataFrame, year_end_month: int = 12, week_start_day: int = 1,
                       shift_year: int = 1) -> DataFrame:
-    """Each day's fiscal year (ending on the week end closest to the end
-    of ``year_end_month``), its week and its fiscal week of year.
+    """Each day's fiscal year, its week and its fiscal week of year.
 
-    ``week_start_day`` uses the dimension's ``day_of_week`` (1 = Sunday).
-    The first fiscal year in range has no start (no earlier year end) and
-    its days are dropped, as in the SQL form.
+    A fiscal year ends with the week whose last day is nearest to the end of
+    ``year_end_month`` (``week_start_day`` counts from 1 = Sunday) and carries
+    the number of the calendar year of that month less ``shift_year``.  All of
+    it is date arithmetic on the day itself.  Only years that begin after a
+    year end inside the range of ``dates`` and end in it are returned; their
+    bounds are one aggregate row.
     """
-    year_month_end = (dates.filter(F.col("month_of_year") == year_end_month)
-                      .select((F.col("year_number") - shift_year).alias("fiscal_year_number"), "month_end_date")
-                      .distinct())
-    weeks = dates.filter(F.col("day_of_week") == week_start_day).select(
-        "year_number", "month_of_year", F.col("date_day").alias("week_start_date"),
-        F.date_add("date_day", 6).alias("week_end_date"))
-    year_week_ends = (weeks.filter(F.col("month_of_year") == year_end_month)
-                      .select((F.col("year_number") - shift_year).alias("fiscal_year_number"), "week_end_date")
-                      .distinct())
-    w = Window.partitionBy("fiscal_year_number").orderBy(
-        F.abs(F.datediff(F.col("month_end_date"), F.col("week_end_date"))))
-    at_end = (year_week_ends.join(year_month_end, "fiscal_year_number")
-              .withColumn("closest_to_month_end", F.rank().over(w))
-              .filter("closest_to_month_end = 1"))
-    # one row per fiscal year: a window over years, not over days
-    ranges = at_end.select(
-        "fiscal_year_number",
-        F.date_add(F.lag("week_end_date").over(Window.orderBy("week_end_date")), 1).alias("fiscal_year_start_date"),
-        F.col("week_end_date").alias("fiscal_year_end_date"))
-    # each day's week start is computable, so the week lookup is an equi-join
-    offset = (F.col("day_of_week") - F.lit(week_start_day) + 7) % 7
-    days = dates.select("date_day", F.date_sub("date_day", offset).alias("week_start_date"))
-    wk = weeks.select("week_start_date", "week_end_date")
-    j = (days.join(F.broadcast(ranges), (F.col("date_day") >= F.col("fiscal_year_start_date"))
-                   & (F.col("date_day") <= F.col("fiscal_year_end_date")))
-         .join(wk, "week_start_date"))
-    return j.select(
-        "date_day", "fiscal_year_number", "fiscal_year_start_date", "fiscal_year_end_date", "week_start_date",
-        "week_end_date",
-        F.dense_rank().over(Window.partitionBy("fiscal_year_number").orderBy("week_start_date"))
-        .alias("fiscal_week_of_year"))
+    last = (week_start_day + 5) % 7 + 1
+    day, year = F.col("date_day"), F.year("date_day")
+    ends = {k: _year_end(year + k, year_end_month, last) for k in (-2, -1, 0, 1)}
+    # the year end on or after the day: of the year before (early January), this or the next one
+    k = F.when(day <= ends[-1], -1).when(day <= ends[0], 0).otherwise(1)
+    end = F.when(k == -1, ends[-1]).when(k == 0, ends[0]).otherwise(ends[1])
+    before = F.when(k == -1, ends[-2]).when(k == 0, ends[-1]).otherwise(ends[0])
+    week = F.date_sub(day, F.pmod(F.dayofweek(day) - week_start_day, F.lit(7)))
+    bounds = dates.agg(F.min("date_day").alias("_first"), F.max("date_day").alias("_last"))
+    found = dates.select(day, (year + k - shift_year).alias("fiscal_year_number"),
+                         F.date_add(before, 1).alias("fiscal_year_start_date"), end.alias("fiscal_year_end_date"),
+                         week.alias("week_start_date"), F.date_add(week, 6).alias("week_end_date"))
+    weeks = (F.datediff("week_start_date", "fiscal_year_start_date") / 7).cast("int") + 1
+    return (found.crossJoin(F.broadcast(bounds))  # one row
+            .filter((F.col("fiscal_year_start_date") > F.col("_first")) & (F.col("fiscal_year_end_date") <= F.col("_last")))
+            .select(*found.columns, weeks.alias("fiscal_week_of_year")))
+
+
+#: Weeks of a 13-week quarter that its first, second and third period begin after.
+PERIOD_STARTS = (0, 4, 9)
 
 
 def fiscal_periods(dates: DataFrame, year_end_month: int = 12, week_start_day: int = 1,
                    shift_year: int = 1) -> DataFrame:
-    """4-5-4 periods; week 53 goes to the third period of the last
-    quarter, quarters are capped at 4."""
-    f = fiscal_year_dates(dates, year_end_month, week_start_day, shift_year)
-    wk = F.col("fiscal_week_of_year")
-    f = f.withColumn("w13_number", ((wk - 1).cast("int") % 13)) \
-        .withColumn("quarter_number", F.least(F.floor((wk - 1) / 13.0), F.lit(3)).cast("int"))
-    poq = (F.when(wk == 53, 3).when(F.col("w13_number").between(0, 3), 1)
-           .when(F.col("w13_number").between(4, 8), 2).when(F.col("w13_number").between(9, 12), 3))
-    f = f.withColumn("period_of_quarter", poq) \
-        .withColumn("fiscal_period_number", (F.col("quarter_number") * 3 + F.col("period_of_quarter")).cast("int"))
-    return f.select(
-        "date_day", "fiscal_year_number", "week_start_date", "week_end_date", "fiscal_week_of_year",
-        F.dense_rank().over(Window.partitionBy("fiscal_period_number").orderBy("fiscal_week_of_year"))
-        .alias("fiscal_week_of_period"),
-        "fiscal_period_number",
-        (F.col("quarter_number") + 1).alias("fiscal_quarter_number"),
-        F.col("period_of_quarter").alias("fiscal_period_of_quarter"))
+    """Quarters of 4, 5 and 4 weeks; a 53rd week belongs to the last period."""
+    week = F.col("fiscal_week_of_year")
+    quarter = F.least(F.floor((week - 1) / 13), F.lit(3)).cast("int")
+    f = fiscal_year_dates(dates, year_end_month, week_start_day, shift_year) \
+        .withColumn("_q", quarter).withColumn("_w", week - 13 * F.col("_q"))
+    w = F.col("_w")
+    period = F.when(w <= PERIOD_STARTS[1], 1).when(w <= PERIOD_STARTS[2], 2).otherwise(3)
+    begun = F.element_at(F.array(*[F.lit(x) for x in PERIOD_STARTS]), period)
+    return f.select("date_day", "fiscal_year_number", "week_start_date", "week_end_date", "fiscal_week_of_year",
+                    (w - begun).alias("fiscal_week_of_period"), (F.col("_q") * 3 + period).alias("fiscal_period_number"),
+                    (F.col("_q") + 1).alias("fiscal_quarter_number"), period.alias("fiscal_period_of_quarter"))

@@ -124,50 +124,38 @@ def _d4(s, sf):
     return C.date_dimension(_orders_bounds(s, sf))
 
 
-FISCAL_SQL = DIM_SQL + """,
-year_month_end AS (SELECT DISTINCT year_number - 1 AS fiscal_year_number, month_end_date FROM dates
-                   WHERE month_of_year = 1),
-weeks AS (SELECT year_number, month_of_year, date_day AS week_start_date,
-                 CAST(date_day + INTERVAL 6 DAY AS DATE) AS week_end_date FROM dates WHERE day_of_week = 1),
-year_week_ends AS (SELECT DISTINCT year_number - 1 AS fiscal_year_number, week_end_date FROM weeks
-                   WHERE month_of_year = 1),
-weeks_at_month_end AS (
-  SELECT d.fiscal_year_number, d.week_end_date, m.month_end_date,
-         rank() OVER (PARTITION BY d.fiscal_year_number ORDER BY abs(date_diff('day', d.week_end_date, m.month_end_date)))
-           AS closest_to_month_end
-  FROM year_week_ends d JOIN year_month_end m ON d.fiscal_year_number = m.fiscal_year_number),
-fiscal_year_range AS (
-  SELECT fiscal_year_number, CAST(lag(week_end_date) OVER (ORDER BY week_end_date) + INTERVAL 1 DAY AS DATE)
-           AS fiscal_year_start_date, week_end_date AS fiscal_year_end_date
-  FROM weeks_at_month_end WHERE closest_to_month_end = 1),
-fiscal_year_dates AS (
-  SELECT d.date_day, m.fiscal_year_number, m.fiscal_year_start_date, m.fiscal_year_end_date, w.week_start_date,
-         w.week_end_date,
-         CAST(dense_rank() OVER (PARTITION BY m.fiscal_year_number ORDER BY w.week_start_date) AS INTEGER)
-           AS fiscal_week_of_year
-  FROM dates d
-  JOIN fiscal_year_range m ON d.date_day BETWEEN m.fiscal_year_start_date AND m.fiscal_year_end_date
-  JOIN weeks w ON d.date_day BETWEEN w.week_start_date AND w.week_end_date)"""
-
-
-@reg("d5_fiscal_year_dates", "WITH " + FISCAL_SQL + "\nSELECT * FROM fiscal_year_dates")
+# The same calendar by counting: Saturdays near the ends of January, and running counts of week starts between them.
+FISCAL_SQL = f"""
+{_B},
+days AS (SELECT CAST(t.d AS DATE) AS d FROM b, range(CAST(b.s AS TIMESTAMP), CAST(b.e AS TIMESTAMP), INTERVAL 1 DAY) t(d)),
+closings AS (SELECT year(d) AS y, d FROM days
+             WHERE dayofweek(d) = 6 AND d BETWEEN make_date(year(d), 1, 28) AND make_date(year(d), 2, 3)),
+tagged AS (SELECT d, (SELECT min(c.d) FROM closings c WHERE c.d >= days.d) AS closes,
+                  (SELECT max(c.d) FROM closings c WHERE c.d < days.d) AS closed FROM days),
+fiscal AS (
+  SELECT d AS date_day, CAST(year(closes) - 1 AS INTEGER) AS fiscal_year_number, closed + 1 AS fiscal_year_start_date,
+         closes AS fiscal_year_end_date, d - CAST(dayofweek(d) AS INTEGER) AS week_start_date,
+         d - CAST(dayofweek(d) AS INTEGER) + 6 AS week_end_date,
+         CAST(count(*) FILTER (dayofweek(d) = 0) OVER (PARTITION BY closes ORDER BY d) AS INTEGER) AS fiscal_week_of_year
+  FROM tagged WHERE closes IS NOT NULL AND closed IS NOT NULL)"""
+
+
+@reg("d5_fiscal_year_dates", "WITH " + FISCAL_SQL + "\nSELECT * FROM fiscal")
 def _d5(s, sf):
     return C.fiscal_year_dates(C.date_dimension(_orders_bounds(s, sf)), year_end_month=1, week_start_day=1)
 
 
-@reg("d6_fiscal_periods", "WITH " + FISCAL_SQL + """,
-w13 AS (SELECT *, CAST((fiscal_week_of_year - 1) AS INTEGER) % 13 AS w13_number,
-               CAST(least(floor((fiscal_week_of_year - 1) / 13.0), 3) AS INTEGER) AS quarter_number
-        FROM fiscal_year_dates),
-p AS (SELECT *, CASE WHEN fiscal_week_of_year = 53 THEN 3 WHEN w13_number BETWEEN 0 AND 3 THEN 1
-                     WHEN w13_number BETWEEN 4 AND 8 THEN 2 WHEN w13_number BETWEEN 9 AND 12 THEN 3 END
-                AS period_of_quarter FROM w13),
-q AS (SELECT *, CAST(quarter_number * 3 + period_of_quarter AS INTEGER) AS fiscal_period_number FROM p)
+# weeks 1 to 53 spelled out: how many weeks each of the twelve periods has
+_PERIODS = ", ".join(f"({p + 1}, {n})" for p, n in enumerate([4, 5, 4] * 3 + [4, 5, 5]))
+
+
+@reg("d6_fiscal_periods", "WITH " + FISCAL_SQL + f""",
+sizes(p, n) AS (VALUES {_PERIODS}),
+spans AS (SELECT p, n, CAST(sum(n) OVER (ORDER BY p) - n AS INTEGER) AS before FROM sizes)
 SELECT date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year,
-       CAST(dense_rank() OVER (PARTITION BY fiscal_period_number ORDER BY fiscal_week_of_year) AS INTEGER)
-         AS fiscal_week_of_period,
-       fiscal_period_number, quarter_number + 1 AS fiscal_quarter_number, period_of_quarter AS fiscal_period_of_quarter
-FROM q""")
+       fiscal_week_of_year - before AS fiscal_week_of_period, CAST(p AS INTEGER) AS fiscal_period_number,
+       CAST((p - 1) // 3 + 1 AS INTEGER) AS fiscal_quarter_number, CAST((p - 1) % 3 + 1 AS INTEGER) AS fiscal_period_of_quarter
+FROM fiscal JOIN spans ON fiscal_week_of_year > before AND fiscal_week_of_year <= before + n""")
 def _d6(s, sf):
     return C.fiscal_periods(C.date_dimension(_orders_bounds(s, sf)), year_end_month=1, week_start_day=1)
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlake.quality.engines import equal_expression, metric_between, where
+from marketlake.session import stored_table
 
 __all__ = ["distinct_count_to_equal", "distinct_count_to_be_greater_than", "distinct_count_to_be_less_than",
            "distinct_count_to_equal_other_table", "distinct_values_to_be_in_set",
@@ -102,10 +103,9 @@ def mean_to_be_between(df, column, min_value=None, max_value=None, group_by=None
 
 def median_to_be_between(df, column, min_value=None, max_value=None, group_by=None, row_condition=None,
                          strictly=False, exact=True):
-    """Q48d: a true aggregate median (one row per group).  ``exact=False``
-    uses ``percentile_approx`` (bounded memory per group)."""
-    m = F.median(column) if exact else F.percentile_approx(column, 0.5, 10000)
-    return metric_between(df, m, min_value, max_value, group_by, row_condition, strictly)
+    """Q48d: the median (one row per group), exact by default (see
+    :func:`exact_quantiles`); ``exact=False`` uses ``percentile_approx``."""
+    return quantile_values_to_be_between(df, column, 0.5, min_value, max_value, group_by, row_condition, strictly, exact)
 
 
 def sum_to_be_between(df, column, min_value=None, max_value=None, group_by=None, row_condition=None,
@@ -130,8 +130,45 @@ def unique_value_count_to_be_between(df, column, min_value=None, max_value=None,
 def quantile_values_to_be_between(df, column, quantile, min_value=None, max_value=None, group_by=None,
                                   row_condition=None, strictly=False, exact=True):
     """Q49: continuous (interpolated) quantile, or approximate."""
-    q = F.percentile(column, quantile) if exact else F.percentile_approx(column, quantile, 10000)
-    return metric_between(df, q, min_value, max_value, group_by, row_condition, strictly)
+    if not exact:
+        return metric_between(df, F.percentile_approx(column, quantile, 10000), min_value, max_value, group_by,
+                              row_condition, strictly)
+    metric = exact_quantiles(where(df, row_condition), column, quantile, group_by)
+    return metric_between(metric, F.first("metric"), min_value, max_value, group_by, None, strictly)
+
+
+def exact_quantiles(df, column, quantile, group_by=None):
+    """``group_by, metric``: the interpolated quantile of every group, without
+    a task that holds a group's values.
+
+    Values are counted, the counts dealt to range partitions of (group,
+    value), and running totals per partition say where the two ranks around
+    the quantile lie.  The key-less or per-group window runs over one row per
+    partition.
+    """
+    group_by = list(group_by or [])
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*group_by, F.col(column).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    dealt = stored_table(counts.repartitionByRange(n, *group_by, "_v").withColumn("_part", F.spark_partition_id()), "counts")
+    parts = Window.partitionBy(*group_by)
+    sums = dealt.groupBy(*group_by, "_part").agg(F.sum("_n").alias("_s"))
+    sums = sums.select(
+        *[F.col(c).alias(f"_g_{c}") for c in group_by], F.col("_part").alias("_of"),
+        (F.sum("_s").over(parts.orderBy("_part")) - F.col("_s")).alias("_before"), F.sum("_s").over(parts).alias("_all"))
+    match = F.col("_part") == F.col("_of")
+    for c in group_by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    upto = F.sum("_n").over(Window.partitionBy(*group_by, "_part").orderBy("_v")) + F.col("_before")
+    ranked = dealt.join(sums, match).withColumn("_upto", upto).withColumn("_at", F.lit(float(quantile)) * (F.col("_all") - 1))
+    holds = lambda r: (F.col("_upto") - F.col("_n") <= r) & (r < F.col("_upto"))
+    value = F.col("_v").cast("double")
+    found = ranked.groupBy(*group_by).agg(
+        F.max(F.when(holds(F.floor("_at")), value)).alias("_lo"), F.max(F.when(holds(F.ceil("_at")), value)).alias("_hi"),
+        F.first("_at").alias("_at"))
+    share = F.col("_at") - F.floor("_at")
+    return found.select(*group_by, (F.col("_lo") * (1 - share) + F.col("_hi") * share).alias("metric"))
 
 
 def proportion_of_unique_values_to_be_between(df, column, min_value=None, max_value=None, group_by=None,
