@@ -96,15 +96,6 @@ def q_gold_li(spark, sf):
 
 # --- project checks and suites on the pipeline (Q61, Q63, Q65, Q66, Q67) ----
 
-def pipeline_tables(spark, sf, bucket="hour"):
-    from marketlake.operators.candles import candle_bars
-    b = events_bronze(spark, sf)
-    t, d = stg_trades(b), stg_depth(b)
-    return {"bronze": b, "stg_trades": t, "stg_depth": d, "int_ohlcv_1m": candles(t, bucket),
-            "int_depth_1m": depth_bars(d, bucket), "int_dlq_1m": dlq_bars(b, bucket),
-            "fct_market_metrics": gold_from_bars(candle_bars(t, bucket), depth_bars(d, bucket), dlq_bars(b, bucket))}
-
-
 @query("q61_required_json_fields")
 def q_required_json(spark, sf):
     from marketlake.quality import required_json_fields
@@ -151,4 +142,5 @@ def q_suite(spark, sf):
 def q_project_suite(spark, sf):
     from marketlake.plans.suite import project_suite
     from marketlake.quality import run_suite
+    from marketlake.plans.tables import pipeline_tables
     return run_suite(project_suite(), pipeline_tables(spark, sf))

@@ -139,16 +139,12 @@ bars AS (
          CAST(sum(price * quantity) AS DOUBLE) / CAST(nullif(sum(quantity), 0) AS DOUBLE) AS vwap
   FROM stg_trades GROUP BY 1, 2, 3, 4
 ),
-candles AS (
-  SELECT *, avg(close_price) OVER (PARTITION BY exchange, symbol ORDER BY metric_ts
-                                   ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS rolling_avg_close_5m
-  FROM bars
-),
 candles_f AS (
   SELECT *, base_volume = 0 AS zero_volume_flag,
-         coalesce(abs(CAST(close_price - rolling_avg_close_5m AS DOUBLE)
-                      / nullif(CAST(rolling_avg_close_5m AS DOUBLE), 0)) > 0.10, FALSE) AS price_spike_flag
-  FROM candles
+         coalesce(abs(CAST(close_price - m AS DOUBLE) / nullif(CAST(m AS DOUBLE), 0)) > 0.10, FALSE) AS price_spike_flag,
+         m AS rolling_avg_close_5m
+  FROM (SELECT *, avg(close_price) OVER five AS m FROM bars
+        WINDOW five AS (PARTITION BY exchange, symbol ORDER BY metric_ts ROWS 4 PRECEDING))
 ),
 depth_b AS (
   SELECT exchange, symbol, date_trunc('{bucket}', event_ts) AS metric_ts,
@@ -166,28 +162,23 @@ dlq_b AS (
 
 def _gold() -> str:
     return """
-joined AS (
-  SELECT c.*, d.avg_spread_bps, d.avg_mid_price, d.median_mid_price,
-         coalesce(q.dead_letter_count, 0) AS dead_letter_count
-  FROM candles_f c
-  LEFT JOIN depth_b d ON c.exchange = d.exchange AND c.symbol = d.symbol AND c.metric_ts = d.metric_ts
-  LEFT JOIN dlq_b q ON c.metric_ts = q.metric_ts
-),
-rets AS (
-  SELECT *, CASE WHEN r > 0 THEN ln(r) END AS log_close_return
-  FROM (SELECT *, CAST(close_price AS DOUBLE) / nullif(CAST(lag(close_price) OVER (
-                    PARTITION BY exchange, symbol ORDER BY metric_ts) AS DOUBLE), 0) AS r FROM joined)
+moves AS (
+  SELECT exchange, symbol, metric_ts,
+         CASE WHEN close_price > 0 AND lag(close_price) OVER series > 0
+              THEN ln(CAST(close_price AS DOUBLE) / CAST(lag(close_price) OVER series AS DOUBLE)) END AS move
+  FROM bars WINDOW series AS (PARTITION BY exchange, symbol ORDER BY metric_ts)
 ),
 gold AS (
-  SELECT exchange, symbol, metric_ts, metric_date, open_price AS open, high_price AS high, low_price AS low,
-         close_price AS close, base_volume AS volume, vwap, avg_spread_bps AS spread_bps,
-         stddev_samp(log_close_return) OVER (PARTITION BY exchange, symbol ORDER BY metric_ts
-                                             ROWS BETWEEN 14 PRECEDING AND CURRENT ROW) AS volatility,
-         stddev_samp(log_close_return) OVER (PARTITION BY exchange, symbol ORDER BY metric_ts
-                                             ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) AS volatility_60m,
-         dead_letter_count, zero_volume_flag, price_spike_flag,
-         zero_volume_flag OR price_spike_flag AS anomaly_flag, trade_count, avg_mid_price, median_mid_price
-  FROM rets
+  SELECT exchange, symbol, metric_ts, c.metric_date, open_price AS open, high_price AS high, low_price AS low,
+         close_price AS close, base_volume AS volume, vwap, d.avg_spread_bps AS spread_bps,
+         stddev_samp(move) OVER (series ROWS 14 PRECEDING) AS volatility,
+         stddev_samp(move) OVER (series ROWS 59 PRECEDING) AS volatility_60m,
+         (SELECT coalesce(sum(q.dead_letter_count), 0)::BIGINT FROM dlq_b q WHERE q.metric_ts = c.metric_ts) AS dead_letter_count,
+         zero_volume_flag, price_spike_flag, zero_volume_flag OR price_spike_flag AS anomaly_flag, trade_count,
+         d.avg_mid_price, d.median_mid_price
+  FROM candles_f c JOIN moves USING (exchange, symbol, metric_ts)
+       LEFT JOIN depth_b d USING (exchange, symbol, metric_ts)
+  WINDOW series AS (PARTITION BY exchange, symbol ORDER BY metric_ts)
 )"""
 
 

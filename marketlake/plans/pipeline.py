@@ -67,6 +67,7 @@ def build_all(spark: SparkSession, bronze: DataFrame, layout: Layout, bucket: st
     g = layout.path("gold", "fct_market_metrics")
     # the bars as just written, so they are computed once
     bars = [spark.read.parquet(out[n]) for n in ("int_ohlcv_1m", "int_depth_1m", "int_dlq_1m")]
-    write_gold(gold_from_bars(*bars), g)
+    rolling = ("rolling_avg_close_5m", "zero_volume_flag", "price_spike_flag", "anomaly_flag")  # gold's series window makes these
+    write_gold(gold_from_bars(bars[0].drop(*rolling), *bars[1:]), g)
     out["fct_market_metrics"] = g
     return out

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marketlake.calendar.spine import date_spine
+from marketlake.operators.bronze import drop_required_nulls
+from marketlake.operators.candles import candle_bars, depth_bars, dlq_bars
 from marketlake.operators.staging import stg_depth, stg_trades
 from marketlake.plans.gold import market_metrics, read_gold, write_gold
 from marketlake.plans.oracle import CANDLE_DEC, GOLD_DEC, ORACLE_SQL, TRADE_DEC, _bars, _gold, as_double, with_events
@@ -44,27 +47,38 @@ def _z1(s, sf):
                                     "kafka_partition", "kafka_offset", "kafka_ts", "dt")
 
 
-_CLOSED = """
-SELECT exchange, symbol, metric_ts, metric_date, open_price, high_price, low_price, close_price, base_volume,
-       trade_count, vwap
-FROM bars WHERE metric_ts + INTERVAL 1 DAY <= (SELECT max(event_ts) FROM t_parsed) - INTERVAL 1 HOUR"""
+_BAR_COLUMNS = ("exchange, symbol, metric_ts, metric_date, open_price, high_price, low_price, close_price, base_volume, "
+                "trade_count, vwap")
 
 
-@reg("z4_stream_candles_day", as_double(with_events(_bars("day")) + _CLOSED, CANDLE_DEC))
+@reg("z4_stream_candles_day", as_double(with_events(_bars("day")) + f"\nSELECT {_BAR_COLUMNS} FROM bars", CANDLE_DEC))
 def _z4(s, sf):
     base, _ = _ingested_bronze(s, sf)
     out = Z.stream_candles_available_now(s, f"{base}/bronze", f"{base}/z4", bucket="day", watermark=WATERMARK)
-    return s.read.parquet(out)
+    return Z.with_open_windows(s, s.read.parquet(out), f"{base}/bronze",
+                               lambda b: candle_bars(stg_trades(b), "day"), WATERMARK, "day")
 
 
-@reg("z5_stream_dlq_hour", with_events(_bars("hour")) + """
-SELECT * FROM dlq_b WHERE metric_ts + INTERVAL 1 HOUR <= (SELECT max(kafka_ts) FROM bronze
-                                                       WHERE kafka_topic LIKE 'dlq.%') - INTERVAL 1 HOUR""")
+@reg("z5_stream_dlq_hour", with_events(_bars("hour")) + "\nSELECT * FROM dlq_b")
 def _z5(s, sf):
     base, _ = _ingested_bronze(s, sf)
     b = Z.read_bronze_stream(s, f"{base}/bronze")
     Z.run_available_now(Z.stream_dlq_bars(b, "hour", WATERMARK), f"{base}/z5", f"{base}/_ckpt5")
-    return s.read.parquet(f"{base}/z5")
+    return Z.with_open_windows(s, s.read.parquet(f"{base}/z5"), f"{base}/bronze",
+                               lambda b: dlq_bars(b, "hour"), WATERMARK, "hour")
+
+
+@reg("z5_stream_depth_day", with_events(_bars("day")) + """
+SELECT exchange, symbol, metric_ts, metric_date, round(CAST(avg_spread_bps AS DOUBLE), 6) AS avg_spread_bps,
+       round(CAST(avg_mid_price AS DOUBLE), 6) AS avg_mid_price, CAST(median_mid_price AS DOUBLE) AS median_mid_price
+FROM depth_b""")
+def _z5d(s, sf):
+    base, _ = _ingested_bronze(s, sf)
+    b = Z.read_bronze_stream(s, f"{base}/bronze")
+    Z.run_available_now(Z.stream_depth_bars(b, "day", WATERMARK), f"{base}/z5d", f"{base}/_ckpt5d")
+    bars = Z.with_open_windows(s, s.read.parquet(f"{base}/z5d"), f"{base}/bronze",
+                               lambda b: depth_bars(stg_depth(b), "day"), WATERMARK, "day")
+    return present(bars, round6=("avg_spread_bps", "avg_mid_price"))
 
 
 @reg("z3_stream_trades_dedup", as_double(with_events() + """
@@ -174,3 +188,24 @@ def _k2(s, sf):
     b = read_bronze_published(s, landing, table)
     return b.select("stream_kind", "exchange", "symbol", "event_ts_ms", "ingest_ts", "kafka_topic",
                     "kafka_partition", "kafka_offset", "kafka_ts", "dt")
+
+
+@reg("k5_required_columns", with_events() + """
+SELECT stream_kind, count(*) AS row_count FROM bronze WHERE event_ts_ms IS NOT NULL AND symbol IS NOT NULL GROUP BY 1""")
+def _k5(s, sf):
+    b = drop_required_nulls(events_bronze(s, sf), ["event_ts_ms", "symbol"])
+    return b.groupBy("stream_kind").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@reg("j11_missing_hours_by_series", with_events(_bars("hour")) + """,
+ends AS (SELECT exchange, symbol, min(metric_ts) AS lo, max(metric_ts) AS hi FROM bars GROUP BY 1, 2),
+hours AS (SELECT exchange, symbol, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS date_hour FROM ends)
+SELECT h.exchange, h.symbol, h.date_hour FROM hours h
+WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.exchange = h.exchange AND b.symbol = h.symbol AND b.metric_ts = h.date_hour)""")
+def _j11(s, sf):
+    """Hours without a trade, per series, between its first and last trade."""
+    bars = candle_bars(stg_trades(events_bronze(s, sf)), "hour")
+    ends = bars.groupBy("exchange", "symbol").agg(F.min("metric_ts").alias("start_date"), F.max("metric_ts").alias("end_date"))
+    spine = date_spine(ends, "hour").withColumnRenamed("date_hour", "metric_ts")
+    missing = spine.join(bars, ["exchange", "symbol", "metric_ts"], "left_anti")
+    return present(missing.withColumnRenamed("metric_ts", "date_hour"))

@@ -172,6 +172,22 @@ def _reach(spark: SparkSession, gold_path: str, touched: DataFrame, first: datet
     return out[0], out[1]
 
 
+def with_open_windows(spark: SparkSession, streamed: DataFrame, bronze_path: str, bars, watermark: str,
+                      bucket: str, ts: str = "event_ts") -> DataFrame:
+    """The windows that a stopped stream has emitted, and those that its
+    watermark had not passed yet, computed by ``bars(bronze)`` from the days
+    that they can be in."""
+    last = bars(read_bronze(spark, bronze_path)).agg(F.max("metric_ts")).first()[0]
+    if last is None:
+        return streamed
+    day = F.lit(last) - F.expr(f"interval {watermark}") - F.expr(f"interval {_window(bucket)}")
+    since = spark.range(1).select(F.date_format(day, "yyyy-MM-dd")).first()[0]
+    recent = bars(read_bronze(spark, bronze_path, dt_from=since)).select(*streamed.columns)
+    keys = [c for c in (*SERIES_KEYS, "metric_ts") if c in streamed.columns]
+    # the first day's windows may be cut by the day bound; those were emitted long ago
+    return streamed.unionByName(recent.join(streamed.select(*keys), keys, "left_anti"))
+
+
 def refresh_gold_for_batch(spark: SparkSession, trades_path: str, depth_path: str, bronze_path: str,
                            gold_path: str, batch: DataFrame, bucket: str = "minute",
                            exact_median: bool = False) -> None:
