@@ -131,9 +131,9 @@ def run_available_now(df: DataFrame, out_path: str, checkpoint: str, partition_b
 
 
 def stream_candles_available_now(spark: SparkSession, bronze_path: str, out: str, bucket: str = "minute",
-                                 watermark: str = "10 minutes") -> str:
+                                 watermark: str = "10 minutes", max_files_per_trigger: int | None = None) -> str:
     """Bronze directory -> streamed candles written under ``out/candles``."""
-    b = read_bronze_stream(spark, bronze_path)
+    b = read_bronze_stream(spark, bronze_path, max_files_per_trigger)
     run_available_now(stream_candles(stream_trades(b, watermark), bucket), f"{out}/candles", f"{out}/_ckpt")
     return f"{out}/candles"
 

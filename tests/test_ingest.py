@@ -50,14 +50,31 @@ def test_coin_symbols_and_coingecko(spark):
 
 
 def test_contracts(spark):
+    """Fields as a non-strict model takes them: texts for booleans are fine, ingest_ts and raw_event are required."""
     good = ('{"venue": "v", "symbol": "s", "trade_id": "1", "event_ts_ms": 5, "price": "1", "quantity": "1", '
-            '"is_buyer_maker": true, "ingest_ts": "t", "raw_event": {}}')
-    df = spark.createDataFrame([(good,), (good.replace('"v"', '""'),), (good.replace("true", '"true"'),),
-                                (good.replace('"raw_event"', '"extra": 1, "raw_event"'),)], "j string")
-    r = [x.c for x in df.select(check_trade("j").alias("c")).collect()]
-    assert r[0] is None and "venue" in r[1] and "boolean" in r[2] and "extra fields extra" in r[3]
+            '"is_buyer_maker": true, "ingest_ts": "2024-01-01T00:00:00Z", "raw_event": {"m": true}}')
+    cases = [(good, None), (good.replace('"v"', '""'), "venue"), (good.replace(" true,", ' "True",'), None),
+             (good.replace(" true,", " 1,"), None), (good.replace(" true,", ' "banana",'), "boolean"),
+             (good.replace('"raw_event"', '"extra": 1, "raw_event"'), "extra fields extra"),
+             (good.replace("2024-01-01T00:00:00Z", "garbage"), "date-time"),
+             (good.replace(', "raw_event": {"m": true}', ""), "missing field raw_event"),
+             (good.replace('{"m": true}', '"x"'), "object"), (good.replace('"quantity": "1"', '"quantity": "250000000000"'), None)]
+    df = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(cases)], "i int, j string")
+    got = [x.c for x in df.select("i", check_trade("j").alias("c")).orderBy("i").collect()]
+    for reason, (_, want) in zip(got, cases):
+        assert reason is None if want is None else want in reason, (reason, want)
+
+
+def test_flags_follow_python_truth(spark):
+    raws = ['true', 'false', '"false"', '""', '0', '2', 'null', '[]', '[0]']
+    m = msgs(spark, [f'{{"t": 1, "E": 5, "p": "1", "q": "1", "m": {r}}}' for r in raws], "binance.trades")
+    got = [r.is_buyer_maker for r in normalise_binance(m).orderBy("recv_seq").collect()]
+    assert got == [True, False, True, False, False, True, False, False, True]
+
+
+def test_contracts_of_books(spark):
     book = ('{"venue": "v", "symbol": "s", "update_id": "1", "event_ts_ms": 5, "bids": [], '
-            '"asks": [{"price": "1", "qty": "x"}], "ingest_ts": "t", "raw_event": {}}')
+            '"asks": [{"price": "1", "qty": "x"}], "ingest_ts": "2024-01-01T00:00:00Z", "raw_event": {}}')
     assert spark.createDataFrame([(book,)], "j string").select(check_book("j")).first()[0].endswith("invalid asks")
 
 

@@ -64,7 +64,7 @@ def test_frequent_sort_value_is_spread(spark):
     assert out.groupBy("prev_value").count().filter("count > 1").count() == 0
     stored = [f for f in out.inputFiles()]
     sizes = [spark.read.parquet(f).filter("k = 7").count() for f in stored]
-    assert sum(sizes) == 2000 and max(sizes) < 2000
+    assert sum(sizes) == 2001 and max(sizes) < 2000  # the row with id 7 has that value too
 
 
 def test_restarted_ingest_continues_without_duplicates(spark):
