@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from marketlake.llm.common import parts, stored
 from marketlake.llm.tokens import coder
 
-CAPACITY, OPEN_BINS, PIECES_PER_TASK, END_ID = 4096, 1024, 1_000_000, 1
+CAPACITY, OPEN_BINS, PIECES_PER_TASK, END_ID = 4096, 256, 25_000, 1
 
 
 class OpenBins:
