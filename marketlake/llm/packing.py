@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,11 +66,11 @@ class OpenBins:
 
 
 def token_pieces(
-    docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+    docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", ids_as: str | None = None
 ) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` of each piece, with ``ids`` (binary, uint32) on request."""
+    """``doc_id, piece, start, length, ids_crc32`` (of uint32) of each piece, with ``ids`` as little-endian ``<u2`` or ``<u4`` on request."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * bool(ids_as)
     size, end = 4 * capacity, END_ID.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,13 +89,22 @@ def token_pieces(
                 batch.column(0).take(pa.array(source, pa.int64())), pa.array(rows[0], pa.int32()),
                 *[pa.array(c, pa.int64()) for c in rows[1:4]],
             ]
-            if with_ids:
-                columns.append(pa.array(rows[4], pa.binary()))
+            if ids_as:
+                columns.append(pa.array([_narrow(part, ids_as) for part in rows[4]], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
     return docs.select(docs[id_col], docs[text_col]).mapInArrow(cut, schema)
 
 
+def _narrow(ids: bytes, to: str) -> bytes:
+    if to == "<u4":
+        return ids
+    wide = np.frombuffer(ids, "<u4")
+    if wide.max(initial=0) >= 1 << 16:
+        raise ValueError("the vocabulary has ids that 16 bits do not hold; use 32")
+    return wide.astype(to).tobytes()
+
+
 def pack_best_fit(
     pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, pieces_per_task: int = PIECES_PER_TASK
 ) -> DataFrame:

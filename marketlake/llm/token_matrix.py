@@ -1,7 +1,7 @@
 """Packed token matrices: best-fit-decreasing over a segment tree of capacities.
 
 Documents are tokenized where they are read and cut into pieces of at most ``capacity`` ids; nothing is lost. Pieces are dealt
-over packing tasks by hash, each about TOKENS_PER_TASK ids. A task places its pieces, longest first, into the
+over packing tasks by hash, each the ids of about BYTES_PER_TASK of text. A task places its pieces, longest first, into the
 fullest row that has room: a segment tree over free capacities counts the open rows under each
 node, and the smallest sufficient capacity is found by one descent. Rows are emitted as matrices' rows: ``ids``
 (little-endian unsigned, 16 or 32 bits, padded), ``cu_seqlens`` (where segments start, and the end) and ``position_ids``, which start again
@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import parts, stored
+from marketlake.llm.common import parts
 from marketlake.llm.packing import CAPACITY, token_pieces
 
-TOKENS_PER_TASK, PAD_ID = 8 << 20, 0
+BYTES_PER_TASK, PAD_ID = 16 << 20, 0
 
 
 class CapacityTree:
@@ -85,8 +85,8 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
 def packed_rows(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", id_bits: int = 16) -> DataFrame:
     """``sequence_id, n_tokens, ids, cu_seqlens, doc_ids, pieces, ids_crc32``: one row per row of the matrices."""
     stored_type = {16: "<u2", 32: "<u4"}[id_bits]
-    pieces = stored(token_pieces(docs, vocabulary, capacity, id_col, text_col, with_ids=True).drop("ids_crc32"))
-    tasks = parts(pieces.agg(F.sum("length")).first()[0], TOKENS_PER_TASK)
+    tasks = parts(docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0], BYTES_PER_TASK)
+    pieces = token_pieces(docs, vocabulary, capacity, id_col, text_col, ids_as=stored_type).drop("ids_crc32")
     dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece", F.crc32("ids"))).withColumn("task", F.spark_partition_id())
     id_type = pieces.schema["doc_id"].dataType.simpleString()
     schema = f"sequence_id long, n_tokens int, ids binary, cu_seqlens array<int>, doc_ids array<{id_type}>, pieces array<int>, ids_crc32 long"
@@ -101,8 +101,8 @@ def packed_rows(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_c
         first = held.column("task")[0].as_py() << 40
         for start in range(0, len(rows), 1024):
             some = rows[start : start + 1024]
-            flat = [np.concatenate([np.frombuffer(ids[k].as_buffer(), "<u4") for k in row]) for row in some]
-            matrix = [np.pad(f, (0, capacity - len(f)), constant_values=PAD_ID).astype(stored_type).tobytes() for f in flat]
+            flat = [np.concatenate([np.frombuffer(ids[k].as_buffer(), stored_type) for k in row]) for row in some]
+            matrix = [np.pad(f, (0, capacity - len(f)), constant_values=PAD_ID).tobytes() for f in flat]
             members = pa.array([k for row in some for k in row], pa.int64())
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in some])]), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -112,7 +112,7 @@ def packed_rows(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_c
                     pa.array([np.concatenate([[0], np.cumsum([lengths[k] for k in row])]).tolist() for row in some], pa.list_(pa.int32())),
                     pa.ListArray.from_arrays(offsets, held.column("doc_id").chunk(0).take(members)),
                     pa.ListArray.from_arrays(offsets, held.column("piece").chunk(0).take(members)),
-                    pa.array([zlib.crc32(f.tobytes()) for f in flat], pa.int64()),
+                    pa.array([zlib.crc32(f.astype("<u4").tobytes()) for f in flat], pa.int64()),
                 ],
                 names=["sequence_id", "n_tokens", "ids", "cu_seqlens", "doc_ids", "pieces", "ids_crc32"],
             )
