@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-MEMORY = 1_000_000
+MEMORY = 250_000
 GROUP_BYTES = 1 << 18
 #: Fixed: the pre-token rule of the vocabulary for lower-case text below U+0100, as letters, numbers and the rest.
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼-¾ ]+| ")
