@@ -102,6 +102,11 @@ def safe_ln(x) -> Column:
     return F.when(x > 0, F.ln(x))
 
 
+def random_value(seed: int | None = None) -> Column:
+    """A number in [0, 1) per row; with a seed the same for the same rows in the same partitions."""
+    return F.rand() if seed is None else F.rand(seed)
+
+
 def venue_symbol_key(venue, symbol) -> Column:
     """Kafka message key ``venue:symbol``."""
     return F.concat_ws(":", col_of(venue), col_of(symbol))

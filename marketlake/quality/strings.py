@@ -15,10 +15,12 @@ RE_FLAGS = "imsU"
 
 
 def validate_flags(flags: str, allowed: str = RE_FLAGS) -> str:
-    """Reject unknown flag letters (checked before any job runs)."""
-    bad = [f for f in flags if f not in allowed]
-    if bad:
-        raise ValueError(f"flags {bad} are not supported; allowed: {allowed}")
+    """Reject unknown flag letters (checked before any job runs).
+    Letters after one ``-`` are cleared instead of set, e.g. ``i-s``."""
+    on, clear, off = flags.partition("-")
+    bad = [f for f in on + off if f not in allowed]
+    if bad or clear and not off:
+        raise ValueError(f"flags {flags!r} are not supported; allowed: {allowed}, and {allowed} after one '-'")
     return flags
 
 
@@ -31,9 +33,11 @@ def regex_matches(column, regex: str, flags: str = "", is_raw: bool = False):
     pattern is checked by the engine that runs it: a malformed one fails the
     query.
     """
-    validate_flags(flags)
-    if "U" in flags:
+    on, _, off = validate_flags(flags).partition("-")
+    if "U" in on:
         raise ValueError("ungreedy flag U is not supported by Java regular expressions")
+    off = off.replace("U", "")  # it is off anyway
+    flags = f"{on}-{off}" if off else on
     pattern = f"(?{flags}){regex}" if flags else regex
     return F.col(column).rlike(pattern)
 

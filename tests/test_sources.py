@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from marketlake.quality.strings import validate_flags
+from marketlake.quality.strings import regex_matches, validate_flags
 from marketlake.functions import json_value, mid, notional, spread, with_json_fields
 from marketlake.sources import kafka
 
@@ -44,10 +44,21 @@ def test_routed_rows_reach_their_topic(spark):
     assert got.filter("topic = 'dlq.trades' AND value LIKE '%unknown source%'").count() == 3
 
 
-def test_flag_validation():
-    assert validate_flags("ims") == "ims"
-    try:
-        validate_flags("x")
-        raise AssertionError("expected ValueError")
-    except ValueError:
-        pass
+def test_flag_validation(spark):
+    assert validate_flags("ims") == "ims" and validate_flags("i-s") == "i-s" and validate_flags("-i") == "-i"
+    for bad in ("x", "i-", "i-x", "--i"):
+        try:
+            validate_flags(bad)
+            raise AssertionError("expected ValueError")
+        except ValueError:
+            pass
+    df = spark.createDataFrame([("Abc",), ("abc",), ("äbc",)], "v string")
+    got = df.select(regex_matches("v", "^a", "i"), regex_matches("v", "^a", "-i"), regex_matches("v", r"^\p{L}", "m-U")).collect()
+    assert [tuple(r) for r in got] == [(True, False, True), (True, True, True), (False, False, True)]
+
+
+def test_random_values(spark):
+    from marketlake.functions import random_value
+
+    one, two = ([r[0] for r in spark.range(50).select(random_value(7)).collect()] for _ in range(2))
+    assert one == two and len(set(one)) == 50 and all(0 <= x < 1 for x in one)
