@@ -66,12 +66,13 @@ class OpenBins:
 
 
 def token_pieces(
-    docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", ids_as: str | None = None
+    docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", ids_as: str | None = None,
+    end_id: int = END_ID,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` (of uint32) of each piece, with ``ids`` as little-endian ``<u2`` or ``<u4`` on request."""
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * bool(ids_as)
-    size, end = 4 * capacity, END_ID.to_bytes(4, "little")
+    size, end = 4 * capacity, end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -17,20 +17,49 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 MEMORY = 250_000
-GROUP_BYTES = 1 << 18
+GROUP_BYTES = 1 << 19
 #: Fixed: the pre-token rule of the vocabulary for lower-case text below U+0100, as letters, numbers and the rest.
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼-¾ ]+| ")
 _PLAIN = re.compile(rb"(?:[\x20-\x7e]|\xc2[\xa1-\xbf]|\xc3[\x80-\xbf])+")
 
 
-def coder(path: str) -> Ids:
+def coder(path: str) -> Ids | RankIds:
     """The worker's coder of a vocabulary; it outlives the task, so later tasks know the words of earlier ones."""
     held = vars(sys.modules.setdefault("llm_worker_memory", types.ModuleType("llm_worker_memory")))
     if path not in held:
-        held[path] = Ids(path)
+        held[path] = RankIds(path) if path.endswith(".tiktoken") else Ids(path)
     return held[path]
 
 
+class Memory(dict):
+    """Ids by chunk; looking up an unknown chunk gives None and notes it in ``lack``."""
+
+    def __init__(self):
+        super().__init__()
+        self.lack: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> None:
+        self.lack.append(chunk)
+
+
+class RankIds:
+    """``RankIds(path)(texts)``: the same for a file of merge ranks, whole texts by the ``tiktoken`` library."""
+
+    def __init__(self, path: str):
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
+        for text in texts:
+            yield np.asarray(self.encoding.encode_ordinary((text or b"").decode()), dtype="<u4").tobytes()
+
+
 class Ids:
     """``Ids(path)(texts)``: little-endian uint32 ids of each text (UTF-8 bytes; None counts as empty)."""
 
@@ -46,7 +75,7 @@ class Ids:
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
         self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.letters = byte_letters()
-        self.known: dict[bytes, bytes] = {}
+        self.known = Memory()
         self.pieces: dict[str, bytes] = {}
 
     def __call__(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
@@ -62,12 +91,16 @@ class Ids:
 
     def _group(self, texts: list[bytes]) -> list[bytes]:
         cut = [None if any(s in t for s in self.special) else t.lower().split() for t in texts]
-        get = self.known.get
-        found = [None if words is None else list(map(get, words)) for words in cut]
-        lacking = [(words, ids) for words, ids in zip(cut, found, strict=True) if ids is not None and None in ids]
-        new = {w for words, ids in lacking for w, i in zip(words, ids, strict=True) if i is None}
-        if new:
-            self._learn(list(new))
+        get, lack = self.known.__getitem__, self.known.lack
+        found, lacking = [], []
+        for words in cut:
+            before = len(lack)
+            found.append(None if words is None else list(map(get, words)))
+            if len(lack) > before:
+                lacking.append((words, found[-1]))
+        if lack:
+            self._learn(list(set(lack)))
+            lack.clear()
             for words, ids in lacking:
                 ids[:] = [get(w) if i is None else i for w, i in zip(words, ids, strict=True)]
         out = [
