@@ -37,7 +37,8 @@ def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_matrix.packed_rows(table(spark, sf_dir, "documents"), vocabulary())
+    # id 50256 is this vocabulary's end of text
+    return token_matrix.packed_rows(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), end_id=50_256)
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

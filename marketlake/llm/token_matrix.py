@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import parts
-from marketlake.llm.packing import CAPACITY, token_pieces
+from marketlake.llm.packing import CAPACITY, END_ID, token_pieces
 
 BYTES_PER_TASK, PAD_ID = 16 << 20, 0
 
@@ -82,11 +82,11 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return rows
 
 
-def packed_rows(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", id_bits: int = 16) -> DataFrame:
+def packed_rows(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", id_bits: int = 16, end_id: int = END_ID) -> DataFrame:
     """``sequence_id, n_tokens, ids, cu_seqlens, doc_ids, pieces, ids_crc32``: one row per row of the matrices."""
     stored_type = {16: "<u2", 32: "<u4"}[id_bits]
     tasks = parts(docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0], BYTES_PER_TASK)
-    pieces = token_pieces(docs, vocabulary, capacity, id_col, text_col, ids_as=stored_type).drop("ids_crc32")
+    pieces = token_pieces(docs, vocabulary, capacity, id_col, text_col, ids_as=stored_type, end_id=end_id).drop("ids_crc32")
     dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece", F.crc32("ids"))).withColumn("task", F.spark_partition_id())
     id_type = pieces.schema["doc_id"].dataType.simpleString()
     schema = f"sequence_id long, n_tokens int, ids binary, cu_seqlens array<int>, doc_ids array<{id_type}>, pieces array<int>, ids_crc32 long"

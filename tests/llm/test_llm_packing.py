@@ -31,6 +31,18 @@ def test_ids_are_the_librarys(tokenizer):
         assert [*np.frombuffer(ids, "<u4").tolist(), 1] == ids_of(tokenizer, text)
 
 
+def test_rank_files_give_the_same_ids_as_the_vocabulary_file():
+    from marketlake.llm.tokens import coder
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    whole.encode_special_tokens = True
+    texts = [r[1] or "" for r in documents() if r[0] != 94] + ["x" * 20_000, "<|endoftext|> a  b\n\n日本 İ"]
+    coded = coder(vocabulary("byte_bpe_50k.tiktoken"))([t.encode() for t in texts])
+    for text, ids in zip(texts, coded):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_packed_documents(spark, tokenizer):
     rows = documents()
     got = P.pack_documents(frame(spark, rows), vocabulary()).collect()
