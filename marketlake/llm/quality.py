@@ -6,9 +6,9 @@ documents of the language that pass the base rules. A document is rejected if th
 0 to 1) to a reference is above a bound. Both are guarded by length, as histograms of short texts are mostly noise: a bound
 falls with the root of the length, and below a minimum length it doesn't hold. It holds only for languages with enough words for a reference.
 
-A word is common if it makes up at least COMMON_SHARE of its language. Tasks report words with half that share
-among what they read; no common word can be missed by all reports' sum, and at most
-2 / COMMON_SHARE words of a language pass. The counts themselves come from a second pass over all texts.
+A word is common if it makes up at least COMMON_SHARE of its language's reference, that is of the documents that pass the
+base rules. Tasks report words with half that share among what they read of those documents; no common word can be missed by
+all reports' sum, and at most 2 / COMMON_SHARE words of a language pass. The counts themselves come from a second pass over all texts.
 
 Defined results: null and empty texts have no words and fail the base rules; a null language is a
 language of its own; languages beyond the MAX_LANGUAGES with most words, or with too few words for a reference, are judged
@@ -83,17 +83,27 @@ def base_features(text: bytes, words: list[bytes]) -> tuple[int, int, int, int,
     )
 
 
+def passes_base(words: list[bytes]) -> bool:
+    """Whether a text of these words passes the base rules; ``base_failed`` is the same rule on columns."""
+    n = len(words)
+    return n >= MIN_BASE_WORDS and 100 * repeated_words(words) <= MAX_REPEATED_PERCENT * n
+
+
 def _texts(batch: pa.RecordBatch) -> list[tuple[str, bytes]]:
     texts = batch.column("text").cast(pa.large_binary()).to_pylist()
     return [(lang or "", text or b"") for lang, text in zip(batch.column("lang").to_pylist(), texts, strict=True)]
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, word, n) of the words with half the share of a common word in what was read, and (lang, null, n) of all words."""
+    """(lang, word, n) of the words with half the share of a common word in what was read, and (lang, null, n) of all words.
+
+    Only documents that pass the base rules count, as in the references.
+    """
     for batch in batches:
         counts: dict[str, Counter] = {}
         for lang, text in _texts(batch):
-            counts.setdefault(lang, Counter()).update(text.lower().split())
+            if passes_base(text.split()):
+                counts.setdefault(lang, Counter()).update(text.lower().split())
         rows: list[tuple[str, bytes | None, int]] = []
         for lang, count in counts.items():
             total = count.total()

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -87,3 +88,25 @@ def test_distance_bounds(spark):
         Q.distance(Q.shares(F.array(F.lit(0), F.lit(0)), F.lit(0)), F.array(F.lit(0.25), F.lit(0.75))).alias("none"),
     ).first()
     assert row.apart == pytest.approx(1) and row.same == pytest.approx(0, abs=1e-6) and row.none == 0
+
+
+def letters(rng, n=6):
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+
+def kept_of(spark, rows):
+    """``kept`` by doc_id (the index in ``rows`` of (lang, text)), after comparison with plain code."""
+    got = {r.doc_id: r.kept for r in Q.quality_rules(frame(spark, [(i, t, lang, "s") for i, (lang, t) in enumerate(rows)])).collect()}
+    assert [got[i] for i in range(len(rows))] == verdicts(rows)[2]
+    return got
+
+
+def test_base_failed_text_hides_no_common_words(spark):
+    rng = random.Random(5)
+    common = [letters(rng) for _ in range(120)]  # each 0.8 % of the good words, 0.16 % of all
+    rows = [("en", " ".join(rng.choices(common, k=900))) for _ in range(10)]
+    rows += [("en", " ".join([letters(rng) for _ in range(8)] * 113)) for _ in range(40)]
+    rows.append(("en", " ".join(letters(rng) for _ in range(200))))
+    assert sum(len(t.split()) for _, t in rows[10:50]) >= 4 * sum(len(t.split()) for _, t in rows[:10])
+    kept = kept_of(spark, rows)
+    assert all(kept[i] for i in range(10)) and not any(kept[i] for i in range(10, 51))
