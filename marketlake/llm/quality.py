@@ -11,8 +11,10 @@ base rules. Tasks report words with half that share among what they read of thos
 all reports' sum, and at most 2 / COMMON_SHARE words of a language pass. The counts themselves come from a second pass over all texts.
 
 Defined results: null and empty texts have no words and fail the base rules; a null language is a
-language of its own; languages beyond the MAX_LANGUAGES with most words, or with too few words for a reference, are judged
-by the base rules only; repeated rows are judged alike; an empty table gives an empty result.
+language of its own; languages with too few words for a reference are judged by the base rules only, all others by both
+distances (a language without common words has one bin for all words, so only its classes can differ); repeated rows are judged
+alike; an empty table gives an empty result. The common words of the MAX_LANGUAGES languages with most words are sent to
+every task, those of further languages are joined to their documents.
 """
 
 from __future__ import annotations
@@ -116,46 +118,68 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def common_words(texts: DataFrame) -> dict[str, list[bytes]]:
-    """By language, the words that may be common: 2 / COMMON_SHARE at most for each of MAX_LANGUAGES at most."""
+def common_words(texts: DataFrame) -> tuple[dict[str, list[bytes]], DataFrame | None]:
+    """By language, the words that may be common, 2 / COMMON_SHARE at most: of the MAX_LANGUAGES with most words, and the rest.
+
+    The rest has one row ``__common_of, __common`` per language, and is None if there are no more languages.
+    """
     found = stored(
         texts.select("lang", "text").mapInArrow(_frequent, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     )
     totals = found.filter("word IS NULL").select(F.col("lang").alias("of"), F.col("n").alias("words"))
-    totals = totals.filter(F.col("words") >= MIN_REFERENCE_WORDS).orderBy(F.desc("words"), "of").limit(MAX_LANGUAGES)
-    rows = (
+    totals = totals.filter(F.col("words") >= MIN_REFERENCE_WORDS)
+    top = [r["of"] for r in totals.orderBy(F.desc("words"), "of").limit(MAX_LANGUAGES + 1).collect()]
+    more, top = len(top) > MAX_LANGUAGES, top[:MAX_LANGUAGES]
+    words = (
         found.filter("word IS NOT NULL")
         .join(totals, F.col("lang") == F.col("of"))
         .filter(F.col("n") >= COMMON_SHARE / 2 * F.col("words"))
         .select("lang", "word")
-        .collect()
     )
-    out: dict[str, list[bytes]] = {}
-    for lang, word in sorted((r.lang, bytes(r.word)) for r in rows):
-        out.setdefault(lang, []).append(word)
-    return out
+    out: dict[str, list[bytes]] = {lang: [] for lang in top}
+    for lang, word in sorted((r.lang, bytes(r.word)) for r in words.filter(F.col("lang").isin(top)).collect()):
+        out[lang].append(word)
+    if not more:
+        return out, None
+    rest = words.filter(~F.col("lang").isin(top)).groupBy(F.col("lang").alias("__common_of"))
+    return out, stored(rest.agg(F.array_sort(F.collect_list("word")).alias("__common")))
 
 
-def features(docs: DataFrame, common: dict[str, list[bytes]], keep: list[str]) -> DataFrame:
+def features(docs: DataFrame, common: tuple[dict[str, list[bytes]], DataFrame | None], keep: list[str]) -> DataFrame:
     """``keep`` columns of ``docs`` (which has lang and text) and a struct ``__q`` of base features and histograms."""
+    top, rest = common
+    index = {lang: {w: k for k, w in enumerate(words)} for lang, words in top.items()}
+    if rest is None:
+        return _described(docs, index, keep)
+    lang = F.coalesce("lang", F.lit(""))
+    known = lang.isin(list(top))
+    others = docs.filter(~known).join(rest, lang == F.col("__common_of"), "left").drop("__common_of")
+    return _described(docs.filter(known), index, keep).unionByName(_described(others, {}, keep))
+
+
+def _described(docs: DataFrame, index: dict[str, dict[bytes, int]], keep: list[str]) -> DataFrame:
+    """``features`` of documents whose language's words are in ``index`` or in the row's ``__common``."""
     schema = (
         ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
         + ", __q struct<lang: string, n_words: long, word_chars: long, n_symbols: long, n_dup_lines: long,"
         + " n_repeat_words: long, classes: array<long>, words: array<long>>"
     )
-    index = {lang: {w: k for k, w in enumerate(words)} for lang, words in common.items()}
     lookup = class_of_byte()
+    joined = "__common" in docs.columns
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, base, classes, words = [], [], [], []
-            for lang, text in _texts(batch.select(["lang", "text"])):
+            places = {} if joined else index
+            for row, (lang, text) in enumerate(_texts(batch.select(["lang", "text"]))):
                 split = text.split()
                 base.append(base_features(text, split))
                 langs.append(lang)
                 kinds = lookup[np.frombuffer(text, np.uint8)]
                 classes.append(np.bincount(kinds, minlength=len(CLASSES) + 1)[: len(CLASSES)])
-                place = index.get(lang, {})
+                if joined and lang not in places:
+                    places[lang] = {w: k for k, w in enumerate(batch.column("__common")[row].as_py() or [])}
+                place = places.get(lang, {})
                 at = [p for p in map(place.get, text.lower().split()) if p is not None]
                 words.append(np.bincount(np.asarray(at, np.int64), minlength=len(place)))
             numbers = np.asarray(base, np.int64).reshape(-1, 5)
@@ -178,7 +202,10 @@ def base_failed(q: str = "__q") -> Column:
 
 
 def references(described: DataFrame) -> DataFrame:
-    """``lang, class_sums, word_sums, reference_words``: histograms summed over the documents that pass the base rules."""
+    """``of_lang, class_sums, word_sums, reference_words``: histograms summed over the documents that pass the base rules.
+
+    ``word_sums`` is empty for a language without words that may be common.
+    """
     good = described.filter(~base_failed()).select("__q.*")
     sums = good.groupBy("lang").agg(
         F.array(*[F.sum(F.element_at("classes", k + 1)) for k in range(len(CLASSES))]).alias("class_sums"),
@@ -188,7 +215,8 @@ def references(described: DataFrame) -> DataFrame:
     word_sums = by_word.groupBy(F.col("lang").alias("of")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "n"))), lambda x: x["n"]).alias("word_sums")
     )
-    return sums.join(word_sums, F.col("lang") == F.col("of")).drop("of").withColumnRenamed("lang", "of_lang")
+    both = sums.join(word_sums, F.col("lang") == F.col("of"), "left").drop("of").withColumnRenamed("lang", "of_lang")
+    return both.withColumn("word_sums", F.coalesce("word_sums", F.array().cast("array<long>")))
 
 
 def total(a: Column) -> Column:

@@ -110,3 +110,28 @@ def test_base_failed_text_hides_no_common_words(spark):
     assert sum(len(t.split()) for _, t in rows[10:50]) >= 4 * sum(len(t.split()) for _, t in rows[:10])
     kept = kept_of(spark, rows)
     assert all(kept[i] for i in range(10)) and not any(kept[i] for i in range(10, 51))
+
+
+def test_language_without_common_words_is_judged_by_classes(spark):
+    rng = random.Random(6)
+    rows = [("zh", " ".join(letters(rng, 12) for _ in range(300))) for _ in range(12)]
+    rows.append(("zh", " ".join(f"#{k}$%&|<>*" for k in range(30))))
+    kept = kept_of(spark, rows)
+    assert all(kept[i] for i in range(12)) and not kept[12]
+
+
+def test_languages_beyond_the_bound_are_judged_alike(spark, monkeypatch):
+    monkeypatch.setattr(Q, "MAX_LANGUAGES", 2)
+    rng = random.Random(8)
+    rows = []
+    for k, lang in enumerate(("aa", "bb", "cc", None, "ee")):
+        common = [letters(rng) for _ in range(80)]
+        rows += [(lang, " ".join(rng.choices(common, k=900))) for _ in range(8 - k)]
+        rows.append((lang, " ".join(letters(rng) for _ in range(200))))
+        rows.append((lang, " ".join(f"#{j}$%&|<>*" for j in range(30))))
+    rows += [("ff", "too few words for a reference " * 3), ("ff", None), ("zz", " ".join(letters(rng) for _ in range(1200)))]
+    kept = kept_of(spark, rows)
+    junk = [i for i, (_, t) in enumerate(rows[:-3]) if len(t.split()) < 900]
+    assert len(junk) == 10 and not any(kept[i] for i in junk)
+    docs = frame(spark, [(i, t, lang, "s") for i, (lang, t) in enumerate(rows)])
+    assert sorted(r.doc_id for r in Q.keep_quality(docs).collect()) == sorted(i for i in kept if kept[i])
