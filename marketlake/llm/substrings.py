@@ -13,9 +13,13 @@ All suffixes can't be sorted at once, nor can a task hold the text they point in
   by the sample's hash. Each task sorts one bucket. Equal contexts are settled as a whole; where a
   sample has different contexts, their suffixes are sorted by the first 32 bytes, and ties by the ranks of a difference cover
   modulo 7 of the contexts' positions, ranked beforehand for the bucket, and their last 8 bytes. All comparisons are of bytes.
+* A sample with more than HOT different contexts (a phrase below LENGTH bytes that many documents have between other
+  neighbours) has too many for one bucket. Its strings are dealt by the hash of all their bytes instead, as only equal strings
+  must meet: each block settles its own copies and sends one row, with the least id, for each string.
 * The answer for a context is one bit for each of its suffixes; blocks turn these into removed bytes.
 
-Memory is bounded by a block or a bucket. Copies inside a block are settled there, so a passage that a third of
+Memory is bounded by a block or a bucket: a bucket has some BUCKET_BYTES of text by average, and of one sample HOT contexts, those
+of one block, or of one string a row per block. Copies inside a block are settled there, so a passage that a third of
 all documents have sends a block's worth of contexts, not a row for each document, to its bucket.
 
 Defined results: null texts are empty; a null id counts as larger than all others, and rows with equal ids (or null) don't
@@ -41,6 +45,9 @@ SPAN = LENGTH - GRAM + 1  # samples that a string has; so many suffixes at most
 WIDTH = 80  # a context's bytes, SPAN + LENGTH - 1, in whole words
 BLOCK_BYTES, BUCKET_BYTES, CHUNK_BYTES = 8 << 20, 16 << 20, 1 << 18
 COVER, CYCLE, FIRST, TAIL = (0, 1, 3), 7, 32, 18
+HOT, SPREAD = 4096, 4  # contexts of a sample that go to one bucket; buckets of strings for each bucket of contexts
+STRING_WORDS, PIECE = (*range(0, LENGTH - 7, 8), LENGTH - 8), 1 << 20
+LINK = np.uint64(1 << 63)  # of a mask: the string is that at the place in the low 32 bits, whatever becomes of it
 LEVEL = 5  # of compression of what is stored and shuffled
 NO_ID = np.iinfo(np.int64).max
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -165,18 +172,45 @@ def _decoded(data: bytes, bits: int) -> np.ndarray:
     return np.cumsum(np.concatenate([first, steps]))
 
 
+def _counted(block: Block, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct short hashes of a block's samples, and how many different contexts each has there."""
+    first, count, place, h, _ = block.samples()
+    values, index = _short(h, bits)
+    counts = np.bincount(index, minlength=len(values))
+    again = np.flatnonzero(counts[index] > 1)
+    if len(again):
+        rows = _padded(block.data, first[again], count[again] + LENGTH - 1)
+        content = _row_hash(rows, place[again] - first[again], count[again])
+        order = np.lexsort((content, index[again]))
+        group, content = index[again][order], content[order]
+        new = np.append(True, (group[1:] != group[:-1]) | (content[1:] != content[:-1]))
+        different = np.bincount(group[new], minlength=len(values))
+        counts = np.where(different > 0, different, counts)
+    return values, counts
+
+
+def _several(counts: np.ndarray) -> bytes:
+    """Places and values of the counts above one."""
+    at = np.flatnonzero(counts > 1)
+    return np.concatenate([at, counts[at]]).astype("<u4").tobytes()
+
+
 def _sampled(id_col: str, text_col: str, buckets: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, rows in zip(batch.column("block").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-                values, _ = _short(Block(rows, id_col, text_col).samples()[3], bits)
+                values, counts = _counted(Block(rows, id_col, text_col), bits)
                 to = _bucket(values, buckets)
                 used, start = np.unique(to, return_index=True)
                 pieces = [_coded(v, bits) for v in np.split(values, start[1:])] if len(used) else []
+                more = [_several(c) for c in np.split(counts, start[1:])] if len(used) else []
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(used, pa.int64()), pa.array([block] * len(used), pa.int64()), pa.array(pieces, pa.binary())],
-                    names=["bucket", "block", "hashes"],
-                )
+                    [
+                        pa.array(used, pa.int64()), pa.array([block] * len(used), pa.int64()), pa.array(pieces, pa.binary()),
+                        pa.array(more, pa.binary()),
+                    ],
+                    names=["bucket", "block", "hashes", "counts"],
+                )
 
     return run
 
@@ -186,12 +220,23 @@ def _shared(bits: int):
         lists = [_decoded(x, bits) for x in rows.column("hashes").to_pylist()]
         ordered = np.sort(np.concatenate(lists))
         twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        out = []
-        for values in lists:
+        out, places = [], []
+        contexts = np.zeros(len(twice), np.int64)
+        for values, counts in zip(lists, rows.column("counts").to_pylist(), strict=True):
             at = np.searchsorted(twice, values)
             at[at == len(twice)] = 0
-            out.append(np.packbits(twice[at] == values if len(twice) else np.zeros(len(values), bool)).tobytes())
-        return pa.table({"block": rows.column("block"), "bucket": rows.column("bucket"), "bits": pa.array(out, pa.binary())})
+            known = twice[at] == values if len(twice) else np.zeros(len(values), bool)
+            out.append(np.packbits(known).tobytes())
+            number = np.ones(len(values), np.int64)
+            several, value = np.frombuffer(counts, "<u4").reshape(2, -1)
+            number[several] = value
+            contexts[at[known]] += number[known]
+        hot = twice[contexts > HOT]
+        for values in lists:
+            places.append(np.flatnonzero(np.isin(values, hot)).astype("<u4").tobytes() if len(hot) else b"")
+        return pa.table({
+            "block": rows.column("block"), "bucket": rows.column("bucket"), "bits": pa.array(out, pa.binary()), "hot": pa.array(places, pa.binary()),
+        })
 
     return run
 
@@ -231,29 +276,87 @@ def _group_min(ids: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.nda
     return out
 
 
+def _string_hash(words: np.ndarray, start: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(start), np.uint64)
+    for k in STRING_WORDS:
+        h = mixed(h + words[start + k])
+    return h
+
+
+def _equal_strings(words: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings the equal strings of LENGTH bytes at ``start`` together, and where groups start in it. Equality is of bytes."""
+    h = _string_hash(words, start)
+    order = np.argsort(h, kind="stable")
+    keys = [words[start + k] for k in STRING_WORDS]
+    same = _tied(keys, order)
+    if (~same & _tied([h], order)).any():  # two strings with one hash may lie mixed
+        order = np.lexsort(keys)
+        same = _tied(keys, order)
+    return order, np.flatnonzero(np.append(np.ones(min(1, len(start)), bool), ~same))
+
+
+def _hot_strings(block: Block, first: np.ndarray, count: np.ndarray, ids: np.ndarray, buckets: int):
+    """Of contexts dealt by string: what the block settles itself as places and masks, and by bucket one row for each string."""
+    words = np.ndarray((len(block.data) - 7,), "<u8", block.data, strides=(1,))
+    windows = np.lib.stride_tricks.sliding_window_view(block.data, LENGTH)
+    own = np.repeat(np.arange(len(first), dtype=np.int32), count)
+    start = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+    h = _string_hash(words, start)
+    pieces = _bucket(h, -(-len(h) // PIECE))  # so many strings at once
+    places, masks, out = [], [], []
+    for piece in range(-(-len(h) // PIECE)):
+        some = np.flatnonzero(pieces == piece)
+        if not len(some):
+            continue
+        order, starts = _equal_strings(words, start[some])
+        some = some[order]
+        at, of, size = start[some], ids[own[some]], np.diff(np.append(starts, len(some)))
+        least = np.minimum.reduceat(of, starts)
+        low = of == np.repeat(least, size)
+        # the first of a string's places with the least id stands for the others
+        lead = np.minimum.reduceat(np.where(low, np.arange(len(some)), len(some)), starts)
+        leads = np.repeat(at[lead], size)
+        linked = low & (at != leads)
+        places += [at[~low], at[linked]]
+        masks += [np.ones(np.count_nonzero(~low), np.uint64), LINK | leads[linked].astype(np.uint64)]
+        to = buckets + _bucket(h[some[lead]], SPREAD * buckets)
+        sent = np.argsort(to, kind="stable")
+        for bucket, part in zip(*_split(to[sent], sent), strict=True):
+            out.append((int(bucket), _payload(at[lead[part]], least[part], windows[at[lead[part]]].reshape(-1))))
+    return np.concatenate(places), np.concatenate(masks), out
+
+
 def _contexts(id_col: str, text_col: str, buckets: int, bits: int):
-    """A block's answer to the bits: its contexts by bucket, and in a bucket below 0 what it has settled itself."""
+    """A block's answer to the bits: its contexts and strings by bucket, and in a bucket below 0 what it has settled itself."""
 
     def run(key, left, right):
         block = Block(left.column("rows")[0].as_py(), id_col, text_col)
         first, count, place, h, doc = block.samples()
         values, index = _short(h, bits)
-        flags = np.zeros(len(values), dtype=bool)
+        flags, hot = np.zeros((2, len(values)), dtype=bool)
         ends = np.searchsorted(_bucket(values, buckets), np.arange(buckets + 1))
-        for bucket, data in zip(right.column("bucket").to_pylist(), right.column("bits").to_pylist(), strict=True):
+        for bucket, data, places in zip(*(right.column(c).to_pylist() for c in ("bucket", "bits", "hot")), strict=True):
             a, b = ends[bucket], ends[bucket + 1]
             flags[a:b] = np.unpackbits(np.frombuffer(data, np.uint8), count=b - a)
+            hot[a + np.frombuffer(places, "<u4").astype(np.int64)] = True
         pairs = np.unique(index * len(block.ids) + doc)
         flags |= np.bincount(pairs // max(1, len(block.ids)), minlength=len(values)) > 1
         keep = flags[index]
+        hot = hot[index][keep]
         first, count, place, h, doc = (x[keep] for x in (first, count, place, h, doc))
         ids, offset, size = block.ids[doc], place - first, count + LENGTH - 1
         rows = _padded(block.data, first, size)
         order, starts = _equal_groups(h, rows, offset, count)
         here = _group_min(ids, order, starts) < ids
         full = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
-        out = [(-1 - key[0].as_py(), key[0].as_py(), _payload(first[here], full[here]))] if here.any() else []
-        send = np.flatnonzero(~here)
+        at, mask, strings = first[here], full[here], []
+        split = ~here & hot
+        if split.any():
+            more_at, more_mask, strings = _hot_strings(block, first[split], count[split], ids[split], buckets)
+            at, mask = np.concatenate([at, more_at]), np.concatenate([mask, more_mask])
+        out = [(-1 - key[0].as_py(), key[0].as_py(), _payload(at, mask))] if len(at) else []
+        out += [(bucket, key[0].as_py(), payload) for bucket, payload in strings]
+        send = np.flatnonzero(~here & ~hot)
         send = send[np.argsort(h[send], kind="stable")]
         to = _bucket(h[send], buckets)
         for bucket, part in zip(*_split(to, send), strict=True):
@@ -275,11 +378,11 @@ def _split(labels: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[np.
 
 
 _TYPES = ("<u4", "<u8", "<i8", "u1", "u1", "u1")
-_ANSWER = ("<u4", "<u8")
+_ANSWER, _STRINGS = ("<u4", "<u8"), ("<u4", "<i8", "u1")
 
 
 def _payload(*columns: np.ndarray) -> bytes:
-    types = _ANSWER if len(columns) == 2 else _TYPES
+    types = {2: _ANSWER, 3: _STRINGS}.get(len(columns), _TYPES)
     n = len(columns[0])
     data = b"".join(np.ascontiguousarray(c.astype(t)).tobytes() for c, t in zip(columns, types, strict=True))
     return n.to_bytes(8, "little") + len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=LEVEL).compress(data, asbytes=True)
@@ -290,7 +393,7 @@ def _columns(payload: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
     data = pa.decompress(payload[16:], decompressed_size=size, codec="zstd", asbytes=True)
     out, at = [], 0
     for k, t in enumerate(types):
-        whole = k == 5  # the contexts' bytes
+        whole = k == len(types) - 1 and types != _ANSWER  # the contexts' or strings' bytes
         out.append(np.frombuffer(data, t, count=-1 if whole else n, offset=at))
         at += n * np.dtype(t).itemsize
     return out
@@ -299,10 +402,34 @@ def _columns(payload: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
 # --- one bucket -------------------------------------------------------------------------------------------------
 
 
-def _sort_bucket(key, rows):
-    """For each block's contexts the bits of their suffixes that a document with a smaller id has too."""
-    if key[0].as_py() < 0:  # an answer already
-        return rows.select(["block", "payload"])
+def _settled(buckets: int):
+    """For each block's contexts and strings the bits of those that a document with a smaller id has too."""
+
+    def run(key, rows):
+        bucket = key[0].as_py()
+        if bucket < 0:  # an answer already
+            return rows.select(["block", "payload"])
+        return _sort_bucket(rows) if bucket < buckets else _string_rows(rows)
+
+    return run
+
+
+def _string_rows(rows: pa.Table) -> pa.Table:
+    got = [_columns(p, _STRINGS) for p in rows.column("payload").to_pylist()]
+    part = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
+    first, ids, flat = (np.concatenate(c) for c in zip(*got, strict=True))
+    words = np.ndarray((len(flat) - 7,), "<u8", flat, strides=(1,))
+    order, starts = _equal_strings(words, np.arange(len(first)) * LENGTH)
+    removed = _group_min(ids, order, starts) < ids
+    blocks, out = rows.column("block").to_pylist(), []
+    for k, block in enumerate(blocks):
+        own = first[(part == k) & removed]
+        if len(own):
+            out.append((block, _payload(own, np.ones(len(own), np.uint64))))
+    return pa.table({"block": pa.array([x[0] for x in out], pa.int64()), "payload": pa.array([x[1] for x in out], pa.binary())})
+
+
+def _sort_bucket(rows: pa.Table) -> pa.Table:
     got = [_columns(p, _TYPES) for p in rows.column("payload").to_pylist()]
     part = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
     first, h, ids, offset, count, flat = (np.concatenate(c) for c in zip(*got, strict=True))
@@ -405,13 +532,24 @@ def _cut(id_col: str, text_col: str, columns: list[str]):
     def run(key, left, right):
         block = Block(left.column("rows")[0].as_py(), id_col, text_col)
         edge = np.zeros(len(block.data) + 1, np.int64)
+        answered, links = np.zeros(len(block.data), dtype=bool), []
         for payload in right.column("payload").to_pylist():
             first, mask = _columns(payload, _ANSWER)
-            bits = np.unpackbits(mask.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            row, j = np.nonzero(bits)
-            start = first[row].astype(np.int64) + j
-            np.add.at(edge, start, 1)
-            np.add.at(edge, start + LENGTH, -1)
+            linked = mask >= LINK
+            if linked.any():
+                links.append((first[linked].astype(np.int64), (mask[linked] ^ LINK).astype(np.int64)))
+                first, mask = first[~linked], mask[~linked]
+            for a in range(0, len(first), PIECE):
+                bits = np.unpackbits(mask[a : a + PIECE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                row, j = np.nonzero(bits)
+                start = first[a : a + PIECE][row].astype(np.int64) + j
+                np.add.at(edge, start, 1)
+                np.add.at(edge, start + LENGTH, -1)
+                answered[start] = True
+        for at, lead in links:
+            at = at[answered[lead]]
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + LENGTH, -1)
         gone = np.cumsum(edge)[:-1] > 0
         n = len(block.ids)
         left_text, removed, spans = [], np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -443,12 +581,12 @@ def _removal(docs: DataFrame, id_col: str, text_col: str, columns: list[str]) ->
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
     buckets, bits = parts(total, BUCKET_BYTES), min(64, max(40, total.bit_length() + 12))
     args = (id_col, text_col, buckets, bits)
-    hashes = blocks.select("block", "rows").mapInArrow(_sampled(*args), "bucket long, block long, hashes binary")
-    shared = stored(hashes.groupBy("bucket").applyInArrow(_shared(bits), "block long, bucket long, bits binary"))
+    hashes = blocks.select("block", "rows").mapInArrow(_sampled(*args), "bucket long, block long, hashes binary, counts binary")
+    shared = stored(hashes.groupBy("bucket").applyInArrow(_shared(bits), "block long, bucket long, bits binary, hot binary"))
     by_block = blocks.select("block", "rows").groupBy("block")
     # blocks are shuffled once for both uses; contexts go from one shuffle to the next and are not stored
     contexts = by_block.cogroup(shared.groupBy("block")).applyInArrow(_contexts(*args), "bucket long, block long, payload binary")
-    answers = contexts.groupBy("bucket").applyInArrow(_sort_bucket, "block long, payload binary")
+    answers = contexts.groupBy("bucket").applyInArrow(_settled(buckets), "block long, payload binary")
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
     schema = ", ".join([*fields, "__bytes long", "__removed long", "__spans long", "__sha256 string"])
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(_cut(id_col, text_col, columns), schema)

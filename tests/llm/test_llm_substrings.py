@@ -77,3 +77,44 @@ def test_samples_agree_on_equal_strings():
         assert len(own) == 1 and doc[own[0]] == k
         offsets.add((int(place[own[0]]) - at, int(h[own[0]])))
     assert len(offsets) == 1
+
+
+def phrases(rng, n):
+    """Texts with one phrase below LENGTH bytes between other neighbours, some with a longer part of an earlier one, some with copies inside."""
+    rows = []
+    for i in range(n):
+        left, right = ("".join(rng.choice("abcdefgh ") for _ in range(rng.randint(20, 50))) for _ in range(2))
+        text = f"{left}Share this page on Facebook ..{right}"
+        if rows and rng.random() < 0.1:
+            other = rng.choice(rows)[1]
+            a = other.index("Share") - rng.randint(0, 20)
+            text += " " + other[a : a + rng.randint(45, 60)]
+        rows.append((rng.choice((i, i, i, 5, None)), text * rng.choice((1, 1, 1, 2)), "en", "s"))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_strings_of_frequent_samples(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT", 2, raising=False)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(S, "BUCKET_BYTES", 9000)
+    want = compare(spark, phrases(random.Random(4), 300) + [r for r in documents() if r[0] != 94])
+    assert sum(w[1] for w in want) > 5000
+
+
+def test_frequent_sample_does_not_fill_a_bucket(spark, monkeypatch):
+    sort = S._sort_bucket
+
+    def bounded(*args):
+        n = sum(int.from_bytes(p[:8], "little") for p in args[-1].column("payload").to_pylist())
+        assert n <= 7 * 64, f"{n} contexts in a bucket"  # the phrase has 7 samples
+        return sort(*args)
+
+    monkeypatch.setattr(S, "_sort_bucket", bounded)
+    monkeypatch.setattr(S, "HOT", 64, raising=False)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 10_000)
+    monkeypatch.setattr(S, "BUCKET_BYTES", 10_000)
+    rng = random.Random(9)
+    rows = [r for r in phrases(rng, 1700) if len(r[1]) < 140]
+    assert len(rows) > 1000
+    compare(spark, rows)
