@@ -5,15 +5,20 @@ A template of n five-word shingles is looked for in windows of 1.25 n shingles (
 shingles, so an occurrence lies whole in one window. If a window contains SHARE (0.8) of the template, their
 Jaccard similarity is 0.55 or more, and BANDS bands of ROWS rows miss it with probability
 (1 - 0.55 ** 2) ** 20 = 0.0007; a whole occurrence (0.8) with 1e-9. Windows that agree in a band are verified exactly. Texts
-are read whole; nothing is shuffled. The templates are a parameter that every task holds; their number is checked.
+are read whole; nothing is shuffled. The templates are a parameter that every task holds; their number is checked. Only templates
+with SHARE of their shingles anywhere in a group of texts are looked for in its windows, as others can't be contained.
 
-Defined results: null and empty texts and texts below five words match nothing; overlapping finds of a template in a document are
+A name may have several texts; their finds are one name's finds. Since numbers are alike, a version is read after the match: ``{}`` in a
+name becomes each version that the found span names (a row for each), and goes with its hyphen if there is none. SPDX lines are found by pattern.
+
+Defined results: null and empty texts and texts below five words match nothing; overlapping finds of a name in a document are
 one span with the highest containment; repeated rows are scanned each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +28,12 @@ from marketlake.llm.shingles import _WORDS, grouped, mixed, word_hashes
 
 BANDS, ROWS, WORDS, SHARE, MAX_TEMPLATES = 20, 2, 5, 0.8, 10_000
 
-#: The notices to look for, as their licenses publish them.
+_WORD = re.compile(rb"[A-Za-z0-9]+")
+_VERSION = re.compile(rb"(?<![A-Za-z0-9.])(?:[vV])?([0-9]{1,2}(?:\.[0-9]{1,2})*)(?![A-Za-z0-9])")
+_ID = rb"\(*[A-Za-z][A-Za-z0-9.+-]*\)*"
+_SPDX = re.compile(rb"SPDX-License-Identifier:[ \t]*(%b(?:[ \t]+(?:AND|OR|WITH)[ \t]+%b)*)" % (_ID, _ID))
+
+#: The notices to look for if none are given. ``license_table.USUAL`` is the table of the registered query.
 TEMPLATES = {
     "MIT notice": "Released under the MIT License.",
     "CC-BY-NC notice": "Licensed under CC BY-NC 4.0.",
@@ -120,6 +130,31 @@ def window_candidates(s: np.ndarray, templates: list[Template]) -> list[np.ndarr
     return [np.flatnonzero(hit) * t.step for hit, t in zip(hits, templates, strict=True)]
 
 
+def _present(known: np.ndarray, of: np.ndarray) -> int:
+    """How many of ``of`` are among the ascending ``known``."""
+    at = np.minimum(np.searchsorted(known, of), len(known) - 1)
+    return int(np.count_nonzero(known[at] == of))
+
+
+def with_versions(text: bytes, name: str, start: int, end: int) -> list[str]:
+    """``name`` with each version that words ``start`` to ``end`` of the text name."""
+    if "{}" not in name:
+        return [name]
+    words = [m.span() for m in _WORD.finditer(text)]
+    found = _VERSION.findall(text[words[start][0] : words[end - 1][1]])
+    versions = sorted({v.decode() if b"." in v else f"{v.decode()}.0" for v in found})
+    return [name.format(v) for v in versions] or [name.replace("-{}", "")]
+
+
+def spdx_lines(text: bytes) -> list[tuple[str, int, int]]:
+    """(the license expression, first word, word behind the last) of each SPDX line."""
+    out = []
+    for m in _SPDX.finditer(text):
+        start = len(_WORD.findall(text[: m.start()]))
+        out.append((m.group(1).decode(), start, start + len(_WORD.findall(m.group()))))
+    return out
+
+
 def found_in(texts: list[bytes], templates: list[Template]) -> list[tuple[int, str, int, int, float]]:
     """(index of the text, template, first word, word behind the last, containment)."""
     s, inside, of = shingles(texts)
@@ -128,8 +163,13 @@ def found_in(texts: list[bytes], templates: list[Template]) -> list[tuple[int, s
     first_word = np.searchsorted(of, np.arange(len(texts)))
     safe = np.where(inside, s, np.uint64(0xFFFFFFFFFFFFFFFF))
     out = []
+    known = np.unique(safe)
+    templates = [t for t in templates if _present(known, t.set) >= SHARE * len(t.set)]
+    if not templates:
+        return []
+    by_name: dict[str, dict[int, list[tuple[int, int, float]]]] = {}
     for t, starts in zip(templates, window_candidates(safe, templates), strict=True):
-        spans: dict[int, list[tuple[int, int, float]]] = {}
+        spans = by_name.setdefault(t.name, {})
         for a in starts.tolist():
             b = min(a + t.window, len(s))
             at = a + np.flatnonzero(inside[a:b] & np.isin(s[a:b], t.set))
@@ -138,6 +178,7 @@ def found_in(texts: list[bytes], templates: list[Template]) -> list[tuple[int, s
                 share = len(np.unique(s[own])) / len(t.set)
                 if share >= SHARE:
                     spans.setdefault(doc, []).append((int(own[0]), int(own[-1]) + WORDS, share))
+    for name, spans in by_name.items():
         for doc, found in spans.items():
             merged: list[tuple[int, int, float]] = []
             for a, b, share in sorted(found):
@@ -146,25 +187,29 @@ def found_in(texts: list[bytes], templates: list[Template]) -> list[tuple[int, s
                 else:
                     merged.append((a, b, share))
             base = int(first_word[doc])
-            out += [(doc, t.name, a - base, b - base, share) for a, b, share in merged]
+            out += [(doc, name, a - base, b - base, share) for a, b, share in merged]
     return sorted(out)
 
 
 def scan_licenses(
-    docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, templates: dict[str, str | Sequence[str]] | None = None, id_col: str = "doc_id", text_col: str = "text", spdx: bool = False
 ) -> DataFrame:
     """``doc_id, license, start_word, end_word, containment`` of each notice found; words as the scan counts them."""
     given = TEMPLATES if templates is None else templates
-    if not 0 < len(given) <= MAX_TEMPLATES:
-        raise ValueError(f"from 1 to {MAX_TEMPLATES} templates, got {len(given)}")
-    ready = [Template(name, text) for name, text in sorted(given.items())]
+    each = [(name, t) for name, texts in sorted(given.items()) for t in ([texts] if isinstance(texts, str) else texts)]
+    if not 0 < len(each) <= MAX_TEMPLATES:
+        raise ValueError(f"from 1 to {MAX_TEMPLATES} templates, got {len(each)}")
+    ready = [Template(name, text) for name, text in each]
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, start = [], 0
             for texts in grouped(batch.column(1).cast(pa.large_binary()).to_pylist()):
-                rows += [(start + doc, *more) for doc, *more in found_in(texts, ready)]
+                for doc, name, a, b, share in found_in(texts, ready):
+                    rows += [(start + doc, label, a, b, share) for label in with_versions(texts[doc], name, a, b)]
+                if spdx:
+                    rows += [(start + doc, f"SPDX {x}", a, b, 1.0) for doc, text in enumerate(texts) for x, a, b in spdx_lines(text)]
                 start += len(texts)
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import ann, chat, licenses, mixing, neardup, packing, quality, sharding, substrings, token_matrix
+from marketlake.llm import ann, chat, license_table, licenses, mixing, neardup, packing, quality, sharding, substrings, token_matrix
 from marketlake.llm.common import table
 
 
@@ -42,7 +42,7 @@ def op6_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), license_table.USUAL, spdx=True)
 
 
 def op8_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

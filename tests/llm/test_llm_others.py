@@ -102,6 +102,32 @@ def test_licenses_match_sliding_search(spark):
     assert licenses.scan_licenses(frame(spark, rows).filter("false")).collect() == []
 
 
+def test_registered_query_finds_the_usual_licenses(spark, tmp_path):
+    from marketlake.llm.queries import op7_license_scan
+
+    cases = {
+        "Code is licensed under the GNU General Public License, version 2, by us": {"GPL-2.0 notice"},
+        "Code is licensed under the GNU General Public License v3.0 by us": {"GPL-3.0 notice"},
+        "Released under the GNU Lesser General Public License v2.1.": {"LGPL-2.1 notice"},
+        "It is distributed under the GNU Affero General Public License.": {"AGPL notice"},
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.": {"CC-BY-SA-3.0 notice"},
+        "Texts are licensed under CC BY 4.0.": {"CC-BY-4.0 notice"},
+        "Licensed under the MIT License": {"MIT notice"},
+        "Licensed under the ISC License": {"ISC notice"},
+        "Available under the Eclipse Public License 2.0 only": {"EPL-2.0 notice"},
+        "This is free and unencumbered software released into the public domain.": {"Unlicense"},
+        "# SPDX-License-Identifier: GPL-2.0-or-later OR MIT\nimport os": {"SPDX GPL-2.0-or-later OR MIT"},
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.": {"MIT"},
+        "The license of a thing is what one makes of it, and version 3 is no better": set(),
+    }
+    frame(spark, [(i, t, "en", "s") for i, t in enumerate(cases)]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = defaultdict(set)
+    for g in op7_license_scan(spark, str(tmp_path)).collect():
+        got[g.doc_id].add(g.license)
+        assert g.end_word > g.start_word >= 0
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+
+
 # --- nearest neighbours -----------------------------------------------------------------------------------------
 
 
