@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import ann, chat, license_table, licenses, mixing, neardup, packing, quality, sharding, substrings, token_matrix
+from marketlake.llm import ann, chat, license_table, licenses, mixing, neardup, packing, quality, sharding, spelling, substrings, token_matrix
 from marketlake.llm.common import table
 
 
@@ -57,11 +57,16 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_quality_divergence, op3_suffix_dedup, op4_chat_snapshots, op5_dart_minhash,
         op6_token_matrix, op7_license_scan, op8_bounded_best_fit, op9_hnsw, op10_minimax_shards,
+        op11_spelling_groups,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.SQL, "op4_chat_snapshots": chat.SQL}
