@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import ann, chat, license_table, licenses, mixing, neardup, packing, quality, sharding, spelling, substrings, token_matrix
+from marketlake.llm import ann, chat, html_text, license_table, licenses, mixing, neardup, packing, quality, sharding, spelling, substrings, token_matrix, whitening
 from marketlake.llm.common import table
 
 
@@ -61,12 +61,20 @@ def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_quality_divergence, op3_suffix_dedup, op4_chat_snapshots, op5_dart_minhash,
         op6_token_matrix, op7_license_scan, op8_bounded_best_fit, op9_hnsw, op10_minimax_shards,
-        op11_spelling_groups,
+        op11_spelling_groups, op12_block_labeller, op13_whitening,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op1_mix_sources": mixing.SQL, "op4_chat_snapshots": chat.SQL}
