@@ -56,7 +56,7 @@ def _z4(s, sf):
     base, _ = _ingested_bronze(s, sf)
     out = Z.stream_candles_available_now(s, f"{base}/bronze", f"{base}/z4", bucket="day", watermark=WATERMARK)
     return Z.with_open_windows(s, s.read.parquet(out), f"{base}/bronze",
-                               lambda b: candle_bars(stg_trades(b), "day"), WATERMARK, "day")
+                               lambda b: candle_bars(stg_trades(b), "day"), f"{base}/z4/_ckpt", "day")
 
 
 @reg("z5_stream_dlq_hour", with_events(_bars("hour")) + "\nSELECT * FROM dlq_b")
@@ -65,7 +65,7 @@ def _z5(s, sf):
     b = Z.read_bronze_stream(s, f"{base}/bronze")
     Z.run_available_now(Z.stream_dlq_bars(b, "hour", WATERMARK), f"{base}/z5", f"{base}/_ckpt5")
     return Z.with_open_windows(s, s.read.parquet(f"{base}/z5"), f"{base}/bronze",
-                               lambda b: dlq_bars(b, "hour"), WATERMARK, "hour")
+                               lambda b: dlq_bars(b, "hour"), f"{base}/_ckpt5", "hour")
 
 
 @reg("z5_stream_depth_day", with_events(_bars("day")) + """
@@ -77,7 +77,7 @@ def _z5d(s, sf):
     b = Z.read_bronze_stream(s, f"{base}/bronze")
     Z.run_available_now(Z.stream_depth_bars(b, "day", WATERMARK), f"{base}/z5d", f"{base}/_ckpt5d")
     bars = Z.with_open_windows(s, s.read.parquet(f"{base}/z5d"), f"{base}/bronze",
-                               lambda b: depth_bars(stg_depth(b), "day"), WATERMARK, "day")
+                               lambda b: depth_bars(stg_depth(b), "day"), f"{base}/_ckpt5d", "day")
     return present(bars, round6=("avg_spread_bps", "avg_mid_price"))
 
 

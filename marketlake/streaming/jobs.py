@@ -1,12 +1,16 @@
 """Streaming jobs.
 
-* Z1/Z2/K1-K4 ``start_bronze_ingest``: Kafka (or any Kafka-shaped file
-  source) -> bronze projection -> Hive-partitioned Parquet, exactly-once via
-  the checkpoint, trigger interval as the file-roll knob.
-* Z3 ``stream_trades``: staged trades on a stream.  Row-number dedup is not
-  allowed on streams, so duplicates are dropped per (exchange, symbol,
-  trade_id) within the watermark (first delivery wins; the batch job keeps
-  the highest offset -- identical unless a replay changed content).
+* Z1/Z2/K1-K5 ``bronze_table.start_bronze_table``: Kafka (or any Kafka-shaped
+  file source) -> bronze projection -> committed micro-batches in a
+  Hive-partitioned Parquet table; hot series are split, repeated batches
+  skipped, checks counted while writing.  ``start_bronze_ingest`` is the plain
+  file sink for readers that follow its log.
+* Z3 ``state.stream_best_trades``: staged trades, the best delivery of each
+  (highest offset, as in the batch) held until the watermark has passed it.
+  ``stream_trades`` emits the first delivery at once, where a stream of
+  candles follows in the same query; it differs if a replay changed content.
+* W1-W5/G1-G3 ``state.stream_rolling``: rolling values per series over closed
+  bars, late ones included.
 * Z4/Z5 ``stream_candles`` / ``stream_depth_bars`` / ``stream_dlq_bars``:
   tumbling windows in append mode; a window is emitted once the watermark
   passes its end.  Rolling (ROWS) windows cannot run on streams; gold is
@@ -36,6 +40,7 @@ from marketlake.schemas import (
 from marketlake.session import ensure_conf, stored_table
 from marketlake.sources.bronze import read_bronze
 from marketlake.sources.silver import read_silver, write_silver
+from marketlake.streaming.state import last_watermark
 
 
 def read_records_stream(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -49,17 +54,20 @@ def read_records_stream(spark: SparkSession, path: str, fmt: str = "parquet",
 
 def start_bronze_ingest(records: DataFrame, bronze_path: str, checkpoint: str,
                         trigger_seconds: int | None = 120, available_now: bool = False,
-                        max_records_per_file: int | None = None):
-    """Continuous bronze ingest.
+                        max_records_per_file: int | None = None, spread: int = 1):
+    """Continuous bronze ingest through Spark's file sink.
 
-    Rows of a day and series meet in one task before the write, so a
-    micro-batch writes a file for each directory and not one for each Kafka
+    Rows of a day and series meet in ``spread`` tasks before the write, so a
+    micro-batch writes that many files for each directory at most and not one for each Kafka
     partition and directory.  The file sink commits files and the checkpoint
     atomically per micro-batch, so a restart resumes from the last committed
     offsets without duplicates.  ``sources.bronze.publish_days`` compacts.
+    The sink's query is planned without knowing sizes: ``bronze_table`` splits
+    just the hot series instead of all by ``spread``.
     """
     ensure_conf(records.sparkSession)
-    w = (to_bronze(records).repartition(*BRONZE_PARTITION_COLUMNS).writeStream.format("parquet").outputMode("append")
+    part = F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), F.lit(spread))
+    w = (to_bronze(records).repartition(*BRONZE_PARTITION_COLUMNS, *([part] if spread > 1 else [])).writeStream.format("parquet").outputMode("append")
          .partitionBy(*BRONZE_PARTITION_COLUMNS).option("checkpointLocation", checkpoint))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -172,15 +180,12 @@ def _reach(spark: SparkSession, gold_path: str, touched: DataFrame, first: datet
     return out[0], out[1]
 
 
-def with_open_windows(spark: SparkSession, streamed: DataFrame, bronze_path: str, bars, watermark: str,
-                      bucket: str, ts: str = "event_ts") -> DataFrame:
+def with_open_windows(spark: SparkSession, streamed: DataFrame, bronze_path: str, bars, checkpoint: str,
+                      bucket: str) -> DataFrame:
     """The windows that a stopped stream has emitted, and those that its
     watermark had not passed yet, computed by ``bars(bronze)`` from the days
-    that they can be in."""
-    last = bars(read_bronze(spark, bronze_path)).agg(F.max("metric_ts")).first()[0]
-    if last is None:
-        return streamed
-    day = F.lit(last) - F.expr(f"interval {watermark}") - F.expr(f"interval {_window(bucket)}")
+    that they can be in (the stream's last watermark says which)."""
+    day = F.timestamp_millis(F.lit(last_watermark(spark, checkpoint))) - F.expr(f"interval {_window(bucket)}")
     since = spark.range(1).select(F.date_format(day, "yyyy-MM-dd")).first()[0]
     recent = bars(read_bronze(spark, bronze_path, dt_from=since)).select(*streamed.columns)
     keys = [c for c in (*SERIES_KEYS, "metric_ts") if c in streamed.columns]
