@@ -20,6 +20,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -88,7 +89,7 @@ def write_batch(bronze: DataFrame, table: str, batch: str, checks: list[RowCheck
             rows = rows.filter(~_bool(c.violated))
     # which rows go is decided above the observation, so that all are counted
     write_bronze_batch(rows, f"{table}/data/batch={batch}", mode="overwrite")
-    found = seen.get
+    found = _observed(seen, checks)
     violations = {c.name: found[f"v{k}"] for k, c in enumerate(checks)}
     bad = {c.name: violations[c.name] for c in checks if c.severity == "error" and violations[c.name]}
     if bad:
@@ -97,13 +98,23 @@ def write_batch(bronze: DataFrame, table: str, batch: str, checks: list[RowCheck
     return True
 
 
+def _observed(seen: Observation, checks: list[RowCheck]) -> dict[str, int]:
+    """What was counted; a batch known to be empty is planned without the observation, so nothing was."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {"rows_in": 0, **{f"v{k}": 0 for k in range(len(checks))}}
+
+
 def _commit(spark: SparkSession, table: str, batch: str, rows_in: int, violations: dict[str, int], replaced: list[str] | None = None) -> None:
     """The manifest of a written batch: a row per day, or one without a day if nothing was written."""
     try:
         days = spark.read.schema(BRONZE).option("basePath", f"{table}/data/batch={batch}").parquet(f"{table}/data/batch={batch}")
     except AnalysisException:
         days = spark.createDataFrame([], BRONZE)
-    days = days.groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
+    days = stored_table(days.groupBy("dt").agg(F.count(F.lit(1)).alias("row_count")), "days")
+    if not replaced and not rows_in and not days.isEmpty():
+        raise RuntimeError(f"batch {batch} has rows, but none were observed")
     head = spark.range(1).select(F.lit(None).cast("string").alias("dt"), F.lit(0).cast("bigint").alias("row_count"))
     pairs = [x for item in violations.items() for x in (F.lit(item[0]), F.lit(item[1]).cast("bigint"))]
     entry = days.unionByName(head).select(
