@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shielded(docs: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its columns besides ``used`` under names that no operator uses, and how to get its columns back from a result."""
+    quoted = {c: "`" + c.replace("`", "``") + "`" for c in docs.columns}
+    names = {c: c if c in used else f"extra_{k}" for k, c in enumerate(docs.columns)}
+    inner = docs.select(*[F.col(quoted[c]).alias(names[c]) for c in docs.columns])
+    return inner, lambda out: out.select(*[F.col(names[c]).alias(c) for c in docs.columns])
+
+
 def parts(amount: int, each: int) -> int:
     """How many parts of ``each`` hold ``amount``; at least one."""
     return max(1, -(-int(amount or 0) // each))

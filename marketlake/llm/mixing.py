@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored, word_count
+from marketlake.llm.common import shielded, stored, word_count
 
 HASH_HEX, LEVEL_BITS, LEVELS = 12, 12, 4
 
@@ -125,18 +125,18 @@ def mixed_rows(
     docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, max_repeats: int = 2,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken, all its columns unchanged."""
+    """The mix itself: each row of ``docs`` as often as it is taken, all its columns unchanged, whatever their names."""
+    docs, restore = shielded(docs, [id_col, text_col, source_col])
     sized = stored(sized_rows(docs, id_col, text_col, source_col))
     plan = thresholds(sized, stored(source_targets(sized, weights, share, max_repeats)))
     plan = plan.select(F.struct("source", "whole", "threshold").alias("__mix"))
     h = mix_hash(docs[id_col], docs[source_col], docs[text_col])
     marked = docs.withColumn("__mix_h", h).join(plan, docs[source_col].eqNullSafe(F.col("__mix.source")))
     times = (F.col("__mix.whole") + (F.col("__mix_h") < F.col("__mix.threshold")).cast("long")).cast("int")
-    return (
+    return restore(
         marked.withColumn("__mix_times", times)
         .filter("__mix_times > 0")
         .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored
+from marketlake.llm.common import shielded, stored
 from marketlake.llm.components import components
 from marketlake.llm.shingles import grouped, mixed, shingle_elements
 
@@ -316,9 +316,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (with doc_id and text) that represent their class, with its columns."""
-    kept = classes(docs).filter("kept").select(F.struct("doc_id", "key").alias("__kept"))
-    rows = docs.withColumn("__key", text_key(docs["text"]))
+    """The rows of ``docs`` (with doc_id and text) that represent their class, with its columns, whatever their names."""
+    inner, restore = shielded(docs, ["doc_id", "text"])
+    kept = classes(inner).filter("kept").select(F.struct("doc_id", "key").alias("__kept"))
+    rows = inner.withColumn("__key", text_key(inner["text"]))
     match = F.col("doc_id").eqNullSafe(F.col("__kept.doc_id")) & (F.col("__key") == F.col("__kept.key"))
     worded = rows.join(kept.dropDuplicates(), match, "left_semi")
-    return worded.dropDuplicates(["doc_id", "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restore(worded.dropDuplicates(["doc_id", "__key"]))

@@ -10,8 +10,8 @@ A word is common if it makes up at least COMMON_SHARE of its language's referenc
 base rules. Tasks report words with half that share among what they read of those documents; no common word can be missed by
 all reports' sum, and at most 2 / COMMON_SHARE words of a language pass. The counts themselves come from a second pass over all texts.
 
-Defined results: null and empty texts have no words and fail the base rules; a null language is a
-language of its own; languages with too few words for a reference are judged by the base rules only, all others by both
+Defined results: null and empty texts have no words and fail the base rules; texts are read whole, however long; a null language is a
+language of its own, apart from the empty one; a distance that ties with its bound is within it; other columns may have any names; languages with too few words for a reference are judged by the base rules only, all others by both
 distances (a language without common words has one bin for all words, so only its classes can differ); repeated rows are judged
 alike; an empty table gives an empty result. The common words of the MAX_LANGUAGES languages with most words are sent to
 every task, those of further languages are joined to their documents.
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored
+from marketlake.llm.common import shielded, stored
 
 COMMON_SHARE, MAX_LANGUAGES, MIN_REFERENCE_WORDS = 0.005, 256, 1000
 #: Bounds of the distances for long texts, what is added for a text of n characters or words (times 1 / sqrt(n)), and the least n.
@@ -91,9 +91,9 @@ def passes_base(words: list[bytes]) -> bool:
     return n >= MIN_BASE_WORDS and 100 * repeated_words(words) <= MAX_REPEATED_PERCENT * n
 
 
-def _texts(batch: pa.RecordBatch) -> list[tuple[str, bytes]]:
+def _texts(batch: pa.RecordBatch) -> list[tuple[str | None, bytes]]:
     texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-    return [(lang or "", text or b"") for lang, text in zip(batch.column("lang").to_pylist(), texts, strict=True)]
+    return [(lang, text or b"") for lang, text in zip(batch.column("lang").to_pylist(), texts, strict=True)]
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,11 +102,11 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Only documents that pass the base rules count, as in the references.
     """
     for batch in batches:
-        counts: dict[str, Counter] = {}
+        counts: dict[str | None, Counter] = {}
         for lang, text in _texts(batch):
             if passes_base(text.split()):
                 counts.setdefault(lang, Counter()).update(text.lower().split())
-        rows: list[tuple[str, bytes | None, int]] = []
+        rows: list[tuple[str | None, bytes | None, int]] = []
         for lang, count in counts.items():
             total = count.total()
             rows.append((lang, None, total))
@@ -118,7 +118,13 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def common_words(texts: DataFrame) -> tuple[dict[str, list[bytes]], DataFrame | None]:
+def _one_of(lang: Column, langs: list[str | None]) -> Column:
+    """Whether ``lang`` is one of ``langs``; null is a language too."""
+    named = F.coalesce(lang.isin([x for x in langs if x is not None]), F.lit(False))
+    return named | lang.isNull() if None in langs else named
+
+
+def common_words(texts: DataFrame) -> tuple[dict[str | None, list[bytes]], DataFrame | None]:
     """By language, the words that may be common, 2 / COMMON_SHARE at most: of the MAX_LANGUAGES with most words, and the rest.
 
     The rest has one row ``__common_of, __common`` per language, and is None if there are no more languages.
@@ -132,32 +138,31 @@ def common_words(texts: DataFrame) -> tuple[dict[str, list[bytes]], DataFrame |
     more, top = len(top) > MAX_LANGUAGES, top[:MAX_LANGUAGES]
     words = (
         found.filter("word IS NOT NULL")
-        .join(totals, F.col("lang") == F.col("of"))
+        .join(totals, F.col("lang").eqNullSafe(F.col("of")))
         .filter(F.col("n") >= COMMON_SHARE / 2 * F.col("words"))
         .select("lang", "word")
     )
-    out: dict[str, list[bytes]] = {lang: [] for lang in top}
-    for lang, word in sorted((r.lang, bytes(r.word)) for r in words.filter(F.col("lang").isin(top)).collect()):
+    out: dict[str | None, list[bytes]] = {lang: [] for lang in top}
+    for word, lang in sorted(((bytes(r.word), r.lang) for r in words.filter(_one_of(F.col("lang"), top)).collect()), key=lambda x: x[0]):
         out[lang].append(word)
     if not more:
         return out, None
-    rest = words.filter(~F.col("lang").isin(top)).groupBy(F.col("lang").alias("__common_of"))
+    rest = words.filter(~_one_of(F.col("lang"), top)).groupBy(F.col("lang").alias("__common_of"))
     return out, stored(rest.agg(F.array_sort(F.collect_list("word")).alias("__common")))
 
 
-def features(docs: DataFrame, common: tuple[dict[str, list[bytes]], DataFrame | None], keep: list[str]) -> DataFrame:
+def features(docs: DataFrame, common: tuple[dict[str | None, list[bytes]], DataFrame | None], keep: list[str]) -> DataFrame:
     """``keep`` columns of ``docs`` (which has lang and text) and a struct ``__q`` of base features and histograms."""
     top, rest = common
     index = {lang: {w: k for k, w in enumerate(words)} for lang, words in top.items()}
     if rest is None:
         return _described(docs, index, keep)
-    lang = F.coalesce("lang", F.lit(""))
-    known = lang.isin(list(top))
-    others = docs.filter(~known).join(rest, lang == F.col("__common_of"), "left").drop("__common_of")
+    known = _one_of(F.col("lang"), list(top))
+    others = docs.filter(~known).join(rest, F.col("lang").eqNullSafe(F.col("__common_of")), "left").drop("__common_of")
     return _described(docs.filter(known), index, keep).unionByName(_described(others, {}, keep))
 
 
-def _described(docs: DataFrame, index: dict[str, dict[bytes, int]], keep: list[str]) -> DataFrame:
+def _described(docs: DataFrame, index: dict[str | None, dict[bytes, int]], keep: list[str]) -> DataFrame:
     """``features`` of documents whose language's words are in ``index`` or in the row's ``__common``."""
     schema = (
         ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
@@ -215,7 +220,7 @@ def references(described: DataFrame) -> DataFrame:
     word_sums = by_word.groupBy(F.col("lang").alias("of")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "n"))), lambda x: x["n"]).alias("word_sums")
     )
-    both = sums.join(word_sums, F.col("lang") == F.col("of"), "left").drop("of").withColumnRenamed("lang", "of_lang")
+    both = sums.join(word_sums, F.col("lang").eqNullSafe(F.col("of")), "left").drop("of").withColumnRenamed("lang", "of_lang")
     return both.withColumn("word_sums", F.coalesce("word_sums", F.array().cast("array<long>")))
 
 
@@ -254,29 +259,25 @@ def prepared(described: DataFrame) -> DataFrame:
 
 def judged(described: DataFrame) -> DataFrame:
     """``described`` with ``__class_distance``, ``__word_distance`` (null where not judged) and ``__kept``."""
-    joined = described.join(stored(prepared(described)), F.col("__q.lang") == F.col("__ref.of_lang"), "left")
+    joined = described.join(stored(prepared(described)), F.col("__q.lang").eqNullSafe(F.col("__ref.of_lang")), "left")
     known, n = F.col("__ref").isNotNull(), F.col("__q.n_words")
     chars = F.aggregate("__q.classes", F.lit(0).cast("long"), lambda x, y: x + y)
     common = F.transform("__ref.places", lambda i: F.get("__q.words", i))
     rest = n - F.aggregate(common, F.lit(0).cast("long"), lambda x, y: x + y)
     words = distance(shares(F.concat(common, F.array(rest)), n), F.col("__ref.word_shares"))
     by_class = distance(shares(F.col("__q.classes"), chars), F.col("__ref.class_shares"))
-    found = F.struct(
-        F.when(known & (chars >= MIN_CHARS), by_class).alias("by_class"), F.when(known & (n >= MIN_WORDS), words).alias("by_word"), chars.alias("chars")
-    )
-    # exploding a list of one keeps the optimizer from computing the distances again for each use
-    measured = joined.withColumn("__d", F.explode(F.array(found)))
-    return (
-        measured.withColumn("__class_distance", F.col("__d.by_class"))
-        .withColumn("__word_distance", F.col("__d.by_word"))
-        .withColumn(
-            "__kept",
-            ~base_failed()
-            & F.coalesce(F.col("__d.by_class") <= CLASS_BOUND + CLASS_SLACK / F.sqrt("__d.chars"), F.lit(True))
-            & F.coalesce(F.col("__d.by_word") <= WORD_BOUND + WORD_SLACK / F.sqrt("__q.n_words"), F.lit(True)),
-        )
-        .drop("__ref", "__d")
+    # columns that are used twice are not computed twice, as the optimizer doesn't merge projections then
+    measured = joined.withColumns({
+        "__chars": chars,
+        "__class_distance": F.when(known & (chars >= MIN_CHARS), by_class),
+        "__word_distance": F.when(known & (n >= MIN_WORDS), words),
+    })
+    kept = (
+        ~base_failed()
+        & F.coalesce(F.col("__class_distance") <= CLASS_BOUND + CLASS_SLACK / F.sqrt("__chars"), F.lit(True))
+        & F.coalesce(F.col("__word_distance") <= WORD_BOUND + WORD_SLACK / F.sqrt("__q.n_words"), F.lit(True))
     )
+    return measured.withColumn("__kept", kept).drop("__ref", "__chars")
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -295,6 +296,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_quality(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (with doc_id, lang and text) that are kept, with its columns."""
-    described = stored(features(docs, common_words(docs), docs.columns))
-    return judged(described).filter("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` (with doc_id, lang and text) that are kept, with its columns, whatever their names."""
+    inner, restore = shielded(docs, ["doc_id", "lang", "text"])
+    described = stored(features(inner, common_words(inner), inner.columns))
+    return restore(judged(described).filter("__kept"))

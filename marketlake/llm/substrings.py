@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import parts, stored
+from marketlake.llm.common import parts, shielded, stored
 from marketlake.llm.shingles import mixed
 
 LENGTH, GRAM = 50, 24
@@ -603,4 +603,5 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated strings cut out of the text; bytes of a character that was cut in two go too."""
-    return _removal(docs, id_col, text_col, docs.columns).select(*[F.col(f"`{c}`") for c in docs.columns])
+    inner, restore = shielded(docs, [id_col, text_col])
+    return restore(_removal(inner, id_col, text_col, inner.columns))

@@ -8,7 +8,8 @@ WORD = re.compile("[^\x20\x09-\x0d]+")
 #: Columns that no operator may trip over.
 CLASHES = (
     "size", "key", "h", "weight", "node", "block", "bucket", "n", "target", "kept", "band", "root", "word", "bytes", "rows", "shard",
-    "length", "piece", "rank", "ids", "task", "of", "head", "of_lang", "words", "prefix",
+    "length", "piece", "rank", "ids", "task", "of", "head", "of_lang", "words", "prefix", "__q", "__d", "__ref", "__common", "__common_of", "__kept",
+    "__bytes", "__removed", "__spans", "__sha256", "__mix", "__mix_h", "__mix_times", "__mix_copy", "__key", "__chars", "a`b", "a.b",
 )
 
 

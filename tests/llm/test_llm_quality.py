@@ -36,14 +36,14 @@ def verdicts(rows):
     lower = lambda t: [w.decode() for w in (t or "").encode().lower().split()]
     ref_words, ref_classes, all_words = {}, {}, {}
     for (lang, text), bad in zip(rows, failed):
-        all_words[lang or ""] = all_words.get(lang or "", 0) + len(words(text))
+        all_words[lang] = all_words.get(lang, 0) + len(words(text))
         if not bad:
-            ref_words.setdefault(lang or "", Counter()).update(lower(text))
-            old = ref_classes.get(lang or "", [0] * len(Q.CLASSES))
-            ref_classes[lang or ""] = [x + y for x, y in zip(old, classes(text))]
+            ref_words.setdefault(lang, Counter()).update(lower(text))
+            old = ref_classes.get(lang, [0] * len(Q.CLASSES))
+            ref_classes[lang] = [x + y for x, y in zip(old, classes(text))]
     kept = []
     for (lang, text), bad in zip(rows, failed):
-        ref, ok = ref_words.get(lang or ""), not bad
+        ref, ok = ref_words.get(lang), not bad
         if ok and ref and ref.total() >= Q.MIN_REFERENCE_WORDS:
             common = [w for w, n in ref.items() if n >= Q.COMMON_SHARE * ref.total()]
             own, n, chars = Counter(lower(text)), len(words(text)), len(text)
@@ -51,7 +51,7 @@ def verdicts(rows):
             if n >= Q.MIN_WORDS:
                 ok &= divergence([*p, n - sum(p)], [*q, ref.total() - sum(q)]) <= Q.WORD_BOUND + Q.WORD_SLACK / math.sqrt(n)
             if chars >= Q.MIN_CHARS:
-                ok &= divergence(classes(text), ref_classes[lang or ""]) <= Q.CLASS_BOUND + Q.CLASS_SLACK / math.sqrt(chars)
+                ok &= divergence(classes(text), ref_classes[lang]) <= Q.CLASS_BOUND + Q.CLASS_SLACK / math.sqrt(chars)
         kept.append(ok)
     return base, failed, kept
 
@@ -79,6 +79,28 @@ def test_kept_rows_are_whole_rows(spark):
     assert Q.keep_quality(docs.filter("false")).collect() == [] and Q.quality_rules(docs.filter("false")).collect() == []
 
 
+def test_any_columns_of_the_result_can_be_read(spark):
+    docs = frame(spark, documents())
+    out = Q.quality_rules(docs)
+    whole = sorted(map(tuple, out.collect()), key=repr)
+    for k, c in enumerate(out.columns):
+        assert sorted((r[0] for r in out.select(c).collect()), key=repr) == sorted((r[k] for r in whole), key=repr)
+    kept = sum(r[out.columns.index("kept")] for r in whole)
+    assert out.select("doc_id", "kept").filter("kept").count() == kept == out.filter("kept").count()
+    assert {r.kept: r["count"] for r in out.groupBy("kept").count().collect()}[True] == kept
+    assert len(out.select("doc_id", "n_words", "kept").collect()) == len(out.select("class_distance", "kept").collect()) == len(whole)
+
+
+def test_null_language_is_not_the_empty_one(spark):
+    rng = random.Random(11)
+    rows = []
+    for lang, other in ((None, "xx"), ("", None)):
+        common = [letters(rng) for _ in range(60)]
+        rows += [(lang, " ".join(rng.choices(common, k=600))) for _ in range(30)]
+    kept = kept_of(spark, rows)
+    assert all(kept.values())  # each has its own words; together neither would be near the reference
+
+
 def test_distance_bounds(spark):
     from pyspark.sql import functions as F
 
