@@ -3,13 +3,13 @@
 Equal vectors become one node with its smallest ids (as many as an answer can need, since ties go to smaller ids); nodes
 are dealt to shards by hash. A task builds one shard's graph by inserting its nodes in order: each is linked, on every layer up to its level, to
 diverse near ones among the nodes before it (distances to all of them come in matrix blocks, so
-insertion finds the true nearest), and lists that grow too long are thinned by the same rule. The graph is stored
+insertion finds the true nearest; they are centred and scaled first, and near ones are compared by their differences), and lists that grow too long are thinned by the same rule. The graph is stored
 as flat arrays of neighbours per layer, beside the vectors. Queries go in blocks to every shard, walk
 its layers, and the best found are scored on the original vectors in double precision. Every row is indexed.
 
 Defined results: rows with a null id, and vectors that are null, empty, zero or hold a null or non-finite component take
 no part; vectors of different length are never compared; a query does not find rows with its own id; with
-fewer candidates than ``k`` all that were found are returned; repeated rows count once; an empty table gives an empty result.
+fewer candidates than ``k`` all that were found are returned; repeated rows count once; an empty table gives an empty result; other columns are never read, so their names are free.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import parts, stored
 
-SHARD_NODES, LINKS, CANDIDATES, WIDTH, QUERY_BLOCK, NEAREST = 4096, 16, 64, 80, 512, 10
+SHARD_NODES, LINKS, CANDIDATES, WIDTH, QUERY_BLOCK, NEAREST = 16_384, 16, 64, 160, 512, 10
 
 
 class Graph:
@@ -31,11 +31,19 @@ class Graph:
 
     def __init__(self, vectors: np.ndarray, nodes: list[np.ndarray], links: list[np.ndarray]):
         self.vectors, self.nodes, self.links = vectors, nodes, links
+        # layer 0 has all rows, in order
+        self.row_of = [{int(v): k for k, v in enumerate(of)} if layer and len(of) > 1 else {} for layer, of in enumerate(nodes)]
 
     @classmethod
     def build(cls, vectors: np.ndarray, links: int = LINKS, candidates: int = CANDIDATES, seed: int = 0) -> Graph:
         n = len(vectors)
-        x = np.ascontiguousarray(vectors, dtype=np.float32)
+        # centred and scaled, so that products neither cancel nor overflow
+        x = np.asarray(vectors, np.float64)
+        top = np.abs(x).max(initial=0)
+        x = x / top if top > 0 else x
+        x = np.ascontiguousarray(x - x.mean(axis=0)) if n else x
+        spread = np.abs(x).max(initial=0)
+        x = x / spread if spread > 0 else x
         norm = (x * x).sum(axis=1)
         level = (-np.log1p(-np.random.default_rng(seed).random(n)) / np.log(links)).astype(int)
         level[:1] = level.max(initial=0)
@@ -44,9 +52,10 @@ class Graph:
 
         def diverse(of: int, near: np.ndarray, limit: int) -> list[int]:
             """Of ``near`` (nearest first) those that are nearer to ``of`` than to any chosen before; then the rest, up to ``limit``."""
-            own = x[near]
-            between = norm[near][:, None] + norm[near][None, :] - 2 * (own @ own.T)
-            to = (norm[near] + norm[of] - 2 * (own @ x[of])).tolist()
+            own = x[near] - x[of]  # seen from the node, distances between near ones keep all their digits
+            size = (own * own).sum(axis=1)
+            between = size[:, None] + size[None, :] - 2 * (own @ own.T)
+            to = size.tolist()
             rows, chosen, left = between.tolist(), [], []
             for c in range(len(near)):
                 if len(chosen) >= limit:
@@ -54,6 +63,10 @@ class Graph:
                 (chosen if all(rows[c][k] > to[c] for k in chosen) else left).append(c)
             return [int(near[c]) for c in (chosen + left)[:limit]]
 
+        def by_distance(of: int, near: np.ndarray) -> np.ndarray:
+            gap = x[near] - x[of]
+            return near[np.argsort((gap * gap).sum(axis=1), kind="stable")]
+
         for start in range(0, n, 256):
             end = min(n, start + 256)
             block = norm[start:end, None] + norm[None, :end] - 2 * (x[start:end] @ x[:end].T)
@@ -69,14 +82,14 @@ class Graph:
                         near = np.argpartition(far, candidates)[:candidates]
                     else:
                         near = np.arange(len(far))
-                    near = near[np.argsort(far[near], kind="stable")]
-                    chosen = diverse(i, near if pool is None else pool[near], links)
+                    near = near if pool is None else pool[near]
+                    chosen = diverse(i, by_distance(i, near), links)
                     table = lists[layer]
                     table[i] = chosen
                     for j in chosen:
                         table[j].append(i)
                         if len(table[j]) > 2 * most:
-                            table[j] = cls._thinned(x, norm, j, table[j], most, diverse)
+                            table[j] = diverse(j, by_distance(j, np.asarray(table[j])), most)
                     if layer:
                         known.append(i)
         nodes, flat = [], []
@@ -84,25 +97,19 @@ class Graph:
             most = 2 * links if layer == 0 else links
             out = np.full((len(table), most), -1, dtype=np.int32)
             for row, (j, to) in enumerate(table.items()):
-                to = cls._thinned(x, norm, j, to, most, diverse) if len(to) > most else to
+                to = diverse(j, by_distance(j, np.asarray(to)), most) if len(to) > most else to
                 out[row, : len(to)] = to
             nodes.append(np.fromiter(table, dtype=np.int32, count=len(table)))
             flat.append(out)
         return cls(vectors, nodes, flat)
 
-    @staticmethod
-    def _thinned(x, norm, j, to, most, diverse) -> list[int]:
-        near = np.asarray(to)
-        return diverse(j, near[np.argsort(norm[near] - 2 * (x[near] @ x[j]), kind="stable")], most)
-
     def search(self, query: np.ndarray, width: int = WIDTH) -> np.ndarray:
         """Up to ``width`` rows near ``query``, in no order."""
         if not len(self.vectors):
             return np.zeros(0, np.int64)
         best = int(self.nodes[-1][0])
         distance = self._to(query, np.array([best]))[0]
-        for nodes, links in zip(self.nodes[:0:-1], self.links[:0:-1], strict=True):
-            row_of = {int(v): k for k, v in enumerate(nodes)} if len(nodes) > 1 else {}
+        for row_of, links in zip(self.row_of[:0:-1], self.links[:0:-1], strict=True):
             while best in row_of:
                 to = links[row_of[best]]
                 to = to[to >= 0]
@@ -116,7 +123,7 @@ class Graph:
         seen = np.zeros(len(self.vectors), dtype=bool)
         seen[best] = True
         ahead, found = [(distance, best)], [(-distance, best)]
-        links = self.links[0]  # layer 0 has all rows, in order
+        links = self.links[0]
         while ahead:
             distance, at = heapq.heappop(ahead)
             if len(found) >= width and distance > -found[0][0]:

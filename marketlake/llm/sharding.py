@@ -5,11 +5,13 @@ place doesn't depend on the other data. Running sums of group sizes are computed
 range. The smallest shard capacity with which a greedy walk fits everything into the shards is
 found by bisection, many capacities at a time: a step of the walk asks the stored running
 sums for the last group end that is within reach, which is one filtered aggregate (the filter
-on the ends prunes row groups). Only those few numbers reach the driver.
+on the ends prunes row groups). Within that capacity the cuts go where the loads are near equal: a group above an even share gets a
+shard of its own, what lies on both sides of it is cut again, and elsewhere each cut is at the group end nearest to an equal
+share of what is left. Only those few numbers reach the driver.
 
 Defined results: a null text has size 1 (no bytes plus 1) and checksum 0 and belongs to the group of the empty text; rows equal in
 id and text are interchangeable; an empty table gives an empty result; a group larger than an even
-share is kept whole and sets the capacity; with fewer groups than shards some shards stay empty.
+share is kept whole and sets the capacity; texts are read whole, however long; other columns are never read, so their names are free; with fewer groups than shards some shards stay empty.
 """
 
 from __future__ import annotations
@@ -74,6 +76,65 @@ def minimax_cuts(ends: DataFrame, shards: int) -> tuple[int, list[int]]:
     return high, best
 
 
+def _within(ends: DataFrame, low: int, high: int) -> DataFrame:
+    """The groups between two running sums, as a table of its own."""
+    return ends.filter((F.col("stop") > low) & (F.col("stop") <= high)).withColumn("stop", F.col("stop") - low)
+
+
+def _even_cuts(ends: DataFrame, shards: int, capacity: int, largest: int, total: int) -> list[int]:
+    """Cuts as near as can be to equal shares of what is left, with no shard beyond ``capacity`` (which is feasible)."""
+    needed, latest = [total], total  # from each of these sums on, the shards that follow hold the rest
+    for _ in range(shards - 1):
+        # the last shards take as much as they can: the first group end from which all to the end fits
+        far = ends.filter((F.col("stop") >= latest - capacity) & (F.col("stop") <= latest - capacity + largest)).agg(F.min("stop")).first()[0]
+        latest = 0 if latest <= capacity else far
+        needed.append(latest)
+    cuts, start = [], 0
+    for k in range(shards - 1):
+        share = start + (total - start) / (shards - k)
+        near = ends.filter((F.col("stop") > share - largest) & (F.col("stop") < share + largest)).agg(
+            F.max(F.when(F.col("stop") <= share, F.col("stop"))).alias("below"), F.min(F.when(F.col("stop") >= share, F.col("stop"))).alias("above")
+        ).first()
+        below, above = max(start, near["below"] or 0), near["above"] or total
+        cut = above if above - start <= capacity and (above - share <= share - below or below == start) else below
+        start = max(start, cut, needed[shards - 1 - k])
+        cuts.append(start)
+    return [*cuts, total]
+
+
+def balanced_cuts(ends: DataFrame, shards: int) -> list[int]:
+    """Running sums at which the shards end: the largest load is the smallest that can be, and the others are near equal.
+
+    A group above an even share gets a shard of its own, and what lies before and after it is cut again into the shards that are left, as
+    long as that makes no load larger than the smallest feasible capacity.
+    """
+    seen = ends.agg(F.max("stop").alias("total"), F.max("bytes").alias("largest")).first()
+    total, largest = seen["total"], seen["largest"]
+    if total is None or shards < 2:
+        return [total or 0] * shards
+    capacity, _ = minimax_cuts(ends, shards)
+    if largest * shards > total:
+        at = ends.filter(F.col("bytes") == largest).agg(F.min("stop")).first()[0]
+        before = at - largest
+        held = ends.agg(F.count_if(F.col("stop") <= before).alias("left"), F.count_if(F.col("stop") > at).alias("right")).first()
+        spare = shards - 1
+        splits = [
+            (max(before / n if n else 0, (total - at) / (spare - n) if spare - n else 0), n)
+            for n in range(spare + 1)
+            if (n > 0) == (before > 0) or (before == 0 and n <= max(0, spare - held["right"]))
+            if spare - n > 0 or total == at
+        ]
+        whole = [x for x in splits if x[1] <= held["left"] and spare - x[1] <= held["right"]] or splits
+        if whole:
+            n = min(whole)[1]
+            left = balanced_cuts(_within(ends, 0, before), n) if n else []
+            right = [at + c for c in balanced_cuts(_within(ends, at, total), spare - n)] if spare - n else []
+            cuts = [*left, at, *right]
+            if cuts[-1] == total and max(b - a for a, b in pairwise([0, *cuts])) <= capacity:
+                return cuts
+    return _even_cuts(ends, shards, capacity, largest, total)
+
+
 def shard_rows(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard``: whole groups, the largest shard as small as can be.
 
@@ -90,10 +151,9 @@ def shard_rows(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_co
     )
     groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
     ends = stored(group_ends(groups).sortWithinPartitions("stop"))
-    _, cuts = minimax_cuts(ends, shards)
     shard = F.lit(0)
-    for start, _ in pairwise(cuts):
-        shard = shard + (F.col("stop") > start).cast("int")
+    for end in balanced_cuts(ends, shards)[:-1]:
+        shard = shard + (F.col("stop") > end).cast("int")
     placed = ends.select(F.col("key").alias("of"), shard.alias("shard"))
     cells = parts(rows.count(), CELL_ROWS)
     cell = F.pmod(F.xxhash64("doc_id", "key"), F.lit(cells))
