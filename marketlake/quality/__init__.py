@@ -8,6 +8,7 @@ checks and fuses the row-level ones on the same table into one scan.
 
 from marketlake.quality.aggregates import *  # noqa: F401,F403
 from marketlake.quality.column import *  # noqa: F401,F403
+from marketlake.quality.distinct import *  # noqa: F401,F403
 from marketlake.quality.distribution import *  # noqa: F401,F403
 from marketlake.quality.engines import *  # noqa: F401,F403
 from marketlake.quality.multi import *  # noqa: F401,F403

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = ["as_col", "where", "expression_is_true", "expression_between", "metric_between",
-           "equal_expression", "ignore_row_if", "between_predicate", "row_violations", "tag_row_check"]
+           "equal_expression", "ignore_row_if", "between_predicate", "row_violations", "tag_row_check", "tag_unique_check"]
 
 
 def as_col(e) -> Column:
@@ -24,10 +24,18 @@ def tag_row_check(viol: DataFrame, base: DataFrame, violation: Column) -> DataFr
     return viol
 
 
+def tag_unique_check(viol: DataFrame, base: DataFrame, columns: list[str], keep: Column | None) -> DataFrame:
+    """Attach ``(base, key columns, rows that count)``, so that the suite
+    runner can count the duplicated keys of several checks in one pass."""
+    viol._ml_unique = (base, list(columns), keep)
+    return viol
+
+
 def row_violations(df: DataFrame, violation: Column, row_condition=None) -> DataFrame:
     """Rows of ``df`` (after ``row_condition``) where ``violation`` is TRUE."""
-    base = where(df, row_condition)
-    return tag_row_check(base.filter(violation), base, violation)
+    found = where(df, row_condition).filter(violation)
+    # counted on the whole table, so that checks with different conditions share its scan
+    return tag_row_check(found, df, violation if row_condition is None else F.when(as_col(row_condition), violation))
 
 
 def expression_is_true(df: DataFrame, expression, test_condition: str = "= true", group_by=None,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlake.quality.engines import ignore_row_if as keep_row, row_violations, where
+from marketlake.quality.engines import as_col, ignore_row_if as keep_row, row_violations, tag_unique_check, where
 
 __all__ = ["compound_columns_to_be_unique", "select_column_values_to_be_unique_within_record",
            "multicolumn_sum_to_equal", "column_pair_values_A_to_be_greater_than_B",
@@ -19,8 +19,10 @@ def compound_columns_to_be_unique(df, column_list, ignore_row_if_mode="all_value
     combination costs one row per map task in the shuffle.
     """
     mode = ignore_row_if or ignore_row_if_mode
-    base = where(df, row_condition).filter(keep_row(column_list, mode))
-    return base.groupBy(*column_list).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
+    keep = keep_row(column_list, mode)
+    found = (where(df, row_condition).filter(keep).groupBy(*column_list).agg(F.count(F.lit(1)).alias("n_records"))
+             .filter("n_records > 1"))
+    return tag_unique_check(found, df, column_list, keep if row_condition is None else F.when(as_col(row_condition), keep))
 
 
 def select_column_values_to_be_unique_within_record(df, column_list, ignore_row_if_mode="all_values_are_missing",

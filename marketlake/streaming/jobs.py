@@ -107,13 +107,19 @@ def stream_candles(trades: DataFrame, bucket: str = "minute") -> DataFrame:
                                  F.nullif(F.col("base_volume"), F.lit(0)).cast("double")).alias("vwap"))
 
 
-def stream_depth_bars(bronze: DataFrame, bucket: str = "minute", watermark: str = "10 minutes") -> DataFrame:
-    """Depth roll-up on a stream (approximate median)."""
+def stream_valid_books(bronze: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """T10-T13 on a stream: valid books with mid and spread, repeated deliveries dropped within the watermark."""
     d = parse_depth(bronze).withWatermark("event_ts", watermark)
     b, a = F.col("best_bid_price"), F.col("best_ask_price")
-    d = (d.withColumn("mid_price", mid(b, a)).filter(valid_book())
-         .withColumn("spread_bps", 10000 * F.try_divide(spread(b, a).cast("double"), F.col("mid_price").cast("double")))
-         .dropDuplicatesWithinWatermark(["kafka_topic", "kafka_partition", "kafka_offset"]))
+    return (d.withColumn("mid_price", mid(b, a)).filter(valid_book())
+            .withColumn("spread_bps", 10000 * F.try_divide(spread(b, a).cast("double"), F.col("mid_price").cast("double")))
+            .dropDuplicatesWithinWatermark(["kafka_topic", "kafka_partition", "kafka_offset"]))
+
+
+def stream_depth_bars(bronze: DataFrame, bucket: str = "minute", watermark: str = "10 minutes") -> DataFrame:
+    """Depth roll-up on a stream (approximate median).  ``operators.sketches``
+    has the form whose minutes are merged to coarser buckets."""
+    d = stream_valid_books(bronze, watermark)
     g = d.groupBy(*SERIES_KEYS, F.window("event_ts", _window(bucket)).alias("w")).agg(
         F.avg("spread_bps").alias("avg_spread_bps"), F.avg("mid_price").alias("avg_mid_price"),
         F.percentile_approx("mid_price", 0.5, 10000).cast("decimal(38,10)").alias("median_mid_price"))
