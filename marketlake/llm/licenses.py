@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -136,21 +137,39 @@ def _present(known: np.ndarray, of: np.ndarray) -> int:
     return int(np.count_nonzero(known[at] == of))
 
 
-def with_versions(text: bytes, name: str, start: int, end: int) -> list[str]:
+class Words:
+    """Where the words of a text begin and end, found once and only if asked for."""
+
+    def __init__(self, text: bytes):
+        self.text = text
+
+    @cached_property
+    def places(self) -> np.ndarray:
+        return np.fromiter((x for m in _WORD.finditer(self.text) for x in m.span()), np.int64).reshape(-1, 2)
+
+    def between(self, start: int, end: int) -> bytes:
+        """The text of words ``start`` to ``end``."""
+        return self.text[self.places[start, 0] : self.places[end - 1, 1]]
+
+    def before(self, place: int) -> int:
+        """How many words begin before a place of the text."""
+        return int(np.searchsorted(self.places[:, 0], place))
+
+
+def with_versions(words: Words, name: str, start: int, end: int) -> list[str]:
     """``name`` with each version that words ``start`` to ``end`` of the text name."""
     if "{}" not in name:
         return [name]
-    words = [m.span() for m in _WORD.finditer(text)]
-    found = _VERSION.findall(text[words[start][0] : words[end - 1][1]])
+    found = _VERSION.findall(words.between(start, end))
     versions = sorted({v.decode() if b"." in v else f"{v.decode()}.0" for v in found})
     return [name.format(v) for v in versions] or [name.replace("-{}", "")]
 
 
-def spdx_lines(text: bytes) -> list[tuple[str, int, int]]:
+def spdx_lines(words: Words) -> list[tuple[str, int, int]]:
     """(the license expression, first word, word behind the last) of each SPDX line."""
     out = []
-    for m in _SPDX.finditer(text):
-        start = len(_WORD.findall(text[: m.start()]))
+    for m in _SPDX.finditer(words.text):
+        start = words.before(m.start())
         out.append((m.group(1).decode(), start, start + len(_WORD.findall(m.group()))))
     return out
 
@@ -206,10 +225,11 @@ def scan_licenses(
         for batch in batches:
             rows, start = [], 0
             for texts in grouped(batch.column(1).cast(pa.large_binary()).to_pylist()):
+                words = [Words(text) for text in texts]
                 for doc, name, a, b, share in found_in(texts, ready):
-                    rows += [(start + doc, label, a, b, share) for label in with_versions(texts[doc], name, a, b)]
+                    rows += [(start + doc, label, a, b, share) for label in with_versions(words[doc], name, a, b)]
                 if spdx:
-                    rows += [(start + doc, f"SPDX {x}", a, b, 1.0) for doc, text in enumerate(texts) for x, a, b in spdx_lines(text)]
+                    rows += [(start + doc, f"SPDX {x}", a, b, 1.0) for doc, own in enumerate(words) for x, a, b in spdx_lines(own)]
                 start += len(texts)
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
