@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,6 +41,13 @@ def _is_container(doc, path: str) -> Column:
     return F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
 
 
+def container_fields(doc) -> Column:
+    """Names of the top-level fields of a document that hold an object or an array; none if it is no JSON object."""
+    top = F.try_variant_get(F.try_parse_json(col_of(doc)), "$", "map<string, variant>")
+    held = F.map_filter(top, lambda _, v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
+    return F.coalesce(F.map_keys(held), F.array().cast("array<string>"))
+
+
 def scalar_field(doc, value: Column, field: str) -> Column:
     """``value`` (the text of a top-level field of ``doc``), NULL if the field holds a container."""
     return F.when(~_looks_like_container(value) | ~_is_container(doc, f"$.{field}"), value)
@@ -123,5 +132,9 @@ def with_json_fields(df, doc, fields: list[str], prefix: str = "_j_"):
     """
     names = [prefix + f for f in fields]
     out = df.select("*", F.json_tuple(col_of(doc), *fields).alias(*names))
-    return out.select(*[c for c in df.columns],
-                      *[scalar_field(doc, F.col(n), f).alias(n) for n, f in zip(names, fields, strict=True)])
+    odd = reduce(or_, [_looks_like_container(F.col(n)) for n in names])
+    # the rare check is made once a row; as the output of a generator (a list of one) it isn't copied into every use and filter either
+    out = out.select("*", F.explode(F.array(F.when(odd, container_fields(doc)))).alias("_containers"))
+    plain = [F.when(F.col("_containers").isNull() | ~F.array_contains("_containers", F.lit(f)), F.col(n)).alias(n)
+             for n, f in zip(names, fields, strict=True)]
+    return out.select(*df.columns, *plain)

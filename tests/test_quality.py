@@ -96,9 +96,9 @@ def test_suite_fuses_row_checks(spark):
     res = run_suite(specs, {"t": df})
     got = {r.check_name: (r.failures, r.status) for r in res.collect()}
     assert got == {"a": (1, "error"), "b": (1, "warn"), "c": (1, "error")}
-    # the two row checks on t are counted in one aggregate over one scan
+    # row and uniqueness checks on t share one scan
     leaves = res._jdf.queryExecution().optimizedPlan().collectLeaves().size()
-    assert leaves == 2   # fused scan for a+b, one for c
+    assert leaves == 1
 
 
 def test_table_shape(spark):
