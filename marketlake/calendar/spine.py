@@ -10,17 +10,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Numbers that one row of a series unfolds to.
+BLOCK = 1 << 16
+
+
 def generate_series(bounds: DataFrame | SparkSession, upper_bound=None) -> DataFrame:
     """``generated_number`` = 1..N.  ``bounds`` is a one-row DataFrame
-    with column ``upper_bound`` (or a session plus an int)."""
+    with column ``upper_bound`` (or a session plus an int).
+
+    The bound is known only when the plan runs, so the row is first unfolded
+    to block numbers, which are dealt over the tasks in turn; each block is
+    then a short sequence of its own."""
     if isinstance(bounds, SparkSession):
         if upper_bound is None or int(upper_bound) <= 0:
             raise ValueError("upper_bound must be positive")
         return bounds.range(1, int(upper_bound) + 1).withColumnRenamed("id", "generated_number")
     ub = F.col("upper_bound")
     checked = F.when(ub > 0, ub).otherwise(F.raise_error(F.lit("upper_bound must be positive")))
-    return bounds.select(F.explode(F.sequence(F.lit(1).cast("bigint"), checked.cast("bigint")))
-                         .alias("generated_number"))
+    tasks = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.floor((checked.cast("bigint") - 1) / BLOCK).cast("bigint")
+    blocks = bounds.select(checked.cast("bigint").alias("__n"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("__b"))
+    dealt = blocks.repartitionById(tasks, F.pmod("__b", F.lit(tasks)).cast("int"))
+    first = F.col("__b") * BLOCK
+    return dealt.select(F.explode(F.sequence(first + 1, F.least("__n", first + BLOCK))).alias("generated_number"))
 
 
 def _boundaries(start: Column, end: Column, datepart: str) -> Column:

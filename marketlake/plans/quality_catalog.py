@@ -508,6 +508,15 @@ def _q51(s, sf):
                                             quote_values=False, data_type="int")
 
 
+@reg("q51_most_common_values",
+     "SELECT part AS value_field, n AS value_count FROM (SELECT CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE l_orderkey END AS part, "
+     "count(*) AS n FROM lineitem GROUP BY 1) ORDER BY n DESC, part LIMIT 1")
+def _q51_candidates(s, sf):
+    # a hot value among as many others as there are orders: candidates decide, the others are not shuffled
+    part = F.when(F.col("l_partkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey"))
+    return Q.most_common_values(_t(s, sf, "lineitem").select(part.alias("part")), "part", 1)
+
+
 # --- multi-column ----------------------------------------------------------
 
 @reg("q52_compound_columns_unique",

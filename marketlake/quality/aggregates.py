@@ -14,7 +14,8 @@ __all__ = ["distinct_count_to_equal", "distinct_count_to_be_greater_than", "dist
            "distinct_values_to_contain_set", "distinct_values_to_equal_set", "max_to_be_between",
            "min_to_be_between", "mean_to_be_between", "median_to_be_between", "sum_to_be_between",
            "stdev_to_be_between", "unique_value_count_to_be_between", "quantile_values_to_be_between",
-           "proportion_of_unique_values_to_be_between", "most_common_value_to_be_in_set"]
+           "proportion_of_unique_values_to_be_between", "most_common_value_to_be_in_set",
+           "most_common_values"]
 
 
 def _metric_check(df, metric, pred, group_by, row_condition):
@@ -178,19 +179,66 @@ def proportion_of_unique_values_to_be_between(df, column, min_value=None, max_va
     return metric_between(df, m, min_value, max_value, group_by, row_condition, strictly)
 
 
+#: Items that a sketch of frequent values tracks; candidates that are then counted exactly.
+TRACKED, CANDIDATES = 1 << 14, 1 << 10
+#: A value that a sketch of n rows does not report occurs at most UNSEEN * n / tracked times: its map has 4/3 of the tracked
+#: items and is off by 3.5 * n / map, and values above twice that are reported (5.25, taken with a margin).
+UNSEEN = 8
+
+
+def most_common_values(df, column, top_n, tracked=TRACKED, candidates=CANDIDATES):
+    """``value_field, value_count`` of the ``top_n`` most frequent values (NULL
+    is one), equal counts by value; the counts are exact.
+
+    A sketch of frequent values names candidates in one pass without a shuffle
+    of the values, a second pass counts only these.  A value that is no
+    candidate occurs at most ``unseen`` times: if the last rank's exact count
+    is above that, no other value can have the rank, not by a tie either.
+    Otherwise (flat distributions) every distinct value is counted.  Runs two
+    jobs when called; at most ``candidates`` rows come to the driver.
+    """
+    top_n, candidates = int(top_n), min(int(candidates), int(tracked))
+    if top_n < 1:
+        raise ValueError("top_n must be positive")
+    c = F.col(column)
+    if dict(df.dtypes)[column] in ("float", "double"):
+        c = c + F.lit(0.0).cast(dict(df.dtypes)[column])  # -0.0 is 0.0, as in groupBy
+    values = df.select(c.alias("value_field"))
+    order = [F.col("value_count").desc(), F.col("value_field").asc()]
+    counted = lambda rows: rows.groupBy("value_field").agg(F.count(F.lit(1)).alias("value_count"))
+    if top_n < candidates:
+        seen = values.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(value_field, {candidates}, {int(tracked)})").alias("top")).first()
+        unseen = seen.n * UNSEEN / tracked
+        if len(seen.top) == candidates:  # there may be more of them, none estimated higher
+            unseen = max(unseen, min(r["count"] for r in seen.top))
+        named = df.sparkSession.createDataFrame([(r["item"],) for r in seen.top], values.schema)
+        same = F.col("v.value_field").eqNullSafe(F.col("c.value_field"))
+        exact = counted(values.alias("v").join(F.broadcast(named.alias("c")), same, "left_semi"))
+        top = exact.orderBy(*order).limit(top_n).collect()
+        if len(top) == top_n and top[-1].value_count > unseen:
+            return df.sparkSession.createDataFrame(top, exact.schema)
+    return counted(values).orderBy(*order).limit(top_n)
+
+
 def most_common_value_to_be_in_set(df, column, value_set, top_n, quote_values=True, data_type="decimal",
-                                   row_condition=None):
+                                   row_condition=None, candidates_first=False):
     """Q51: the value ranked exactly ``top_n`` by frequency, if not in the set.
 
     Counts are one row per distinct value (partial aggregation); the rank is
     a ``row_number`` over those counts.  Equal counts are ordered by value to
     make the rank deterministic (the SQL form leaves ties unspecified).
+    ``candidates_first`` gives the same result by :func:`most_common_values`,
+    which spares the shuffle of all distinct values where there are many.
     """
     c = F.col(column) if quote_values else F.col(column).cast(data_type)
-    counts = where(df, row_condition).groupBy(c.alias("value_field")).agg(F.count(F.lit(1)).alias("value_count"))
+    order = [F.col("value_count").desc(), F.col("value_field").asc()]
+    rows = where(df, row_condition)
+    if candidates_first:
+        counts = most_common_values(rows.select(c.alias("value_field")), "value_field", top_n)
+    else:
+        counts = rows.groupBy(c.alias("value_field")).agg(F.count(F.lit(1)).alias("value_count"))
     # Only the first top_n ranks matter: a distributed top-k (each task keeps
     # its best top_n, then they are merged) bounds what is ranked together.
-    order = [F.col("value_count").desc(), F.col("value_field").asc()]
     ranked = counts.orderBy(*order).limit(top_n).withColumn(
         "value_count_rank", F.row_number().over(Window.orderBy(*order)))
     top = ranked.filter(F.col("value_count_rank") == top_n).select("value_field")

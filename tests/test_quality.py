@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -107,3 +108,38 @@ def test_table_shape(spark):
     assert Q.column_to_exist(df, "idx", 2).count() == 1
     assert Q.table_columns_to_match_ordered_list(df, ["idx", "v"]).count() == 3
     assert Q.table_row_count_to_equal(df, 5).count() == 0
+
+
+def _plain_top(values, k):
+    from collections import Counter
+
+    counts = Counter(values)
+    return sorted(counts.items(), key=lambda r: (-r[1], r[0] is not None, r[0] if r[0] is not None else ""))[:k]
+
+
+@pytest.mark.parametrize("case", ["hot", "flat", "tie", "few", "null"])
+def test_most_common_values(spark, case):
+    """Candidates first, the rest only where they cannot decide: always the ranks of a full count."""
+    values = {
+        "hot": [f"v{k}" for k in range(20000)] + ["hot"] * 9000 + ["warm"] * 4000,
+        "flat": [f"v{k % 7000}" for k in range(21000)],
+        "tie": [f"v{k}" for k in range(20000)] + ["b"] * 5000 + ["a"] * 5000 + ["c"] * 5000,
+        "few": ["a", "b", "b"],
+        "null": [None] * 3000 + [f"v{k}" for k in range(3000)] + ["x"] * 3000,
+    }[case]
+    df = spark.createDataFrame([(v, 1) for v in values], "v string, value_field int").repartition(4)
+    for k in (1, 2, 4):
+        got = Q.most_common_values(df, "v", k, tracked=64, candidates=16)
+        assert got.columns == ["value_field", "value_count"]
+        assert [tuple(r) for r in got.orderBy(F.col("value_count").desc(), "value_field").collect()] == _plain_top(values, k)
+    rank = Q.most_common_value_to_be_in_set(df, "v", ["none"], top_n=2)
+    assert rank.collect() == Q.most_common_value_to_be_in_set(df, "v", ["none"], top_n=2, candidates_first=True).collect()
+    assert Q.most_common_values(df.filter("false"), "v", 3).collect() == []
+
+
+def test_most_common_values_decided_by_candidates(spark):
+    """The values beside the candidates are not shuffled: the result is the counted candidates themselves."""
+    rows = spark.range(50000).select(F.when(F.col("id") % 3 == 0, -0.0).when(F.col("id") % 3 == 1, 0.0).otherwise(F.col("id").cast("double")).alias("v"))
+    got = Q.most_common_values(rows, "v", 1, tracked=256, candidates=32)
+    assert [tuple(r) for r in got.collect()] == [(0.0, 33334)]
+    assert "LogicalRDD" in got._jdf.queryExecution().optimizedPlan().toString() or "LocalRelation" in got._jdf.queryExecution().optimizedPlan().toString()
