@@ -127,7 +127,8 @@ def test_matrices_round_trip(spark, tokenizer, tmp_path):
         ids = np.frombuffer(r.ids, "<u2")
         assert len(ids) == P.CAPACITY and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens
         assert (ids[r.n_tokens :] == M.PAD_ID).all() and zlib.crc32(ids[: r.n_tokens].astype("<u4").tobytes()) == r.ids_crc32
-        positions = M.position_ids(r.cu_seqlens)
+        positions = np.frombuffer(r.position_ids, "<u2")
+        assert len(positions) == P.CAPACITY and not positions[r.n_tokens :].any()
         for a, b, d, p in zip(r.cu_seqlens[:-1], r.cu_seqlens[1:], r.doc_ids, r.pieces):
             assert positions[a:b].tolist() == list(range(b - a))
             parts.setdefault((str(d), p), []).append(ids[a:b].tolist())
@@ -138,3 +139,18 @@ def test_matrices_round_trip(spark, tokenizer, tmp_path):
             want.setdefault((str(d), k), []).append(ids[at : at + P.CAPACITY])
     assert {k: sorted(v) for k, v in parts.items()} == {k: sorted(v) for k, v in want.items()}
     assert M.packed_rows(frame(spark, rows).filter("false"), vocabulary()).collect() == []
+
+
+def test_position_ids():
+    assert M.position_ids([0, 3, 4, 6], 8).tolist() == [0, 1, 2, 0, 0, 1, 0, 0]
+    assert M.position_ids([0, 70000], 70000).tolist() == list(range(70000))
+
+
+def test_matrices_of_empty_texts_use_several_tasks(spark, monkeypatch):
+    """Texts without a byte still cost a row each: they are dealt over tasks; columns named like the result's do no harm."""
+    monkeypatch.setattr(M, "ROW_BYTES", 1 << 20)
+    docs = spark.range(64).selectExpr("id AS doc_id", "CAST(NULL AS string) AS text", "'x' AS ids", "7 AS position_ids", "8 AS task", "9 AS piece", "id AS length")
+    rows = M.packed_rows(docs, vocabulary(), capacity=8).collect()
+    assert len({r.sequence_id >> 40 for r in rows}) > 1
+    assert sorted(d for r in rows for d in r.doc_ids) == list(range(64)) and sum(r.n_tokens for r in rows) == 64
+    assert all(np.frombuffer(r.position_ids, "<u2").tolist() == [0] * 8 for r in rows)
