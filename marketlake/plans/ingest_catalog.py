@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlake.operators.ingest import check_book, check_trade, normalise_all
+from marketlake.operators.ingest import check_book, check_quote, check_trade, normalise_all
 from marketlake.plans.oracle import with_events
 from marketlake.plans.pipeline import events_bronze
 from marketlake.plans.quality_catalog import reg
+from marketlake.session import scratch_path
+from marketlake.sources.adapters import read_table
+from marketlake.sources.bronze import count_parquet, count_table
 from marketlake.sources.raw import events_as_raw_messages
 
 _ROUTED = """
@@ -51,6 +54,40 @@ def _c1(s, sf):
     return b.select("kafka_offset", check_trade("payload").alias("reason")).filter("reason IS NOT NULL")
 
 
+@reg("c3_quote_contract_violations", """
+SELECT event_id, 'schema_validation_failed:' || CASE event_id % 11 WHEN 0 THEN 'missing field price_usd'
+       WHEN 1 THEN 'price_usd must be a decimal' WHEN 2 THEN 'venue must be a non-empty string'
+       WHEN 3 THEN 'event_ts_ms must be an integer' WHEN 4 THEN 'extra fields note' ELSE 'not a JSON object' END AS reason
+FROM events WHERE event_type IN ('purchase', 'signup') AND event_id % 11 < 6""")
+def _c3(s, sf):
+    # quote messages of the events, one fault planted by a fixed modulo rule
+    e = read_table(s, sf, "events").filter("event_type IN ('purchase', 'signup')")
+    fault = F.col("event_id") % 11
+    doc = F.to_json(F.struct(
+        F.when(fault == 2, "").otherwise("coingecko").alias("venue"), F.lit("BTC").alias("symbol"),
+        F.concat(F.lit("cg-"), F.col("event_id")).alias("quote_id"),
+        F.when(fault == 3, "soon").otherwise(F.unix_millis(F.col("ts").cast("timestamp")).cast("string")).alias("event_ts_ms"),
+        F.when(fault == 1, "n/a").when(fault != 0, F.col("value").cast("string")).alias("price_usd"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ingest_ts"), F.struct("event_id").alias("raw_event"),
+        F.when(fault == 4, "x").alias("note")))
+    quotes = e.select("event_id", F.when(fault == 5, "[]").otherwise(doc).alias("payload"))
+    return quotes.select("event_id", check_quote("payload").alias("reason")).filter("reason IS NOT NULL")
+
+
+@reg("s9_s10_row_counts", "SELECT event_type, count(*) AS parquet_rows, count(*) AS table_rows FROM events GROUP BY 1")
+def _s9(s, sf):
+    # the same rows counted as a Parquet prefix and as a table of the catalog
+    path = scratch_path(s, "prefixes")
+    read_table(s, sf, "events").write.partitionBy("event_type").parquet(path)
+    kinds = sorted(r.event_type for r in s.read.parquet(path).select("event_type").distinct().collect())
+    rows = []
+    for kind in kinds:
+        s.read.parquet(f"{path}/event_type={kind}").createOrReplaceTempView("prefix_rows")
+        rows.append((kind, count_parquet(s, f"{path}/event_type={kind}"), count_table(s, "prefix_rows")))
+    s.catalog.dropTempView("prefix_rows")
+    return s.createDataFrame(rows, "event_type string, parquet_rows bigint, table_rows bigint")
+
+
 # --- what the normalisers and the dead-letter envelope carry ---------------------
 
 _EV = """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlake.plans.gold import read_gold
 from marketlake.plans.pipeline import Layout, build_all, events_bronze
@@ -10,12 +11,19 @@ from marketlake.session import ensure_conf, scratch_path
 from marketlake.sources.bronze import read_bronze
 from marketlake.sources.silver import read_silver
 
-_BUILT: dict[tuple[str, str, str], dict[str, str]] = {}
+_BUILT: dict[tuple[str, str, str, int], dict[str, str]] = {}
+
+
+def _files_of(spark: SparkSession, path: str) -> int:
+    """A hash of the names, sizes and times of the files; nothing in them is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()[0]
 
 
 def built_paths(spark: SparkSession, sf_dir: str, bucket: str = "minute") -> dict[str, str]:
-    """Paths of the tables that ``build_all`` wrote from ``events`` in this application."""
-    key = (spark.sparkContext.applicationId, sf_dir, bucket)
+    """Paths of the tables that ``build_all`` wrote from ``events`` in this
+    application; written again once the files of ``events`` are others."""
+    key = (spark.sparkContext.applicationId, sf_dir, bucket, _files_of(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     if key not in _BUILT:
         _BUILT[key] = build_all(spark, events_bronze(spark, sf_dir), Layout(scratch_path(spark, "tables")), bucket)
     return _BUILT[key]

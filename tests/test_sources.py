@@ -62,3 +62,15 @@ def test_random_values(spark):
 
     one, two = ([r[0] for r in spark.range(50).select(random_value(7)).collect()] for _ in range(2))
     assert one == two and len(set(one)) == 50 and all(0 <= x < 1 for x in one)
+
+
+def test_built_tables_follow_their_files(spark, tmp_path):
+    """Tables are built again once the files that they come from are others; a listing decides, contents are not read."""
+    from marketlake.plans.tables import _files_of
+
+    path = str(tmp_path / "events.parquet")
+    spark.range(3).coalesce(1).write.parquet(path)
+    first = _files_of(spark, path)
+    assert first is not None and _files_of(spark, path) == first
+    spark.range(2).coalesce(1).write.mode("append").parquet(path)
+    assert _files_of(spark, path) != first
