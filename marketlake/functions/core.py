@@ -138,3 +138,13 @@ def with_json_fields(df, doc, fields: list[str], prefix: str = "_j_"):
     plain = [F.when(F.col("_containers").isNull() | ~F.array_contains("_containers", F.lit(f)), F.col(n)).alias(n)
              for n, f in zip(names, fields, strict=True)]
     return out.select(*df.columns, *plain)
+
+
+def computed_once(df, **columns):
+    """Add columns that are computed once a row.
+
+    As outputs of a generator (a list of one) their expressions are copied
+    neither into their uses nor into the filters above, which Catalyst does
+    with the columns of a projection.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))

@@ -14,6 +14,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions import computed_once
 from marketlake.schemas import (
     BOOK_FIELDS, COIN_SYMBOL_MAX_LEN, COIN_SYMBOLS, PRICE_TYPE, QUOTE_FIELDS, REASON_POLL, REASON_SCHEMA, TOPIC_COINGECKO,
     TOPIC_CRYPTOCOMPARE, TOPIC_DEPTH, TOPIC_DLQ, TOPIC_TRADES, TRADE_FIELDS, UNKNOWN,
@@ -58,10 +59,9 @@ def _is_number(kind: Column) -> Column:
     return kind.rlike("^(BIGINT|DECIMAL|DOUBLE)")
 
 
-def _truthy(doc: Column, field: str, text: Column) -> Column:
+def _truthy(kind: Column, text: Column) -> Column:
     """Python truthiness of a JSON value: a text is true unless it is empty,
     a number unless it is 0, a container unless it is empty."""
-    kind = _kind(doc, field)
     return (F.when(kind == "STRING", F.length(text) > 0)
             .when(kind == "BOOLEAN", text == "true")
             .when(_is_number(kind), F.coalesce(text.try_cast("double") != 0, F.lit(True)))
@@ -78,15 +78,18 @@ def _g(guard: Column | None) -> Column:
 
 
 def _binance_prep(d: DataFrame, guard: Column | None = None) -> DataFrame:
-    guard = _g(guard)
-    return d.withColumn("_b", F.when(guard, F.from_json(F.col("raw"), "t string, E string, p string, q string, "
-                                                                     "m string")))
+    guard, raw = _g(guard), F.col("raw")
+    d = computed_once(d, _names=F.when(guard, _keys(raw)))
+    is_object = F.col("_names").isNotNull()  # a failed parse is dear, so each bad document fails one only
+    return computed_once(d, _b=F.when(is_object, F.from_json(raw, "t string, E string, p string, q string, m string")),
+                         _m_kind=F.when(is_object, _kind(raw, "m")))
 
 
 def _binance_fields(symbol: str) -> dict:
-    raw = F.col("raw")
-    fail = [(~_is_object(raw), F.lit(f"{REASON_SCHEMA}:not a JSON object"))]
-    fail += [(~_has(raw, k), F.lit(f"{REASON_SCHEMA}:missing field {k}")) for k in ("t", "E", "p", "q", "m")]
+    names = F.col("_names")
+    fail = [(names.isNull(), F.lit(f"{REASON_SCHEMA}:not a JSON object"))]
+    fail += [(~F.coalesce(F.array_contains(names, k), F.lit(False)), F.lit(f"{REASON_SCHEMA}:missing field {k}"))
+             for k in ("t", "E", "p", "q", "m")]
     fail += [(~F.coalesce(F.col("_b.E").rlike(INT_RE), F.lit(False)), f"{REASON_SCHEMA}:event time is not an integer"),
              (_decimal(F.col("_b.p")).isNull(), f"{REASON_SCHEMA}:invalid decimal price"),
              (_decimal(F.col("_b.q")).isNull(), f"{REASON_SCHEMA}:invalid decimal quantity")]
@@ -94,16 +97,16 @@ def _binance_fields(symbol: str) -> dict:
             "trade_id": F.coalesce(F.col("_b.t"), F.lit("None")),
             "event_ts_ms": F.col("_b.E").try_cast("bigint"),
             "price": _decimal(F.col("_b.p")), "quantity": _decimal(F.col("_b.q")),
-            "is_buyer_maker": _truthy(raw, "m", F.col("_b.m")), "reason": first_reason(*fail)}
+            "is_buyer_maker": _truthy(F.col("_m_kind"), F.col("_b.m")), "reason": first_reason(*fail)}
 
 
 def _apply(d: DataFrame, fields: dict, drop: list[str]) -> DataFrame:
-    return d.select("*", *[c.alias(n) for n, c in fields.items()]).drop(*drop)
+    return computed_once(d, **fields).drop(*drop)
 
 
 def normalise_binance(msgs: DataFrame, symbol: str = "BTCUSDT") -> DataFrame:
     """Binance trade stream message -> trade event + reason."""
-    return _apply(_binance_prep(msgs), _binance_fields(symbol), ["_b"])
+    return _apply(_binance_prep(msgs), _binance_fields(symbol), ["_b", "_names", "_m_kind"])
 
 
 def _levels(text: Column) -> Column:
@@ -123,16 +126,17 @@ def _last_value(objs: Column, key: str) -> Column:
 def _kraken_prep(d: DataFrame, guard: Column | None = None) -> DataFrame:
     guard = _g(guard)
     raw = F.col("raw")
-    d = d.withColumn("_elems", F.when(guard, F.from_json(raw, "array<string>")))
+    d = computed_once(d, _elems=F.when(guard, F.from_json(raw, "array<string>")))
     skip = (F.col("_elems").isNotNull() & (F.size("_elems") < 2)) | (F.col("_elems").isNull() & _is_object(raw))
     d = d.filter(~(guard & skip))
-    d = d.withColumn("_objs", F.when(guard, F.filter(F.col("_elems"), lambda e: e.startswith("{"))))
-    b, bs = _levels(_last_value(F.col("_objs"), "b")), _levels(_last_value(F.col("_objs"), "bs"))
-    a, as_ = _levels(_last_value(F.col("_objs"), "a")), _levels(_last_value(F.col("_objs"), "as"))
+    d = computed_once(d, _objs=F.when(guard, F.filter(F.col("_elems"), lambda e: e.startswith("{"))))
+    d = computed_once(d, _new_bids=_levels(_last_value(F.col("_objs"), "b")), _new_asks=_levels(_last_value(F.col("_objs"), "a")))
+    b, bs = F.col("_new_bids"), _levels(_last_value(F.col("_objs"), "bs"))
+    a, as_ = F.col("_new_asks"), _levels(_last_value(F.col("_objs"), "as"))
     empty = F.array().cast("array<struct<price:decimal(38,9),qty:decimal(38,9)>>")
     bids = F.when(F.size(F.coalesce(b, empty)) > 0, b).otherwise(F.coalesce(bs, empty))
     asks = F.when(F.size(F.coalesce(a, empty)) > 0, a).otherwise(F.coalesce(as_, empty))
-    return d.withColumn("_bids", F.when(guard, bids)).withColumn("_asks", F.when(guard, asks))
+    return computed_once(d, _bids=F.when(guard, bids), _asks=F.when(guard, asks)).drop("_new_bids", "_new_asks")
 
 
 def _kraken_fields(pair: str) -> dict:
@@ -178,7 +182,7 @@ def _coingecko_prep(d: DataFrame, coin_id, guard: Column | None = None) -> DataF
     # raw.get(coin) or raw.get(coin.lower())
     inner = F.coalesce(F.expr("get_json_object(raw, concat('$[\\'', _coin, '\\']'))"),
                        F.expr("get_json_object(raw, concat('$[\\'', lower(_coin), '\\']'))"))
-    return d.withColumn("_coin", F.when(guard, coin)).withColumn("_inner", F.when(guard, inner))
+    return computed_once(d.withColumn("_coin", F.when(guard, coin)), _inner=F.when(guard, inner))
 
 
 def _coingecko_fields() -> dict:
@@ -262,7 +266,8 @@ def normalise_all(msgs: DataFrame, binance_symbol: str = "BTCUSDT", kraken_pair:
 
     Each field is a CASE on ``source`` and each parse is guarded by its
     source, so a row only runs its own normaliser; the capture is scanned
-    once.  Rows of unknown (or no) source go to the dead-letter topic.
+    once.  A filter on the routed rows stays above the normalisers: pushed
+    into them it would repeat each parse for every use.  Rows of unknown (or no) source go to the dead-letter topic.
     """
     src = F.col("source")
     guards = {SRC_BINANCE: src == SRC_BINANCE, SRC_KRAKEN: src == SRC_KRAKEN,
@@ -278,7 +283,7 @@ def normalise_all(msgs: DataFrame, binance_symbol: str = "BTCUSDT", kraken_pair:
     names: list[str] = []
     for _, f in per_source:
         names += [n for n in f if n not in names]
-    cols = []
+    cols = {}
     for n in names:
         c = None
         for g, f in per_source:
@@ -286,8 +291,8 @@ def normalise_all(msgs: DataFrame, binance_symbol: str = "BTCUSDT", kraken_pair:
                 c = F.when(g, f[n]) if c is None else c.when(g, f[n])
         if n == "reason":
             c = c.otherwise(F.lit(f"{REASON_SCHEMA}:unknown source"))
-        cols.append(c.alias(n))
-    d = d.select(*msgs.columns, *cols)
+        cols[n] = c
+    d = computed_once(d, **cols)
     ok = F.col("reason").isNull()
     g = guards
     topic = (F.when(g[SRC_BINANCE], F.lit(TOPIC_TRADES)).when(g[SRC_KRAKEN], F.lit(TOPIC_DEPTH))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.sources.adapters import read_table
+from marketlake.sources.adapters import dealt_over_cores, read_table
 
 RAW_SCHEMA = "source string, raw string, recv_ts timestamp, recv_seq bigint"
 
@@ -33,7 +33,7 @@ def read_raw_messages(spark: SparkSession, path: str, fmt: str = "json") -> Data
 
 
 def events_as_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    ev = dealt_over_cores(read_table(spark, sf_dir, "events"))
     k = F.get_json_object("props", "$.k").try_cast("int")
     eid, ts = F.col("event_id"), F.col("ts").cast("timestamp")
     ms = F.unix_millis(ts)
