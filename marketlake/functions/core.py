@@ -28,8 +28,12 @@ def json_value(doc, path: str) -> Column:
     start with a brace or bracket too, so only for such results the document
     is read again for the type of the value.
     """
-    v = F.get_json_object(col_of(doc), path)
-    return F.when(~_looks_like_container(v) | ~_is_container(doc, path), v)
+    return scalar_text(doc, F.get_json_object(col_of(doc), path), path)
+
+
+def scalar_text(doc, value: Column, path: str) -> Column:
+    """``value`` (the text at ``path`` of ``doc``), NULL if an object or an array is there."""
+    return F.when(~_looks_like_container(value) | ~_is_container(doc, path), value)
 
 
 def _looks_like_container(v: Column) -> Column:
@@ -50,7 +54,7 @@ def container_fields(doc) -> Column:
 
 def scalar_field(doc, value: Column, field: str) -> Column:
     """``value`` (the text of a top-level field of ``doc``), NULL if the field holds a container."""
-    return F.when(~_looks_like_container(value) | ~_is_container(doc, f"$.{field}"), value)
+    return scalar_text(doc, value, f"$.{field}")
 
 
 def to_price(c) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions import (
-    json_value, kafka_key, mid, safe_divide, scalar_field, spread, to_price, tolerant_bool, with_json_fields,
+    computed_once, json_query, kafka_key, mid, safe_divide, scalar_field, scalar_text, spread, to_price, tolerant_bool,
+    with_json_fields,
 )
 from marketlake.operators.dedup import first_per_key, latest_per_key
 from marketlake.schemas import STG_DEPTH_COLUMNS, STG_TRADES_COLUMNS
@@ -80,17 +81,16 @@ def parse_depth(bronze: DataFrame) -> DataFrame:
     raw = bronze.filter(F.col("stream_kind") == "depth").select(
         "*", F.json_tuple("payload", *fields).alias(*["_j_" + f for f in fields]))
     scalar = lambda f: scalar_field("payload", F.col("_j_" + f), f)
-    level = lambda side, f: to_price(json_value(F.col("_j_" + side), f"$[0].{f}"))
-    return raw.select(
-        *bronze.columns,
-        kafka_key().alias("depth_key"),
-        F.coalesce(F.timestamp_millis(scalar("event_ts_ms").try_cast("bigint")), F.col("kafka_ts"))
-        .alias("event_ts"),
-        scalar("update_id").alias("update_id"),
-        level("bids", "price").alias("best_bid_price"),
-        level("bids", "qty").alias("best_bid_qty"),
-        level("asks", "price").alias("best_ask_price"),
-        level("asks", "qty").alias("best_ask_qty"))
+    level = lambda side, f: to_price(scalar_text("_j_" + side, F.col(f"_{side}_{f}"), f"$[0].{f}"))
+    # the validity filter names each price several times: it must find columns there, not the parse to repeat
+    raw = computed_once(raw, **{f"_{side}_{f}": json_query("_j_" + side, f"$[0].{f}")
+                                for side in ("bids", "asks") for f in ("price", "qty")})
+    typed = computed_once(
+        raw, event_ts=F.coalesce(F.timestamp_millis(scalar("event_ts_ms").try_cast("bigint")), F.col("kafka_ts")),
+        update_id=scalar("update_id"), best_bid_price=level("bids", "price"), best_bid_qty=level("bids", "qty"),
+        best_ask_price=level("asks", "price"), best_ask_qty=level("asks", "qty"))
+    return typed.select(*bronze.columns, kafka_key().alias("depth_key"), "event_ts", "update_id", "best_bid_price",
+                        "best_bid_qty", "best_ask_price", "best_ask_qty")
 
 
 def valid_book() -> F.Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,10 +44,14 @@ def ingest_with_crash(spark: SparkSession, records: DataFrame, base: str) -> str
     """Half of the records in several batches, a crash before the last commit, a restart with the rest, and a compaction."""
     log, table, checkpoint = f"{base}/log", f"{base}/table", f"{base}/_ckpt"
     records = stored_table(records, "records")
+    files = [0]
     for k in range(4):
-        records.filter(F.pmod(F.col("offset"), F.lit(4)) == k).coalesce(2).write.mode("append").parquet(log)
+        # as many files as the input asks for; a batch is about one of the four parts
+        records.filter(F.pmod(F.col("offset"), F.lit(4)) == k).write.mode("append").parquet(log)
+        files.append(len(spark.read.parquet(log).inputFiles()))
         if k % 2:
-            start_bronze_table(Z.read_records_stream(spark, log, max_files_per_trigger=2), table, checkpoint, available_now=True).awaitTermination()
+            batch = max(1, -(-(files[k + 1] - files[k - 1]) // 2))
+            start_bronze_table(Z.read_records_stream(spark, log, max_files_per_trigger=batch), table, checkpoint, available_now=True).awaitTermination()
         if k == 1:
             forget_last_commit(spark, checkpoint)
     compact_days(spark, table, "2024-01-05", "2024-01-06")
@@ -80,12 +86,19 @@ def _k5w(s, sf):
     return violations(s, f"{base}/table").unionByName(kept)
 
 
-def write_by_arrival(rows: DataFrame, arrival: F.Column, days: int, log: str) -> None:
-    """``rows`` as one file for every ``days`` days of arrival, written in that order."""
-    dealt = stored_table(rows.withColumn("_part", F.floor(F.datediff(arrival, F.lit("2024-01-01")) / days)), "arrivals")
-    ends = dealt.agg(F.min("_part"), F.max("_part")).first()
-    for k in range(ends[0], ends[1] + 1) if ends[0] is not None else ():
-        dealt.filter(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(log)
+def drain_by_arrival(rows: DataFrame, arrival: F.Column, days: int, log: str, drain: Callable[[], None]) -> None:
+    """``rows`` written to ``log``, ``days`` days of arrival at a time and in that order; after each, ``drain`` runs the stream over what is new.
+
+    The rows are dealt to a folder for each of these times in one pass, so each is written by as many tasks as its size asks for,
+    and nothing of the others is read for it.
+    """
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "arrivals")
+    dealt = rows.withColumn("_part", F.floor(F.datediff(arrival, F.lit("2024-01-01")) / days)).filter("_part IS NOT NULL")
+    dealt.hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    for part in sorted(r[0] for r in dealt.select("_part").distinct().collect()):
+        dealt.filter(F.col("_part") == part).drop("_part").write.mode("append").parquet(log)
+        drain()
 
 
 def replays_that_differ(records: DataFrame) -> DataFrame:
@@ -104,9 +117,12 @@ def _z3b(s, sf):
     base = scratch_path(s, "z3b")
     records = replays_that_differ(events_as_kafka(s, sf))
     arrival = F.col("timestamp") + F.when(F.col("offset") % 2 == 1, F.expr("interval 30 minutes")).otherwise(F.expr("interval 0 minutes"))
-    write_by_arrival(records, arrival, 5, f"{base}/log")
-    bronze = to_bronze(Z.read_records_stream(s, f"{base}/log", max_files_per_trigger=1))
-    Z.run_available_now(stream_best_trades(bronze, WATERMARK, WATERMARK), f"{base}/z3", f"{base}/_ckpt")
+
+    def drain():
+        bronze = to_bronze(Z.read_records_stream(s, f"{base}/log"))
+        Z.run_available_now(stream_best_trades(bronze, WATERMARK, WATERMARK), f"{base}/z3", f"{base}/_ckpt")
+
+    drain_by_arrival(records, arrival, 5, f"{base}/log", drain)
     done = s.read.parquet(f"{base}/z3")
     return present(done.unionByName(open_trades(s, f"{base}/_ckpt")))
 
@@ -122,7 +138,10 @@ def _w15(s, sf):
     bars = candle_bars(stg_trades(events_bronze(s, sf)), "minute")
     late = F.pmod(F.xxhash64("metric_ts"), F.lit(7)) == 0
     arrival = F.col("metric_ts") + F.when(late, F.expr("interval 6 hours")).otherwise(F.expr("interval 0 hours"))
-    write_by_arrival(bars, arrival, 3, f"{base}/log")
-    stream = s.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/log")
-    Z.run_available_now(stream_rolling(stream), f"{base}/rolling", f"{base}/_ckpt")
+
+    def drain():
+        stream = s.readStream.schema(bars.schema).parquet(f"{base}/log")
+        Z.run_available_now(stream_rolling(stream), f"{base}/rolling", f"{base}/_ckpt")
+
+    drain_by_arrival(bars, arrival, 3, f"{base}/log", drain)
     return present(latest_rolling(s.read.parquet(f"{base}/rolling")), round6=("rolling_avg_close_5m", "log_close_return", "volatility", "volatility_60m"))
