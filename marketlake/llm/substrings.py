@@ -19,7 +19,7 @@ All suffixes can't be sorted at once, nor can a task hold the text they point in
 * The answer for a context is one bit for each of its suffixes; blocks turn these into removed bytes.
 
 Memory is bounded by a block or a bucket: a bucket has some BUCKET_BYTES of text by average, and of one sample HOT contexts, those
-of one block, or of one string a row per block. Copies inside a block are settled there, so a passage that a third of
+of one block, or of one string a row per block. A task works on some AT_ONCE of these contexts at a time, sample by sample. Copies inside a block are settled there, so a passage that a third of
 all documents have sends a block's worth of contexts, not a row for each document, to its bucket.
 
 Defined results: null texts are empty; a null id counts as larger than all others, and rows with equal ids (or null) don't
@@ -47,6 +47,7 @@ BLOCK_BYTES, BUCKET_BYTES, CHUNK_BYTES = 8 << 20, 16 << 20, 1 << 18
 COVER, CYCLE, FIRST, TAIL = (0, 1, 3), 7, 32, 18
 HOT, SPREAD = 4096, 4  # contexts of a sample that go to one bucket; buckets of strings for each bucket of contexts
 STRING_WORDS, PIECE = (*range(0, LENGTH - 7, 8), LENGTH - 8), 1 << 20
+AT_ONCE = 1 << 15  # contexts or answers worked on at once; what is made of them takes some kB each
 LINK = np.uint64(1 << 63)  # of a mask: the string is that at the place in the low 32 bits, whatever becomes of it
 LEVEL = 5  # of compression of what is stored and shuffled
 NO_ID = np.iinfo(np.int64).max
@@ -179,8 +180,11 @@ def _counted(block: Block, bits: int) -> tuple[np.ndarray, np.ndarray]:
     counts = np.bincount(index, minlength=len(values))
     again = np.flatnonzero(counts[index] > 1)
     if len(again):
-        rows = _padded(block.data, first[again], count[again] + LENGTH - 1)
-        content = _row_hash(rows, place[again] - first[again], count[again])
+        content = np.empty(len(again), np.uint64)
+        for a in range(0, len(again), AT_ONCE):
+            some = again[a : a + AT_ONCE]
+            rows = _padded(block.data, first[some], count[some] + LENGTH - 1)
+            content[a : a + AT_ONCE] = _row_hash(rows, place[some] - first[some], count[some])
         order = np.lexsort((content, index[again]))
         group, content = index[again][order], content[order]
         new = np.append(True, (group[1:] != group[:-1]) | (content[1:] != content[:-1]))
@@ -259,6 +263,18 @@ def _row_hash(rows: np.ndarray, *more: np.ndarray) -> np.ndarray:
     return h
 
 
+def _by_sample(h: np.ndarray) -> Iterator[np.ndarray]:
+    """Places in ``h``, some AT_ONCE at a time in its order; the contexts of one sample stay together."""
+    by = np.argsort(h, kind="stable")
+    ends = np.append(np.flatnonzero(np.diff(h[by])) + 1, len(h))  # of samples
+    a = 0
+    while a < len(h):
+        k = np.searchsorted(ends, a + AT_ONCE, side="right") - 1
+        b = int(ends[k]) if k >= 0 and ends[k] > a else int(ends[k + 1])
+        yield by[a:b]
+        a = b
+
+
 def _equal_groups(h: np.ndarray, rows: np.ndarray, offset: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that brings equal contexts of a sample together, and where groups start in it. Equality is of bytes."""
     order = np.lexsort((_row_hash(rows, offset, count), h))
@@ -345,25 +361,25 @@ def _contexts(id_col: str, text_col: str, buckets: int, bits: int):
         hot = hot[index][keep]
         first, count, place, h, doc = (x[keep] for x in (first, count, place, h, doc))
         ids, offset, size = block.ids[doc], place - first, count + LENGTH - 1
-        rows = _padded(block.data, first, size)
-        order, starts = _equal_groups(h, rows, offset, count)
-        here = _group_min(ids, order, starts) < ids
-        full = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
-        at, mask, strings = first[here], full[here], []
-        split = ~here & hot
+        settled, split, out = np.zeros(len(h), dtype=bool), np.zeros(len(h), dtype=bool), []
+        for some in _by_sample(h):
+            rows = _padded(block.data, first[some], size[some])
+            order, starts = _equal_groups(h[some], rows, offset[some], count[some])
+            here = _group_min(ids[some], order, starts) < ids[some]
+            settled[some], split[some] = here, ~here & hot[some]
+            send = np.flatnonzero(~here & ~hot[some])
+            for bucket, part in zip(*_split(_bucket(h[some[send]], buckets), send), strict=True):
+                used, own = np.arange(WIDTH) < size[some[part]][:, None], some[part]
+                out.append((int(bucket), key[0].as_py(), _payload(
+                    first[own], h[own], ids[own], offset[own].astype(np.uint8), count[own].astype(np.uint8), rows[part][used],
+                )))
+        at, mask = first[settled], (np.uint64(1) << count[settled].astype(np.uint64)) - np.uint64(1)
         if split.any():
             more_at, more_mask, strings = _hot_strings(block, first[split], count[split], ids[split], buckets)
             at, mask = np.concatenate([at, more_at]), np.concatenate([mask, more_mask])
-        out = [(-1 - key[0].as_py(), key[0].as_py(), _payload(at, mask))] if len(at) else []
-        out += [(bucket, key[0].as_py(), payload) for bucket, payload in strings]
-        send = np.flatnonzero(~here & ~hot)
-        send = send[np.argsort(h[send], kind="stable")]
-        to = _bucket(h[send], buckets)
-        for bucket, part in zip(*_split(to, send), strict=True):
-            used = np.arange(WIDTH) < size[part][:, None]
-            out.append((int(bucket), key[0].as_py(), _payload(
-                first[part], h[part], ids[part], offset[part].astype(np.uint8), count[part].astype(np.uint8), rows[part][used],
-            )))
+            out += [(bucket, key[0].as_py(), payload) for bucket, payload in strings]
+        if len(at):
+            out.append((-1 - key[0].as_py(), key[0].as_py(), _payload(at, mask)))
         return pa.table({
             "bucket": pa.array([x[0] for x in out], pa.int64()), "block": pa.array([x[1] for x in out], pa.int64()),
             "payload": pa.array([x[2] for x in out], pa.binary()),
@@ -433,10 +449,23 @@ def _sort_bucket(rows: pa.Table) -> pa.Table:
     got = [_columns(p, _TYPES) for p in rows.column("payload").to_pylist()]
     part = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
     first, h, ids, offset, count, flat = (np.concatenate(c) for c in zip(*got, strict=True))
-    offset, count = offset.astype(np.int64), count.astype(np.int64)
-    size = count + LENGTH - 1
+    begin = np.concatenate([[0], np.cumsum(count.astype(np.int64) + LENGTH - 1)[:-1]])
     text = np.concatenate([flat, np.zeros(WIDTH, np.uint8)])
-    contexts = _padded(text, np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64), size)
+    del got, flat
+    mask = np.empty(len(h), np.uint64)
+    for some in _by_sample(h):
+        mask[some] = _masks(text, begin[some], h[some], ids[some], offset[some].astype(np.int64), count[some].astype(np.int64))
+    blocks, out = rows.column("block").to_pylist(), []
+    for k, block in enumerate(blocks):
+        own = np.flatnonzero((part == k) & (mask != 0))
+        if len(own):
+            out.append((block, _payload(first[own], mask[own])))
+    return pa.table({"block": pa.array([x[0] for x in out], pa.int64()), "payload": pa.array([x[1] for x in out], pa.binary())})
+
+
+def _masks(text: np.ndarray, begin: np.ndarray, h: np.ndarray, ids: np.ndarray, offset: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The bits of the contexts that begin at these places of ``text``; all of a sample's are there."""
+    contexts = _padded(text, begin, count + LENGTH - 1)
     order, starts = _equal_groups(h, contexts, offset, count)
     least = _group_min(ids, order, starts)
     full = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
@@ -449,13 +478,7 @@ def _sort_bucket(rows: pa.Table) -> pa.Table:
         bits[different] = suffix_bits(contexts[some], h[some], offset[some], count[some], least[some])
     group = np.empty(len(order), np.int64)
     group[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
-    mask = np.where(least < ids, full, bits[group])
-    blocks, out = rows.column("block").to_pylist(), []
-    for k, block in enumerate(blocks):
-        own = np.flatnonzero((part == k) & (mask != 0))
-        if len(own):
-            out.append((block, _payload(first[own], mask[own])))
-    return pa.table({"block": pa.array([x[0] for x in out], pa.int64()), "payload": pa.array([x[1] for x in out], pa.binary())})
+    return np.where(least < ids, full, bits[group])
 
 
 def suffix_bits(contexts: np.ndarray, h: np.ndarray, offset: np.ndarray, count: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -531,7 +554,7 @@ def _cut(id_col: str, text_col: str, columns: list[str]):
 
     def run(key, left, right):
         block = Block(left.column("rows")[0].as_py(), id_col, text_col)
-        edge = np.zeros(len(block.data) + 1, np.int64)
+        edge = np.zeros(len(block.data) + 1, np.int32)
         answered, links = np.zeros(len(block.data), dtype=bool), []
         for payload in right.column("payload").to_pylist():
             first, mask = _columns(payload, _ANSWER)
@@ -539,10 +562,10 @@ def _cut(id_col: str, text_col: str, columns: list[str]):
             if linked.any():
                 links.append((first[linked].astype(np.int64), (mask[linked] ^ LINK).astype(np.int64)))
                 first, mask = first[~linked], mask[~linked]
-            for a in range(0, len(first), PIECE):
-                bits = np.unpackbits(mask[a : a + PIECE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            for a in range(0, len(first), AT_ONCE):
+                bits = np.unpackbits(mask[a : a + AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                 row, j = np.nonzero(bits)
-                start = first[a : a + PIECE][row].astype(np.int64) + j
+                start = first[a : a + AT_ONCE][row].astype(np.int64) + j
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + LENGTH, -1)
                 answered[start] = True
@@ -550,7 +573,7 @@ def _cut(id_col: str, text_col: str, columns: list[str]):
             at = at[answered[lead]]
             np.add.at(edge, at, 1)
             np.add.at(edge, at + LENGTH, -1)
-        gone = np.cumsum(edge)[:-1] > 0
+        gone = np.cumsum(edge, dtype=np.int32)[:-1] > 0
         n = len(block.ids)
         left_text, removed, spans = [], np.zeros(n, np.int64), np.zeros(n, np.int64)
         for k in range(n):

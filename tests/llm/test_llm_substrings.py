@@ -118,3 +118,30 @@ def test_frequent_sample_does_not_fill_a_bucket(spark, monkeypatch):
     rows = [r for r in phrases(rng, 1700) if len(r[1]) < 140]
     assert len(rows) > 1000
     compare(spark, rows)
+
+
+def test_bucket_is_sorted_in_pieces(monkeypatch):
+    """A bucket of many contexts takes little more than its own size, and the pieces give the bits of the whole."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from marketlake.llm import substrings as S
+
+    rng, n = np.random.default_rng(3), 120_000
+    count, offset = np.full(n, 13, np.uint8), np.full(n, 12, np.uint8)
+    texts = rng.integers(97, 99, (n, S.LENGTH + 12), dtype=np.uint8)
+    texts[:, :44] = texts[:: n // 10][:10][rng.integers(0, 10, n)][:, :44]
+    h = np.repeat(rng.integers(1, 1 << 62, n // 4).astype(np.uint64), 4)
+    columns = (np.arange(n), h, np.arange(n), offset, count, texts.reshape(-1))
+    rows = pa.table({"bucket": [0], "block": [7], "payload": pa.array([S._payload(*columns)], pa.binary())})
+    tracemalloc.start()
+    pieces = S._sort_bucket(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6, peak  # 133 MB; all at once took 461 MB
+    monkeypatch.setattr(S, "AT_ONCE", 1 << 40)
+    whole = S._sort_bucket(rows)
+    got, want = ([S._columns(p, S._ANSWER) for p in t.column("payload").to_pylist()] for t in (pieces, whole))
+    assert got and all((a == b).all() for g, w in zip(got, want, strict=True) for a, b in zip(g, w, strict=True))
