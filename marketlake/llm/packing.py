@@ -25,6 +25,7 @@ from marketlake.llm.common import parts, stored
 from marketlake.llm.tokens import coder
 
 CAPACITY, OPEN_BINS, PIECES_PER_TASK, END_ID = 4096, 256, 25_000, 1
+ROWS_AT_ONCE = 256  # of a batch, as Python's own texts
 
 
 class OpenBins:
@@ -77,26 +78,33 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = coder(vocabulary)
-            rows: list[list] = [[] for _ in range(6)]
+            rows: list[list] = [[] for _ in range(5)]
             source = []
-            for k, ids in enumerate(known(batch.column(1).cast(pa.large_binary()).to_pylist())):
+            for k, ids in enumerate(known(_texts(batch.column(1)))):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), size)):
                     part = ids[at : at + size]
                     source.append(k)
-                    for column, value in zip(rows, (piece, at // 4, len(part) // 4, zlib.crc32(part), part), strict=False):
+                    for column, value in zip(rows, (piece, at // 4, len(part) // 4, zlib.crc32(part)), strict=False):
                         column.append(value)
+                    if ids_as:
+                        rows[4].append(_narrow(part, ids_as))
             columns = [
                 batch.column(0).take(pa.array(source, pa.int64())), pa.array(rows[0], pa.int32()),
                 *[pa.array(c, pa.int64()) for c in rows[1:4]],
             ]
             if ids_as:
-                columns.append(pa.array([_narrow(part, ids_as) for part in rows[4]], pa.binary()))
+                columns.append(pa.array(rows[4], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
     return docs.select(docs[id_col], docs[text_col]).mapInArrow(cut, schema)
 
 
+def _texts(column: pa.Array) -> Iterator[bytes | None]:
+    for at in range(0, len(column), ROWS_AT_ONCE):
+        yield from column.slice(at, ROWS_AT_ONCE).cast(pa.large_binary()).to_pylist()
+
+
 def _narrow(ids: bytes, to: str) -> bytes:
     if to == "<u4":
         return ids

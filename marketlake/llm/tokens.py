@@ -2,13 +2,15 @@
 
 The vocabulary of the packing operators drops white space and merges inside pre-tokens only, so the ids
 of a text are the ids of its chunks between ASCII white space, one after the other. A worker
-remembers the ids of up to ``MEMORY`` chunks, as bytes. New chunks of plain Latin letters are cut by the vocabulary's
-own pre-token rule and merged by the library; all others go through its whole chain.
+remembers the ids of some ``MEMORY`` chunks, as bytes: those that were used last. New chunks of plain Latin letters are cut by the
+vocabulary's own pre-token rule and merged by the library; all others go through its whole chain. The library starts no
+threads of its own unless TOKENIZERS_PARALLELISM asks for them: a task has one core, and each thread keeps memory.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 import sys
 import types
@@ -16,11 +18,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-MEMORY = 250_000
+MEMORY = 160_000
 GROUP_BYTES = 1 << 19
 #: Fixed: the pre-token rule of the vocabulary for lower-case text below U+0100, as letters, numbers and the rest.
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼-¾ ]+| ")
-_PLAIN = re.compile(rb"(?:[\x20-\x7e]|\xc2[\xa1-\xbf]|\xc3[\x80-\xbf])+")
+#: The characters that the rule is for, in Latin-1.
+_PLAIN = bytes([*range(0x20, 0x7F), *range(0xA1, 0x100)])
+#: Stands between the chunks' ids while they are learnt; no vocabulary has this id.
+_BREAK = b"\xff\xff\xff\xff"
 
 
 def coder(path: str) -> Ids | RankIds:
@@ -32,14 +37,29 @@ def coder(path: str) -> Ids | RankIds:
 
 
 class Memory(dict):
-    """Ids by chunk; looking up an unknown chunk gives None and notes it in ``lack``."""
+    """Ids by chunk; looking up an unknown chunk gives None and notes it in ``lack``.
 
-    def __init__(self):
-        super().__init__()
-        self.lack: list[bytes] = []
+    ``age`` keeps what is in for one more round only; a chunk that is looked up meanwhile comes back.
+    """
+
+    def __init__(self, fixed: dict | None = None):
+        self.fixed = fixed or {}
+        super().__init__(self.fixed)
+        self.lack: list = []
+        self.old: dict = {}
 
-    def __missing__(self, chunk: bytes) -> None:
-        self.lack.append(chunk)
+    def __missing__(self, chunk) -> bytes | None:
+        ids = self.old.get(chunk)
+        if ids is None:
+            self.lack.append(chunk)
+        else:
+            self[chunk] = ids
+        return ids
+
+    def age(self) -> None:
+        self.old = self.copy()
+        self.clear()
+        self.update(self.fixed)
 
 
 class RankIds:
@@ -64,6 +84,7 @@ class Ids:
     """``Ids(path)(texts)``: little-endian uint32 ids of each text (UTF-8 bytes; None counts as empty)."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -76,7 +97,7 @@ class Ids:
         self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.letters = byte_letters()
         self.known = Memory()
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Memory({" ": _BREAK})
 
     def __call__(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         group: list[bytes] = []
@@ -102,14 +123,14 @@ class Ids:
             self._learn(list(set(lack)))
             lack.clear()
             for words, ids in lacking:
-                ids[:] = [get(w) if i is None else i for w, i in zip(words, ids, strict=True)]
+                ids[:] = map(get, words)
         out = [
             self._encode(text.decode()) if ids is None else b"".join(ids)
             for text, ids in zip(texts, found, strict=True)
         ]
-        if len(self.known) > MEMORY:
-            self.known.clear()
-            self.pieces.clear()
+        for memory in (self.known, self.pieces):
+            if len(memory) > MEMORY // 2:
+                memory.age()
         return out
 
     def _encode(self, text: str) -> bytes:
@@ -117,32 +138,41 @@ class Ids:
 
     def _learn(self, words: list[bytes]) -> None:
         text = b" ".join(words)
-        if not _PLAIN.fullmatch(text):
-            odd = [w for w in words if not _PLAIN.fullmatch(w)]
+        if not is_plain(text):
+            odd = [w for w in words if not is_plain(w)]
             self.known.update((w, self._encode(w.decode())) for w in odd)
             words = [w for w in words if w not in self.known]
             text = b" ".join(words)
         if not words:
             return
         found = _PIECE.findall(text.decode().lower())
-        lack = list(set(found) - self.pieces.keys() - {" "})
+        get, lack = self.pieces.__getitem__, self.pieces.lack
+        coded = list(map(get, found))  # a break at each space
         if lack:
-            spelled = " ".join(lack).encode().decode("latin-1").translate(self.letters).split(" ")
-            lines = [" ".join(spelled[i : i + 2000]) for i in range(0, len(spelled), 2000)]
-            coded = self.merges.encode_batch_fast(lines, add_special_tokens=False)
-            ids = np.concatenate([np.asarray(e.ids, dtype="<u4") for e in coded])
-            ends = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
-            data = ids.tobytes()
-            self.pieces.update((p, data[i:j]) for p, i, j in zip(lack, ends[:-1], ends[1:], strict=True))
-        coded_pieces = list(map(self.pieces.get, found))  # None at each space
-        at = 0
-        for w in words:
-            try:
-                end = coded_pieces.index(None, at)
-            except ValueError:
-                end = len(coded_pieces)
-            self.known[w] = coded_pieces[at] if end == at + 1 else b"".join(coded_pieces[at:end])
-            at = end + 1
+            self._merge(list(set(lack)))
+            lack.clear()
+            coded = list(map(get, found))
+        data = b"".join(coded)
+        ends = (4 * np.flatnonzero(np.frombuffer(data, "<u4") == 0xFFFFFFFF)).tolist()
+        self.known.update((w, data[i:j]) for w, i, j in zip(words, [0, *(e + 4 for e in ends)], [*ends, len(data)], strict=True))
+
+    def _merge(self, lack: list[str]) -> None:
+        """Ids of new pieces."""
+        spelled = " ".join(lack).encode().decode("latin-1").translate(self.letters).split(" ")
+        lines = [" ".join(spelled[i : i + 2000]) for i in range(0, len(spelled), 2000)]
+        coded = self.merges.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.asarray(e.ids, dtype="<u4") for e in coded])
+        ends = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
+        data = ids.tobytes()
+        self.pieces.update((p, data[i:j]) for p, i, j in zip(lack, ends[:-1], ends[1:], strict=True))
+
+
+def is_plain(text: bytes) -> bool:
+    """Whether all of the text's characters are printable ones below U+0100, the space included."""
+    try:
+        return not text.decode().encode("latin-1").translate(None, _PLAIN)
+    except UnicodeError:
+        return False
 
 
 def byte_letters() -> dict[int, int]:

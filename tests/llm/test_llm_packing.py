@@ -154,3 +154,40 @@ def test_matrices_of_empty_texts_use_several_tasks(spark, monkeypatch):
     assert len({r.sequence_id >> 40 for r in rows}) > 1
     assert sorted(d for r in rows for d in r.doc_ids) == list(range(64)) and sum(r.n_tokens for r in rows) == 64
     assert all(np.frombuffer(r.position_ids, "<u2").tolist() == [0] * 8 for r in rows)
+
+
+def test_memory_keeps_what_was_used_last():
+    from marketlake.llm.tokens import Memory
+
+    m = Memory({" ": b"-"})
+    m.update({"a": b"1", "b": b"2"})
+    m.age()
+    assert m["a"] == b"1" and len(m) == 2
+    m.age()
+    assert [m[x] for x in ("a", " ", "b")] == [b"1", b"-", None] and m.lack == ["b"]
+
+
+def test_small_memories_give_the_same_ids(monkeypatch, tokenizer):
+    from marketlake.llm import tokens as T
+
+    monkeypatch.setattr(T, "MEMORY", 8)
+    monkeypatch.setattr(T, "GROUP_BYTES", 64)
+    texts = [r[1] for r in documents()] * 2
+    for text, ids in zip(texts, Ids(vocabulary())([None if t is None else t.encode() for t in texts]), strict=True):
+        assert [*np.frombuffer(ids, "<u4").tolist(), 1] == ids_of(tokenizer, text)
+
+
+def test_a_worker_codes_in_one_thread():
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "import os; from marketlake.llm.tokens import Ids; from marketlake.llm.queries import vocabulary; c = Ids(vocabulary()); "
+        "before = len(os.listdir('/proc/self/task')); words = ' '.join(chr(97 + i % 26) + chr(97 + i // 26 % 26) + chr(97 + i // 676) * 3 for i in range(9000)); "
+        "list(c([words.encode()])); print(len(os.listdir('/proc/self/task')) - before)"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    ran = subprocess.run([sys.executable, "-c", code], env=env, cwd=root, capture_output=True, text=True, timeout=120)
+    assert ran.stdout.strip() == "0", ran.stdout + ran.stderr
