@@ -1,11 +1,13 @@
-"""Helpers of the operators: stored intermediate tables, input tables, word pattern."""
+"""Helpers of the operators: stored intermediate tables, input tables, word pattern, memory of workers."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,43 @@ def parts(amount: int, each: int) -> int:
 def word_count(text):
     """Number of words (runs without ASCII white space); null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def give_back() -> None:
+    """What a worker has freed goes back to the system; else an idle worker keeps the most that it ever used, stage after stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def tidy_task(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that gives memory back when its task ends."""
+
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
+def tidy_group(run: Callable) -> Callable:
+    """A function ``(key, rows)`` for ``applyInArrow`` that gives memory back after each group."""
+
+    def tidied(key, rows):
+        out = run(key, rows)
+        give_back()
+        return out
+
+    return tidied
+
+
+def tidy_pair(run: Callable) -> Callable:
+    """The same for ``(key, left, right)`` of a cogroup."""
+
+    def tidied(key, left, right):
+        out = run(key, left, right)
+        give_back()
+        return out
+
+    return tidied

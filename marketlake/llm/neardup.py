@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import shielded, stored
+from marketlake.llm.common import shielded, stored, tidy_task
 from marketlake.llm.components import components
 from marketlake.llm.shingles import grouped, mixed, shingle_elements
 
@@ -196,7 +196,7 @@ def _with_elements(nodes: DataFrame, texts: DataFrame, representatives: DataFram
     """``node, elements`` of the given distinct nodes, from one text of each."""
     wanted = representatives.join(nodes, "node", "left_semi").select(F.col("key").alias("of"), "node")
     found = texts.select("key", "text").join(wanted, F.col("key") == F.col("of")).select("node", "text")
-    return stored(found.mapInArrow(_elements, "node long, elements binary").dropDuplicates(["node"]))
+    return stored(found.mapInArrow(tidy_task(_elements), "node long, elements binary").dropDuplicates(["node"]))
 
 
 def _bucket_members(representatives: DataFrame) -> DataFrame:
@@ -238,7 +238,7 @@ def _linked_pairs(pairs: DataFrame, elements: DataFrame) -> DataFrame:
         rows.repartition("head", "salt")
         .sortWithinPartitions("head", "salt", F.col("node") != F.col("head"))
         .select("head", "node", "elements")
-        .mapInArrow(_against_head, "a long, b long")
+        .mapInArrow(tidy_task(_against_head), "a long, b long")
     )
 
 
@@ -279,7 +279,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``doc_id, class_id, kept, key`` of every row; ``key`` is the hash of the text."""
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), text_key(docs[text_col]).alias("key"))
     id_type = docs.schema[id_col].dataType.simpleString()
-    signed = texts.mapInArrow(_signed, f"doc_id {id_type}, key binary, weight long, bands array<long>")
+    signed = texts.mapInArrow(tidy_task(_signed), f"doc_id {id_type}, key binary, weight long, bands array<long>")
     signed = stored(signed.withColumn("node", F.monotonically_increasing_id()))
     worded = signed.filter("weight > 0")
     representatives = stored(
@@ -297,7 +297,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         .repartition("band", "h", "x", "y")
         .sortWithinPartitions("band", "h", "x", "y")
         .select("band", "h", "x", "y", "node", "root", "elements")
-        .mapInArrow(_blocks, "a long, b long")
+        .mapInArrow(tidy_task(_blocks), "a long, b long")
     )
     more = stored(more)
     roots = components(links.union(more)) if not more.isEmpty() else roots

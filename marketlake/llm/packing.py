@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import parts, stored
+from marketlake.llm.common import parts, stored, tidy_task
 from marketlake.llm.tokens import coder
 
 CAPACITY, OPEN_BINS, PIECES_PER_TASK, END_ID = 4096, 256, 25_000, 1
@@ -97,7 +97,7 @@ def token_pieces(
                 columns.append(pa.array(rows[4], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(cut, schema)
+    return docs.select(docs[id_col], docs[text_col]).mapInArrow(tidy_task(cut), schema)
 
 
 def _texts(column: pa.Array) -> Iterator[bytes | None]:
@@ -142,7 +142,7 @@ def pack_best_fit(
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return dealt.mapInArrow(pack, f"{fields}, sequence_id long, `offset` long")
+    return dealt.mapInArrow(tidy_task(pack), f"{fields}, sequence_id long, `offset` long")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import shielded, stored
+from marketlake.llm.common import shielded, stored, tidy_task
 
 COMMON_SHARE, MAX_LANGUAGES, MIN_REFERENCE_WORDS = 0.005, 256, 1000
 #: Bounds of the distances for long texts, what is added for a text of n characters or words (times 1 / sqrt(n)), and the least n.
@@ -130,7 +130,7 @@ def common_words(texts: DataFrame) -> tuple[dict[str | None, list[bytes]], DataF
     The rest has one row ``__common_of, __common`` per language, and is None if there are no more languages.
     """
     found = stored(
-        texts.select("lang", "text").mapInArrow(_frequent, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        texts.select("lang", "text").mapInArrow(tidy_task(_frequent), "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     )
     totals = found.filter("word IS NULL").select(F.col("lang").alias("of"), F.col("n").alias("words"))
     totals = totals.filter(F.col("words") >= MIN_REFERENCE_WORDS)
@@ -198,7 +198,7 @@ def _described(docs: DataFrame, index: dict[str | None, dict[bytes, int]], keep:
             )
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], struct], names=[*keep, "__q"])
 
-    return docs.mapInArrow(describe, schema)
+    return docs.mapInArrow(tidy_task(describe), schema)
 
 
 def base_failed(q: str = "__q") -> Column:

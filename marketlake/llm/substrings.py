@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import parts, shielded, stored
+from marketlake.llm.common import parts, shielded, stored, tidy_group, tidy_pair, tidy_task
 from marketlake.llm.shingles import mixed
 
 LENGTH, GRAM = 50, 24
@@ -599,20 +599,20 @@ def _cut(id_col: str, text_col: str, columns: list[str]):
 
 def _removal(docs: DataFrame, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs``, the text without what is removed, and ``__bytes, __removed, __spans, __sha256``."""
-    blocks = docs.mapInArrow(_blocks(docs.columns.index(text_col)), "bytes long, rows binary")
+    blocks = docs.mapInArrow(tidy_task(_blocks(docs.columns.index(text_col))), "bytes long, rows binary")
     blocks = stored(blocks.withColumn("block", F.monotonically_increasing_id()), codec="uncompressed")
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
     buckets, bits = parts(total, BUCKET_BYTES), min(64, max(40, total.bit_length() + 12))
     args = (id_col, text_col, buckets, bits)
-    hashes = blocks.select("block", "rows").mapInArrow(_sampled(*args), "bucket long, block long, hashes binary, counts binary")
-    shared = stored(hashes.groupBy("bucket").applyInArrow(_shared(bits), "block long, bucket long, bits binary, hot binary"))
+    hashes = blocks.select("block", "rows").mapInArrow(tidy_task(_sampled(*args)), "bucket long, block long, hashes binary, counts binary")
+    shared = stored(hashes.groupBy("bucket").applyInArrow(tidy_group(_shared(bits)), "block long, bucket long, bits binary, hot binary"))
     by_block = blocks.select("block", "rows").groupBy("block")
     # blocks are shuffled once for both uses; contexts go from one shuffle to the next and are not stored
-    contexts = by_block.cogroup(shared.groupBy("block")).applyInArrow(_contexts(*args), "bucket long, block long, payload binary")
-    answers = contexts.groupBy("bucket").applyInArrow(_settled(buckets), "block long, payload binary")
+    contexts = by_block.cogroup(shared.groupBy("block")).applyInArrow(tidy_pair(_contexts(*args)), "bucket long, block long, payload binary")
+    answers = contexts.groupBy("bucket").applyInArrow(tidy_group(_settled(buckets)), "block long, payload binary")
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
     schema = ", ".join([*fields, "__bytes long", "__removed long", "__spans long", "__sha256 string"])
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_cut(id_col, text_col, columns), schema)
+    return by_block.cogroup(answers.groupBy("block")).applyInArrow(tidy_pair(_cut(id_col, text_col, columns)), schema)
 
 
 def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -225,3 +225,32 @@ def test_shards_are_minimax(spark, monkeypatch):
     check_shards(spark, copies, 5)
     check_shards(spark, [(1, "a", "en", "s"), (2, None, "en", "s"), (3, "", "en", "s")], 8)
     assert sharding.shard_rows(frame(spark, copies).filter("false")).collect() == []
+
+
+def test_workers_give_back_what_they_freed():
+    import os
+    import subprocess
+    import sys
+
+    # many small pieces with a late one kept: without a trim the heap below it stays the process's own
+    code = """
+import re
+from marketlake.llm.common import tidy_group, tidy_pair, tidy_task
+def mb():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+kept = []
+def used(*args):
+    held = [bytearray(50_000) for _ in range(4000)]
+    kept.append(bytearray(50_000))
+    return iter([args])
+before = mb()
+assert list(tidy_task(used)("batches")) == [("batches",)]
+left = [mb() - before]
+for wrapped, args in ((tidy_group(used), (1, 2)), (tidy_pair(used), (1, 2, 3))):
+    assert list(wrapped(*args)) == [args]
+    left.append(mb() - before)
+print(max(left))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    ran = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert float(ran.stdout) < 50, ran.stdout + ran.stderr
