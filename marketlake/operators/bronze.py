@@ -6,6 +6,7 @@ stream, and never shuffles.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import chain
 
 from pyspark.sql import DataFrame
@@ -21,14 +22,16 @@ def stream_kind(topic="topic"):
     return lookup[F.col(topic)]
 
 
-def to_bronze(records: DataFrame) -> DataFrame:
+def to_bronze(records: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """B1-B7 over one multi-topic record set (the union is the subscription).
 
     Input columns: ``value`` (JSON text), ``topic``, ``partition``,
-    ``offset``, ``timestamp``.  Output: the 11 bronze columns.
+    ``offset``, ``timestamp``.  Output: the 11 bronze columns, and a column
+    ``_j_<field>`` with the scalar text of each payload field named in
+    ``also``: staging right behind takes these instead of a second parse.
     """
-    # one JSON parse per message for all four top-level fields
-    fields = ["venue", "symbol", "event_ts_ms", "ingest_ts"]
+    # one JSON parse per message for all top-level fields
+    fields = list(dict.fromkeys(["venue", "symbol", "event_ts_ms", "ingest_ts", *also]))
     j = {f: F.col("_j_" + f) for f in fields}
     ms = j["event_ts_ms"].try_cast("bigint")
     return with_json_fields(records, "value", fields).select(
@@ -43,7 +46,8 @@ def to_bronze(records: DataFrame) -> DataFrame:
         F.col("offset").cast("bigint").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_ts"),
         F.date_format(F.coalesce(F.timestamp_millis(ms), F.col("timestamp")), "yyyy-MM-dd").alias("dt"),
-    ).select(*BRONZE_COLUMNS)
+        *[j[f] for f in also],
+    ).select(*BRONZE_COLUMNS, *["_j_" + f for f in also])
 
 
 def drop_required_nulls(bronze: DataFrame, required: list[str] | None = None) -> DataFrame:

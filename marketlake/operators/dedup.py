@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: list[str] | list[Column], order: list[Column]) -> DataFrame:
     """Window form: rows ranked 1 per ``keys`` under ``order`` (Columns
     with asc/desc)."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -15,19 +15,33 @@ from marketlake.schemas import STG_DEPTH_COLUMNS, STG_TRADES_COLUMNS
 TRADE_PAYLOAD_FIELDS = ["event_ts_ms", "trade_id", "price", "quantity", "is_buyer_maker"]
 
 
+def uncarried(bronze: DataFrame) -> list[str]:
+    """Its columns without the payload's fields that ``to_bronze`` carried along."""
+    return [c for c in bronze.columns if not c.startswith("_j_")]
+
+
 def parse_trades(bronze: DataFrame) -> DataFrame:
-    """Trades rows of bronze with typed fields (one JSON parse per row)."""
+    """Trades rows of bronze with typed fields (one JSON parse per row).
+
+    Where ``to_bronze`` carried the fields along, they are not parsed again.
+    """
     j = {f: F.col("_j_" + f) for f in TRADE_PAYLOAD_FIELDS}
-    return (with_json_fields(bronze.filter(F.col("stream_kind") == "trades"), "payload", TRADE_PAYLOAD_FIELDS)
-            .select(
-                *bronze.columns,
-                kafka_key().alias("trade_key"),
-                F.coalesce(F.timestamp_millis(j["event_ts_ms"].try_cast("bigint")), F.col("kafka_ts"))
-                .alias("event_ts"),
-                j["trade_id"].alias("trade_id"),
-                to_price(j["price"]).alias("price"),
-                to_price(j["quantity"]).alias("quantity"),
-                tolerant_bool(j["is_buyer_maker"]).alias("is_buyer_maker")))
+    trades = bronze.filter(F.col("stream_kind") == "trades")
+    if not {"_j_" + f for f in TRADE_PAYLOAD_FIELDS} <= set(bronze.columns):
+        trades = with_json_fields(trades, "payload", TRADE_PAYLOAD_FIELDS)
+    # the validity filter names these several times: it must find columns there, not the casts to repeat
+    typed = computed_once(
+        trades, event_ts=F.coalesce(F.timestamp_millis(j["event_ts_ms"].try_cast("bigint")), F.col("kafka_ts")),
+        price=to_price(j["price"]), quantity=to_price(j["quantity"]))
+    return typed.select(
+        *uncarried(bronze), kafka_key().alias("trade_key"), "event_ts", j["trade_id"].alias("trade_id"), "price", "quantity",
+        tolerant_bool(j["is_buyer_maker"]).alias("is_buyer_maker"))
+
+
+def kafka_identity() -> list[F.Column]:
+    """Columns that are equal where ``trade_key`` is, or all NULL: numbers sort faster than the key's text."""
+    keyed = F.col("kafka_partition").isNotNull() & F.col("kafka_offset").isNotNull()
+    return [F.when(keyed, c) for c in (F.col("kafka_offset"), F.col("kafka_partition"), F.coalesce("kafka_topic", F.lit("")))]
 
 
 def valid_trade() -> F.Column:
@@ -66,8 +80,8 @@ def stg_trades(bronze: DataFrame, dedup: str = "window") -> DataFrame:
         t = first_per_key(keyed, ["exchange", "symbol", "trade_id", "trade_key"], t7_order)
         t = first_per_key(t, ["exchange", "symbol", "trade_id"], t8_order)
     else:
-        t = first_per_key(t, ["trade_key"], t7_order)
-        t = first_per_key(t, ["exchange", "symbol", "trade_id"], t8_order)
+        t = first_per_key(t, kafka_identity(), t7_order)
+        t = first_per_key(t, ["trade_id", "exchange", "symbol"], t8_order)  # sorts compare the id, which differs most, first
     return t.select(*STG_TRADES_COLUMNS)
 
 
@@ -78,6 +92,7 @@ def parse_depth(bronze: DataFrame) -> DataFrame:
     from the much smaller bids/asks text.
     """
     fields = ["event_ts_ms", "update_id", "bids", "asks"]
+    bronze = bronze.select(*uncarried(bronze))
     raw = bronze.filter(F.col("stream_kind") == "depth").select(
         "*", F.json_tuple("payload", *fields).alias(*["_j_" + f for f in fields]))
     scalar = lambda f: scalar_field("payload", F.col("_j_" + f), f)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlake.operators.candles import candle_bars, candles, depth_bars, dlq_bars
-from marketlake.operators.staging import stg_depth, stg_trades
+from marketlake.operators.staging import TRADE_PAYLOAD_FIELDS, stg_depth, stg_trades
 from marketlake.plans.gold import gold_from_bars
 from marketlake.plans.pipeline import events_bronze, lineitem_bronze
 from marketlake.plans.present import present
@@ -65,7 +65,7 @@ def q_candles_hour(spark, sf):
 
 @query("a1_candles_lineitem_day")
 def q_candles_li(spark, sf):
-    return present(candles(stg_trades(lineitem_bronze(spark, sf)), "day"), round6=CANDLE_R6)
+    return present(candles(stg_trades(lineitem_bronze(spark, sf, TRADE_PAYLOAD_FIELDS)), "day"), round6=CANDLE_R6)
 
 
 @query("a4_depth_hour")
@@ -91,7 +91,7 @@ def q_gold_hour(spark, sf):
 
 @query("g4_gold_lineitem_day")
 def q_gold_li(spark, sf):
-    return present(_gold(lineitem_bronze(spark, sf), "day"), round6=GOLD_R6)
+    return present(_gold(lineitem_bronze(spark, sf, TRADE_PAYLOAD_FIELDS), "day"), round6=GOLD_R6)
 
 
 # --- project checks and suites on the pipeline (Q61, Q63, Q65, Q66, Q67) ----

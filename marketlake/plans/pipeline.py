@@ -7,6 +7,7 @@ gold tables under one base path (as the warehouse layers would).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +27,9 @@ def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(events_as_kafka(spark, sf_dir))
 
 
-def lineitem_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_bronze(spark: SparkSession, sf_dir: str, also: Sequence[str] = ()) -> DataFrame:
     ensure_conf(spark)
-    return to_bronze(lineitem_as_kafka(spark, sf_dir))
+    return to_bronze(lineitem_as_kafka(spark, sf_dir), also)
 
 
 @dataclass(frozen=True)

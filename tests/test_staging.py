@@ -4,7 +4,8 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from marketlake.functions import json_value, kafka_key, path_safe, tolerant_bool
-from marketlake.operators.staging import stg_depth, stg_trades
+from marketlake.operators.bronze import to_bronze
+from marketlake.operators.staging import TRADE_PAYLOAD_FIELDS, parse_trades, stg_depth, stg_trades
 from marketlake.schemas import BRONZE_COLUMNS
 
 T0 = datetime(2024, 1, 1, 0, 0, 0)
@@ -86,6 +87,36 @@ def test_stg_depth_validity_and_spread(spark):
     assert abs(r.spread_bps - 10000 / 100.5) < 1e-9
 
 
+def test_carried_fields_are_not_parsed_again(spark):
+    """Bronze with the trade fields carried along stages to the same rows, and the payload is parsed once on the whole way."""
+    odd = ['{"trade_id": {"a": 1}, "price": "1", "quantity": "2"}', '{"trade_id": "{x", "price": "1e2", "quantity": "2", "venue": {"v": 1}}',
+           '{"trade_id": "9", "price": [1], "quantity": 1}', '{"trade_id": "8", "trade_id": "9", "price": "3", "quantity": "1", "symbol": "[s"}',
+           "not json", None, trade("5", "7", "1", ms=None), trade("6", "7", "0"), trade("7", "7", "1", ms='"x"', extra=', "symbol": "A/B"')]
+    rows = [(v, "raw.trades.v1", p, o, T0) for o, v in enumerate(odd) for p in (0, 1, None)]
+    records = spark.createDataFrame(rows, "value string, topic string, partition int, offset bigint, timestamp timestamp")
+    plain, carried = to_bronze(records), to_bronze(records, TRADE_PAYLOAD_FIELDS)
+    want = parse_trades(plain).collect()
+    assert len(want) == 27 and sorted(map(str, parse_trades(carried).collect())) == sorted(map(str, want))
+    assert stg_trades(carried).columns == stg_trades(plain).columns and stg_depth(carried).columns == stg_depth(plain).columns
+    assert stg_trades(carried)._jdf.queryExecution().optimizedPlan().toString().count("json_tuple") == 1
+
+
+def test_gold_of_lineitem_parses_each_payload_once(spark):
+    from marketlake.plans.catalog import q_gold_li
+
+    plan = q_gold_li(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan[: plan.index("] parquet")].count("json_tuple") == 1  # books and dead letters, which lineitem has not, come after it
+
+
+def test_kafka_identity_groups_like_the_key(spark):
+    """NULL topics count as empty ones, and all rows without a partition or an offset are one."""
+    ids = [(t, p, o) for t in (None, "", "a", "a|1") for p in (None, 1, 11) for o in (None, 1, 11)]
+    rows = [("trades", trade(str(k), "1", "1"), "x", "S", None, "z", *i, T0, "d") for k, i in enumerate(ids * 2)]
+    for how in ("window", "aggregate"):
+        keys = [r.trade_key for r in stg_trades(bronze(spark, rows), dedup=how).collect()]
+        assert len(keys) == len(set(keys)) == 3 * 4 + 1
+
+
 def test_parse_is_single_json_pass(spark):
     df = bronze(spark, [("trades", trade("1", "1", "1"), "x", "S", None, "z", "t", 0, 1, T0, "d")])
     plan = stg_trades(df)._jdf.queryExecution().optimizedPlan().toString()
