@@ -1,9 +1,10 @@
 """Token ids of whole texts, by the ``tokenizers`` library with a memory of words.
 
 The vocabulary of the packing operators drops white space and merges inside pre-tokens only, so the ids
-of a text are the ids of its chunks between ASCII white space, one after the other. A worker
-remembers the ids of some ``MEMORY`` chunks, as bytes: those that were used last. New chunks of plain Latin letters are cut by the
-vocabulary's own pre-token rule and merged by the library; all others go through its whole chain. The library starts no
+of a text are the ids of its chunks between ASCII white space, one after the other. Texts are coded in groups of some
+``GROUP_BYTES``, in which Arrow cuts the chunks and looks each different one up once. Chunks of plain Latin letters are cut by the
+vocabulary's own pre-token rule and merged by the library; all others go through its whole chain. A worker
+remembers the ids of some ``MEMORY`` pre-tokens, and of as many other chunks, as bytes: those that were used last. The library starts no
 threads of its own unless TOKENIZERS_PARALLELISM asks for them: a task has one core, and each thread keeps memory.
 """
 
@@ -17,15 +18,15 @@ import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMORY = 160_000
-GROUP_BYTES = 1 << 19
+GROUP_BYTES = 1 << 23
 #: Fixed: the pre-token rule of the vocabulary for lower-case text below U+0100, as letters, numbers and the rest.
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼-¾ ]+| ")
-#: The characters that the rule is for, in Latin-1.
-_PLAIN = bytes([*range(0x20, 0x7F), *range(0xA1, 0x100)])
-#: Stands between the chunks' ids while they are learnt; no vocabulary has this id.
-_BREAK = b"\xff\xff\xff\xff"
+#: A character that the rule isn't for: all but the printable ones below U+0100.
+_ODD = "[^ -~\u00a1-\u00ff]"
 
 
 def coder(path: str) -> Ids | RankIds:
@@ -96,8 +97,8 @@ class Ids:
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
         self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.letters = byte_letters()
-        self.known = Memory()
-        self.pieces = Memory({" ": _BREAK})
+        self.odd = Memory()
+        self.pieces = Memory({" ": b""})
 
     def __call__(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         group: list[bytes] = []
@@ -110,51 +111,53 @@ class Ids:
                 group, size = [], 0
         yield from self._group(group)
 
-    def _group(self, texts: list[bytes]) -> list[bytes]:
-        cut = [None if any(s in t for s in self.special) else t.lower().split() for t in texts]
-        get, lack = self.known.__getitem__, self.known.lack
-        found, lacking = [], []
-        for words in cut:
-            before = len(lack)
-            found.append(None if words is None else list(map(get, words)))
-            if len(lack) > before:
-                lacking.append((words, found[-1]))
-        if lack:
-            self._learn(list(set(lack)))
-            lack.clear()
-            for words, ids in lacking:
-                ids[:] = map(get, words)
-        out = [
-            self._encode(text.decode()) if ids is None else b"".join(ids)
-            for text, ids in zip(texts, found, strict=True)
-        ]
-        for memory in (self.known, self.pieces):
+    def _group(self, texts: list[bytes]) -> Iterator[bytes]:
+        whole = {k for k, t in enumerate(texts) if any(s in t for s in self.special)}
+        rest = pa.array([b"" if k in whole else t for k, t in enumerate(texts)], pa.large_binary()).view(pa.large_string())
+        chunks = pc.ascii_split_whitespace(pc.ascii_lower(rest))
+        coded = chunks.flatten().dictionary_encode()  # each chunk of the group is looked up once
+        offsets, data = _content(self._learn(coded.dictionary).take(coded.indices))
+        ends = offsets[np.asarray(chunks.offsets)].tolist()
+        for memory in (self.odd, self.pieces):
             if len(memory) > MEMORY // 2:
                 memory.age()
-        return out
+        for k, text in enumerate(texts):
+            yield self._encode(text.decode()) if k in whole else data[ends[k] : ends[k + 1]].tobytes()
 
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
-        text = b" ".join(words)
-        if not is_plain(text):
-            odd = [w for w in words if not is_plain(w)]
-            self.known.update((w, self._encode(w.decode())) for w in odd)
-            words = [w for w in words if w not in self.known]
-            text = b" ".join(words)
-        if not words:
-            return
-        found = _PIECE.findall(text.decode().lower())
-        get, lack = self.pieces.__getitem__, self.pieces.lack
-        coded = list(map(get, found))  # a break at each space
+    def _learn(self, chunks: pa.Array) -> pa.Array:
+        """Ids of each of the different chunks."""
+        plain = chunks
+        is_odd = pc.match_substring_regex(chunks, _ODD)
+        odd = chunks.filter(is_odd).cast(pa.large_binary()).to_pylist()
+        if odd:
+            plain = pc.if_else(is_odd, "", chunks)
+        ids = self._learn_plain(plain.to_pylist())
+        if not odd:
+            return ids
+        found = list(map(self.odd.__getitem__, odd))
+        lack = self.odd.lack
+        self.odd.update((c, self._encode(c.decode())) for c in lack)
+        lack.clear()
+        found = [self.odd[c] if i is None else i for c, i in zip(odd, found, strict=True)]
+        return pc.replace_with_mask(ids, is_odd, pa.array(found, pa.large_binary()))
+
+    def _learn_plain(self, chunks: list[str]) -> pa.Array:
+        """Ids of chunks of printable characters below U+0100: of their pre-tokens, one after the other."""
+        cut = pa.array(_PIECE.findall(" ".join(chunks).lower()), pa.large_string()).dictionary_encode()  # a space between two chunks
+        pieces = cut.dictionary.to_pylist()
+        found = list(map(self.pieces.__getitem__, pieces))
+        lack = self.pieces.lack
         if lack:
-            self._merge(list(set(lack)))
+            self._merge(lack)
             lack.clear()
-            coded = list(map(get, found))
-        data = b"".join(coded)
-        ends = (4 * np.flatnonzero(np.frombuffer(data, "<u4") == 0xFFFFFFFF)).tolist()
-        self.known.update((w, data[i:j]) for w, i, j in zip(words, [0, *(e + 4 for e in ends)], [*ends, len(data)], strict=True))
+            found = [self.pieces[p] if i is None else i for p, i in zip(pieces, found, strict=True)]
+        offsets, data = _content(pa.array(found, pa.large_binary()).take(cut.indices))
+        breaks = np.flatnonzero(cut.indices.to_numpy() == pieces.index(" ")) if len(chunks) > 1 else []
+        ends = np.concatenate([offsets[:1], offsets[breaks], offsets[-1:]]).astype(np.int64)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(chunks), [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
     def _merge(self, lack: list[str]) -> None:
         """Ids of new pieces."""
@@ -167,12 +170,11 @@ class Ids:
         self.pieces.update((p, data[i:j]) for p, i, j in zip(lack, ends[:-1], ends[1:], strict=True))
 
 
-def is_plain(text: bytes) -> bool:
-    """Whether all of the text's characters are printable ones below U+0100, the space included."""
-    try:
-        return not text.decode().encode("latin-1").translate(None, _PLAIN)
-    except UnicodeError:
-        return False
+def _content(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values of a large binary array without nulls lie in its bytes (one more than values), and the bytes."""
+    _, offsets, data = ids.buffers()
+    places = np.frombuffer(offsets, np.int64)[ids.offset : ids.offset + len(ids) + 1] if offsets and offsets.size else np.zeros(1, np.int64)
+    return places, np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
 
 
 def byte_letters() -> dict[int, int]:

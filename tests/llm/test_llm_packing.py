@@ -177,6 +177,21 @@ def test_small_memories_give_the_same_ids(monkeypatch, tokenizer):
         assert [*np.frombuffer(ids, "<u4").tolist(), 1] == ids_of(tokenizer, text)
 
 
+def test_each_chunk_of_a_group_is_looked_up_once(monkeypatch, tokenizer):
+    """Repeated chunks cost no look-up of their own, odd ones no second run of the whole chain; empty groups and texts are none."""
+    from marketlake.llm import tokens as T
+
+    asked = []
+    before = T.Memory.__getitem__
+    monkeypatch.setattr(T.Memory, "__getitem__", lambda m, chunk: asked.append(chunk) or before(m, chunk), raising=False)
+    coder = Ids(vocabulary())
+    texts = [" ab,  日本\tAb-cd\x0b", "", " \n ", "İx ab," * 300, "日本 ab, É é " * 300, None]
+    coded = list(coder([None if t is None else t.encode() for t in texts]))
+    assert [[*np.frombuffer(ids, "<u4").tolist(), 1] for ids in coded] == [ids_of(tokenizer, t) for t in texts]
+    assert len(asked) < 40
+    assert list(coder([])) == [] and list(coder([None, b""])) == [b"", b""]
+
+
 def test_a_worker_codes_in_one_thread():
     import os
     import subprocess
