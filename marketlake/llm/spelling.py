@@ -13,6 +13,9 @@ and after its own cut, and those it would agree in with a word that is one short
 refined signature are verified by their edit distance; no link is lost, and no group of equal signatures meets in one task other
 than as a sorted join that adaptive execution can split.
 
+No join of words is broadcast: Spark takes the size of a stored table for that of its rows, though the file is compressed and each
+word gives 12 or 24 signatures, and would hold them all in the driver.
+
 Defined results: a null or empty text has no words; a null id counts as the empty string; texts are read whole, however long, and a
 run of letters of any length is one word; rows that repeat count each time; of near words with the same count the smallest in
 code-point order is the form; an empty table gives an empty result. Other columns of the table are never read, so their names are free.
@@ -150,7 +153,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     left = words.mapInArrow(_signed(True), "key long, word string, n long").select("key", F.col("word").alias("a"), F.col("n").alias("a_n"))
     right = words.mapInArrow(_signed(False), "key long, word string, n long").select("key", F.col("word").alias("b"), F.col("n").alias("b_n"))
     once = (F.length("a") < F.length("b")) | ((F.length("a") == F.length("b")) & (F.col("a") < F.col("b")))
-    near = left.join(right, "key").filter(once & (F.levenshtein("a", "b", 1) == 1))
+    near = left.join(right.hint("merge"), "key").filter(once & (F.levenshtein("a", "b", 1) == 1))
     return near.select("a", "a_n", "b", "b_n").distinct()
 
 
@@ -160,7 +163,7 @@ def forms(words: DataFrame) -> DataFrame:
     a, b = F.struct((-F.col("a_n")).alias("k"), F.col("a").alias("w")), F.struct((-F.col("b_n")).alias("k"), F.col("b").alias("w"))
     links = pairs.select(F.col("a").alias("of"), b.alias("near")).unionByName(pairs.select(F.col("b").alias("of"), a.alias("near")))
     best = links.groupBy("of").agg(F.count(F.lit(1)).alias("links"), F.min("near").alias("best"))
-    found = words.join(best, F.col("word") == F.col("of"), "left")
+    found = words.join(best.hint("merge"), F.col("word") == F.col("of"), "left")
     takes = -F.col("best.k") >= FORM_FACTOR * F.col("n")
     return found.select(
         "word", "n", F.coalesce("links", F.lit(0)).cast("long").alias("n_near"),
@@ -176,13 +179,13 @@ def with_roots(found: DataFrame) -> DataFrame:
     roots = stored(found.filter("form IS NOT NULL").select("word", F.col("form").alias("root")))
     while True:
         onward = roots.select(F.col("word").alias("at"), F.col("root").alias("onward"))
-        moved = roots.join(onward, F.col("root") == F.col("at"), "left")
+        moved = roots.join(onward.hint("merge"), F.col("root") == F.col("at"), "left")
         moved = stored(moved.select("word", F.coalesce("onward", "root").alias("root"), F.col("onward").isNotNull().alias("went")))
         roots = moved.select("word", "root")
         if moved.filter("went").isEmpty():
             break
     roots = roots.select(F.col("word").alias("at"), "root")
-    joined = found.join(roots, F.col("word") == F.col("at"), "left").drop("at")
+    joined = found.join(roots.hint("merge"), F.col("word") == F.col("at"), "left").drop("at")
     return joined.withColumn("root", F.coalesce("root", "word"))
 
 

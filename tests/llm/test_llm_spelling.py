@@ -100,3 +100,20 @@ def test_no_group_meets_in_one_task(spark):
     left = df.mapInArrow(S._signed(True), "key long, word string, n long")
     assert left.groupBy("key").count().agg(F.max("count")).first()[0] <= 24
     assert S.near_pairs(df).count() == 0
+
+
+def test_no_join_is_broadcast(spark, monkeypatch):
+    """A stored table of words is far smaller than its rows and their signatures, so small sizes must not make Spark broadcast them."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") in ("10485760b", "10MB")  # Spark's own
+    plans, stored = [], S.stored
+
+    def ran(df):
+        df.collect()  # the plan is then the one that ran
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(S, "stored", lambda df: stored(ran(df)))
+    rows = [(d, t) for d, t in varied() if len(t or "") < 70_000]
+    assert result(ran(S.spelling_groups(frame(spark, [(d, t, "en", "s") for d, t in rows])))) == plain(rows)
+    assert not any("Broadcast" in p for p in plans)
+    assert sum("SortMergeJoin" in p for p in plans) >= 4  # of signatures, links, roots and the result
